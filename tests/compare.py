@@ -53,9 +53,15 @@ def difference(got, want):
         return f"columns {got[0]} != {want[0]}"
     if got[1] == want[1]:
         return None
-    extra = [r for r in got[1] if r not in set(want[1])][:2]
-    missing = [r for r in want[1] if r not in set(got[1])][:2]
-    return f"rows {len(got[1])} vs {len(want[1])}\n   only spark: {extra!r:.1500}\n   only sql: {missing!r:.1500}"
+    want_set, got_set = set(want[1]), set(got[1])
+    extra = [str(r) for r in got[1] if r not in want_set][:1] or [""]
+    missing = [str(r) for r in want[1] if r not in got_set][:1] or [""]
+    same = len(os.path.commonprefix([extra[0], missing[0]]))
+    start = max(0, same - 60)
+    return (
+        f"rows {len(got[1])} vs {len(want[1])}\n   spark: ...{extra[0][start : start + 250]!r}"
+        f"\n   sql:   ...{missing[0][start : start + 250]!r}"
+    )
 
 
 def main():
