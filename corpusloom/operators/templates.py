@@ -37,7 +37,8 @@ INNERMOST = _ARGUMENT + r"|\{\{(?!\{)" + _BODY + r"\}\}"
 _OPEN_ARGUMENT = rf"\{{\{{\{{(?![{{{BOUND}{UNBOUND}])[^{{}}|]*\|"
 _SUBST = r"(?i)^(?:subst:|safesubst:)"
 _ARGUMENT_LEVELS = 10
-_PASSES = 3
+_PASSES = 2
+BROADCAST_CHARS = 64 * 1024 * 1024
 _ROUNDS = 1000  # only malformed braces that escape the depth count reach this
 
 
@@ -186,14 +187,17 @@ def _settled(call: Column, title: Column, as_of: Column) -> Column:
     )
 
 
-def eval_parser_functions(pages: DataFrame, as_of: Column) -> DataFrame:
-    """Settle innermost arguments, magic words and parser functions in every page."""
-
+def _settled_text(as_of: Column) -> Column:
     def settle(t):
         return replace_each(t, INNERMOST, lambda call: _settled(call, F.col("title"), as_of))
 
     text = F.aggregate(F.sequence(F.lit(1), F.lit(_PASSES)), F.col("text"), lambda t, _: settle(t))
-    return pages.withColumn("text", F.when(F.col("text").contains("{{"), text).otherwise(F.col("text")))
+    return F.when(F.col("text").contains("{{"), text).otherwise(F.col("text"))
+
+
+def eval_parser_functions(pages: DataFrame, as_of: Column) -> DataFrame:
+    """Settle innermost arguments, magic words and parser functions in every page."""
+    return pages.withColumn("text", _settled_text(as_of))
 
 
 # --- expansion -----------------------------------------------------------------
@@ -255,45 +259,56 @@ def _instantiate(body: Column, params: Column, level: Column, real_title: Column
     return text
 
 
-def _expand_round(pages: DataFrame, lookup: DataFrame, as_of: Column, max_depth: int, namespaces) -> DataFrame:
-    settled = eval_parser_functions(pages, as_of)
-    calls = settled.select(
-        "page_id",
-        F.posexplode(F.regexp_extract_all("text", F.lit(INNERMOST), F.lit(0))).alias("pos", "call"),
-    )
-    parsed = calls.withColumn("parts", split_parts(_call_body(F.col("call")))).withColumn(
-        "called", _call_title(F.col("parts"))
+def _attach_bodies(calls: DataFrame, lookup: DataFrame, small: bool) -> DataFrame:
+    if small:
+        return calls.join(F.broadcast(lookup), "name", "left")
+    return attach_by_key(calls, lookup, "name", "left")
+
+
+def _expanded_call() -> Column:
+    """Result of a looked-up call: its body filled in, the call itself, or nothing."""
+    filled = _instantiate(F.col("body"), F.col("params"), F.col("level"), F.col("real_title"))
+    return F.coalesce(F.when(F.col("body").isNotNull(), filled).when(~F.col("final"), F.col("call")), F.lit(""))
+
+
+def _parsed_calls(pages: DataFrame, max_depth: int, namespaces) -> DataFrame:
+    """(page_id, pos, call, name, level, final, params) of the innermost calls.
+
+    ``name`` is null for anything but a template call; ``final`` calls give nothing
+    when no template is found.
+    """
+    calls = pages.select(
+        "page_id", F.posexplode(F.regexp_extract_all("text", F.lit(INNERMOST), F.lit(0))).alias("pos", "call")
     )
     level = F.length(F.regexp_extract("call", rf"\A\{{\{{({DEPTH}*)", 1))
+    parsed = calls.withColumn("level", level).withColumn("parts", split_parts(_call_body(F.col("call"))))
+    parsed = parsed.withColumn("called", _call_title(F.col("parts")))
     is_template = ~F.col("call").startswith("{{{") & ~_is_function(F.col("called"))
-    named = parsed.select(
+    in_depth = F.col("level") < max_depth
+    return parsed.select(
         "page_id",
         "pos",
         "call",
-        level.alias("level"),
-        F.when(is_template & (level < max_depth), template_title(F.col("called"), namespaces)).alias("name"),
-        (is_template | (level >= max_depth)).alias("final"),
+        "level",
+        F.when(is_template & in_depth, template_title(F.col("called"), namespaces)).alias("name"),
+        (is_template | ~in_depth).alias("final"),
         bind_parameters(_rest(F.col("parts"))).alias("params"),
     )
-    found = attach_by_key(named, lookup, "name", "left")
-    text = F.when(
-        F.col("body").isNotNull(), _instantiate(F.col("body"), F.col("params"), F.col("level"), F.col("real_title"))
-    ).when(~F.col("final"), F.col("call"))
+
+
+def _put_back(pages: DataFrame, results: DataFrame) -> DataFrame:
+    """Put the results (page_id, pos, result) of all innermost calls into their pages."""
     # a page's calls are no more than its text holds
-    results = (
-        found.select("page_id", F.struct("pos", F.coalesce(text, F.lit("")).alias("result")).alias("r"))
-        .groupBy("page_id")
-        .agg(F.sort_array(F.collect_list("r")).alias("results"))
-    )
+    by_page = results.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("pos", "result"))).alias("results"))
     rebuilt = F.array_join(
         F.zip_with(
-            F.split("text", INNERMOST, -1), F.col("results"), lambda gap, r: F.concat(gap, F.coalesce(r["result"], F.lit("")))
+            F.split("text", INNERMOST, -1),
+            F.col("results"),
+            lambda gap, r: F.concat(gap, F.coalesce(r["result"], F.lit(""))),
         ),
         "",
     )
-    return settled.join(results, "page_id", "left").withColumn(
-        "text", F.when(F.col("results").isNull(), F.col("text")).otherwise(rebuilt)
-    ).drop("results")
+    return pages.join(by_page, "page_id").withColumn("text", rebuilt).drop("results")
 
 
 def expand_templates(
@@ -303,22 +318,31 @@ def expand_templates(
     as_of: Column,
     max_depth: int = 30,
     namespaces=KNOWN_NAMESPACES,
+    broadcast_chars: int = BROADCAST_CHARS,
 ) -> DataFrame:
     """Expand all calls in ``pages(page_id, title, text, ...)``.
 
     ``as_of`` is the timestamp that the time words show. Unknown templates and
-    calls nested deeper than ``max_depth`` templates give nothing.
+    calls nested deeper than ``max_depth`` templates give nothing. The templates
+    are broadcast if they hold at most ``broadcast_chars`` characters; otherwise
+    the calls are shuffled to them, hot templates apart.
     """
     lookup = checkpoint(_template_lookup(templates, redirects))
+    size = lookup.agg(F.sum(F.length("body") + F.length("name")).alias("chars")).first()["chars"] or 0
     columns = pages.columns
+    settled_text, expanded_call = _settled_text(as_of), _expanded_call()
+    has_calls = F.coalesce(F.col("text").rlike(INNERMOST), F.lit(False))
+
     clean = pages.withColumn("text", F.translate(without_marks(F.col("text")), PLAIN_PIPE + "\x0f", ""))
-    open_pages = F.col("text").rlike(INNERMOST)
-    done, work = clean.filter(~F.coalesce(open_pages, F.lit(False))), clean.filter(open_pages)
+    settled = checkpoint(clean.withColumn("text", settled_text))
+    done, work = settled.filter(~has_calls), settled.filter(has_calls)
     for _ in range(_ROUNDS):
-        work = checkpoint(_expand_round(work, lookup, as_of, max_depth, namespaces).select(*columns))
-        done, work = done.unionByName(work.filter(~open_pages)), work.filter(open_pages)
         if work.isEmpty():
             break
+        calls = _attach_bodies(_parsed_calls(work, max_depth, namespaces), lookup, size <= broadcast_chars)
+        expanded = _put_back(work, calls.select("page_id", "pos", expanded_call.alias("result")))
+        settled = checkpoint(expanded.withColumn("text", settled_text).select(*columns))
+        done, work = done.unionByName(settled.filter(~has_calls)), settled.filter(has_calls)
     else:
         done = done.unionByName(work.withColumn("text", F.regexp_replace("text", INNERMOST, "")))
     shown = F.translate("text", PLAIN_PIPE + DEPTH + BOUND + UNBOUND, "|")
