@@ -79,7 +79,7 @@ def matvec_step(spark, sf):
     return _rounded(G.add_taxation(G.matvec(matrix, vector), vector, 0.85), "p")
 
 
-_RANKED = "SELECT row_number() OVER (ORDER BY round(p, 12) DESC, id) - 1 AS rank, id AS page_id, round(p, 10) AS score FROM {r}"
+_RANKED = "SELECT row_number() OVER (ORDER BY round(p, 12) DESC, id) - 1 AS rank, id AS page_id, round(round(p, 12), 10) AS score FROM {r}"
 
 
 def _settled(vector):
@@ -96,7 +96,7 @@ def pagerank_10(spark, sf):
 
 @query(
     "pagerank_topk",
-    f"WITH {GRAPH_SQL}, {rank_rounds_sql(3)} SELECT id AS page_id, round(p, 10) AS score FROM r3 "
+    f"WITH {GRAPH_SQL}, {rank_rounds_sql(3)} SELECT id AS page_id, round(round(p, 12), 10) AS score FROM r3 "
     "ORDER BY round(p, 12) DESC, id LIMIT 20",
 )
 def pagerank_topk(spark, sf):
@@ -149,7 +149,7 @@ def pagerank_personal(spark, sf):
 # With epsilon 1e-6 this graph settles within 50 rounds on the given tables; the SQL
 # twin walks 50 rounds and picks the first whose change is small enough.
 _CONVERGED = (
-    f"WITH RECURSIVE {GRAPH_SQL}, {rank_rounds_sql(50)}, changes AS ("
+    f"WITH {GRAPH_SQL}, {rank_rounds_sql(50)}, changes AS ("
     + " UNION ALL ".join(
         f"SELECT {i} AS i, sum(abs(a.p - b.p)) / count(*) AS d FROM r{i} a JOIN {'vec' if i == 1 else f'r{i - 1}'} b ON a.id = b.id"
         for i in range(1, 51)
@@ -159,7 +159,7 @@ _CONVERGED = (
 )
 
 
-@query("pagerank_converged")
+@query("pagerank_converged", _CONVERGED)
 def pagerank_converged(spark, sf):
     matrix, vector = _matrix_and_vector(spark, sf)
     return _rounded(pagerank_vector(matrix, vector), "p")

@@ -60,9 +60,8 @@ def noun_forms(lexicon: DataFrame, exceptions: DataFrame | None = None) -> DataF
     forms = lexicon.select("lemma", F.explode(F.array(*built)).alias("f")).select("lemma", "f.rule", "f.form")
     if exceptions is not None:
         irregular = exceptions.join(lexicon, "lemma", "left_semi").select("lemma", F.lit(0).alias("rule"), "form")
-        ruled_out = (F.col("rule") == 0) & (F.col("form") == F.col("lemma"))
         regular = forms.join(exceptions.select("form").distinct(), "form", "left_anti")
-        forms = regular.unionByName(forms.filter(ruled_out)).unionByName(irregular)
+        forms = regular.unionByName(forms.filter("form = lemma")).unionByName(irregular)
     return (
         forms.filter("form IS NOT NULL AND form != ''")
         .groupBy("form")

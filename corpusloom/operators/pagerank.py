@@ -16,7 +16,7 @@ def pagerank_vector(
     beta: float = 0.85,
     epsilon: float = 1e-6,
     max_iter: int = 50,
-    checkpoint_every: int = 5,
+    checkpoint_every: int = 2,
     min_hot_rows: int | None = None,
 ) -> DataFrame:
     """v <- beta*M*v + (1-beta)*v0, started at v0 = ``vector``, which is also the
@@ -36,47 +36,43 @@ def pagerank_vector(
     by_source = cells.filter(~F.col("src").isin(hot)) if hot else cells
     by_source = by_source.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
     hot_cells = cells.filter(F.col("src").isin(hot)).persist(StorageLevel.MEMORY_AND_DISK) if hot else None
-    start = vector.select("id", "p").repartition(n_parts, "id").persist(StorageLevel.MEMORY_AND_DISK)
-    n_nodes = start.count() if epsilon > 0 else 0
+    # one row per page: teleport share, rank so far
+    state = vector.select("id", F.col("p").alias("v0"), "p").repartition(n_parts, "id")
+    state = state.persist(StorageLevel.MEMORY_AND_DISK)
+    n_nodes = state.count() if epsilon > 0 else 0
 
-    current, held = start, None
+    held = [state]
     for round_no in range(1, max_iter + 1):
-        rank = current.select(F.col("id").alias("src"), F.col("p").alias("v"))
+        rank = state.select(F.col("id").alias("src"), F.col("p").alias("v"))
         sent = by_source.join(rank, "src").select("dst", (F.col("p") * F.col("v")).alias("m"))
         if hot:
             few = F.broadcast(rank.filter(F.col("src").isin(hot)))
             sent = sent.unionByName(
                 hot_cells.join(few, "src").select("dst", (F.col("p") * F.col("v")).alias("m"))
             )
-        product = sent.groupBy("dst").agg(F.sum("m").alias("m"))
-        step = start.join(product, F.col("id") == F.col("dst"), "left").select(
-            "id", (F.lit(beta) * F.coalesce("m", F.lit(0.0)) + F.lit(1.0 - beta) * F.col("p")).alias("p")
-        )
-        if epsilon > 0:
-            step = (
-                step.join(current.select("id", F.col("p").alias("_old")), "id")
-                .withColumn("_change", F.abs(F.col("p") - F.col("_old")))
-                .select("id", "p", "_change")
-            )
-            if round_no % checkpoint_every == 0:
-                step = checkpoint(step)
-            else:
-                step = step.persist(StorageLevel.MEMORY_AND_DISK)
-            change = step.agg(F.sum("_change")).first()[0] or 0.0
-            if held is not None:
-                held.unpersist()
-            held, current = step, step.select("id", "p")
-            if change / n_nodes <= epsilon:
-                break
-        else:
-            current = checkpoint(step) if round_no % checkpoint_every == 0 else step
-    result = checkpoint(current)
-    for part in (by_source, hot_cells, start, held):
-        if part is not None:
-            part.unpersist()
+        received = sent.groupBy(F.col("dst").alias("id")).agg(F.sum("m").alias("m"))
+        new_p = F.lit(beta) * F.coalesce("m", F.lit(0.0)) + F.lit(1.0 - beta) * F.col("v0")
+        state = state.join(received, "id", "left").select("id", "v0", new_p.alias("p"), F.abs(new_p - F.col("p")).alias("change"))
+        if round_no % checkpoint_every == 0:
+            state = checkpoint(state)
+            held = _release(held)
+        elif epsilon > 0:
+            state = state.persist(StorageLevel.MEMORY_AND_DISK)
+            held.append(state)
+        if epsilon > 0 and (state.agg(F.sum("change")).first()[0] or 0.0) / n_nodes <= epsilon:
+            break
+    result = checkpoint(state.select("id", "p"))
+    _release([by_source, hot_cells, *held])
     return result
 
 
+def _release(tables: list) -> list:
+    for table in tables:
+        if table is not None:
+            table.unpersist()
+    return []
+
+
 def rank_pages(vector: DataFrame) -> DataFrame:
     """(rank from 0, page_id, score): score descending, equal scores by id."""
     scored = vector.select(F.col("id").alias("page_id"), F.col("p").alias("score"))

@@ -12,6 +12,7 @@ from corpusloom.operators.pages import with_dense_ids
 PAGE_SCHEMA = (
     "title string, ns int, id long, redirect struct<_title: string>, revision struct<id: long, text: string>"
 )
+_XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 SITE_SCHEMA = "base string, namespaces struct<namespace: array<struct<_key: int, _VALUE: string>>>"
 
 
@@ -30,7 +31,7 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
         _chunks(spark, path)
         .filter(F.col("value").contains("<page"))
         .select(
-            F.from_xml(F.concat(source, F.lit("</page>")), PAGE_SCHEMA).alias("p"),
+            F.from_xml(F.concat(source, F.lit("</page>")), PAGE_SCHEMA, _XML_OPTIONS).alias("p"),
             source.contains("<redirect").alias("is_redirect"),
         )
     )
@@ -48,7 +49,7 @@ def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
     found = (
         _chunks(spark, path)
         .filter(F.col("value").contains("<siteinfo"))
-        .select(F.from_xml(F.regexp_extract("value", r"(?s)(<siteinfo.*?</siteinfo>)", 1), SITE_SCHEMA).alias("s"))
+        .select(F.from_xml(F.regexp_extract("value", r"(?s)(<siteinfo.*?</siteinfo>)", 1), SITE_SCHEMA, _XML_OPTIONS).alias("s"))
         .limit(1)
     )
     named = F.transform(
