@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import GRAPH_SQL, part_supplier_links, sql_list, sql_text, table
+from catalog.common import GRAPH_SQL, part_supplier_links, sql_list, sql_text, spread_table, table
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
 from corpusloom.operators import graph as G
 from corpusloom.operators import lemmas as L
@@ -102,7 +102,7 @@ _TOKENS_SQL = f"list_filter(regexp_split_to_array({_TREEBANK_SQL}, '\\s+'), lamb
 
 @query("tokens", f"SELECT doc_id, array_to_string({_TOKENS_SQL}, ' ') AS tokens FROM documents")
 def tokens(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.array_join(L.tokenize(F.col("text")), " ").alias("tokens"))
+    return spread_table(spark, sf, "documents").select("doc_id", F.array_join(L.tokenize(F.col("text")), " ").alias("tokens"))
 
 
 _CONTENT_SQL = (
@@ -143,7 +143,7 @@ def _lexicon(spark, sf):
     UNION ALL SELECT doc_id, '' AS content FROM toks WHERE len(ts) = 0""",
 )
 def lemmas(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    docs = spread_table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
     return L.lemmatize(docs, _lexicon(spark, sf))
 
 

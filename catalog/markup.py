@@ -11,7 +11,7 @@ from html.entities import name2codepoint
 
 from pyspark.sql import functions as F
 
-from catalog.common import sql_text, table
+from catalog.common import sql_text, spread_table, table
 from corpusloom.fixed_values import BEHAVIOUR_SWITCHES
 from corpusloom.functions.entities import unescape
 from corpusloom.functions.titles import normalize_title, page_url, template_title
@@ -47,7 +47,7 @@ def sql_rules(expression, rules):
 
 
 def marked_documents(spark, sf, rules):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents")
     return docs.select(F.col("doc_id").alias("page_id"), spark_rules(F.col("text"), rules).alias("text"))
 
 
@@ -231,7 +231,7 @@ def _entity_sql(text):
 
 @query("unescape", f"SELECT page_id, {_entity_sql('html')} AS text FROM pages")
 def unescape_pages(spark, sf):
-    return table(spark, sf, "pages").select("page_id", unescape(F.col("html")).alias("text"))
+    return spread_table(spark, sf, "pages").select("page_id", unescape(F.col("html")).alias("text"))
 
 
 NUMERIC_RULES = [(r" (the|le|der|el) ", r" $1 &#233;&eacute;&#8364;&euro;&amp;lt;&unknown; ")]

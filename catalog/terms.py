@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import rank_rounds_sql, sql_list, table
+from catalog.common import rank_rounds_sql, spread_table, sql_list, table
 from corpusloom.fixed_values import TERM_STOPWORDS, UNICODE_SPACE
 from corpusloom.operators import graph as G
 from corpusloom.operators import search as S
@@ -28,7 +28,7 @@ def query(name, sql=None):
 
 
 def contents(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
+    return spread_table(spark, sf, "documents").select("doc_id", F.col("text").alias("content"))
 
 
 def _counts_sql(stop):

@@ -44,11 +44,17 @@ def replace_each(text: Column, pattern: str, on_match, on_gap=None) -> Column:
     return F.when(text.rlike(pattern) if on_gap is None else F.lit(True), let(text, rebuild)).otherwise(text)
 
 
-def _mark(text: Column, opening: str, closing: str) -> Column:
+def _mark(text: Column, opening: str | Column, closing: str | Column, literal: bool) -> Column:
+    if literal:
+        marked = F.replace(text, F.lit(opening), F.lit(OPEN + opening))
+        return F.replace(marked, F.lit(closing), F.lit(closing + CLOSE))
     marked = F.regexp_replace(text, opening, OPEN + "$0")
     return F.regexp_replace(marked, closing, "$0" + CLOSE)
 
 
+_FLAT = f"^[^{OPEN}{CLOSE}]*+(?:{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}[^{OPEN}{CLOSE}]*+)*+\\z"
+
+
 def _outermost(marked: Column) -> Column:
     """Turn the marks of pairs inside other pairs into inner marks."""
     pieces = F.split(marked, f"(?=[{OPEN}{CLOSE}])", -1)
@@ -73,16 +79,16 @@ def _outermost(marked: Column) -> Column:
     return F.aggregate(pieces, start, step, lambda state: F.array_join(state["out"], ""))
 
 
-def mark_outermost(text: Column, opening: str, closing: str) -> Column:
+def mark_outermost(text: Column, opening: str | Column, closing: str | Column, literal: bool = False) -> Column:
     """Put OPEN before and CLOSE after each outermost balanced span, inner marks inside.
 
     Spans may nest to any depth. Only texts that do nest, or leave a delimiter
-    unmatched, are walked delimiter by delimiter.
+    unmatched, are walked delimiter by delimiter. The delimiters are patterns, or
+    plain strings if ``literal``.
     """
-    nested = f"{OPEN}[^{CLOSE}]*+(?:{OPEN}|\\z)|{OPEN}[^{CLOSE}]*?{OPEN}|(?:\\A|{CLOSE})[^{OPEN}{CLOSE}]*+{CLOSE}"
     return let(
-        _mark(text, opening, closing),
-        lambda m: F.when(m.rlike(f"(?:{nested})"), _outermost(m)).otherwise(m),
+        _mark(text, opening, closing, literal),
+        lambda m: F.when(m.rlike(_FLAT), m).otherwise(_outermost(m)),
     )
 
 
@@ -94,17 +100,17 @@ def trim_space(text: Column) -> Column:
     return F.regexp_replace(text, r"^\s+|\s+\z", "")
 
 
-def drop_nested(text: Column, opening: str | Column, closing: str | Column) -> Column:
+def drop_nested(text: Column, opening: str | Column, closing: str | Column, literal: bool = False) -> Column:
     """Remove balanced spans with all they hold.
 
     A span left open ends at the last closing delimiter after it, if any.
     """
     dropped = F.regexp_replace(
-        mark_outermost(text, opening, closing),
+        mark_outermost(text, opening, closing, literal),
         f"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}|{OPEN}[^{OPEN}{CLOSE}]*{INNER_CLOSE}",
         "",
     )
-    found = F.regexp_like(text, F.lit(opening))
+    found = text.contains(closing) if literal else F.regexp_like(text, F.lit(closing))
     return F.when(found, strip_marks(dropped)).otherwise(text)
 
 

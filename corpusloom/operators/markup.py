@@ -32,9 +32,9 @@ from corpusloom.functions.text import (
     without_marks,
 )
 
-TABLE = (r"\{\|", r"\|\}")
-TEMPLATE = (r"\{\{", r"\}\}")
-LINK = (r"\[\[", r"\]\]")
+TABLE = ("{|", "|}")
+TEMPLATE = ("{{", "}}")
+LINK = ("[[", "]]")
 
 _URL_CHARS = r'[^\]\[<>"\x00-\x20\x7F\s\p{Z}\x{85}]'
 EXTERNAL_LINK = r"\[((?i:%s)%s+)[\s\p{Z}]*([^\]\x00-\x08\x0a-\x1F]*?)\]" % ("|".join(URL_PROTOCOLS), _URL_CHARS)
@@ -45,11 +45,11 @@ _LINK_SPAN = rf"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}[A-Za-z0-9_]*+"
 
 
 def drop_tables(text: Column) -> Column:
-    return drop_nested(text, *TABLE)
+    return drop_nested(text, *TABLE, literal=True)
 
 
 def drop_templates(text: Column) -> Column:
-    return drop_nested(text, *TEMPLATE)
+    return drop_nested(text, *TEMPLATE, literal=True)
 
 
 def _outside(target: Column, accepted) -> Column:
@@ -88,20 +88,25 @@ def replace_internal_links(text: Column, accepted=ACCEPTED_NAMESPACES, keep_link
     """
     parts = rf"(?s)^{OPEN}\[\[(.*)\]\]{CLOSE}(\w*)$"
 
-    def shown(match):
-        inner = F.regexp_extract(match, parts, 1)
-        title = F.when(inner.contains("|"), F.regexp_replace(F.substring_index(inner, "|", 1), r"\s+\z", "")).otherwise(inner)
+    def label_of(inner):
         after_pipe = (
             F.when(inner.rlike(rf"(?s)\|.*{INNER_OPEN}"), F.regexp_extract(inner, rf"(?s)^.*\|(?=.*{INNER_OPEN})(.*)$", 1))
             .otherwise(F.regexp_extract(inner, r"(?s)^[^|]*\|(.*)$", 1))
         )
-        label = strip_marks(F.when(inner.contains("|"), trim_space(after_pipe)).otherwise(inner))
-        title = strip_marks(title)
+        return strip_marks(F.when(inner.contains("|"), trim_space(after_pipe)).otherwise(inner))
+
+    def linked(inner):
+        target = F.regexp_replace(F.substring_index(inner, "|", 1), r"\s+\z", "")
+        title = strip_marks(F.when(inner.contains("|"), target).otherwise(inner))
+        label = label_of(inner)
         if keep_links:
             label = F.concat(F.lit('<a href="'), url_quote(title), F.lit('">'), label, F.lit("</a>"))
-        return F.concat(F.when(_outside(title, accepted), "").otherwise(label), F.regexp_extract(match, parts, 2))
+        return let(title, lambda t: F.when(t.contains(":") & _outside(t, accepted), "").otherwise(label))
 
-    marked = let(mark_outermost(text, *LINK), lambda t: strip_marks(replace_each(t, _LINK_SPAN, shown)))
+    def shown(match):
+        return F.concat(let(F.regexp_extract(match, parts, 1), linked), F.regexp_extract(match, parts, 2))
+
+    marked = let(mark_outermost(text, *LINK, literal=True), lambda t: strip_marks(replace_each(t, _LINK_SPAN, shown)))
     return F.when(text.contains("[["), marked).otherwise(text)
 
 
@@ -145,7 +150,9 @@ def drop_tags(text: Column, keep_links: bool = False) -> Column:
 def drop_elements(text: Column, elements=DISCARDED_ELEMENTS) -> Column:
     """Elements dropped with their content, one kind after the other, nested ones too."""
     present = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"<\s*/\s*({'|'.join(elements)})>"), F.lit(1)))
-    in_order = F.filter(F.array(*[F.lit(e) for e in elements]), lambda e: F.array_contains(present, e))
+    in_order = let(
+        present, lambda found: F.filter(F.array(*[F.lit(e) for e in elements]), lambda e: F.array_contains(found, e))
+    )
 
     def without(state, element):
         return drop_nested(

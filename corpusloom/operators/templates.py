@@ -90,7 +90,7 @@ def split_parts(text: Column) -> Column:
     """Split at pipes outside links; the text holds no further calls."""
 
     def protect(t):
-        marked = mark_outermost(t, r"\[\[", r"\]\]")
+        marked = mark_outermost(t, "[[", "]]", literal=True)
         span = f"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}"
         guarded = replace_each(marked, span, lambda m: F.translate(m, "|", "\x0f"))
         return F.transform(F.split(guarded, r"\|", -1), lambda p: F.translate(strip_marks(p), "\x0f", "|"))
@@ -248,7 +248,7 @@ def _instantiate(body: Column, params: Column, level: Column, real_title: Column
         return F.regexp_replace(F.regexp_replace(t, F.lit(opening), mark), F.lit(opening), mark)
 
     def plain_pipes(t):
-        marked = mark_outermost(t, r"\{\{", r"\}\}")
+        marked = mark_outermost(t, "{{", "}}", literal=True)
         span = f"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}"
         return strip_marks(replace_each(marked, span, lambda m: m, lambda gap: F.translate(gap, "|", PLAIN_PIPE)))
 
