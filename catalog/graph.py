@@ -15,6 +15,7 @@ from catalog.common import (
 )
 from corpusloom.operators import graph as G
 from corpusloom.operators.pagerank import pagerank_vector, rank_pages, top_pages
+from corpusloom.runtime import checkpoint
 
 QUERIES, ORACLES = {}, {}
 DIGITS = 10
@@ -35,7 +36,7 @@ def _edges(spark, sf):
 
 
 def _matrix_and_vector(spark, sf):
-    edge_rows = _edges(spark, sf)
+    edge_rows = checkpoint(_edges(spark, sf))  # read for degrees, cells and nodes
     return G.transition_matrix(edge_rows), G.uniform_vector(graph_nodes(edge_rows))
 
 

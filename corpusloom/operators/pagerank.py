@@ -31,7 +31,8 @@ def pagerank_vector(
     """
     spark = transitions.sparkSession
     n_parts = shuffle_partitions(spark)
-    cells = transitions.select("src", "dst", "p")
+    # counted for hot sources, then laid out: computed once
+    cells = transitions.select("src", "dst", "p").persist(StorageLevel.MEMORY_AND_DISK)
     hot = hot_keys(cells, "src", min_hot_rows)
     by_source = cells.filter(~F.col("src").isin(hot)) if hot else cells
     by_source = by_source.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
@@ -41,7 +42,7 @@ def pagerank_vector(
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     n_nodes = state.count() if epsilon > 0 else 0
 
-    held = [state]
+    held = [state, cells]
     for round_no in range(1, max_iter + 1):
         rank = state.select(F.col("id").alias("src"), F.col("p").alias("v"))
         sent = by_source.join(rank, "src").select("dst", (F.col("p") * F.col("v")).alias("m"))
