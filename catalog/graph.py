@@ -80,7 +80,7 @@ def matvec_step(spark, sf):
     return _rounded(G.add_taxation(G.matvec(matrix, vector), vector, 0.85), "p")
 
 
-_RANKED = "SELECT row_number() OVER (ORDER BY round(p, 12) DESC, id) - 1 AS rank, id AS page_id, round(round(p, 12), 10) AS score FROM {r}"
+_RANKED = "SELECT row_number() OVER (ORDER BY round(p, 12) DESC, id) - 1 AS rank, id AS page_id, round(p, 12) AS score FROM {r}"
 
 
 def _settled(vector):
@@ -91,18 +91,17 @@ def _settled(vector):
 @query("pagerank_10", f"WITH {GRAPH_SQL}, {rank_rounds_sql(10)} " + _RANKED.format(r="r10"))
 def pagerank_10(spark, sf):
     matrix, vector = _matrix_and_vector(spark, sf)
-    ranked = rank_pages(_settled(pagerank_vector(matrix, vector, epsilon=0.0, max_iter=10)))
-    return _rounded(ranked, "score")
+    return rank_pages(_settled(pagerank_vector(matrix, vector, epsilon=0.0, max_iter=10)))
 
 
 @query(
     "pagerank_topk",
-    f"WITH {GRAPH_SQL}, {rank_rounds_sql(3)} SELECT id AS page_id, round(round(p, 12), 10) AS score FROM r3 "
+    f"WITH {GRAPH_SQL}, {rank_rounds_sql(3)} SELECT id AS page_id, round(p, 12) AS score FROM r3 "
     "ORDER BY round(p, 12) DESC, id LIMIT 20",
 )
 def pagerank_topk(spark, sf):
     matrix, vector = _matrix_and_vector(spark, sf)
-    return _rounded(top_pages(_settled(pagerank_vector(matrix, vector, epsilon=0.0, max_iter=3)), 20), "score")
+    return top_pages(_settled(pagerank_vector(matrix, vector, epsilon=0.0, max_iter=3)), 20)
 
 
 @query(
