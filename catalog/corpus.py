@@ -4,11 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.common import GRAPH_SQL, part_supplier_links, sql_list, sql_text, spread_table, table
+from catalog.common import spread_table, sql_list, sql_text, table
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
+from corpusloom.functions.titles import page_url
 from corpusloom.operators import graph as G
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
+from corpusloom.operators.pagerank import rank_pages
+from corpusloom.plans.extract import extract_corpus
+from corpusloom.plans.index import rank_and_search
 from corpusloom.runtime import scratch_path
 from corpusloom.sinks import tables as W
 from corpusloom.sources import tables as R
@@ -282,8 +286,6 @@ def vector_file(spark, sf):
     "SELECT row_number() OVER (ORDER BY n_chars DESC, doc_id) - 1 AS rank, doc_id AS page_id, n_chars::DOUBLE AS score FROM documents",
 )
 def page_rank_file(spark, sf):
-    from corpusloom.operators.pagerank import rank_pages
-
     path = scratch_path(spark, "ranks")
     scores = table(spark, sf, "documents").select(F.col("doc_id").alias("id"), F.col("n_chars").cast("double").alias("p"))
     W.write_page_rank(rank_pages(scores), path)
@@ -296,8 +298,6 @@ def page_rank_file(spark, sf):
     "|| source || chr(10) || chr(10) || text || chr(10) || '</doc>' || chr(10) AS written FROM documents",
 )
 def document_files(spark, sf):
-    from corpusloom.functions.titles import page_url
-
     path = scratch_path(spark, "docs")
     docs = table(spark, sf, "documents")
     value = W.document_text(F.col("doc_id"), page_url("http://x.org/wiki", F.col("doc_id")), F.col("source"), F.col("text"))
@@ -313,9 +313,6 @@ def document_files(spark, sf):
 @query("corpus_search")
 def corpus_search(spark, sf):
     """Pages made of the documents, linked by source name, extracted, ranked and searched."""
-    from corpusloom.plans.extract import extract_corpus
-    from corpusloom.plans.index import search_pipeline
-
     docs = table(spark, sf, "documents")
     first = docs.groupBy("source").agg(F.min("doc_id").alias("hub"))
     pages = docs.join(first, "source").select(
@@ -325,5 +322,5 @@ def corpus_search(spark, sf):
         F.concat("text", F.lit(" [["), "source", F.lit(" "), F.col("hub").cast("string"), F.lit("|hub]]")).alias("text"),
     )
     corpus = extract_corpus(pages, _lexicon(spark, sf))
-    found = search_pipeline(spark, scratch_path(spark, "index"), "tion ment", corpus, vocab_size=300, k=10)
+    found = rank_and_search(spark, scratch_path(spark, "index"), "tion ment", corpus, vocab_size=300, k=10)
     return found.withColumn("relevance", F.round("relevance", 5))

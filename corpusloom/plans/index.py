@@ -32,7 +32,7 @@ def answer(spark: SparkSession, path: str, query: str, page_rank: DataFrame, cou
     )
 
 
-def search_pipeline(
+def rank_and_search(
     spark: SparkSession, path: str, query: str, corpus: dict[str, DataFrame], count: int = 25, vocab_size: int = 30_000, k: int = 300
 ) -> DataFrame:
     """Rank, index and search an extracted corpus in one go."""

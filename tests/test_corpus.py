@@ -7,7 +7,7 @@ from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
 from corpusloom.operators.pages import article_filter
 from corpusloom.plans.extract import extract_corpus
-from corpusloom.plans.index import search_pipeline
+from corpusloom.plans.index import rank_and_search
 from corpusloom.sinks import tables as W
 from corpusloom.sources import tables as R
 from corpusloom.sources import wiki_xml as X
@@ -136,5 +136,5 @@ def test_whole_way(spark, tmp_path):
         enumerate(["Earth", "Mars", "Moon", "Star", "Sun"])
     )
     assert sorted(map(tuple, corpus["edges"].collect())) == [(src, dst) for src in range(5) for dst in (3, 4)]
-    found = search_pipeline(spark, str(tmp_path / "index"), "star", corpus, count=2)
+    found = rank_and_search(spark, str(tmp_path / "index"), "star", corpus, count=2)
     assert {r["title"] for r in found.collect()} == {"Star", "Sun"}
