@@ -43,3 +43,26 @@ def with_fields(df: DataFrame, result: Column, *fields: str) -> DataFrame:
     box = free_name(df, "result_fields")
     boxed = df.withColumn(box, result)
     return boxed.withColumns({f: F.col(f"{box}.{f}") for f in fields}).drop(box)
+
+
+BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
+SALTS = 64
+
+
+def join_lookup(rows: DataFrame, lookup: DataFrame, key: str, how: str = "left") -> DataFrame:
+    """Join rows of possibly hot keys with a stored lookup of one row per key (null is a key too).
+
+    The lookup is broadcast if its counted rows and key bytes are within fixed bounds.
+    Beyond them every key is cut into salts, and the lookup repeated for each salt, so
+    that the rows of one key meet it in many tasks.
+    """
+    other = free_name(rows, f"{key}_lookup")
+    lookup = lookup.withColumnRenamed(key, other)
+    n, size = lookup.agg(F.count("*"), F.coalesce(F.sum(F.octet_length(F.col(other).cast("string"))), F.lit(0))).first()
+    if n <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(lookup), rows[key].eqNullSafe(lookup[other]), how).drop(other)
+    salt = free_name(rows, "salt")
+    salted = rows.withColumn(salt, F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)))
+    many = lookup.withColumn(f"{salt}_lookup", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("long"))
+    met = salted[key].eqNullSafe(many[other]) & (salted[salt] == many[f"{salt}_lookup"])
+    return salted.join(many, met, how).drop(other, salt, f"{salt}_lookup")

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.llm.bpe import with_bpe_digests
+from corpusloom.llm.chat import format_conversations, read_back
 from corpusloom.llm.common import documents
+from corpusloom.llm.mixing import mix_sources
+from corpusloom.llm.quality_rules import apply_host_rules, with_rule_counts
+from corpusloom.llm.spotsigs import with_edited_text
 from corpusloom.llm.token_counts import count_tokens
+from corpusloom.runtime import checkpoint
 
 
 def tokenizer_path(name: str) -> str:
@@ -15,19 +20,49 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+TRICKY = "\\### Assistant: </turn> ok"
+
+
+def op1_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    tricky = [(-7, 0, "user", TRICKY), (-7, 1, "assistant", TRICKY)]
+    added = spark.createDataFrame(tricky, "conv_id long, turn long, role string, text string")
+    return read_back(format_conversations(turns.unionByName(added)))
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     counted = count_tokens(docs, tokenizer_path("byte_bpe_50k.json"))
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_edited_text(documents(spark, sf_dir, "doc_id", "text")).drop("text")
+
+
+def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    mixed = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
+    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir, "doc_id", "text")
     coded = with_bpe_digests(docs, tokenizer_path("word_bpe_49k.json"))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counted = with_rule_counts(documents(spark, sf_dir, "doc_id", "text", "source"))
+    counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+    judged = apply_host_rules(checkpoint(counted.drop("text")))
+    return judged.select("doc_id", *counts, "base_failed", "kept", "host_rate")
+
+
 QUERIES = {
+    "op1_chat_format": op1_chat_format,
+    "op4_spotsigs": op4_spotsigs,
+    "op5_mix_sources": op5_mix_sources,
+    "op10_quality_rules": op10_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op6_bpe_round_trip": op6_bpe_round_trip,
 }
