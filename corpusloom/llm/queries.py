@@ -8,6 +8,7 @@ from corpusloom.llm.bpe import with_bpe_digests
 from corpusloom.llm.chat import format_conversations, read_back
 from corpusloom.llm.common import documents
 from corpusloom.llm.mixing import mix_sources
+from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.quality_rules import apply_host_rules, with_rule_counts
 from corpusloom.llm.spotsigs import with_edited_text
 from corpusloom.llm.token_counts import count_tokens
@@ -36,6 +37,10 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(documents(spark, sf_dir, "doc_id", "text"), words=2, percent=80)
+
+
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_edited_text(documents(spark, sf_dir, "doc_id", "text")).drop("text")
 
@@ -60,6 +65,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_chat_format": op1_chat_format,
+    "op3_near_duplicates": op3_near_duplicates,
     "op4_spotsigs": op4_spotsigs,
     "op5_mix_sources": op5_mix_sources,
     "op10_quality_rules": op10_quality_rules,
