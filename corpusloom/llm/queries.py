@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import with_bpe_digests
 from corpusloom.llm.chat import format_conversations, read_back
@@ -11,6 +12,7 @@ from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.quality_rules import apply_host_rules, with_rule_counts
 from corpusloom.llm.spotsigs import with_edited_text
+from corpusloom.llm.suffix_dedup import without_repeats
 from corpusloom.llm.token_counts import count_tokens
 from corpusloom.runtime import checkpoint
 
@@ -56,6 +58,11 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = without_repeats(documents(spark, sf_dir, "doc_id", "text"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = with_rule_counts(documents(spark, sf_dir, "doc_id", "text", "source"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
@@ -68,6 +75,7 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_spotsigs": op4_spotsigs,
     "op5_mix_sources": op5_mix_sources,
+    "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op2_token_counts": op2_token_counts,
     "op6_bpe_round_trip": op6_bpe_round_trip,
