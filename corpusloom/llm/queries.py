@@ -7,12 +7,14 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.bpe import with_bpe_digests
 from corpusloom.llm.chat import format_conversations, read_back
+from corpusloom.llm.classifier import classify
 from corpusloom.llm.common import documents
 from corpusloom.llm.mixing import mix_sources
 from corpusloom.llm.near_dedup import near_duplicates
 from corpusloom.llm.quality_rules import apply_host_rules, with_rule_counts
 from corpusloom.llm.spotsigs import with_edited_text
 from corpusloom.llm.suffix_dedup import without_repeats
+from corpusloom.llm.suffix_tree import score_texts
 from corpusloom.llm.token_counts import count_tokens
 from corpusloom.runtime import checkpoint
 
@@ -58,6 +60,17 @@ def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op7_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    learn = F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) != 2
+    return score_texts(documents(spark, sf_dir, "doc_id", "text"), learn)
+
+
+def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    scored = classify(documents(spark, sf_dir), labels)
+    return scored.select("doc_id", "quality_score", "content_score", "metadata_score", "accepted")
+
+
 def op9_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = without_repeats(documents(spark, sf_dir, "doc_id", "text"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,6 +88,8 @@ QUERIES = {
     "op3_near_duplicates": op3_near_duplicates,
     "op4_spotsigs": op4_spotsigs,
     "op5_mix_sources": op5_mix_sources,
+    "op7_lm_scores": op7_lm_scores,
+    "op8_quality_classifier": op8_quality_classifier,
     "op9_suffix_dedup": op9_suffix_dedup,
     "op10_quality_rules": op10_quality_rules,
     "op2_token_counts": op2_token_counts,
