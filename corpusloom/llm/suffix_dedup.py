@@ -207,19 +207,23 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RU
     return spans
 
 
-def remove_spans(text: Column, places: Column, length: int) -> Column:
-    """Struct of ``n_bytes, n_removed, n_spans`` and ``kept`` bytes of a text without its repeated runs."""
+def remove_spans(text: Column, places: Column, length: int, as_text: bool = False) -> Column:
+    """Struct of ``n_bytes, n_removed, n_spans`` and ``kept`` of a text without its repeated runs.
 
-    @F.arrow_udf("n_bytes long, n_removed long, n_spans long, kept binary")
+    ``kept`` are bytes; as text, the bytes of characters that a removal has split are left out.
+    """
+    kept_type = "string" if as_text else "binary"
+
+    @F.arrow_udf(f"n_bytes long, n_removed long, n_spans long, kept {kept_type}")
     def removed(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", pa.binary())])
+        kind = pa.struct([("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("kept", getattr(pa, kept_type)())])
         for texts, lists in batches:
             out = []
             for value, items in zip(texts, lists):
                 data = (value.as_py() or "").encode()
                 items = items.as_py()
                 if not items:
-                    out.append((len(data), 0, 0, data))
+                    out.append((len(data), 0, 0, data.decode() if as_text else data))
                     continue
                 packed = np.sort(np.array(items, np.int64))
                 packed = packed[packed >> _TEXT_BIT == _text_key(data)]
@@ -230,15 +234,17 @@ def remove_spans(text: Column, places: Column, length: int) -> Column:
                 gone = np.cumsum(gone)[:-1] > 0
                 n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
-                out.append((len(data), int(gone.sum()), n_spans, kept))
+                out.append((len(data), int(gone.sum()), n_spans, kept.decode(errors="ignore") if as_text else kept))
             columns = list(zip(*out)) or [(), (), (), ()]
             yield pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, kind)], fields=list(kind))
 
     return removed(text, places)
 
 
-def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
-    """Add ``n_bytes, n_removed, n_spans`` and ``kept`` (bytes) to every row.
+def without_repeats(
+    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False
+) -> DataFrame:
+    """Add ``n_bytes, n_removed, n_spans`` and ``kept`` (bytes, or text) to every row.
 
     Every byte covered by a string of ``length`` bytes that also starts earlier (smaller
     id, or earlier in the same text) is removed; strings are judged on the input and never
@@ -252,13 +258,12 @@ def without_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     spans = repeated_spans(docs.select(number.alias("doc"), F.col(text).alias("text")), length)
     found = spans.groupBy("doc").agg(F.collect_list("place").alias(places)).withColumnRenamed("doc", key)
     joined = docs.withColumn(key, number).join(found, key, "left")
-    boxed = joined.withColumn(box, remove_spans(F.col(text), F.col(places), length))
+    boxed = joined.withColumn(box, remove_spans(F.col(text), F.col(places), length, as_text))
     fields = {f: F.col(f"{box}.{f}") for f in ("n_bytes", "n_removed", "n_spans", "kept")}
     return boxed.withColumns(fields).drop(key, places, box)
 
 
 def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings removed from the texts; bytes of split characters go too."""
-    cleaned = without_repeats(docs, doc_id, text, length)
-    valid = F.try_validate_utf8(F.decode(F.col("kept"), F.lit("UTF-8")))
-    return cleaned.withColumn(text, F.when(F.col("n_removed") == 0, F.col(text)).otherwise(valid)).select(*docs.columns)
+    cleaned = without_repeats(docs, doc_id, text, length, as_text=True)
+    return cleaned.withColumn(text, F.when(F.col("n_removed") == 0, F.col(text)).otherwise(F.col("kept"))).select(*docs.columns)
