@@ -131,14 +131,16 @@ def mix_sources(
     repeat an id are documents of their own. The same rows give the same mix.
     """
     body = whole_text(text)
-    sized = docs.withColumns(
+    named = {c: f"own_{c}" for c in docs.columns if c.startswith("mix_")}  # these names are used below
+    sized = docs.withColumnsRenamed(named).withColumns(
         {
             "size": count_words(body),
             "mix_order": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))),
             "mix_text": F.xxhash64(body),
         }
     )
-    return mix_sized(checkpoint(sized), source, weights, share, most, block).drop("mix_order", "mix_text")
+    mixed = mix_sized(checkpoint(sized), source, weights, share, most, block).drop("mix_order", "mix_text")
+    return mixed.withColumnsRenamed({own: c for c, own in named.items()})
 
 
 def mix_sized(

@@ -159,19 +159,20 @@ def repeated_in_batches(length: int):
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, owner, place, held = [], [], [], 0
-        last = (None, None)
+        last, first = (None, None), (None, None)
         for batch in source:
             copies_owner, copies_place = [], []
             columns = [batch.column(c).to_pylist() for c in ("anchor", "piece", "doc", "place")]
             for anchor, piece, doc, at in zip(*columns):
                 if (anchor, piece) == last:  # equal to an earlier run: all its windows repeat
-                    copies_owner.append(doc)
-                    copies_place.append(at)
+                    if (doc, at) != first:  # else the row repeats
+                        copies_owner.append(doc)
+                        copies_place.append(at)
                     continue
                 if anchor != last[0] and held >= BATCH_BYTES:
                     yield from flush(pieces, owner, place)
                     pieces, owner, place, held = [], [], [], 0
-                last = (anchor, piece)
+                last, first = (anchor, piece), (doc, at)
                 pieces.append(piece)
                 owner.append(doc)
                 place.append(at)
@@ -202,7 +203,7 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, hot_runs: int = HOT_RU
     spans = cold.mapInArrow(repeated_in_batches(length), "doc long, place long")
     if hot.take(1):
         same = Window.partitionBy("piece").orderBy("doc", "place")
-        windows = pieces.filter("hot").select("piece", "doc", "place").withColumn("nth", F.row_number().over(same))
+        windows = pieces.filter("hot").select("piece", "doc", "place").withColumn("nth", F.rank().over(same))
         spans = spans.unionByName(windows.filter("nth > 1").select("doc", "place"))
     return spans
 
