@@ -55,7 +55,31 @@ def _mark(text: Column, opening: str | Column, closing: str | Column, literal: b
 _FLAT = f"^[^{OPEN}{CLOSE}]*+(?:{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}[^{OPEN}{CLOSE}]*+)*+\\z"
 
 
-def _outermost(marked: Column) -> Column:
+_LEVELS = 4  # of nesting that one constant pattern covers
+
+
+def _balanced(levels: int) -> str:
+    """A pair with pairs inside it, ``levels`` deep in all."""
+    plain = f"[^{OPEN}{CLOSE}]*+"
+    return f"{OPEN}{plain}(?:{_balanced(levels - 1)}{plain})*+{CLOSE}" if levels > 1 else f"{OPEN}{plain}{CLOSE}"
+
+
+_NESTED = f"^[^{OPEN}{CLOSE}]*+(?:{_balanced(_LEVELS)}[^{OPEN}{CLOSE}]*+)*+\\z"
+
+
+def _outermost_by_pattern(marked: Column) -> Column:
+    """The same for texts that one pattern covers: pairs of few levels, none open."""
+    inner = _balanced(_LEVELS - 1)
+
+    def outer(span):
+        # in the inner pairs a pipe separates nothing of the outer one
+        body = replace_each(F.substring(span, 2, F.length(span) - 2), inner, lambda m: F.translate(m, "|", PIPE))
+        return F.concat(F.lit(OPEN), F.translate(body, OPEN + CLOSE, INNER_OPEN + INNER_CLOSE), F.lit(CLOSE))
+
+    return replace_each(marked, _balanced(_LEVELS), outer)
+
+
+def _outermost_by_walk(marked: Column) -> Column:
     """Turn the marks of pairs inside other pairs into inner marks."""
     pieces = F.split(marked, f"(?=[{OPEN}{CLOSE}])", -1)
 
@@ -82,13 +106,13 @@ def _outermost(marked: Column) -> Column:
 def mark_outermost(text: Column, opening: str | Column, closing: str | Column, literal: bool = False) -> Column:
     """Put OPEN before and CLOSE after each outermost balanced span, inner marks inside.
 
-    Spans may nest to any depth. Only texts that do nest, or leave a delimiter
-    unmatched, are walked delimiter by delimiter. The delimiters are patterns, or
+    Spans may nest to any depth. Only texts that nest deep, or leave a delimiter
+    unmatched, are walked delimiter by delimiter; a constant pattern settles the others. The delimiters are patterns, or
     plain strings if ``literal``.
     """
     return let(
         _mark(text, opening, closing, literal),
-        lambda m: F.when(m.rlike(_FLAT), m).otherwise(_outermost(m)),
+        lambda m: F.when(m.rlike(_FLAT), m).when(m.rlike(_NESTED), _outermost_by_pattern(m)).otherwise(_outermost_by_walk(m)),
     )
 
 

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
-from corpusloom.functions.text import let
-from corpusloom.runtime import BROADCAST_ROWS
+from corpusloom.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checkpoint
 
 # Spacing rules of the Penn Treebank convention, in their order. A full stop before
 # white space ends a sentence here, so abbreviations lose theirs.
@@ -77,15 +79,29 @@ def lemmatize(
 ) -> DataFrame:
     """Replace ``content`` by its lemmas, separated by single spaces.
 
-    Only forms that change travel: each document collects its own short list of
-    them, which is then applied to its tokens in place.
+    At most BROADCAST_ROWS forms that change are sent to every worker and looked up in
+    place, without a shuffle. Beyond that each document collects its own short list of
+    them, which is then applied to its tokens.
     """
-    changing = noun_forms(lexicon, exceptions).filter("form != lemma")
-    few = changing.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    changing = checkpoint(noun_forms(lexicon, exceptions).filter("form != lemma"))
+    rows, size = changing.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("form") + F.octet_length("lemma")), F.lit(0))).first()
+    if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
+        table = changing.toArrow()
+        forms = dict(zip(table.column("form").to_pylist(), table.column("lemma").to_pylist()))
+        shared = contents.sparkSession.sparkContext.broadcast(forms)
+
+        @F.arrow_udf("string")
+        def looked_up(lists: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = shared.value
+            for batch in lists:
+                texts = [None if t is None else " ".join([known.get(w, w) for w in t]) for t in batch.to_pylist()]
+                yield pa.array(texts, pa.string())
+
+        return contents.withColumn("content", looked_up(content_tokens(F.col("content"), stopwords)))
     tokens = contents.withColumn("_tokens", content_tokens(F.col("content"), stopwords))
     distinct = tokens.select("doc_id", F.explode(F.array_distinct("_tokens")).alias("form"))
     changed = (
-        distinct.join(F.broadcast(changing) if few else changing, "form")
+        distinct.join(changing, "form")
         .groupBy("doc_id")
         .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_changed"))
     )

@@ -27,6 +27,11 @@ def html_text(html: Column) -> Column:
     return F.regexp_replace(html, r"<[^>]*>", " ")
 
 
+def without_anchors(text: Column) -> Column:
+    """A cleaned page's text without the tags of its kept links; anchors are all the markup it has."""
+    return F.regexp_replace(text, r"(?i)</?a\b[^>]*>", "")
+
+
 def anchor_targets(markup: Column) -> Column:
     """Distinct decoded targets of all anchors."""
     raw = F.regexp_extract_all(markup, F.lit(_ANCHOR), F.lit(1))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import vector_to_array
 from pyspark.mllib.common import callMLlibFunc
 from pyspark.mllib.linalg.distributed import CoordinateMatrix, IndexedRowMatrix
@@ -10,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import with_position
+from corpusloom.runtime import checkpoint
 
 
 def lsa(tdm: DataFrame, vocab: DataFrame, doc_ids: DataFrame, k: int = 300) -> tuple[DataFrame, DataFrame]:
@@ -21,12 +23,12 @@ def lsa(tdm: DataFrame, vocab: DataFrame, doc_ids: DataFrame, k: int = 300) -> t
     spark = tdm.sparkSession
     n_terms = vocab.count()
     rows = with_position(doc_ids.select("doc_id"), F.col("doc_id"), name="row")
-    rows = rows.persist(StorageLevel.MEMORY_AND_DISK)
+    rows = checkpoint(rows)
     n_docs = rows.count()
     cells = tdm.join(rows, "doc_id").select("row", "term_id", F.col("weight"))
     entries = CoordinateMatrix(_entries(cells, n_docs, n_terms))
     by_row = entries.toIndexedRowMatrix()._java_matrix_wrapper._java_model
-    sparse = callMLlibFunc("getIndexedRows", by_row).persist(StorageLevel.MEMORY_AND_DISK)
+    sparse = checkpoint(callMLlibFunc("getIndexedRows", by_row))
     matrix = IndexedRowMatrix(callMLlibFunc("createIndexedRowMatrix", sparse, n_docs, n_terms))
     rank = min(k, n_terms, n_docs)
     svd = matrix.computeSVD(rank)
@@ -35,8 +37,10 @@ def lsa(tdm: DataFrame, vocab: DataFrame, doc_ids: DataFrame, k: int = 300) -> t
     us = us_rows.select(F.col("index").alias("row"), vector_to_array("vector", "float64").alias("us"))
     zero = F.array_repeat(F.lit(0.0), len(svd.s))
     doc_factors = rows.join(us, "row", "left").select("doc_id", F.coalesce("us", zero).alias("us"))
-    term_rows = [(i, [float(x) for x in v]) for i, v in enumerate(svd.V.toArray())]
-    term_factors = spark.createDataFrame(term_rows, "term_id long, v array<double>")
+    factor = svd.V.toArray()
+    starts = np.arange(0, factor.size + 1, factor.shape[1], dtype=np.int32)
+    columns = {"term_id": np.arange(len(factor)), "v": pa.ListArray.from_arrays(pa.array(starts), pa.array(factor.ravel()))}
+    term_factors = spark.createDataFrame(pa.table(columns), "term_id long, v array<double>")
     return doc_factors, term_factors
 
 

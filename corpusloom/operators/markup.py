@@ -149,17 +149,19 @@ def drop_tags(text: Column, keep_links: bool = False) -> Column:
 
 def drop_elements(text: Column, elements=DISCARDED_ELEMENTS) -> Column:
     """Elements dropped with their content, one kind after the other, nested ones too."""
+
     present = F.array_distinct(F.regexp_extract_all(text, F.lit(rf"<\s*/\s*({'|'.join(elements)})>"), F.lit(1)))
     in_order = let(
         present, lambda found: F.filter(F.array(*[F.lit(e) for e in elements]), lambda e: F.array_contains(found, e))
     )
 
     def without(state, element):
-        return drop_nested(
-            state,
-            F.concat(F.lit(r"<\s*"), element, F.lit(r"\b[^>/]*>")),
-            F.concat(F.lit(r"<\s*/\s*"), element, F.lit(">")),
-        )
+        # one branch with constant patterns for each element, so that none is compiled per row
+        chosen = None
+        for name in elements:
+            dropped = drop_nested(state, F.lit(rf"<\s*{name}\b[^>/]*>"), F.lit(rf"<\s*/\s*{name}>"))
+            chosen = F.when(element == name, dropped) if chosen is None else chosen.when(element == name, dropped)
+        return chosen.otherwise(state)
 
     return F.when(text.rlike(r"<\s*/"), F.aggregate(in_order, text, without)).otherwise(text)
 

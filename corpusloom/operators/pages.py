@@ -22,7 +22,10 @@ def article_filter(
 
 
 def with_dense_ids(pages: DataFrame) -> DataFrame:
-    """Number the pages from 0 in title order; pages without a title are left out."""
+    """Number the pages from 0 in title order; pages without a title are left out.
+
+    Only titles and 64-bit hashes are compared and sampled, never the texts.
+    """
     titled = pages.filter(F.col("title").isNotNull()).drop("page_id")
-    others = [F.col(c) for c in titled.columns if c != "title"]
-    return with_position(titled, F.col("title"), *others, name="page_id")
+    others = [c for c in titled.columns if c != "title"]
+    return with_position(titled, F.col("title"), F.xxhash64(*others) if others else F.lit(0), name="page_id")

@@ -39,7 +39,6 @@ _SUBST = r"(?i)^(?:subst:|safesubst:)"
 _ARGUMENT_LEVELS = 10
 _PASSES = 2
 BROADCAST_CHARS = 64 * 1024 * 1024
-_ROUNDS = 1000  # only malformed braces that escape the depth count reach this
 
 
 # --- definitions ---------------------------------------------------------------
@@ -336,14 +335,11 @@ def expand_templates(
     clean = pages.withColumn("text", F.translate(without_marks(F.col("text")), PLAIN_PIPE + "\x0f", ""))
     settled = checkpoint(clean.withColumn("text", settled_text))
     done, work = settled.filter(~has_calls), settled.filter(has_calls)
-    for _ in range(_ROUNDS):
-        if work.isEmpty():
-            break
+    # Each round settles a page's innermost calls, and max_depth bounds what they bring in, so this ends.
+    while not work.isEmpty():
         calls = _attach_bodies(_parsed_calls(work, max_depth, namespaces), lookup, size <= broadcast_chars)
         expanded = _put_back(work, calls.select("page_id", "pos", expanded_call.alias("result")))
         settled = checkpoint(expanded.withColumn("text", settled_text).select(*columns))
         done, work = done.unionByName(settled.filter(~has_calls)), settled.filter(has_calls)
-    else:
-        done = done.unionByName(work.withColumn("text", F.regexp_replace("text", INNERMOST, "")))
     shown = F.translate("text", PLAIN_PIPE + DEPTH + BOUND + UNBOUND, "|")
     return done.withColumn("text", shown)

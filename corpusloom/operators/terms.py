@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import TERM_STOPWORDS, UNICODE_SPACE
-from corpusloom.runtime import BROADCAST_ROWS
+from corpusloom.runtime import BROADCAST_ROWS, checkpoint
 
 
 def words(column):
@@ -99,6 +98,6 @@ def build_tdm(
 ) -> tuple[DataFrame, DataFrame]:
     """(tdm, vocab) of ``contents(doc_id, content)``; every row counts as a document."""
     n_docs = contents.count()
-    counts = term_counts(contents, stopwords, min_length, min_count).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = checkpoint(term_counts(contents, stopwords, min_length, min_count))
     vocab = vocabulary(counts, n_docs, vocab_size, idf)
     return term_weights(counts, vocab, vocab_size, tf), vocab

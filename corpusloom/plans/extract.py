@@ -2,29 +2,37 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.fixed_values import ACCEPTED_NAMESPACES, CONTENT_STOPWORDS
+from corpusloom.fixed_values import ACCEPTED_NAMESPACES, CONTENT_STOPWORDS, TEMPLATE_NAMESPACE
 from corpusloom.operators import graph as G
 from corpusloom.operators.lemmas import lemmatize
-from corpusloom.operators.links import extract_links, html_text, resolve_links
+from corpusloom.operators.links import extract_links, resolve_links, without_anchors
 from corpusloom.operators.markup import clean_wikitext
 from corpusloom.operators.pages import article_filter, with_dense_ids
 from corpusloom.operators.sections import compact_sections
 from corpusloom.operators.templates import expand_templates, load_templates
 from corpusloom.runtime import checkpoint
+from corpusloom.sources.wiki_xml import template_namespace
 
 
-def clean_articles(pages: DataFrame, as_of: Column | None = None, accepted=ACCEPTED_NAMESPACES) -> DataFrame:
+def clean_articles(
+    pages: DataFrame,
+    as_of: Column | None = None,
+    accepted=ACCEPTED_NAMESPACES,
+    siteinfo: DataFrame | None = None,
+) -> DataFrame:
     """(page_id, title, text): articles with dense ids and cleaned text that keeps its links.
 
     Templates defined among ``pages`` are expanded when ``as_of`` is given, else dropped.
+    ``siteinfo`` of the dump names the template namespace; without it, it is ``Template``.
     """
-    articles = with_dense_ids(article_filter(pages, accepted).select("title", "text"))
+    named = template_namespace(siteinfo).first() if siteinfo is not None else None
+    prefix = named["template_namespace"] if named else TEMPLATE_NAMESPACE
+    articles = with_dense_ids(article_filter(pages, accepted, prefix).select("title", "text"))
     if as_of is not None:
-        templates, redirects = load_templates(pages)
+        templates, redirects = load_templates(pages, prefix)
         articles = expand_templates(articles, templates, redirects, as_of)
     cleaned = clean_wikitext(articles, keep_links=True, accepted=accepted, templates_expanded=as_of is not None)
     lines = compact_sections(cleaned)
@@ -38,15 +46,16 @@ def extract_corpus(
     normalize_links: bool = False,
     stopwords=CONTENT_STOPWORDS,
     accepted=ACCEPTED_NAMESPACES,
+    siteinfo: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
     """page_ids, contents, edges, adjacency, transitions and vector of raw pages."""
-    cleaned = checkpoint(clean_articles(pages, as_of, accepted))
+    cleaned = checkpoint(clean_articles(pages, as_of, accepted, siteinfo))
     page_ids = cleaned.select("page_id", "title")
-    text = cleaned.select(F.col("page_id").alias("doc_id"), html_text(F.col("text")).alias("content"))
+    text = cleaned.select(F.col("page_id").alias("doc_id"), without_anchors(F.col("text")).alias("content"))
     redirects = pages.filter("redirect IS NOT NULL").select("title", F.col("redirect").alias("target"))
     links = extract_links(cleaned)
     edges = resolve_links(links, page_ids, normalize_links, redirects if normalize_links else None)
-    edges = edges.persist(StorageLevel.MEMORY_AND_DISK)
+    edges = checkpoint(edges)
     nodes = page_ids.select(F.col("page_id").alias("id"))
     return {
         "page_ids": page_ids,

@@ -15,6 +15,7 @@ MAX_HOT_KEYS = 1000
 
 # Row bound under which a table of short rows may be broadcast (about 100 MB).
 BROADCAST_ROWS = 1_000_000
+BROADCAST_BYTES = 64 << 20
 
 
 def checkpoint_dir(spark: SparkSession) -> str:

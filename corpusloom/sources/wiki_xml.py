@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions.entities import unescape
@@ -10,7 +10,7 @@ from corpusloom.operators.links import first_title
 from corpusloom.operators.pages import with_dense_ids
 
 PAGE_SCHEMA = (
-    "title string, ns int, id long, redirect struct<_title: string>, revision struct<id: long, text: string>"
+    "title string, ns int, id long, redirect struct<_title: string>, revision array<struct<id: long, text: string>>"
 )
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
 SITE_SCHEMA = "base string, namespaces struct<namespace: array<struct<_key: int, _VALUE: string>>>"
@@ -24,7 +24,8 @@ def _chunks(spark: SparkSession, path: str) -> DataFrame:
 def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
     """pages(page_id, title, ns, redirect, text) of one or more dump files.
 
-    ``redirect`` is null for pages that are none.
+    ``redirect`` is null for pages that are none. The text is that of the first
+    revision. A page that is no well-formed XML is read by its tags instead.
     """
     source = F.regexp_extract("value", r"(?s)(<page\b.*)\z", 1)
     parsed = (
@@ -33,24 +34,38 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
         .select(
             F.from_xml(F.concat(source, F.lit("</page>")), PAGE_SCHEMA, _XML_OPTIONS).alias("p"),
             source.contains("<redirect").alias("is_redirect"),
+            source.alias("source"),
         )
     )
+    broken = F.col("p.title").isNull() & F.col("p.id").isNull() & F.col("p.revision").isNull()
+
+    def tag(name: str) -> Column:
+        found = F.regexp_extract("source", rf"(?s)<{name}\b[^>]*(?<!/)>(.*?)</{name}>", 1)
+        return F.when(found != "", unescape(found))
+
+    named = F.when(broken, unescape(F.regexp_extract("source", r'<redirect\b[^>]*\btitle="([^"]*)"', 1)))
     return parsed.select(
-        F.col("p.id").alias("page_id"),
-        F.col("p.title").alias("title"),
-        F.col("p.ns").alias("ns"),
-        F.when(F.col("is_redirect"), F.coalesce("p.redirect._title", F.lit(""))).alias("redirect"),
-        F.coalesce("p.revision.text", F.lit("")).alias("text"),
+        F.coalesce("p.id", F.when(broken, tag("id").try_cast("long"))).alias("page_id"),
+        F.coalesce("p.title", F.when(broken, tag("title"))).alias("title"),
+        F.coalesce("p.ns", F.when(broken, tag("ns").try_cast("int"))).alias("ns"),
+        F.when(F.col("is_redirect"), F.coalesce("p.redirect._title", named, F.lit(""))).alias("redirect"),
+        F.coalesce(F.get("p.revision", F.lit(0))["text"], F.when(broken, tag("text")), F.lit("")).alias("text"),
     )
 
 
 def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
-    """One row siteinfo(url_base, namespaces ARRAY<STRUCT<key, name>>) of a dump."""
+    """One row siteinfo(url_base, namespaces ARRAY<STRUCT<key, name>>) of a dump.
+
+    All files of a dump must agree; the query fails where they do not.
+    """
     found = (
         _chunks(spark, path)
         .filter(F.col("value").contains("<siteinfo"))
         .select(F.from_xml(F.regexp_extract("value", r"(?s)(<siteinfo.*?</siteinfo>)", 1), SITE_SCHEMA, _XML_OPTIONS).alias("s"))
-        .limit(1)
+    )
+    found = found.agg(F.collect_set("s").alias("all")).filter(F.size("all") > 0)  # a few per dump file
+    found = found.select(
+        F.when(F.size("all") == 1, F.col("all")[0]).otherwise(F.raise_error(F.lit("dump files differ in siteinfo"))).alias("s")
     )
     named = F.transform(
         "s.namespaces.namespace",
