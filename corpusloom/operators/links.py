@@ -79,4 +79,5 @@ def resolve_links(
 
 def unresolved_links(links: DataFrame, page_ids: DataFrame) -> DataFrame:
     """Links to titles that no page has."""
-    return links.join(page_ids.select("title").distinct(), "title", "left_anti").select("src", "title")
+    known = page_ids.select("title").distinct().withColumn("_known", F.lit(True))
+    return attach_by_key(links, known, "title", "left").filter("_known IS NULL").select("src", "title")

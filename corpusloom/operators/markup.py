@@ -156,12 +156,11 @@ def drop_elements(text: Column, elements=DISCARDED_ELEMENTS) -> Column:
     )
 
     def without(state, element):
-        # one branch with constant patterns for each element, so that none is compiled per row
-        chosen = None
-        for name in elements:
-            dropped = drop_nested(state, F.lit(rf"<\s*{name}\b[^>/]*>"), F.lit(rf"<\s*/\s*{name}>"))
-            chosen = F.when(element == name, dropped) if chosen is None else chosen.when(element == name, dropped)
-        return chosen.otherwise(state)
+        return drop_nested(
+            state,
+            F.concat(F.lit(r"<\s*"), element, F.lit(r"\b[^>/]*>")),
+            F.concat(F.lit(r"<\s*/\s*"), element, F.lit(">")),
+        )
 
     return F.when(text.rlike(r"<\s*/"), F.aggregate(in_order, text, without)).otherwise(text)
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import checkpoint, hot_keys, shuffle_partitions
+from corpusloom.runtime import checkpoint, hot_keys, salt_lookup, salt_rows, shuffle_partitions
 
 
 def pagerank_vector(
@@ -27,43 +27,40 @@ def pagerank_vector(
 
     The edges are laid out by source once. Each round then joins in place and
     shuffles only sums already combined per target; sources with too many links
-    for one partition are kept apart and meet their rank by broadcast.
+    for one partition are dealt over several, each with a copy of their rank.
     """
     spark = transitions.sparkSession
     n_parts = shuffle_partitions(spark)
     # counted for hot sources, then laid out: computed once
-    cells = transitions.select("src", "dst", "p").persist(StorageLevel.MEMORY_AND_DISK)
+    cells = checkpoint(transitions.select("src", "dst", "p"))
     hot = hot_keys(cells, "src", min_hot_rows)
-    by_source = cells.filter(~F.col("src").isin(hot)) if hot else cells
-    by_source = by_source.repartition(n_parts, "src").persist(StorageLevel.MEMORY_AND_DISK)
-    hot_cells = cells.filter(F.col("src").isin(hot)).persist(StorageLevel.MEMORY_AND_DISK) if hot else None
+    keys = ["src"] if hot is None else ["src", "_salt"]
+    by_source = cells if hot is None else salt_rows(cells, "src", hot)
+    by_source = by_source.repartition(n_parts, *keys).persist(StorageLevel.MEMORY_AND_DISK)
     # one row per page: teleport share, rank so far
     state = vector.select("id", F.col("p").alias("v0"), "p").repartition(n_parts, "id")
     state = state.persist(StorageLevel.MEMORY_AND_DISK)
     n_nodes = state.count() if epsilon > 0 else 0
 
-    held = [state, cells]
+    held = [state]
     for round_no in range(1, max_iter + 1):
         rank = state.select(F.col("id").alias("src"), F.col("p").alias("v"))
-        sent = by_source.join(rank, "src").select("dst", (F.col("p") * F.col("v")).alias("m"))
-        if hot:
-            few = F.broadcast(rank.filter(F.col("src").isin(hot)))
-            sent = sent.unionByName(
-                hot_cells.join(few, "src").select("dst", (F.col("p") * F.col("v")).alias("m"))
-            )
+        if hot is not None:
+            rank = salt_lookup(rank, "src", hot)
+        sent = by_source.join(rank, keys).select("dst", (F.col("p") * F.col("v")).alias("m"))
         received = sent.groupBy(F.col("dst").alias("id")).agg(F.sum("m").alias("m"))
         new_p = F.lit(beta) * F.coalesce("m", F.lit(0.0)) + F.lit(1.0 - beta) * F.col("v0")
         state = state.join(received, "id", "left").select("id", "v0", new_p.alias("p"), F.abs(new_p - F.col("p")).alias("change"))
         if round_no % checkpoint_every == 0:
             state = checkpoint(state)
             held = _release(held)
-        elif epsilon > 0:
+        else:  # the next round reads it twice
             state = state.persist(StorageLevel.MEMORY_AND_DISK)
             held.append(state)
         if epsilon > 0 and (state.agg(F.sum("change")).first()[0] or 0.0) / n_nodes <= epsilon:
             break
     result = checkpoint(state.select("id", "p"))
-    _release([by_source, hot_cells, *held])
+    _release([by_source, *held])
     return result
 
 

@@ -8,10 +8,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# A key is split off once it alone holds this many rows, and never more than
-# MAX_HOT_KEYS of them: any key beyond those holds under 1/MAX_HOT_KEYS of all rows.
+# Rows of one key that one task can take; a key with more is cut into salts.
 HOT_KEY_ROWS = 1_000_000
-MAX_HOT_KEYS = 1000
 
 # Row bound under which a table of short rows may be broadcast (about 100 MB).
 BROADCAST_ROWS = 1_000_000
@@ -48,15 +46,31 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def hot_keys(rows: DataFrame, key: str, min_rows: int | None = None) -> list:
-    """The keys too frequent for one shuffle partition, at most MAX_HOT_KEYS."""
-    counts = rows.groupBy(key).count()
-    top = (
-        counts.filter((F.col("count") >= (min_rows or HOT_KEY_ROWS)) & F.col(key).isNotNull())
-        .orderBy(F.col("count").desc(), F.col(key))
-        .limit(MAX_HOT_KEYS)
-    )
-    return [row[key] for row in top.collect()]
+def sized_broadcast(table: DataFrame) -> DataFrame:
+    """A stored table, marked for broadcast if its counted rows and characters are within the bounds."""
+    texts = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in table.columns]
+    rows, size = table.agg(F.count(F.lit(1)), F.coalesce(F.sum(sum(texts[1:], texts[0])), F.lit(0))).first()
+    return F.broadcast(table) if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES else table
+
+
+def hot_keys(rows: DataFrame, key: str, min_rows: int | None = None) -> DataFrame | None:
+    """(key, _salts) of all keys with more than ``min_rows`` rows, or None; any number of them."""
+    bound = min_rows or HOT_KEY_ROWS
+    counts = rows.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("_salts"))
+    hot = checkpoint(counts.filter(F.col("_salts") > bound).withColumn("_salts", F.ceil(F.col("_salts") / bound)))
+    return None if hot.isEmpty() else sized_broadcast(hot)
+
+
+def salt_rows(rows: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """Add ``_salt``: rows of a hot key are dealt over its salts."""
+    dealt = F.pmod(F.xxhash64(*rows.columns), F.coalesce("_salts", F.lit(1)))
+    return rows.join(hot, key, "left").withColumn("_salt", dealt).drop("_salts")
+
+
+def salt_lookup(lookup: DataFrame, key: str, hot: DataFrame) -> DataFrame:
+    """One row of the lookup for each salt of its key."""
+    salts = F.sequence(F.lit(0).cast("long"), F.coalesce("_salts", F.lit(1)) - 1)
+    return lookup.join(hot, key, "left").withColumn("_salt", F.explode(salts)).drop("_salts")
 
 
 def attach_by_key(
@@ -64,13 +78,17 @@ def attach_by_key(
 ) -> DataFrame:
     """Join ``rows`` with a lookup that has one row per key.
 
-    Rows of hot keys meet their few lookup rows by broadcast and are never
-    shuffled; all other rows take Spark's ordinary join.
+    The rows are stored once, as they are counted and joined. Hot keys meet copies of
+    their lookup row in several tasks; rows without a key go past the join.
     """
-    hot = hot_keys(rows, key, min_rows)
-    if not hot:
-        return rows.join(lookup, key, how)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold_part = rows.filter(~is_hot).join(lookup, key, how)
-    hot_part = rows.filter(is_hot).join(F.broadcast(lookup.filter(F.col(key).isin(hot))), key, how)
-    return cold_part.unionByName(hot_part)
+    rows = checkpoint(rows)
+    keyed = rows.filter(F.col(key).isNotNull())
+    hot = hot_keys(keyed, key, min_rows)
+    if hot is None:
+        joined = keyed.join(lookup, key, how)
+    else:
+        joined = salt_rows(keyed, key, hot).join(salt_lookup(lookup, key, hot), [key, "_salt"], how).drop("_salt")
+    if how == "inner":
+        return joined
+    added = [F.lit(None).cast(f.dataType).alias(f.name) for f in lookup.schema if f.name != key]
+    return joined.unionByName(rows.filter(F.col(key).isNull()).select("*", *added))

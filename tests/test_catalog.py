@@ -7,8 +7,7 @@ from tests.compare import connect, difference, duck_result, spark_result
 
 SF_DIR = "/root/testdata/sf0.001"
 ORACLES = entry_module.oracle_sql()
-# minutes of tiny rounds or files; the unit tests cover the same operators
-SLOW = {"pagerank_converged", "page_files"}
+
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +15,7 @@ def con():
     return connect(SF_DIR)
 
 
-@pytest.mark.parametrize("name", sorted(set(ORACLES) - SLOW))
+@pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query(spark, con, name):
     got = spark_result(entry_module.queries()[name](spark, SF_DIR))
     assert difference(got, duck_result(con, ORACLES[name])) is None

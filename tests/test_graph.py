@@ -69,6 +69,24 @@ def test_attach_by_key_keeps_unmatched_and_null_keys(spark):
         assert sorted(attach_by_key(rows, lookup, "k", how, min_rows=5).collect(), key=str) == want
 
 
+def test_attach_by_key_with_thousands_of_hot_keys(spark):
+    rows = spark.range(20_000).select((F.col("id") % 4000).alias("k"), F.col("id").alias("n"))
+    lookup = spark.range(3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    for how in ("inner", "left"):
+        want = rows.join(lookup, "k", how)
+        got = attach_by_key(rows, lookup, "k", how, min_rows=2)
+        assert got.columns == want.columns
+        assert sorted(got.collect(), key=str) == sorted(want.collect(), key=str)
+
+
+def test_attach_by_key_with_null_keys_only(spark):
+    rows = spark.createDataFrame([(None, i) for i in range(50)], "k string, n int")
+    lookup = spark.createDataFrame([("a", "A")], "k string, v string")
+    assert attach_by_key(rows, lookup, "k", "inner", min_rows=5).count() == 0
+    got = attach_by_key(rows, lookup, "k", "left", min_rows=5).collect()
+    assert sorted(r.n for r in got) == list(range(50)) and {r.v for r in got} == {None}
+
+
 def test_rank_ties_by_id_and_spans_partitions(spark):
     vector = spark.range(1000).select("id", (F.col("id") % 10).cast("double").alias("p")).repartition(7)
     got = [(r["rank"], r["page_id"]) for r in rank_pages(vector).orderBy("rank").collect()]
