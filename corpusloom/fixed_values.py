@@ -74,8 +74,14 @@ URL_PROTOCOLS = (
     "svn://", "tel:", "telnet://", "urn:", "worldwind://", "xmpp:", "//",
 )
 
-# Parser functions that always give an empty result.
-SILENT_FUNCTIONS = ("#ifexpr", "#ifexist", "#rel2abs", "#language", "#time", "#timel", "#titleparts")
+# Patterns of external links, of image addresses, of an error's element, of a named parameter.
+_URL_CHARS = r'[^\]\[<>"\x00-\x20\x7F\s\p{Z}\x{85}]'
+EXTERNAL_LINK = r"\[((?i:%s)%s+)[\s\p{Z}]*([^\]\x00-\x08\x0a-\x1F]*?)\]" % ("|".join(URL_PROTOCOLS), _URL_CHARS)
+IMAGE_URL = (
+    r"(?i)^(?:http://|https://)" + _URL_CHARS + r"+/[A-Za-z0-9_.,~%\-+&;#*?!=()@\x{80}-\x{FF}]+\.(?:gif|png|jpg|jpeg)$"
+)
+ERROR_ELEMENT = r'^<(?:strong|span|p|div)\s(?:[^\s>]*\s+)*?class="(?:[^"\s>]*\s+)*?error(?:\s[^">]*)?"'
+NAMED_PARAMETER = r"(?s)^ *([^= ]*?) *=(.*)$"
 
 # Noun endings and what each may be replaced by to reach the lemma.
 NOUN_ENDINGS = (

@@ -12,10 +12,11 @@ from corpusloom.fixed_values import (
     ACCEPTED_NAMESPACES,
     BEHAVIOUR_SWITCHES,
     DISCARDED_ELEMENTS,
+    EXTERNAL_LINK,
     IGNORED_TAGS,
+    IMAGE_URL,
     PLACEHOLDERS,
     SELF_CLOSING_TAGS,
-    URL_PROTOCOLS,
 )
 from corpusloom.functions.entities import unescape
 from corpusloom.functions.text import (
@@ -36,11 +37,6 @@ TABLE = ("{|", "|}")
 TEMPLATE = ("{{", "}}")
 LINK = ("[[", "]]")
 
-_URL_CHARS = r'[^\]\[<>"\x00-\x20\x7F\s\p{Z}\x{85}]'
-EXTERNAL_LINK = r"\[((?i:%s)%s+)[\s\p{Z}]*([^\]\x00-\x08\x0a-\x1F]*?)\]" % ("|".join(URL_PROTOCOLS), _URL_CHARS)
-IMAGE_URL = (
-    r"(?i)^(?:http://|https://)" + _URL_CHARS + r"+/[A-Za-z0-9_.,~%\-+&;#*?!=()@\x{80}-\x{FF}]+\.(?:gif|png|jpg|jpeg)$"
-)
 _LINK_SPAN = rf"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}[A-Za-z0-9_]*+"
 
 

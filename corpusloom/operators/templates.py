@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.fixed_values import TEMPLATE_NAMESPACE
+from corpusloom.fixed_values import NAMED_PARAMETER, TEMPLATE_NAMESPACE
 from corpusloom.functions.entities import unescape
 from corpusloom.functions.text import (
     BOUND,
@@ -99,7 +99,7 @@ def split_parts(text: Column) -> Column:
 
 def bind_parameters(parts: Column) -> Column:
     """ARRAY<STRUCT<name, value>> of the parts behind the title; the last of a name counts."""
-    named = r"(?s)^ *([^= ]*?) *=(.*)$"
+    named = NAMED_PARAMETER
 
     def bind(all_parts):
         def one(part, i):
