@@ -3,7 +3,7 @@
 Equal windows of 100 bytes have the same smallest hash among their 32-byte strings, the
 anchor. Each text is cut into runs of windows with one anchor; a run can repeat elsewhere
 only if its anchor does. Runs of repeated anchors meet by anchor. Equal runs are settled by
-their order alone; of the distinct ones, each task builds a Burrows-Wheeler transform of
+their order alone; where an anchor has several distinct ones, each task builds a Burrows-Wheeler transform of
 a bounded batch and expands its intervals backward, breadth first, up to 100 bytes: what
 still shares a prefix then are the repeated windows. Anchors of very many runs give up
 their windows one by one to a shuffle instead, so that no group must fit in a task.
@@ -31,8 +31,10 @@ BATCH_BYTES = 2 << 20  # of distinct runs in one transform
 HOT_RUNS = 20_000  # runs of one anchor that are compared window by window, by a shuffle
 _U = np.uint64
 _LAST = (1 << 63) - 1
-# A place packs a 16-bit hash of the text (for ids that repeat), a start and a window count.
-_TEXT_BIT, _START_BIT = 41, 10
+# A place packs a 16-bit hash of the text (for ids that repeat), a start, whether windows of
+# the run may repeat within it, and a window count.
+_TEXT_BIT, _START_BIT, _SELF_BIT = 41, 10, 9
+_COUNT = (1 << _SELF_BIT) - 1
 
 
 def _sliding(values: np.ndarray, size: int, pick) -> np.ndarray:
@@ -90,7 +92,7 @@ def text_runs(text: Column, length: int) -> Column:
                 data = (value.as_py() or "").encode()
                 anchor, start, count, double = runs(data, length)
                 anchors.append(anchor.astype(np.int64))
-                places.append((_text_key(data) << _TEXT_BIT) | (start << _START_BIT) | count)
+                places.append(_text_key(data) << _TEXT_BIT | start << _START_BIT | double.astype(np.int64) << _SELF_BIT | count)
                 doubles.append(double)
                 offsets.append(offsets[-1] + len(anchor))
             columns = [np.concatenate(x) if x else np.empty(0) for x in (anchors, places, doubles)]
@@ -101,7 +103,7 @@ def text_runs(text: Column, length: int) -> Column:
 
 
 def _place(value: int) -> tuple[int, int, int]:
-    return value >> _TEXT_BIT, value >> _START_BIT & ((1 << (_TEXT_BIT - _START_BIT)) - 1), value & ((1 << _START_BIT) - 1)
+    return value >> _TEXT_BIT, value >> _START_BIT & ((1 << (_TEXT_BIT - _START_BIT)) - 1), value & _COUNT
 
 
 def run_pieces(text: Column, wanted: Column, length: int) -> Column:
@@ -158,8 +160,16 @@ def repeated_in_batches(length: int):
             yield _spans(owners[np.repeat(starts, parts)], begin << _START_BIT, count)
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces, owner, place, held = [], [], [], 0
+        pieces, owner, place = [], [], []
+        begin, held = 0, 0  # where the runs of this anchor begin, and the bytes of all
         last, first = (None, None), (None, None)
+
+        def end_group() -> None:
+            # the only run of an anchor has no windows in common with others
+            if len(pieces) == begin + 1 and not place[begin] >> _SELF_BIT & 1:
+                for column in (pieces, owner, place):
+                    column.pop()
+
         for batch in source:
             copies_owner, copies_place = [], []
             columns = [batch.column(c).to_pylist() for c in ("anchor", "piece", "doc", "place")]
@@ -169,16 +179,22 @@ def repeated_in_batches(length: int):
                         copies_owner.append(doc)
                         copies_place.append(at)
                     continue
-                if anchor != last[0] and held >= BATCH_BYTES:
-                    yield from flush(pieces, owner, place)
-                    pieces, owner, place, held = [], [], [], 0
+                if anchor != last[0]:
+                    end_group()
+                    held += sum(map(len, pieces[begin:]))
+                    if held >= BATCH_BYTES:
+                        yield from flush(pieces, owner, place)
+                        held = 0
+                        for column in (pieces, owner, place):
+                            column.clear()
+                    begin = len(pieces)
                 last, first = (anchor, piece), (doc, at)
                 pieces.append(piece)
                 owner.append(doc)
                 place.append(at)
-                held += len(piece)
             if copies_owner:
                 yield _spans(np.array(copies_owner), np.array(copies_place), np.zeros(len(copies_owner), np.int64))
+        end_group()
         yield from flush(pieces, owner, place)
 
     return batches
@@ -231,7 +247,7 @@ def remove_spans(text: Column, places: Column, length: int, as_text: bool = Fals
                 start = packed >> _START_BIT & ((1 << (_TEXT_BIT - _START_BIT)) - 1)
                 gone = np.zeros(len(data) + 1, np.int32)
                 np.add.at(gone, start, 1)
-                np.add.at(gone, start + (packed & ((1 << _START_BIT) - 1)) + length - 1, -1)
+                np.add.at(gone, start + (packed & _COUNT) + length - 1, -1)
                 gone = np.cumsum(gone)[:-1] > 0
                 n_spans = int(gone[:1].sum() + (gone[1:] & ~gone[:-1]).sum())
                 kept = np.frombuffer(data, np.uint8)[~gone].tobytes()
@@ -249,7 +265,8 @@ def without_repeats(
 
     Every byte covered by a string of ``length`` bytes that also starts earlier (smaller
     id, or earlier in the same text) is removed; strings are judged on the input and never
-    cross texts. Null texts are empty. A row without id comes last. Rows of one id and text
+    cross texts. Null texts are empty. A row without id comes last
+    (as does an id of 2^63 - 1). Rows of one id and text
     are one document and get the same result; different texts of one id are ordered by a
     16-bit hash. Windows of hot anchors are compared by 128-bit digests, all others by their
     bytes.
@@ -258,7 +275,14 @@ def without_repeats(
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
     spans = repeated_spans(docs.select(number.alias("doc"), F.col(text).alias("text")), length)
     found = spans.groupBy("doc").agg(F.collect_list("place").alias(places)).withColumnRenamed("doc", key)
-    joined = docs.withColumn(key, number).join(found, key, "left")
+    if sorted(docs.columns) == sorted((doc_id, text)):  # then the texts are shuffled once for both joins
+        back = F.when(F.col("doc") != _LAST, F.col("doc")).cast(docs.schema[doc_id].dataType)
+        left = docs.select(number.alias("doc"), F.col(text).alias("text"))
+        joined = left.join(found.withColumnRenamed(key, "doc"), "doc", "left").select(
+            back.alias(doc_id), F.col("text").alias(text), places, F.lit(None).alias(key)
+        )
+    else:
+        joined = docs.withColumn(key, number).join(found, key, "left")
     boxed = joined.withColumn(box, remove_spans(F.col(text), F.col(places), length, as_text))
     fields = {f: F.col(f"{box}.{f}") for f in ("n_bytes", "n_removed", "n_spans", "kept")}
     return boxed.withColumns(fields).drop(key, places, box)
