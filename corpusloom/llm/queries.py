@@ -80,7 +80,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = with_rule_counts(documents(spark, sf_dir, "doc_id", "text", "source"))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     judged = apply_host_rules(checkpoint(counted.drop("text")))
-    return judged.select("doc_id", *counts, "base_failed", "kept", "host_rate")
+    return judged.select("doc_id", *counts, "base_failed", "kept", F.round("host_rate", 6).alias("host_rate"))
 
 
 QUERIES = {
@@ -96,4 +96,88 @@ QUERIES = {
     "op6_bpe_round_trip": op6_bpe_round_trip,
 }
 
-ORACLES: dict[str, str] = {}
+_WORDS = r"list_filter(regexp_split_to_array({text}, '[\x20\x09-\x0D]+'), lambda w: w <> '')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+
+_NEAR_SQL = f"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, {_WORDS.format(text=f"translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}')")} AS ws FROM documents),
+shingles AS (
+  SELECT doc_id, CASE WHEN len(ws) < 2 THEN [array_to_string(ws, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(ws)), lambda i: ws[i] || ' ' || ws[i + 1])) END AS sh FROM words WHERE len(ws) > 0),
+flat AS (SELECT doc_id, len(sh) AS n, unnest(sh) AS s FROM shingles),
+links AS (
+  SELECT a.doc_id AS u, b.doc_id AS v FROM flat a JOIN flat b ON a.s = b.s AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+reach AS (SELECT doc_id AS u, doc_id AS v FROM documents UNION SELECT r.u, l.v FROM reach r JOIN links l ON r.v = l.u)
+SELECT d.doc_id, coalesce(len(sh), 0)::BIGINT AS n_shingles, min(v) AS component_id, min(v) = d.doc_id AS kept
+FROM documents d LEFT JOIN shingles USING (doc_id) JOIN reach ON d.doc_id = u GROUP BY d.doc_id, sh
+"""
+
+_MIX_SQL = f"""
+WITH sized AS (SELECT doc_id, source, len({_WORDS.format(text="coalesce(text, '')")})::BIGINT AS size FROM documents),
+sources AS (SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM sized GROUP BY source),
+weighted AS (SELECT *, [3, 1, 2][place % 3 + 1] AS weight, 2.0::DOUBLE * source_size AS bound FROM sources),
+levels AS (
+  SELECT *, (1.5::DOUBLE * sum(source_size) OVER () - coalesce(sum(bound) OVER (o ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+    / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
+  FROM weighted WINDOW o AS (ORDER BY bound / weight, place)),
+targets AS (
+  SELECT source, source_size, least(bound, coalesce(weight * max(CASE WHEN level * weight <= bound THEN level END) OVER (), bound)) AS target FROM levels),
+placed AS (
+  SELECT s.*, t.source_size, t.target, floor(t.target)::BIGINT AS words,
+    sum(size) OVER (PARTITION BY s.source ORDER BY md5('mix:' || doc_id), size)::BIGINT - size AS start
+  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
+SELECT doc_id, size, source_size, target,
+  (CASE WHEN size = 0 THEN 0 ELSE words // source_size * size + greatest(least(words % source_size - start, size), 0) END)::BIGINT AS taken
+FROM placed
+"""
+
+_REPEATS_SQL = """
+WITH data AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, (length(h) / 2)::BIGINT AS n FROM documents),
+bytes AS (
+  SELECT doc_id, pos, substr(h, 2 * pos + 1, 2) AS byte, CASE WHEN pos + 100 <= n THEN md5(substr(h, 2 * pos + 1, 200)) END AS w
+  FROM (SELECT doc_id, h, n, unnest(range(0, n)) AS pos FROM data)),
+marked AS (
+  SELECT doc_id, pos, byte, w IS NOT NULL AND row_number() OVER (PARTITION BY w ORDER BY doc_id, pos) > 1 AS again FROM bytes),
+covered AS (
+  SELECT *, max(again::INT) OVER (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN 99 PRECEDING AND CURRENT ROW) = 1 AS gone FROM marked),
+edges AS (SELECT *, gone AND NOT coalesce(lag(gone) OVER (PARTITION BY doc_id ORDER BY pos), false) AS opens FROM covered),
+cut AS (
+  SELECT doc_id, count(*) FILTER (gone) AS removed, count(*) FILTER (opens) AS spans,
+    coalesce(string_agg(byte, '' ORDER BY pos) FILTER (NOT gone), '') AS kept FROM edges GROUP BY doc_id)
+SELECT doc_id, n AS n_bytes, coalesce(removed, 0) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(kept, ''))) AS kept_sha256
+FROM data LEFT JOIN cut USING (doc_id)
+"""
+
+_RULES_SQL = f"""
+WITH texts AS (SELECT doc_id, source, coalesce(text, '') AS t, {_WORDS.format(text="coalesce(text, '')")} AS ws FROM documents),
+windows AS (SELECT doc_id, i, ws[i:i + 4] AS w FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 3)) AS i FROM texts)),
+often AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, w) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM often, range(5) AS r(k) GROUP BY doc_id),
+counts AS (
+  SELECT doc_id, source, len(ws)::BIGINT AS n_words, length(array_to_string(ws, ''))::BIGINT AS word_chars,
+    (length(t) - length(translate(t, '#*$%&|<>', '')))::BIGINT AS n_symbols,
+    (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words
+  FROM (SELECT *, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines FROM texts)
+  LEFT JOIN covered USING (doc_id)),
+judged AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed FROM counts),
+hosts AS (SELECT source, count(*)::DOUBLE AS n, sum(base_failed::INT)::DOUBLE AS f FROM judged GROUP BY source),
+prior AS (
+  SELECT m, seen - chance AS excess FROM (
+    SELECT any_value(m) AS m, sum(n * (f / n - m) * (f / n - m)) / sum(n) AS seen, count(*) * any_value(m) * (1 - any_value(m)) / sum(n) AS chance
+    FROM hosts, (SELECT sum(f) / sum(n) AS m FROM hosts))),
+rated AS (
+  SELECT source, CASE WHEN excess > 0 THEN (f + greatest(m * (1 - m) / excess - 1, 1) * m) / (n + greatest(m * (1 - m) / excess - 1, 1)) ELSE m END AS rate
+  FROM hosts, prior)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND rate <= 0.5 AS kept, round(rate, 6) AS host_rate
+FROM judged j JOIN rated r ON j.source IS NOT DISTINCT FROM r.source
+"""
+
+# The other operators have no SQL twin: library tokenizers, models learnt here, Spark's hashes.
+ORACLES: dict[str, str] = {
+    "op3_near_duplicates": _NEAR_SQL,
+    "op5_mix_sources": _MIX_SQL,
+    "op9_suffix_dedup": _REPEATS_SQL,
+    "op10_quality_rules": _RULES_SQL,
+}
