@@ -10,7 +10,8 @@ At a likeness of 0.8 a pair misses all 32 bands of 4 registers with a chance of
 and the estimate rules it out (by five standard deviations) with one of 3e-7. Copies with
 equal words are grouped before, by digest. Inside a band bucket no set of all pairs is
 made: members meet one centre, then, as far as they are not yet connected, other
-centres, and at last just those of other components that share two bands with them.
+centres, and at last the few outside a bucket's largest component are compared with the
+bucket in blocks, which give links only.
 """
 
 from __future__ import annotations
@@ -31,7 +32,8 @@ from corpusloom.runtime import checkpoint
 REGISTERS, BANDS = 128, 32
 MANTISSA = 10  # bits of a register behind its leading zeros
 PERCENT = 80
-ROUNDS = 2  # of centres, before the remaining members are compared one by one
+ROUNDS = 2  # of centres, before the remaining members are compared in blocks
+BLOCK = 400  # documents of each side of a block
 _U = np.uint64
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 _REST_BITS = 64 - _BUCKET_BITS
@@ -181,19 +183,67 @@ class _Linker:
             pairs = pairs.join(one, key)
         return pairs
 
+    def sets(self, ids: DataFrame) -> DataFrame:
+        """The full sets of the representatives ``ids(rep)``, stored."""
+        wanted = checkpoint(ids.distinct())
+        if wanted.count() <= BROADCAST_ROWS:
+            wanted = F.broadcast(wanted)
+        texts = self.texts.join(wanted, "rep", "left_semi")
+        return checkpoint(texts.select("rep", full_sets(F.col("text"), self.words).alias("set")))
+
+    def links_to_components(self, asked: DataFrame, members: DataFrame) -> DataFrame:
+        """Links of the documents asked(label, rep) with members(label, rep) of the label, and among each other.
+
+        Both are dealt into blocks; each pair of blocks is compared by one task, and one link
+        with the members of a block stands for all, as these are connected already.
+        """
+        targets = members.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
+        counts = targets.groupBy("label").agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).filter("q > 0")
+        counts = counts.select("label", F.ceil(F.col("n") / BLOCK).alias("t_blocks"), F.ceil(F.col("q") / BLOCK).alias("q_blocks"))
+        sized = checkpoint(targets.join(counts, "label"))
+        sets = self.sets(sized.select("rep"))
+        own = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks))
+        every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
+        sides = sized.select("label", "rep", "asked", F.lit(False).alias("asks"), own("t_blocks").alias("t"), every("q_blocks").alias("q"))
+        asks = sized.filter("asked").select("label", "rep", "asked", F.lit(True).alias("asks"), every("t_blocks").alias("t"), own("q_blocks").alias("q"))
+        blocks = sides.unionByName(asks).join(sets, "rep")
+        found = blocks.groupBy("label", "t", "q").applyInArrow(_compare_blocks(self.percent), "u long, v long")
+        return checkpoint(found.distinct())
+
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) that are linked."""
         likely = self._both(pairs, self.groups, "registers", "n").filter(possible(self.percent)).select("u", "v")
         likely = checkpoint(likely)
-        wanted = likely.select(F.explode(F.array("u", "v")).alias("rep")).distinct()
-        wanted = checkpoint(wanted)
-        if wanted.count() <= BROADCAST_ROWS:
-            wanted = F.broadcast(wanted)
-        texts = self.texts.join(wanted, "rep", "left_semi")
-        sets = checkpoint(texts.select("rep", full_sets(F.col("text"), self.words).alias("set")))
+        sets = self.sets(likely.select(F.explode(F.array("u", "v")).alias("rep")))
         return checkpoint(self._both(likely, sets, "set").filter(verified(self.percent)).select("u", "v").distinct())
 
 
+def _compare_blocks(percent: int):
+    """Compare the rows of a block that ask with its other rows, by full sets."""
+
+    def compare(block: pa.Table) -> pa.Table:
+        rep, asks = block.column("rep").to_numpy(), block.column("asks").to_numpy(zero_copy_only=False)
+        asked = block.column("asked").to_numpy(zero_copy_only=False)
+        sets = [np.frombuffer(b, _U) for b in block.column("set").to_pylist()]
+        sizes = np.array([len(x) for x in sets], np.int64)
+        other = np.flatnonzero(~asks)
+        u, v = [], []
+        if len(other):
+            joined = np.concatenate([sets[i] for i in other])
+            starts = np.cumsum(sizes[other]) - sizes[other]
+            for i in np.flatnonzero(asks):
+                place = np.minimum(np.searchsorted(sets[i], joined), sizes[i] - 1)
+                shared = np.add.reduceat((sets[i][place] == joined).astype(np.int64), starts)
+                near = other[(100 * shared >= percent * (sizes[i] + sizes[other] - shared)) & (rep[other] != rep[i])]
+                member = near[~asked[near]]
+                for k in [*member[:1], *near[asked[near]]]:
+                    u.append(max(rep[i], rep[k]))
+                    v.append(min(rep[i], rep[k]))
+        return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
+
+    return compare
+
+
 def _mixed(rows: DataFrame, labels: DataFrame) -> DataFrame:
     """Rows (band, rep) with their component, of the buckets that still hold several components."""
     known = labels.select(F.col("u").alias("rep"), F.col("v").alias("label"))
@@ -243,18 +293,13 @@ def near_duplicates(
         labels = components(links if labels is None else links.unionByName(labels))
 
     rest = checkpoint(_mixed(rows, labels))
-    if rest.take(1):
-        # The largest component of a bucket need not meet itself; each other member meets the other components.
+    if not rest.isEmpty():
+        # In each bucket the documents outside its largest component ask for links with it and each other.
         sizes = rest.groupBy("band", "label").agg(F.count("*").alias("members"))
         main = sizes.groupBy("band").agg(F.max(F.struct("members", "label"))["label"].alias("main"))
-        others = rest.join(main, "band").filter("label != main").select("band", F.col("rep").alias("x"), F.col("label").alias("x_label"))
-        met = others.join(sizes.select("band", "label"), "band").filter("label != x_label")
-        twice = met.groupBy("x", "label").agg(F.count("*").alias("bands")).filter("bands > 1").select("x", F.col("label").alias("wanted"))
-        asked = others.join(twice, "x")
-        pairs = asked.join(rest, (asked["band"] == rest["band"]) & (F.col("wanted") == F.col("label"))).select("x", "rep")
-        pairs = pairs.select(F.greatest("x", "rep").alias("u"), F.least("x", "rep").alias("v"))
-        pairs = pairs.groupBy("u", "v").agg(F.count("*").alias("bands")).filter("bands > 1").select("u", "v")
-        labels = components(linker.links(pairs).unionByName(labels))
+        asked = rest.join(main, "band").filter("label != main").select(F.col("main").alias("label"), "rep").distinct()
+        members = rest.select("label", "rep").distinct()
+        labels = components(linker.links_to_components(asked, members).unionByName(labels))
 
     known = labels.select(F.col("u").alias("rep"), F.col("v").alias("component_id"))
     by_copy = groups.join(known, "rep", "left").select("copy", F.coalesce("component_id", "rep").alias("component_id"))
