@@ -62,12 +62,6 @@ class Words:
         """Place of each key, and whether it is there."""
         return _find(self.keys, keys)
 
-    def symbols_of(self, keys: np.ndarray) -> np.ndarray:
-        """The symbols of a text, its end included."""
-        place, met = self.find(keys)
-        own = np.where(met, self.symbols[place], -1) if len(self.keys) else np.full(len(keys), -1)
-        return np.append(np.where(own >= 0, own, keys & (CLASSES - 1)), _END)
-
 
 def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if not len(table):
@@ -112,8 +106,8 @@ class SuffixTree:
         return self.ratio(history, np.arange(len(symbols)), symbols)
 
 
-def counted(learn: Column, text: Column, keys_of: Callable[[list[bytes]], np.ndarray]) -> Column:
-    """Counts of the keys that ``keys_of`` gives for the words of the rows to learn from.
+def counted(learn: Column, values: Column, keys_of: Callable[[object], np.ndarray]) -> Column:
+    """Counts of the keys that ``keys_of`` gives for the values of the rows to learn from.
 
     A worker counts many rows at once; the counts stand on the last row of each flush.
     """
@@ -121,13 +115,13 @@ def counted(learn: Column, text: Column, keys_of: Callable[[list[bytes]], np.nda
     @F.arrow_udf("array<struct<key:long,n:long>>")
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         fields = [pa.field("key", pa.int64()), pa.field("n", pa.int64())]
-        for learns, texts in batches:
-            flushed, sizes, parts, held = [], np.zeros(len(texts), np.int64), [], 0
-            for i, (wanted, value) in enumerate(zip(learns, texts)):
+        for learns, column in batches:
+            flushed, sizes, parts, held = [], np.zeros(len(column), np.int64), [], 0
+            for i, (wanted, value) in enumerate(zip(learns, column)):
                 if wanted.as_py():
-                    parts.append(keys_of(lower_words(value.as_py() or "")))
+                    parts.append(keys_of(value.as_py()))
                     held += len(parts[-1])
-                if parts and (held >= FLUSH or i == len(texts) - 1):
+                if parts and (held >= FLUSH or i == len(column) - 1):
                     flushed.append(np.unique(np.concatenate(parts), return_counts=True))
                     sizes[i] = len(flushed[-1][0])
                     parts, held = [], 0
@@ -135,11 +129,11 @@ def counted(learn: Column, text: Column, keys_of: Callable[[list[bytes]], np.nda
             items = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), items)
 
-    return count(learn, text)
+    return count(learn, values)
 
 
-def _sums(plain: DataFrame, keys_of) -> DataFrame:
-    parts = plain.select(F.explode(counted(F.col("learn"), F.col("text"), keys_of)).alias("c")).select("c.*")
+def _sums(rows: DataFrame, column: str, keys_of) -> DataFrame:
+    parts = rows.select(F.explode(counted(F.col("learn"), F.col(column), keys_of)).alias("c")).select("c.*")
     return parts.groupBy("key").agg(F.sum("n").alias("n"))
 
 
@@ -150,7 +144,7 @@ def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
 
 def learn_words(plain: DataFrame) -> tuple[DataFrame, Words, np.ndarray]:
     """The stored vocabulary (key, n), its frequent part, and the add-one chance of each symbol."""
-    vocabulary = checkpoint(_sums(plain, word_keys))
+    vocabulary = checkpoint(_sums(plain, "text", lambda text: word_keys(lower_words(text or ""))))
     ends = plain.filter("learn").count()
     distinct, running = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     total = int(running) + ends
@@ -172,20 +166,19 @@ def learn_words(plain: DataFrame) -> tuple[DataFrame, Words, np.ndarray]:
     return vocabulary, words, mass / (total + words.distinct + 1)
 
 
-def grow_tree(plain: DataFrame, words: Words, root: np.ndarray) -> SuffixTree:
+def grow_tree(rows: DataFrame, words: Words, root: np.ndarray) -> SuffixTree:
     """Grow the tree length by length; each pass counts behind the frequent contexts of its length.
 
     Contexts of at least CONTEXT_SHARE and symbols of at least PAIR_SHARE come to the driver,
     so at most 1/PAIR_SHARE numbers whatever the size of the corpus; the sums cover all of it.
     """
-    spark = plain.sparkSession.sparkContext
-    shared, tree = spark.broadcast(words), SuffixTree([], [], [], [], root)
+    spark, tree = rows.sparkSession.sparkContext, SuffixTree([], [], [], [], root)
     frequent = np.empty(0, np.int64)
     for d in range(1, DEPTH + 1):
         wanted = spark.broadcast(frequent)
 
-        def strings(text_words, d=d, wanted=wanted):
-            symbols = shared.value.symbols_of(word_keys(text_words)).astype(np.int64)
+        def strings(coded, d=d, wanted=wanted):
+            symbols = np.frombuffer(coded, np.int16).astype(np.int64)
             if len(symbols) <= d:
                 return np.empty(0, np.int64)
             context = np.zeros(len(symbols) - d, np.int64)
@@ -196,7 +189,7 @@ def grow_tree(plain: DataFrame, words: Words, root: np.ndarray) -> SuffixTree:
                 return (context << _BITS | symbols[d:])[keep]
             return context << _BITS | symbols[d:]
 
-        pairs, counts = _columns(_sums(plain, strings).filter(F.col("n") >= max(words.total * PAIR_SHARE, 1)), "key", "n")
+        pairs, counts = _columns(_sums(rows, "symbols", strings).filter(F.col("n") >= max(words.total * PAIR_SHARE, 1)), "key", "n")
         order = np.argsort(pairs)
         pairs, counts = pairs[order], counts[order]
         context, first = np.unique(pairs >> _BITS, return_index=True)
@@ -222,12 +215,12 @@ def grow_tree(plain: DataFrame, words: Words, root: np.ndarray) -> SuffixTree:
     return tree
 
 
-def scored(text: Column, tree: Broadcast, shared: Broadcast) -> Column:
-    """Struct of ``n_tokens``, ``known`` and ``base`` over frequent words and the end, ``gain`` of the states, ``rare`` keys."""
-    fields = [pa.field(n, pa.int64()) for n in ("n_tokens", "known")] + [pa.field(n, pa.float64()) for n in ("base", "gain")]
+def encoded(text: Column, shared: Broadcast) -> Column:
+    """Struct of ``n_tokens``, ``known`` and ``base`` over frequent words and the end, ``rare`` keys, ``symbols``."""
+    fields = [pa.field(n, pa.int64()) for n in ("n_tokens", "known")] + [pa.field("base", pa.float64()), pa.field("symbols", pa.binary())]
 
-    @F.arrow_udf("n_tokens long, known long, base double, gain double, rare array<long>")
-    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    @F.arrow_udf("n_tokens long, known long, base double, symbols binary, rare array<long>")
+    def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words: Words = shared.value
         base = np.log10(words.total + words.distinct + 1)
         for texts in batches:
@@ -236,9 +229,10 @@ def scored(text: Column, tree: Broadcast, shared: Broadcast) -> Column:
                 keys = word_keys(lower_words(value.as_py() or ""))
                 place, met = words.find(keys)
                 counts = np.append(words.counts[place[met]] if met.any() else np.empty(0), words.ends)
-                gain = np.log10(tree.value.gain(words.symbols_of(keys))).sum()
                 sums = np.log10(counts + 1).sum() - base * len(counts)
-                out.append((len(keys) + 1, int(met.sum()) + (words.ends > 0), float(sums), float(gain)))
+                own = np.where(met, words.symbols[place], -1) if len(words.keys) else np.full(len(keys), -1)
+                symbols = np.append(np.where(own >= 0, own, keys & (CLASSES - 1)), _END).astype(np.int16)
+                out.append((len(keys) + 1, int(met.sum()) + (words.ends > 0), float(sums), symbols.tobytes()))
                 rare.append(keys[~met])
             columns = list(zip(*out)) or [()] * 4
             offsets = np.concatenate(([0], np.cumsum([len(r) for r in rare]))).astype(np.int32)
@@ -246,7 +240,19 @@ def scored(text: Column, tree: Broadcast, shared: Broadcast) -> Column:
             arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)] + [lists]
             yield pa.StructArray.from_arrays(arrays, fields=[*fields, pa.field("rare", lists.type)])
 
-    return score(text)
+    return encode(text)
+
+
+def gained(symbols: Column, tree: Broadcast) -> Column:
+    """What the states of the tree add to the log10 chance of a text, from its symbols."""
+
+    @F.arrow_udf("double")
+    def gain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            coded = [np.frombuffer(b, np.int16).astype(np.int64) for b in batch.to_pylist()]
+            yield pa.array([float(np.log10(tree.value.gain(c)).sum()) for c in coded], pa.float64())
+
+    return gain(symbols)
 
 
 def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,11 +271,10 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     learns = F.coalesce(learn, F.lit(False))
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learns.alias("learn"))
     vocabulary, words, root = learn_words(plain)
-    tree = grow_tree(plain, words, root)
-
-    result = scored(F.col("text"), context.broadcast(tree), context.broadcast(words))
-    rows = plain.select("doc_id", "learn", F.monotonically_increasing_id().alias("row"), result.alias("s"))
-    rows = checkpoint(rows.select("doc_id", "learn", "row", "s.*"))
+    coded = encoded(F.col("text"), context.broadcast(words))
+    rows = plain.select("doc_id", "learn", F.monotonically_increasing_id().alias("row"), coded.alias("s"))
+    rows = checkpoint(rows.select("doc_id", "learn", "row", "s.*"))  # two bytes a token
+    tree = context.broadcast(grow_tree(rows, words, root))
     base = float(np.log10(words.total + words.distinct + 1))
     rest = vocabulary.filter(F.col("n") < words.total * KNOWN_SHARE).select(F.col("key").alias("rare_key"), "n")
     met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
@@ -277,7 +282,8 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
         F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - base).alias("more_base")
     )
     zero, base_score = F.lit(0), F.col("base") + F.coalesce("more_base", F.lit(0.0))
-    return rows.join(added, "row", "left").select(
+    plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", gained(F.col("symbols"), tree).alias("gain"))
+    return plain.join(added, "row", "left").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
         "n_tokens",
