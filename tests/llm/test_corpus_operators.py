@@ -121,6 +121,22 @@ def test_near_duplicates(spark, size):
     assert {r.doc_id for r in left.collect()} == {i for i in rows if want[i] == i}
 
 
+def test_near_duplicates_of_a_loose_group_in_small_blocks(spark, monkeypatch):
+    """Edited copies of one text, some near enough to a few others only."""
+    import corpusloom.llm.near_dedup as near_dedup
+
+    monkeypatch.setattr(near_dedup, "BLOCK", 7)
+    monkeypatch.setattr(near_dedup, "ROUNDS", 1)
+    rng = random.Random(12)
+    base = " ".join(f"w{rng.randint(0, 400)}" for _ in range(80))
+    rows = dict(enumerate(copies(rng, base, 40, 0.04) + copies(rng, base, 40, 0.07) + copies(rng, base, 20, 0.12)))
+    want = brute.near_components(rows, 2)
+    assert 1 < len(set(want.values())) < 60
+    docs = spark.createDataFrame(list(rows.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_duplicates(docs, words=2).collect()}
+    assert got == want
+
+
 def test_near_duplicates_on_odd_tables(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(None, long), (None, "other"), (3, long), (3, long), (5, long + " end"), (5, "quite different words in this text"), (9, "quite different words in this text")]
