@@ -1,17 +1,20 @@
 """A probabilistic suffix tree over words, and scores of texts by it.
 
-The symbols of the tree are the frequent words, the end of a text, and classes of all
-other words by their first two bytes. A context of one or two symbols is kept if it is
-frequent enough and its next-symbol distribution diverges from that of the context without
-its first symbol. Distributions are smoothed with the next shorter one, down to the add-one
-chances of words. A token is scored in the state of the longest kept context before it:
+The symbols of the tree are the words seen SYMBOL_COUNT times, the end of a text, and classes
+of all other words by their first two bytes. A context of one or two symbols is kept if it is
+followed CONTEXT_COUNT times and its next-symbol distribution diverges from that of the context
+without its first symbol. Distributions are smoothed with the next shorter one, down to the
+add-one chances of words. A token is scored in the state of the longest kept context before it:
 its symbol's chance there, times its share of the symbol in the whole corpus.
+
+All thresholds are counts, so words, contexts and pairs grow with the corpus. They are stored
+tables: the most frequent rows are broadcast, texts meet the others in a shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -20,20 +23,27 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import lower_words, word_hashes
-from corpusloom.runtime import checkpoint
+from corpusloom.operators.ranking import with_position
+from corpusloom.runtime import attach_by_key, checkpoint, scratch_path
 
 DEPTH = 2  # symbols of a context
-SYMBOL_SHARE = 1 / 3000  # of all tokens that a word needs to be a symbol
-CONTEXT_SHARE = 1 / 20_000  # of all tokens that a context must be followed by
-PAIR_SHARE = 1 / 2_000_000  # of all tokens that a symbol needs behind a context
-DIVERGENCE = 1e-6  # share times divergence, in nats, that keeps a context
+SYMBOL_COUNT = 100  # times that a word of its own symbol is seen
+CONTEXT_COUNT = 100  # times that a context is followed by anything
+PAIR_COUNT = 3  # times that a symbol is seen behind a context; rarer ones leave their mass to the shorter context
+GAIN = 20.0  # count times divergence, in nats, that keeps a context
 STRENGTH = 20.0  # tokens' worth of the shorter context in each distribution
 KNOWN_SHARE = 1 / 2_000_000  # of all tokens that a word's count needs to be broadcast
+HEAD_ROWS = 2_000_000  # of the tree that are broadcast, at most
+LOOKUP_ROWS = 1_000_000  # of a table joined by broadcast, at most
 CLASSES = 512
-_BITS = 12  # of a symbol: classes, the end and at most 3000 words
+_BITS = 21  # of a symbol in the broadcast part
+_WIDE = 31  # of a symbol in the stored tables
+_LOW, _LONG = (1 << _WIDE) - 1, 1 << 2 * _WIDE  # the last symbol of a context; mark of two symbols
 _END = CLASSES
 FLUSH = 4_000_000  # tokens counted at once by a worker
 _U = np.uint64
+_WORD = ("key", "n")
+_PAIR = ("context", "symbol", "n")
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -72,151 +82,294 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 @dataclass
 class SuffixTree:
-    """Kept contexts of each length with their sums, the counts of symbols behind them, and root chances."""
+    """Kept contexts of each length with their sums, the counts of symbols behind them, and root chances.
+
+    ``left`` is the part of each sum whose symbols have no count here, for the shorter context.
+    """
 
     contexts: list[np.ndarray]
     sums: list[np.ndarray]
     pairs: list[np.ndarray]
     counts: list[np.ndarray]
     root: np.ndarray
+    left: list[np.ndarray] = field(default_factory=list)
+    whole: bool = True  # no row of the tree is elsewhere
+    all_contexts: bool = True
 
-    def ratio(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray) -> np.ndarray:
+    def ratio(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray, rest: Rest | None = None) -> np.ndarray:
         """Chances of symbols in their states, as multiples of their root chances.
 
         ``history`` packs the symbols before each, the last lowest; ``known`` says how many.
+        ``rest`` has what a text needs of the rows of the tree that are not here.
         """
         ratio = np.ones(len(symbols))
-        for d, contexts in enumerate(self.contexts, 1):
-            context = history & ((1 << _BITS * d) - 1)
-            place, kept = _find(contexts, context)
-            kept &= known >= d
-            if kept.any():
-                symbol = symbols[kept]
-                at, seen = _find(self.pairs[d - 1], context[kept] << _BITS | symbol)
-                counts = np.where(seen, self.counts[d - 1][at], 0)
-                sums = self.sums[d - 1][place[kept]]
-                ratio[kept] = (counts / self.root[symbol] + STRENGTH * ratio[kept]) / (sums + STRENGTH)
+        for d in range(1, len(self.contexts) + 1):
+            place, kept, at, seen = self._find(history, known, symbols, d)
+            sums, left, share = np.zeros(len(symbols)), np.zeros(len(symbols)), np.zeros(len(symbols))
+            sums[kept] = self.sums[d - 1][place[kept]]
+            if self.left:
+                left[kept] = self.left[d - 1][place[kept]]
+            share[seen] = self.counts[d - 1][at[seen]] / self.root[symbols[seen]]
+            if rest is not None:
+                rest.fill(d, kept, sums, left, share)
+            ratio = np.where(kept, (share + (STRENGTH + left) * ratio) / (sums + STRENGTH), ratio)
         return ratio
 
-    def gain(self, symbols: np.ndarray) -> np.ndarray:
-        """The ratio of each symbol of a text."""
-        history = np.zeros(len(symbols), np.int64)
+    def _find(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
+        """Places of contexts and of symbols behind them, and whether they are here."""
+        context = history & ((1 << _BITS * d) - 1)
+        place, kept = _find(self.contexts[d - 1], context)
+        kept &= known >= d
+        at, seen = np.zeros(len(symbols), np.int64), kept & (symbols < 1 << _BITS)
+        asked = np.flatnonzero(seen)
+        at[asked], seen[asked] = _find(self.pairs[d - 1], context[asked] << _BITS | symbols[asked])
+        return place, kept, at, seen
+
+    def _packed(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Packed symbols before each of a text, and how many of the nearest ones can be here."""
+        history, known = np.zeros(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
+        fits = symbols < 1 << _BITS
         for d in range(1, DEPTH + 1):
-            history[d:] |= symbols[: max(len(symbols) - d, 0)].astype(np.int64) << (_BITS * (d - 1))
-        return self.ratio(history, np.arange(len(symbols)), symbols)
+            history[d:] |= (symbols[:-d] & ((1 << _BITS) - 1)) << (_BITS * (d - 1))
+            known[d:] += (known[d:] == d - 1) & fits[:-d]
+        return history, known
+
+    def missed(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Distinct contexts and symbols, -1 for the context's own row, that a text needs from elsewhere."""
+        history, known = self._packed(symbols)
+        contexts, after = [], []
+        for d in range(1, min(DEPTH, len(symbols) - 1) + 1):
+            _, kept, _, seen = self._find(history, known, symbols, d)
+            unmet, wide = ~kept[d:], _context(symbols, d)
+            pair = ~seen[d:] & (kept[d:] | (not self.all_contexts))
+            table, place = np.unique(wide[pair], return_inverse=True)
+            keys = np.unique(place << _WIDE | symbols[d:][pair])
+            contexts.append(table[keys >> _WIDE])
+            after.append(keys & _LOW)
+            if not self.all_contexts:
+                contexts.append(np.unique(wide[unmet]))
+                after.append(np.full(len(contexts[-1]), -1))
+        return np.concatenate(contexts or [np.empty(0, np.int64)]), np.concatenate(after or [np.empty(0, np.int64)])
+
+    def gain(self, symbols: np.ndarray, rest: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
+        """The ratio of each symbol of a text; ``rest`` has context, symbol, x and y of rows from elsewhere."""
+        history, known = self._packed(symbols)
+        return self.ratio(history, known, symbols, None if rest is None else Rest(symbols, *rest))
 
 
-def counted(learn: Column, values: Column, keys_of: Callable[[object], np.ndarray]) -> Column:
-    """Counts of the keys that ``keys_of`` gives for the values of the rows to learn from.
+@dataclass
+class Rest:
+    """Rows of the tree that a text needs and that are not broadcast."""
 
-    A worker counts many rows at once; the counts stand on the last row of each flush.
+    symbols: np.ndarray
+    context: np.ndarray
+    symbol: np.ndarray
+    x: np.ndarray
+    y: np.ndarray
+
+    def fill(self, d: int, kept: np.ndarray, sums: np.ndarray, left: np.ndarray, share: np.ndarray) -> None:
+        """Put in what is here for contexts of ``d`` symbols."""
+        if len(self.symbols) <= d:
+            return
+        wide = _context(self.symbols, d)
+        state, after = self.symbol < 0, self.symbol >= 0
+        order = np.argsort(self.context[state])
+        place, met = _find(self.context[state][order], wide)
+        to = np.flatnonzero(met) + d
+        kept[to] = True
+        sums[to], left[to] = self.x[state][order][place[met]], self.y[state][order][place[met]]
+        table = np.unique(self.context[after])
+        keys = np.searchsorted(table, self.context[after]) << _WIDE | self.symbol[after]
+        order = np.argsort(keys)
+        place, met = _find(table, wide)
+        at, seen = _find(keys[order], place << _WIDE | self.symbols[d:])
+        seen &= met
+        share[np.flatnonzero(seen) + d] = self.x[after][order][at[seen]]
+
+
+def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Callable, counts_of: Callable) -> Column:
+    """Counts of what the values of the rows to learn from hold.
+
+    ``part_of`` makes an array of a value, ``counts_of`` columns of counts of many arrays: a
+    worker counts many rows at once; the counts stand on the last row of each flush.
     """
 
-    @F.arrow_udf("array<struct<key:long,n:long>>")
+    @F.arrow_udf(f"array<struct<{','.join(f'{n}:long' for n in names)}>>")
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        fields = [pa.field("key", pa.int64()), pa.field("n", pa.int64())]
+        fields = [pa.field(n, pa.int64()) for n in names]
         for learns, column in batches:
             flushed, sizes, parts, held = [], np.zeros(len(column), np.int64), [], 0
             for i, (wanted, value) in enumerate(zip(learns, column)):
                 if wanted.as_py():
-                    parts.append(keys_of(value.as_py()))
+                    parts.append(part_of(value.as_py()))
                     held += len(parts[-1])
                 if parts and (held >= FLUSH or i == len(column) - 1):
-                    flushed.append(np.unique(np.concatenate(parts), return_counts=True))
+                    flushed.append(counts_of(parts))
                     sizes[i] = len(flushed[-1][0])
                     parts, held = [], 0
-            columns = [np.concatenate(c) for c in zip(*flushed)] if flushed else [np.empty(0)] * 2
+            columns = [np.concatenate(c) for c in zip(*flushed)] if flushed else [np.empty(0)] * len(names)
             items = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), items)
 
     return count(learn, values)
 
 
-def _sums(rows: DataFrame, column: str, keys_of) -> DataFrame:
-    parts = rows.select(F.explode(counted(F.col("learn"), F.col(column), keys_of)).alias("c")).select("c.*")
-    return parts.groupBy("key").agg(F.sum("n").alias("n"))
-
-
 def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
     table = df.toArrow()
     return [table.column(n).to_numpy().astype(np.int64) for n in names]
 
 
-def learn_words(plain: DataFrame) -> tuple[DataFrame, Words, np.ndarray]:
-    """The stored vocabulary (key, n), its frequent part, and the add-one chance of each symbol."""
-    vocabulary = checkpoint(_sums(plain, "text", lambda text: word_keys(lower_words(text or ""))))
+def _stored(df: DataFrame) -> DataFrame:
+    """The rows, written once to the shared folder as compressed columns."""
+    path = scratch_path(df.sparkSession, "tree")
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _attach(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """Join a stored lookup of one row per key: broadcast if it is small, else shuffled with salts."""
+    if lookup.count() <= LOOKUP_ROWS:
+        return rows.join(F.broadcast(lookup), key, how)
+    return attach_by_key(rows, lookup, key, how)
+
+
+def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words, np.ndarray]:
+    """The stored vocabulary (key, n) and symbols (symbol, n, root, key), the frequent words, and root chances of their symbols.
+
+    Symbols of words follow the end in order of count, so the frequent words have the first ones.
+    """
+    spark = plain.sparkSession
+    keys_of, counts_of = lambda text: word_keys(lower_words(text or "")), lambda parts: np.unique(np.concatenate(parts), return_counts=True)
+    counts = plain.select(F.explode(counted(F.col("learn"), F.col("text"), _WORD, keys_of, counts_of)).alias("c")).select("c.*")
+    vocabulary = checkpoint(counts.groupBy("key").agg(F.sum("n").alias("n")))
     ends = plain.filter("learn").count()
     distinct, running = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
-    total = int(running) + ends
+    total, distinct = int(running) + ends, int(distinct) + (ends > 0)
+    base = total + distinct + 1
+    own = vocabulary.filter(F.col("n") >= SYMBOL_COUNT)
+    own = with_position(own, F.col("n").desc(), F.col("key"), name="place")
+    own = checkpoint(own.select((F.col("place") + _END + 1).alias("symbol"), "n", ((F.col("n") + 1) / base).alias("root"), "key"))
     # at most 1/KNOWN_SHARE words come to the driver
-    keys, counts = _columns(vocabulary.filter(F.col("n") >= total * KNOWN_SHARE), "key", "n")
+    often = F.col("n") >= total * KNOWN_SHARE
+    keys, counts = _columns(vocabulary.filter(often), "key", "n")
     order = np.argsort(keys)
-    keys, counts = keys[order], counts[order]
-    own = counts >= total * SYMBOL_SHARE
-    symbols = np.where(own, _END + np.cumsum(own), -1)
-    words = Words(keys, counts, symbols, total, int(distinct) + (ends > 0), ends)
-    mass = np.zeros(_END + 1 + int(own.sum()))
-    of_class = vocabulary.groupBy(F.col("key").bitwiseAND(F.lit(CLASSES - 1)).alias("kind"))  # at most CLASSES rows
+    words = Words(keys[order], counts[order], np.full(len(keys), -1), total, distinct, ends)
+    keys, symbols, counts = _columns(own.filter(often), "key", "symbol", "n")
+    words.symbols[words.find(keys)[0]] = symbols
+    root = np.zeros(_END + 1 + len(symbols))
+    root[symbols] = (counts + 1) / base
+    of_class = vocabulary.filter(F.col("n") < SYMBOL_COUNT).groupBy(F.col("key").bitwiseAND(F.lit(CLASSES - 1)).alias("kind"))  # at most CLASSES rows
     kind, n, types = _columns(of_class.agg(F.sum("n").alias("n"), F.count("*").alias("types")), "kind", "n", "types")
-    mass[kind] = n + types
-    np.subtract.at(mass, keys[own] & (CLASSES - 1), counts[own] + 1)
-    mass[:CLASSES] += 1  # words never met
-    mass[_END] = ends + 1
-    mass[symbols[own]] = counts[own] + 1
-    return vocabulary, words, mass / (total + words.distinct + 1)
+    root[kind] = n + types
+    root[:CLASSES] += 1  # words never met
+    root[_END] = ends + 1
+    root[: _END + 1] /= base
+    classes = spark.createDataFrame([(i, 0, float(root[i]), None) for i in range(_END + 1)], own.schema)
+    return vocabulary, own.unionByName(classes), words, root
 
 
-def grow_tree(rows: DataFrame, words: Words, root: np.ndarray) -> SuffixTree:
-    """Grow the tree length by length; each pass counts behind the frequent contexts of its length.
+def _context(symbols: np.ndarray, d: int) -> np.ndarray:
+    """Number of the context of ``d`` symbols before each symbol of a text from the d-th on."""
+    if d == 1:
+        return symbols[:-1]
+    return _LONG | symbols[:-2] << _WIDE | symbols[1:-1]
 
-    Contexts of at least CONTEXT_SHARE and symbols of at least PAIR_SHARE come to the driver,
-    so at most 1/PAIR_SHARE numbers whatever the size of the corpus; the sums cover all of it.
+
+def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+    """Stored rows (context, symbol, n, x, y) of kept contexts and what follows them.
+
+    The row of a context has symbol -1, its count as n and x, and as y the mass of symbols
+    seen there fewer than PAIR_COUNT times, which goes to the shorter context. A symbol's row
+    has its count as n, and the count over its root chance as x. Sums are taken over all
+    symbols. All counts are made and joined in Spark, of whatever number they are.
     """
-    spark, tree = rows.sparkSession.sparkContext, SuffixTree([], [], [], [], root)
-    frequent = np.empty(0, np.int64)
+    spark, model = rows.sparkSession, None
+    chances, wanted = symbols.select("symbol", "root"), None
     for d in range(1, DEPTH + 1):
-        wanted = spark.broadcast(frequent)
-
-        def strings(coded, d=d, wanted=wanted):
-            symbols = np.frombuffer(coded, np.int16).astype(np.int64)
-            if len(symbols) <= d:
-                return np.empty(0, np.int64)
-            context = np.zeros(len(symbols) - d, np.int64)
-            for k in range(d):
-                context = context << _BITS | symbols[k : k + len(context)]
-            if d > 1:
-                keep = _find(wanted.value, context)[1]
-                return (context << _BITS | symbols[d:])[keep]
-            return context << _BITS | symbols[d:]
-
-        pairs, counts = _columns(_sums(rows, "symbols", strings).filter(F.col("n") >= max(words.total * PAIR_SHARE, 1)), "key", "n")
-        order = np.argsort(pairs)
-        pairs, counts = pairs[order], counts[order]
-        context, first = np.unique(pairs >> _BITS, return_index=True)
-        sums = np.add.reduceat(counts, first) if len(first) else np.empty(0, np.int64)
-        often = sums >= words.total * CONTEXT_SHARE
-        share = np.repeat(sums, np.diff(np.append(first, len(pairs)))) if len(first) else sums
-        symbol = pairs & ((1 << _BITS) - 1)
-        # in the state of the context without its first symbol
-        shorter = root[symbol] * tree.ratio(pairs >> _BITS, np.full(len(pairs), d - 1), symbol)
-        mixed = (counts + STRENGTH * shorter) / (share + STRENGTH)
-        terms = mixed * np.log(mixed / shorter)
-        divergence = np.add.reduceat(terms, first) if len(first) else np.empty(0)
-        kept = often & (sums / max(words.total, 1) * divergence >= DIVERGENCE)
-        inside = np.repeat(kept, np.diff(np.append(first, len(pairs)))) if len(first) else np.empty(0, bool)
-        tree.contexts.append(context[kept])
-        tree.sums.append(sums[kept])
-        tree.pairs.append(pairs[inside])
-        tree.counts.append(counts[inside])
-        # a longer context can be frequent only if what follows this one is
-        frequent = pairs[counts >= words.total * CONTEXT_SHARE]
-        if not len(frequent):
-            break
-    return tree
-
 
-def encoded(text: Column, shared: Broadcast) -> Column:
-    """Struct of ``n_tokens``, ``known`` and ``base`` over frequent words and the end, ``rare`` keys, ``symbols``."""
+        def strings(values, d=d, wanted=wanted):
+            coded = [c.astype(np.int64) for c in values if len(c) > d]
+            context = np.concatenate([_context(c, d) for c in coded] or [np.empty(0, np.int64)])
+            symbol = np.concatenate([c[d:] for c in coded] or [np.empty(0, np.int64)])
+            if d == 1:
+                keys, n = np.unique(context << _WIDE | symbol, return_counts=True)
+                return keys >> _WIDE, keys & _LOW, n
+            table = np.unique(context) if wanted is None else wanted.value
+            place, keep = _find(table, context)
+            keys, n = np.unique((place << _WIDE | symbol)[keep], return_counts=True)
+            return table[keys >> _WIDE], keys & _LOW, n
+
+        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PAIR, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
+        pairs = _stored(counts.groupBy("context", "symbol").agg(F.sum("n").alias("n")))
+        sums = checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= CONTEXT_COUNT))
+        often = _attach(_attach(pairs, sums, "context"), chances, "symbol")
+        ratio, seen = F.lit(1.0), F.col("n") >= PAIR_COUNT
+        if d > 1:
+            # in the state of the context without its first symbol
+            last = F.col("context").bitwiseAND(F.lit(_LOW)).alias("last")
+            states = model.filter("symbol < 0").select(F.col("context").alias("last"), F.col("x").alias("sx"), F.col("y").alias("sy"))
+            after = model.filter("symbol >= 0").select(F.col("context").alias("last"), "symbol", F.col("x").alias("px"))
+            often = _attach(often.select("*", last), states, "last", "left").join(after, ["last", "symbol"], "left")
+            there = (F.coalesce("px", F.lit(0.0)) + F.col("sy") + STRENGTH) / (F.col("sx") + STRENGTH)
+            ratio = F.when(F.col("sx").isNotNull(), there).otherwise(F.lit(1.0))
+        shorter = F.col("root") * ratio
+        mixed = (F.col("n") + STRENGTH * shorter) / (F.col("total") + STRENGTH)
+        judged = often.withColumn("term", mixed * F.log(mixed / shorter)).groupBy("context", "total")
+        judged = judged.agg(F.sum("term").alias("divergence"), F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0)).alias("given"))
+        kept = checkpoint(judged.filter(F.col("total") * F.col("divergence") >= GAIN))
+        held = _attach(_attach(pairs.filter(seen), kept.select("context"), "context"), chances, "symbol")
+        value = F.col("total").cast("double")
+        grown = kept.select("context", F.lit(-1).cast("long").alias("symbol"), F.col("total").alias("n"), value.alias("x"), (value - F.col("given")).alias("y"))
+        grown = _stored(grown.unionByName(held.select("context", "symbol", "n", (F.col("n") / F.col("root")).alias("x"), F.lit(0.0).alias("y"))))
+        model = grown if model is None else model.unionByName(grown)
+        if d < DEPTH:
+            # a longer context is frequent only if what follows this one is
+            long = pairs.filter((F.col("n") >= CONTEXT_COUNT) & (F.col("symbol") != _END)).select(
+                F.shiftleft("context", _WIDE).bitwiseOR(F.col("symbol")).bitwiseOR(F.lit(_LONG)).alias("context")
+            )
+            wanted = spark.sparkContext.broadcast(np.sort(_columns(long, "context")[0])) if long.count() <= HEAD_ROWS else None
+    return model
+
+
+def head_of(model: DataFrame, root: np.ndarray) -> tuple[SuffixTree, DataFrame]:
+    """The most frequent rows of the tree, at most HEAD_ROWS, for a broadcast; and the other rows."""
+    small = (F.col("symbol") < min(len(root), 1 << _BITS)) & (F.col("context").bitwiseAND(F.lit(_LOW)) < 1 << _BITS)
+    small &= F.shiftright(F.col("context").bitwiseAND(F.lit(_LONG - 1)), _WIDE) < 1 << _BITS
+    power = F.floor(F.log2("n") * 8)
+    sizes = sorted(model.filter(small).groupBy(power.alias("power")).count().collect(), reverse=True)  # a few hundred rows
+    least, held = 1 << 20, 0
+    for power_of, count in sizes:
+        held += count
+        if held > HEAD_ROWS:
+            break
+        least = power_of
+    first = small & (power >= least)
+    table = model.filter(first).select("context", "symbol", "n", "y").toArrow()
+    context, symbol, n, y = (table.column(i).to_numpy() for i in range(4))
+    tree = SuffixTree([], [], [], [], root, [])
+    for d in range(1, DEPTH + 1):
+        of_length = (context & _LONG > 0) == (d > 1)
+        packed = (context >> _WIDE & _LOW) << _BITS | context & _LOW if d > 1 else context
+        states, after = np.flatnonzero(of_length & (symbol < 0)), np.flatnonzero(of_length & (symbol >= 0))
+        states = states[np.argsort(packed[states])]
+        tree.contexts.append(packed[states])
+        tree.sums.append(n[states])
+        tree.left.append(y[states])
+        keys = packed[after] << _BITS | symbol[after]
+        order = np.argsort(keys)
+        tree.pairs.append(keys[order])
+        tree.counts.append(n[after][order])
+    rest = model.filter(~first)
+    tree.whole = rest.isEmpty()
+    tree.all_contexts = tree.whole or rest.filter("symbol < 0").isEmpty()
+    return tree, rest
+
+
+def encoded(text: Column, shared: Broadcast, open_rare: bool) -> Column:
+    """Struct of ``n_tokens``, ``known`` and ``base`` over frequent words and the end, ``rare`` keys, ``symbols``.
+
+    With ``open_rare`` a rare word is coded as -1 minus its class: its symbol may be its own.
+    """
     fields = [pa.field(n, pa.int64()) for n in ("n_tokens", "known")] + [pa.field("base", pa.float64()), pa.field("symbols", pa.binary())]
 
     @F.arrow_udf("n_tokens long, known long, base double, symbols binary, rare array<long>")
@@ -231,7 +384,9 @@ def encoded(text: Column, shared: Broadcast) -> Column:
                 counts = np.append(words.counts[place[met]] if met.any() else np.empty(0), words.ends)
                 sums = np.log10(counts + 1).sum() - base * len(counts)
                 own = np.where(met, words.symbols[place], -1) if len(words.keys) else np.full(len(keys), -1)
-                symbols = np.append(np.where(own >= 0, own, keys & (CLASSES - 1)), _END).astype(np.int16)
+                kind = keys & (CLASSES - 1)
+                kind = np.where(met, kind, -1 - kind) if open_rare else kind
+                symbols = np.append(np.where(own >= 0, own, kind), _END).astype(np.int32)
                 out.append((len(keys) + 1, int(met.sum()) + (words.ends > 0), float(sums), symbols.tobytes()))
                 rare.append(keys[~met])
             columns = list(zip(*out)) or [()] * 4
@@ -243,16 +398,69 @@ def encoded(text: Column, shared: Broadcast) -> Column:
     return encode(text)
 
 
-def gained(symbols: Column, tree: Broadcast) -> Column:
+def settled(symbols: Column, rare: Column, own: Column) -> Column:
+    """Symbols with those of rare words put in, from (key, symbol) of the row's words that have one."""
+
+    @F.arrow_udf("binary")
+    def settle(batches: Iterator[tuple[pa.Array, pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for coded, keys, owns in batches:
+            out = []
+            for c, k, o in zip(coded, keys, owns):
+                code = np.frombuffer(c.as_py(), np.int32).copy()
+                code_of = {x["rare_key"]: x["symbol"] for x in o.as_py() or []}
+                at = np.flatnonzero(code < 0)
+                code[at] = [code_of.get(key, -1 - x) for key, x in zip(k.as_py(), code[at].tolist())]
+                out.append(code.tobytes())
+            yield pa.array(out, pa.binary())
+
+    return settle(symbols, rare, own)
+
+
+def missed(symbols: Column, tree: Broadcast) -> Column:
+    """The rows of the tree that a text needs and that are not broadcast."""
+
+    @F.arrow_udf("array<struct<context:long,symbol:long>>")
+    def miss(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            found = [tree.value.missed(np.frombuffer(b, np.int32).astype(np.int64)) for b in batch.to_pylist()]
+            columns = [np.concatenate([*c, np.empty(0, np.int64)]) for c in zip(*found)] or [np.empty(0, np.int64)] * 2
+            offsets = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).astype(np.int32)
+            items = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["context", "symbol"])
+            yield pa.ListArray.from_arrays(pa.array(offsets), items)
+
+    return miss(symbols)
+
+
+def gained(symbols: Column, tree: Broadcast, rest: Column | None = None) -> Column:
     """What the states of the tree add to the log10 chance of a text, from its symbols."""
 
     @F.arrow_udf("double")
     def gain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            coded = [np.frombuffer(b, np.int16).astype(np.int64) for b in batch.to_pylist()]
+            coded = [np.frombuffer(b, np.int32).astype(np.int64) for b in batch.to_pylist()]
             yield pa.array([float(np.log10(tree.value.gain(c)).sum()) for c in coded], pa.float64())
 
-    return gain(symbols)
+    @F.arrow_udf("double")
+    def gain_with(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for batch, lists in batches:
+            out = []
+            for b, rows in zip(batch, lists):
+                code = np.frombuffer(b.as_py(), np.int32).astype(np.int64)
+                columns = [c.to_numpy(zero_copy_only=False) for c in rows.values.flatten()] if rows.is_valid else None
+                out.append(float(np.log10(tree.value.gain(code, columns)).sum()))
+            yield pa.array(out, pa.float64())
+
+    return gain(symbols) if rest is None else gain_with(symbols, rest)
+
+
+def _gains(rows: DataFrame, tree: Broadcast, rest: DataFrame) -> DataFrame:
+    """Add ``gain``; rows of the tree that are not broadcast meet the texts in a shuffle."""
+    if tree.value.whole:
+        return rows.withColumn("gain", gained(F.col("symbols"), tree))
+    asked = rows.select("row", F.explode(missed(F.col("symbols"), tree)).alias("a")).select("row", "a.*")
+    found = asked.join(rest.select("context", "symbol", "x", "y"), ["context", "symbol"])
+    found = found.groupBy("row").agg(F.collect_list(F.struct("context", "symbol", "x", "y")).alias("rest"))
+    return rows.join(found, "row", "left").withColumn("gain", gained(F.col("symbols"), tree, F.col("rest"))).drop("rest")
 
 
 def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -265,24 +473,32 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     repeat are scored each, and learnt from each.
 
     Counts of frequent words, at most 1/KNOWN_SHARE, are broadcast; occurrences of other
-    words meet their counts in a shuffle. The tree is bounded by its shares and broadcast.
+    words meet their counts in a shuffle. So do the rows of the tree beyond HEAD_ROWS.
     """
     context = docs.sparkSession.sparkContext
     learns = F.coalesce(learn, F.lit(False))
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learns.alias("learn"))
-    vocabulary, words, root = learn_words(plain)
-    coded = encoded(F.col("text"), context.broadcast(words))
+    vocabulary, symbols, words, root = learn_words(plain)
+    rarest = words.total * KNOWN_SHARE  # count of a broadcast word
+    coded = encoded(F.col("text"), context.broadcast(words), rarest > SYMBOL_COUNT)
     rows = plain.select("doc_id", "learn", F.monotonically_increasing_id().alias("row"), coded.alias("s"))
-    rows = checkpoint(rows.select("doc_id", "learn", "row", "s.*"))  # two bytes a token
-    tree = context.broadcast(grow_tree(rows, words, root))
+    rows = checkpoint(rows.select("doc_id", "learn", "row", "s.*"))  # four bytes a token
+    if rarest > SYMBOL_COUNT:
+        own = symbols.filter(F.col("n") < rarest).filter("key is not null").select(F.col("key").alias("rare_key"), "symbol")
+        own = rows.select("row", F.explode(F.array_distinct("rare")).alias("rare_key")).join(own, "rare_key")
+        own = own.groupBy("row").agg(F.collect_list(F.struct("rare_key", "symbol")).alias("own"))
+        coded = settled(F.col("symbols"), F.col("rare"), F.col("own"))
+        rows = checkpoint(rows.join(own, "row", "left").withColumn("symbols", coded).drop("own"))
+    tree, other = head_of(grow_tree(rows, symbols), root)
     base = float(np.log10(words.total + words.distinct + 1))
-    rest = vocabulary.filter(F.col("n") < words.total * KNOWN_SHARE).select(F.col("key").alias("rare_key"), "n")
+    rest = vocabulary.filter(F.col("n") < rarest).select(F.col("key").alias("rare_key"), "n")
     met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
     added = met.groupBy("row").agg(
         F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - base).alias("more_base")
     )
     zero, base_score = F.lit(0), F.col("base") + F.coalesce("more_base", F.lit(0.0))
-    plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", gained(F.col("symbols"), tree).alias("gain"))
+    plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", "symbols")
+    plain = _gains(plain, context.broadcast(tree), other).drop("symbols")
     return plain.join(added, "row", "left").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),

@@ -302,6 +302,65 @@ def test_tree_chances_sum_to_one():
         assert (ratio * root).sum() == pytest.approx(1)
 
 
+def word_of(key, classes=512):
+    data = key + b" "
+    return (data[0] * 37 + data[1]) % classes
+
+
+def tree_scores(rows, symbol_count, context_count, pair_count, gain, strength=20.0):
+    """Score of each (text, learn), from plain counts."""
+    coded = [[w.encode() for w in brute.WORDS.findall(brute.lower(t))] + [None] for t, _ in rows]
+    counts = Counter(w for c, (_, learn) in zip(coded, rows) for w in c if learn)
+    base = sum(counts.values()) + len(counts) + 1
+    symbol = lambda w: w if w is None or counts[w] >= symbol_count else word_of(w)
+    mass = Counter({k: 1 for k in range(512)})
+    for w, n in counts.items():
+        mass[symbol(w)] += n + 1
+    root = {s: n / base for s, n in mass.items()}
+    strings = [[symbol(w) for w in c] for c in coded]
+    tree = {}
+
+    def ratio(context, s, longest):
+        r = 1.0
+        for d in range(1, min(longest, len(context)) + 1):
+            if found := tree.get(context[-d:]):
+                total, after = found
+                left = total - sum(after.values())
+                r = (after.get(s, 0) / root[s] + (strength + left) * r) / (total + strength)
+        return r
+
+    for d in (1, 2):
+        behind = {}
+        for c, (_, learn) in zip(strings, rows):
+            for i in range(d, len(c) * learn):
+                behind.setdefault(tuple(c[i - d : i]), Counter())[c[i]] += 1
+        for context, after in behind.items():
+            total = sum(after.values())
+            shorter = {s: root[s] * ratio(context, s, d - 1) for s in after}
+            mixed = {s: (n + strength * shorter[s]) / (total + strength) for s, n in after.items()}
+            if total >= context_count and total * sum(m * math.log(m / shorter[s]) for s, m in mixed.items()) >= gain:
+                tree[context] = total, {s: n for s, n in after.items() if n >= pair_count}
+    scores = []
+    for c, words in zip(strings, coded):
+        score = sum(math.log10((counts[w] + 1) / base) for w in words)
+        scores.append(score + sum(math.log10(ratio(tuple(c[max(i - 2, 0) : i]), s, 2)) for i, s in enumerate(c)))
+    return scores, tree
+
+
+@pytest.mark.parametrize("head, known, lookup", [(2_000_000, 1 / 2_000_000, 1_000_000), (60, 1 / 2_000_000, 0), (1, 1 / 300, 0)])
+def test_scores_of_all_counts(spark, texts, monkeypatch, head, known, lookup):
+    from corpusloom.llm import suffix_tree
+
+    for name, value in {"HEAD_ROWS": head, "KNOWN_SHARE": known, "LOOKUP_ROWS": lookup, "SYMBOL_COUNT": 20, "CONTEXT_COUNT": 30}.items():
+        monkeypatch.setattr(suffix_tree, name, value)
+    rows = [(i, t or "", i % 5 > 0) for i, t in sorted(texts.items())[:80]]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, learn boolean")
+    wanted, tree = tree_scores([r[1:] for r in rows], 20, 30, suffix_tree.PAIR_COUNT, suffix_tree.GAIN)
+    assert {len(c) for c in tree} == {1, 2}
+    got = {r.doc_id: r.score for r in score_texts(docs, F.col("learn")).collect()}
+    assert [got[r[0]] for r in rows] == pytest.approx(wanted)
+
+
 # --- repeated strings --------------------------------------------------------------
 
 
