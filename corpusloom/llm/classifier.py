@@ -1,17 +1,18 @@
 """Quality classifier by co-training.
 
 Two views of a document, the words and letters of its text and the metadata and layout
-of its page, each have a logistic classifier. Over some rounds each labels documents
-without label that it is sure of, for the other to learn from. The views are then
-calibrated on labelled documents that neither has learnt from, and combined.
+of its page, each have a logistic classifier. Over some rounds each labels all documents
+without label that it is sure of, for the other to learn from: their features are counted
+by label, and the log-odds of the counts are one more input of the other's classifier. The
+views are then calibrated on labelled documents that neither has learnt from, and combined.
 
-Models are fitted on a bounded sample of rows; all documents are scored by it.
+Labelled rows are a bounded sample; the counts of the others are made in Spark over all.
 """
 
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -22,8 +23,9 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import with_fields
 from corpusloom.llm.shingles import word_hashes
+from corpusloom.runtime import scratch_path, sized_broadcast
 
-LABELLED, UNLABELLED = 12_000, 6_000  # rows of the sample, at most
+LABELLED = 12_000  # labelled documents to fit on, at most
 ROUNDS = 3
 SURE = 0.97  # chance at which a view labels a document for the other
 CONTENT_BITS, META_BITS = 18, 11
@@ -85,27 +87,42 @@ class Rows:
         return Rows.of([self.index[self.start[r] : self.start[r + 1]] for r in rows])
 
     def dot(self, weights: np.ndarray) -> np.ndarray:
-        sums = np.concatenate(([0.0], np.cumsum(weights[self.index])))
-        return sums[self.start[1:]] - sums[self.start[:-1]]
+        sums, full = np.zeros(len(self)), self.start[1:] > self.start[:-1]
+        if full.any():  # each row by itself: the same in any batch
+            sums[full] = np.add.reduceat(weights[self.index], self.start[:-1][full])
+        return sums
 
 
 def _chance(margin: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(margin, -30, 30)))
 
 
-def fit(rows: Rows, target: np.ndarray, size: int, steps: int = 120, rate: float = 0.1, decay: float = 1e-4) -> np.ndarray:
-    """Logistic regression by Adam; the last weight is the intercept. Rare features keep weight 0."""
-    weights, first, second = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
-    usable = np.append(np.bincount(rows.index, minlength=size) >= MIN_DOCUMENTS, True)
+def fit(
+    rows: Rows, target: np.ndarray, size: int, odds: np.ndarray | None = None, steps: int = 120, rate: float = 0.1, decay: float = 1e-4
+) -> np.ndarray:
+    """Logistic regression by Adam; the last weight is the intercept. Rare features keep weight 0.
+
+    ``odds`` are other weights of the features: a multiple of them, fitted too, is added.
+    """
+    weights, first, second = np.zeros(size + 2), np.zeros(size + 2), np.zeros(size + 2)
+    usable = np.append(np.bincount(rows.index, minlength=size) >= MIN_DOCUMENTS, [True, odds is not None])
     owner = np.repeat(np.arange(len(rows)), np.diff(rows.start))
+    told = rows.dot(odds) if odds is not None else np.zeros(len(rows))
+    mean, scale = (told.mean(), told.std() or 1.0) if len(told) else (0.0, 1.0)
+    told = (told - mean) / scale
     for t in range(1, steps + 1):
-        off = (_chance(rows.dot(weights) + weights[-1]) - target) / max(len(rows), 1)
-        slope = np.append(np.bincount(rows.index, off[owner], minlength=size), off.sum())
-        slope[:-1] += decay * weights[:-1]
+        off = (_chance(rows.dot(weights) + weights[-2] + weights[-1] * told) - target) / max(len(rows), 1)
+        slope = np.append(np.bincount(rows.index, off[owner], minlength=size), [off.sum(), off @ told])
+        slope[:-2] += decay * weights[:-2]
         slope *= usable
         first = 0.9 * first + 0.1 * slope
         second = 0.99 * second + 0.01 * slope * slope
         weights -= rate * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.99**t)) + 1e-8)
+    part = weights[-1] / scale
+    weights = weights[:-1]
+    if odds is not None:
+        weights[:-1] += part * odds
+        weights[-1] -= part * mean
     return weights
 
 
@@ -137,29 +154,55 @@ class CoTrained:
         return _chance(margin), [_chance(x) for x in logits]
 
 
-def co_train(labelled: list[Rows], target: np.ndarray, unlabelled: list[Rows], rounds: int = ROUNDS) -> CoTrained:
-    """Fit both views; every fifth labelled row is left out of the fitting and calibrates them."""
-    sizes = [_STATS + (1 << CONTENT_BITS), 1 << META_BITS]
+SIZES = [_STATS + (1 << CONTENT_BITS), 1 << META_BITS]
+_STARTS = [0, 2 * (SIZES[0] + 1)]  # of the counts of each view: by label, features and then documents
+Teach = Callable[[list[np.ndarray], list[np.ndarray]], np.ndarray]
+
+
+def sure_counts(parts: list[Rows], views: list[np.ndarray], scales: list[np.ndarray]) -> np.ndarray:
+    """Counts for each view of the features of documents that the other is sure of, by its label."""
+    counts = []
+    for k in range(2):
+        rows, w, s = parts[1 - k], views[1 - k], scales[1 - k]
+        chance = _chance(s[0] * np.clip(rows.dot(w) + w[-1], -30, 30) + s[1])
+        for chosen in (chance <= 1 - SURE, chance >= SURE):
+            of_row = np.repeat(chosen, np.diff(parts[k].start))
+            counts += [np.bincount(parts[k].index[of_row], minlength=SIZES[k]), [chosen.sum()]]
+    return np.concatenate(counts).astype(np.int64)
+
+
+def _odds(counts: np.ndarray, k: int) -> np.ndarray | None:
+    """Log-odds of good of the features of a view, by the counts of what the other was sure of."""
+    bad, good = counts[_STARTS[k] :][: 2 * (SIZES[k] + 1)].reshape(2, -1)
+    if not bad[-1] or not good[-1]:
+        return None
+    odds = np.log((good[:-1] + 1) / (good[-1] + 2)) - np.log((bad[:-1] + 1) / (bad[-1] + 2))
+    return np.where(good[:-1] + bad[:-1] >= MIN_DOCUMENTS, odds, 0.0)
+
+
+def co_train(labelled: list[Rows], target: np.ndarray, unlabelled: list[Rows] | Teach, rounds: int = ROUNDS) -> CoTrained:
+    """Fit both views; every fifth labelled row is left out of the fitting and calibrates them.
+
+    ``unlabelled`` are the documents without label, or what gives their ``sure_counts``.
+    """
+    teach = unlabelled if callable(unlabelled) else lambda views, scales: sure_counts(unlabelled, views, scales)
     rows = np.arange(len(target))
     held, learn = rows[rows % 5 == 4], rows[rows % 5 != 4]
     if not len(held) or len(set(target[held])) < 2 or len(set(target[learn])) < 2:
         held = learn = rows
-    given: list[tuple[np.ndarray, np.ndarray]] = [(np.empty(0, np.int64), np.empty(0))] * 2
+    odds: list[np.ndarray | None] = [None, None]
     for turn in range(rounds + 1):
         views, scales = [], []
         for k in range(2):
-            own, extra = labelled[k].take(learn), unlabelled[k].take(given[k][0])
-            both = Rows(np.concatenate((own.index, extra.index)), np.concatenate((own.start, own.start[-1] + extra.start[1:])))
-            views.append(fit(both, np.concatenate((target[learn], given[k][1])), sizes[k]))
+            views.append(fit(labelled[k].take(learn), target[learn], SIZES[k], odds[k]))
             margin = np.clip(labelled[k].take(held).dot(views[k]) + views[k][-1], -30, 30)
             scales.append(_calibrated(margin[:, None], target[held]))
-        if turn == rounds or not len(unlabelled[0]):
+        if turn == rounds:
+            break
+        counts = teach(views, scales)
+        odds = [_odds(counts, k) for k in range(2)]
+        if all(o is None for o in odds):
             break
-        for k in range(2):
-            margin = scales[k][0] * np.clip(unlabelled[k].dot(views[k]) + views[k][-1], -30, 30) + scales[k][1]
-            chance = _chance(margin)
-            sure = np.flatnonzero((chance >= SURE) | (chance <= 1 - SURE))
-            given[1 - k] = sure, (chance[sure] >= 0.5).astype(float)
     margins = np.column_stack(
         [s[0] * np.clip(r.take(held).dot(w) + w[-1], -30, 30) + s[1] for r, w, s in zip(labelled, views, scales)]
     )
@@ -201,35 +244,75 @@ def _scores(text: Column, metadata: Column, model: Broadcast) -> Column:
     return score(text, metadata)
 
 
+def _rows_of(table: pa.Table | pa.RecordBatch) -> list[Rows]:
+    return [Rows.of([np.frombuffer(b, np.int32) for b in table.column(c).to_pylist()]) for c in ("content", "page")]
+
+
+def samples(
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, metadata: Column, labelled: int = LABELLED, unlabelled: int | None = None
+) -> tuple[DataFrame, DataFrame]:
+    """Features of at most ``labelled`` documents with label, and of all, or at most ``unlabelled``, without.
+
+    Each has one row per id; rows without an id stand for themselves. Bounds take the
+    documents of smallest id hash. An id with a label is never without.
+    """
+    spark = docs.sparkSession
+    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
+    known = labels.select(F.col(doc_id).alias("sample_id"), good.cast("int").alias("good")).filter("good is not null and sample_id is not null")
+    known = sized_broadcast(known.groupBy("sample_id").agg(F.min("good").alias("good")))
+    rows = docs.select(F.col(doc_id).alias("sample_id"), _features(F.col(text), metadata).alias("f"))
+    path = scratch_path(spark, "features")
+    rows.select("sample_id", "f.*").write.parquet(path)
+    rows = spark.read.parquet(path)
+    again = sized_broadcast(rows.filter("sample_id is not null").groupBy("sample_id").count().filter("count > 1").select("sample_id"))
+    one = rows.join(again, "sample_id").groupBy("sample_id").agg(F.min(F.struct("content", "page")).alias("f"))
+    rows = rows.join(again, "sample_id", "left_anti").unionByName(one.select("sample_id", "f.*"))
+    with_label = rows.join(known, "sample_id").orderBy(F.xxhash64("sample_id"), "sample_id").limit(labelled)
+    without = rows.join(known, "sample_id", "left_anti")
+    if unlabelled is not None:
+        without = without.orderBy(F.xxhash64("sample_id", F.lit(1)), "sample_id").limit(unlabelled)
+    return with_label, without
+
+
+def _taught(without: DataFrame) -> Teach:
+    """``sure_counts`` over all rows, summed in Spark; as many numbers as there are features come to the driver."""
+    size = _STARTS[1] + 2 * (SIZES[1] + 1)
+    context = without.sparkSession.sparkContext
+
+    def teach(views: list[np.ndarray], scales: list[np.ndarray]) -> np.ndarray:
+        model = context.broadcast((views, scales))
+
+        def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = np.zeros(size, np.int64)
+            for batch in batches:
+                total += sure_counts(_rows_of(batch), *model.value)
+            place = np.flatnonzero(total)
+            yield pa.RecordBatch.from_arrays([pa.array(place), pa.array(total[place])], names=["place", "n"])
+
+        parts = without.select("content", "page").mapInArrow(count, "place long, n long")
+        table = parts.groupBy("place").agg(F.sum("n").alias("n")).toArrow()
+        counts = np.zeros(size, np.int64)
+        counts[table.column("place").to_numpy()] = table.column("n").to_numpy()
+        return counts
+
+    return teach
+
+
 def train(
-    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, metadata: Column, labelled: int = LABELLED, unlabelled: int = UNLABELLED
+    docs: DataFrame, labels: DataFrame, doc_id: str, text: str, metadata: Column, labelled: int = LABELLED, unlabelled: int | None = None
 ) -> CoTrained:
-    """Fit on at most ``labelled`` rows of labels and ``unlabelled`` other documents, both those of smallest id hash.
+    """Fit on at most ``labelled`` documents with label and all, or at most ``unlabelled``, others.
 
     A label row has quality and toxic; good is quality 1 and toxic 0. Rows with a null in
     any of the three columns are left out; an id labelled twice is good if all its labels are.
     """
-    good = (F.col("quality") == 1) & (F.col("toxic") == 0)
-    known = labels.select(F.col(doc_id).alias("sample_id"), good.cast("int").alias("good")).filter("good is not null and sample_id is not null")
-    known = known.groupBy("sample_id").agg(F.min("good").alias("good")).orderBy(F.xxhash64("sample_id"), "sample_id").limit(labelled)
-    others = docs.select(F.col(doc_id).alias("sample_id")).filter("sample_id is not null").distinct()
-    others = others.orderBy(F.xxhash64("sample_id", F.lit(1)), "sample_id").limit(unlabelled)
-    asked = others.select("sample_id", F.lit(-1).alias("good")).unionByName(known)
-    asked = asked.groupBy("sample_id").agg(F.max("good").alias("good"))  # at most labelled + unlabelled rows
-    rows = docs.select(F.col(doc_id).alias("sample_id"), F.col(text).alias("sample_text"), metadata.alias("values"))
-    rows = rows.join(F.broadcast(asked), "sample_id")
-    table = rows.select("sample_id", "good", _features(F.col("sample_text"), F.col("values")).alias("f")).select(
-        "sample_id", "good", "f.*"
-    ).toArrow().sort_by([("sample_id", "ascending"), ("content", "ascending")])
-    target = table.column("good").to_numpy().astype(float)
-    views = [
-        Rows.of([np.frombuffer(b, np.int32) for b in table.column(c).to_pylist()]) for c in ("content", "page")
-    ]
-    mixed = np.random.default_rng(0).permutation(len(target))
-    with_label, without = mixed[target[mixed] >= 0], mixed[target[mixed] < 0]
-    if not len(with_label):
+    with_label, without = samples(docs, labels, doc_id, text, metadata, labelled, unlabelled)
+    table = with_label.toArrow().sort_by([("sample_id", "ascending")])
+    if not len(table):
         raise ValueError("no labelled document to learn from")
-    return co_train([v.take(with_label) for v in views], target[with_label], [v.take(without) for v in views])
+    mixed = np.random.default_rng(0).permutation(len(table))
+    target = table.column("good").to_numpy().astype(float)[mixed]
+    return co_train([v.take(mixed) for v in _rows_of(table)], target, _taught(without))
 
 
 def classify(
@@ -240,7 +323,7 @@ def classify(
     metadata=("source", "lang"),
     least: float = 0.5,
     labelled: int = LABELLED,
-    unlabelled: int = UNLABELLED,
+    unlabelled: int | None = None,
 ) -> DataFrame:
     """Add ``quality_score`` (chance of being good), ``content_score``, ``metadata_score`` and ``accepted`` to every row.
 

@@ -3,6 +3,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from corpusloom.llm.bpe import PrefixEncoder, encode_texts, with_bpe_digests
@@ -176,6 +177,26 @@ def test_views_teach_each_other():
     assert ((whole > 0.5) == (np.array(target)[rest] > 0.5)).mean() > 0.98
 
 
+def test_all_unlabelled_documents_teach(spark):
+    import numpy as np
+
+    from corpusloom.llm import classifier
+
+    rows = [(i, f"w{i % 7} x{i % 11}", f"s{i % 3}") for i in range(7000)] + [(5, "other", "s0"), (6500, "other", "s0"), (None, "a", "s1"), (None, "a", "s1")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    known = spark.createDataFrame([(i, i % 2, 0) for i in range(-50, 40)], "doc_id long, quality int, toxic int")
+    with_label, without = classifier.samples(docs, known, "doc_id", "text", F.struct("source"), labelled=30)
+    assert sorted(r.sample_id for r in with_label.collect()) == sorted({r.sample_id for r in with_label.collect()} & set(range(40)))
+    assert with_label.count() == 30
+    parts = without.toArrow()
+    assert sorted(parts.column("sample_id").to_pylist(), key=lambda i: i or -1) == [None, None, *range(40, 7000)]
+    rng = np.random.default_rng(1)
+    views, scales = [rng.normal(size=n + 1) * 3 for n in classifier.SIZES], [np.array([1.0, 0.0])] * 2
+    counts = classifier._taught(without)(views, scales)
+    assert (counts == classifier.sure_counts(classifier._rows_of(parts), views, scales)).all()
+    assert counts[classifier.SIZES[0]] + counts[2 * classifier.SIZES[0] + 1] > 0
+
+
 def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", "s", 5, 6)], "doc_id long, text string, source string, n_words int, salt int")
     row = quality_rules(docs).collect()[0]
