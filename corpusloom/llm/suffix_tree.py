@@ -22,7 +22,7 @@ from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.shingles import lower_words, word_hashes
+from corpusloom.llm.shingles import lower_words, mix, word_hashes
 from corpusloom.operators.ranking import with_position
 from corpusloom.runtime import attach_by_key, checkpoint, scratch_path
 
@@ -34,13 +34,14 @@ GAIN = 20.0  # count times divergence, in nats, that keeps a context
 STRENGTH = 20.0  # tokens' worth of the shorter context in each distribution
 KNOWN_SHARE = 1 / 2_000_000  # of all tokens that a word's count needs to be broadcast
 HEAD_ROWS = 2_000_000  # of the tree that are broadcast, at most
+FILTER_BITS = 26  # log2 of the bits that tell which rows of the tree are not in the broadcast part
 LOOKUP_ROWS = 1_000_000  # of a table joined by broadcast, at most
 CLASSES = 512
 _BITS = 21  # of a symbol in the broadcast part
 _WIDE = 31  # of a symbol in the stored tables
 _LOW, _LONG = (1 << _WIDE) - 1, 1 << 2 * _WIDE  # the last symbol of a context; mark of two symbols
 _END = CLASSES
-FLUSH = 4_000_000  # tokens counted at once by a worker
+FLUSH = 1_000_000  # tokens counted at once by a worker
 _U = np.uint64
 _WORD = ("key", "n")
 _PAIR = ("context", "symbol", "n")
@@ -95,6 +96,7 @@ class SuffixTree:
     left: list[np.ndarray] = field(default_factory=list)
     whole: bool = True  # no row of the tree is elsewhere
     all_contexts: bool = True
+    elsewhere: np.ndarray | None = None  # bits of the rows elsewhere: a row whose bit is not set is nowhere
 
     def ratio(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray, rest: Rest | None = None) -> np.ndarray:
         """Chances of symbols in their states, as multiples of their root chances.
@@ -149,7 +151,12 @@ class SuffixTree:
             if not self.all_contexts:
                 contexts.append(np.unique(wide[unmet]))
                 after.append(np.full(len(contexts[-1]), -1))
-        return np.concatenate(contexts or [np.empty(0, np.int64)]), np.concatenate(after or [np.empty(0, np.int64)])
+        columns = [np.concatenate([*c, np.empty(0, np.int64)]) for c in (contexts, after)]
+        if self.elsewhere is None:
+            return tuple(columns)
+        at = _bit(*columns)
+        there = self.elsewhere[at >> 6] >> (at & 63) & 1 > 0
+        return columns[0][there], columns[1][there]
 
     def gain(self, symbols: np.ndarray, rest: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
         """The ratio of each symbol of a text; ``rest`` has context, symbol, x and y of rows from elsewhere."""
@@ -157,6 +164,26 @@ class SuffixTree:
         return self.ratio(history, known, symbols, None if rest is None else Rest(symbols, *rest))
 
 
+def _bit(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+    """Place of a row of the tree in ``elsewhere``."""
+    return (mix(mix(context.astype(_U)) + symbol.astype(_U)) >> _U(64 - FILTER_BITS)).astype(np.int64)
+
+
+def _bits(rest: DataFrame) -> np.ndarray:
+    """The places of all rows, set; made in Spark, and of a fixed size however many they are."""
+
+    def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = _bit(batch.column("context").to_numpy(), batch.column("symbol").to_numpy())
+            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], names=["word", "bits"])
+
+    words = rest.select("context", "symbol").mapInArrow(places, "word long, bits long").groupBy("word")
+    word, bits = _columns(words.agg(F.bit_or("bits").alias("bits")), "word", "bits")
+    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out[word] = bits
+    return out
+
+
 @dataclass
 class Rest:
     """Rows of the tree that a text needs and that are not broadcast."""
@@ -362,6 +389,7 @@ def head_of(model: DataFrame, root: np.ndarray) -> tuple[SuffixTree, DataFrame]:
     rest = model.filter(~first)
     tree.whole = rest.isEmpty()
     tree.all_contexts = tree.whole or rest.filter("symbol < 0").isEmpty()
+    tree.elsewhere = None if tree.whole else _bits(rest)
     return tree, rest
 
 
