@@ -222,22 +222,22 @@ def ranked_search(spark, sf):
     return S.in_rank_order(relevant, _ranks(spark, sf), _titles(spark, sf))
 
 
-def _factors(spark, sf, k):
+def _factors(spark, sf):
     docs = contents(spark, sf)
-    tdm, vocab = T.build_tdm(docs, VOCAB, stopwords=NO_STOPWORDS)
-    return vocab, *lsa(tdm, vocab, docs, k)
+    tdm, vocab = T.build_tdm(docs, stopwords=NO_STOPWORDS)  # 30,000 terms and rank 300, as the operators' own
+    return vocab, *lsa(tdm, vocab, docs)
 
 
 @query("lsa_factors")
 def lsa_factors(spark, sf):
-    _, doc_factors, _ = _factors(spark, sf, 20)
+    _, doc_factors, _ = _factors(spark, sf)
     length = F.aggregate("us", F.lit(0.0), lambda acc, x: acc + x * x)
     return doc_factors.select("doc_id", F.round(F.sqrt(length), 6).alias("norm"))
 
 
 @query("search_lsa")
 def search_lsa(spark, sf):
-    vocab, doc_factors, term_factors = _factors(spark, sf, 20)
+    vocab, doc_factors, term_factors = _factors(spark, sf)
     found = S.search(spark, "that with", vocab, doc_factors, term_factors, _ranks(spark, sf), _titles(spark, sf))
     return found.withColumn("relevance", F.round("relevance", 6))
 

@@ -97,3 +97,15 @@ def test_counts_agree_with_plain_counting(spark, texts):
     got = T.term_counts(spark.createDataFrame(rows, "doc_id long, content string"), (), 1, 2).collect()
     want = {(i, w): n for i, t in rows for w, n in Counter(t.lower().split()).items() if n > 1}
     assert {(r["doc_id"], r["term"]): r["cnt"] for r in got} == want
+
+
+def test_lsa_queries_take_the_whole_vocabulary(spark):
+    from catalog import terms
+
+    sf = "/root/testdata/sf0.001"
+    vocab, doc_factors, term_factors = terms._factors(spark, sf)
+    n_terms, n_docs = terms.term_totals(spark, sf).count(), terms.contents(spark, sf).count()
+    assert n_terms > terms.VOCAB
+    assert vocab.count() == term_factors.count() == min(n_terms, 30_000)
+    assert doc_factors.count() == n_docs
+    assert 20 < len(term_factors.first().v) <= 300
