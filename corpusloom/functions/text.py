@@ -12,9 +12,9 @@ from pyspark.sql import functions as F
 OPEN, CLOSE = "\x01", "\x02"  # an outermost pair
 INNER_OPEN, INNER_CLOSE = "\x03", "\x04"  # a pair inside another
 PIPE = "\x05"  # a pipe that separates nothing
-DEPTH = "\x06"  # one per template level an invocation comes from
-BOUND, UNBOUND = "\x07", "\x08"  # an argument with or without a value
-_MARKS = OPEN + CLOSE + INNER_OPEN + INNER_CLOSE + PIPE + DEPTH + BOUND + UNBOUND
+PIECE, PIECE_END = "\x10", "\x11"  # around the number of a piece that is kept elsewhere
+RAW_OPEN, RAW_CLOSE, RAW_PIPE = "\x12", "\x13", "\x14"  # braces and pipes that wait to be read
+_MARKS = OPEN + CLOSE + INNER_OPEN + INNER_CLOSE + PIPE + PIECE + PIECE_END + RAW_OPEN + RAW_CLOSE + RAW_PIPE
 
 
 def without_marks(text: Column) -> Column:

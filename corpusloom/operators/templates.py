@@ -1,10 +1,4 @@
-"""Template definitions and their expansion as rounds of joins.
-
-Each round takes the innermost calls of every page that still has some. Parser
-functions, magic words and bound arguments are settled inside the row; template
-calls are looked up by a join and put back in place. Pages leave the loop as soon
-as nothing is left to expand.
-"""
+"""Template definitions, and what one call of a page says and gives."""
 
 from __future__ import annotations
 
@@ -14,31 +8,27 @@ from pyspark.sql import functions as F
 from corpusloom.fixed_values import NAMED_PARAMETER, TEMPLATE_NAMESPACE
 from corpusloom.functions.entities import unescape
 from corpusloom.functions.text import (
-    BOUND,
     CLOSE,
-    DEPTH,
     OPEN,
-    UNBOUND,
+    RAW_OPEN,
     let,
     mark_outermost,
     replace_each,
     strip_marks,
     trim_space,
-    without_marks,
 )
-from corpusloom.functions.titles import KNOWN_NAMESPACES, template_title
-from corpusloom.operators.parser_functions import evaluate, magic_word
-from corpusloom.runtime import attach_by_key, checkpoint
+from corpusloom.operators.parser_functions import MAGIC_WORDS, evaluate, magic_word
 
 PLAIN_PIPE = "\x0e"  # a pipe in an expanded text: it separates no arguments
 _BODY = r"(?:[^{}]++|\{(?!\{)|\}(?!\}))*+"
 _ARGUMENT = r"\{\{\{(?!\{)" + _BODY + r"\}\}\}"
 INNERMOST = _ARGUMENT + r"|\{\{(?!\{)" + _BODY + r"\}\}"
-_OPEN_ARGUMENT = rf"\{{\{{\{{(?![{{{BOUND}{UNBOUND}])[^{{}}|]*\|"
 _SUBST = r"(?i)^(?:subst:|safesubst:)"
-_ARGUMENT_LEVELS = 10
-_PASSES = 2
-BROADCAST_CHARS = 64 * 1024 * 1024
+# Innermost calls that need no template: arguments, words, functions; none that holds raw braces.
+_WORDS = "|".join(("!", *MAGIC_WORDS))
+SETTLED_CALL = _ARGUMENT + rf"|\{{\{{(?!\{{)(?=[^|{{}}]*:|(?i:\s*(?:{_WORDS})\s*[|}}]))(?![^{{}}]*{RAW_OPEN})" + _BODY + r"\}\}"
+_PASSES = 3  # over one text, in its row; calls nested deeper are settled in rounds
+PARAMS = "array<struct<name: string, value: string>>"
 
 
 # --- definitions ---------------------------------------------------------------
@@ -98,21 +88,26 @@ def split_parts(text: Column) -> Column:
 
 
 def bind_parameters(parts: Column) -> Column:
-    """ARRAY<STRUCT<name, value>> of the parts behind the title; the last of a name counts."""
+    """ARRAY<STRUCT<name, value>> of the parts behind the title, in their order; the last of a name counts."""
     named = NAMED_PARAMETER
 
-    def bind(all_parts):
-        def one(part, i):
-            before = F.filter(F.slice(all_parts, F.lit(1), i + 1), lambda p: ~p.rlike(named))
-            is_named = part.rlike(named)
-            name = F.when(is_named, trim_space(F.regexp_extract(part, named, 1))).otherwise(F.size(before).cast("string"))
-            value = F.when(is_named, F.regexp_extract(part, named, 2)).otherwise(part)
-            trimmed = F.when(value.contains("]]"), value).otherwise(trim_space(value))
-            return F.struct(name.alias("name"), trimmed.alias("value"))
+    def placed(part, at, name, value):
+        trimmed = F.when(value.contains("]]"), value).otherwise(trim_space(value))
+        return F.struct(at.alias("at"), name.alias("name"), trimmed.alias("value"))
 
-        return F.transform(all_parts, one)
+    def bind(numbered):
+        by_name = F.transform(
+            F.filter(numbered, lambda p: p["named"]),
+            lambda p: placed(p, p["at"], trim_space(F.regexp_extract(p["part"], named, 1)), F.regexp_extract(p["part"], named, 2)),
+        )
+        by_number = F.transform(
+            F.filter(numbered, lambda p: ~p["named"]),
+            lambda p, i: placed(p, p["at"], (i + 1).cast("string"), p["part"]),
+        )
+        return F.transform(F.array_sort(F.concat(by_name, by_number)), lambda p: F.struct(p["name"].alias("name"), p["value"].alias("value")))
 
-    return let(parts, bind)
+    numbered = F.transform(parts, lambda part, i: F.struct(i.alias("at"), part.rlike(named).alias("named"), part.alias("part")))
+    return let(numbered, bind)
 
 
 def _value_of(params: Column, name: Column) -> Column:
@@ -120,7 +115,7 @@ def _value_of(params: Column, name: Column) -> Column:
 
 
 def _call_body(call: Column) -> Column:
-    return F.translate(F.regexp_replace(call, r"\A\{\{|\}\}\z", ""), DEPTH, "")
+    return F.regexp_replace(call, r"\A\{\{|\}\}\z", "")
 
 
 def _call_title(parts: Column) -> Column:
@@ -144,202 +139,68 @@ def invocations(pages: DataFrame) -> DataFrame:
 
 
 def _last_of_each(params: Column) -> Column:
-    def keep_last(entries):
-        return F.filter(
-            entries,
-            lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda later: later["name"] == e["name"]),
-        )
-
-    return let(params, keep_last)
-
-
-def _settled(call: Column, title: Column, as_of: Column) -> Column:
-    """Value of an argument, magic word or parser function; template calls stay."""
-
-    def argument(match):
-        content = F.regexp_replace(match, r"\A\{\{\{|\}\}\}\z", "")
-        parts = split_parts(content)
-        return (
-            F.when(content.startswith(BOUND), F.translate(F.get(parts, F.lit(0)), BOUND, ""))
-            .when(content.startswith(UNBOUND), F.get(parts, F.lit(1)))
-            .otherwise("")
-        )
-
-    def function_or_template(parts):
-        return let(
-            _call_title(parts),
-            lambda name: F.coalesce(
-                magic_word(F.lower(name), title, as_of, PLAIN_PIPE),
-                F.when(
-                    _is_function(name),
-                    let(
-                        F.concat(F.array(trim_space(F.regexp_extract(name, r"(?s)^[^:]*:(.*)$", 1))), _rest(parts)),
-                        lambda args: evaluate(F.substring_index(name, ":", 1), args),
-                    ),
-                ),
-                call,
-            ),
-        )
-
-    return F.when(call.startswith("{{{"), F.coalesce(argument(call), F.lit(""))).otherwise(
-        let(split_parts(_call_body(call)), function_or_template)
-    )
+    """The last of each name, in order."""
 
+    def keep_last(entries):
+        return F.filter(entries, lambda e, i: F.coalesce(F.get(entries, i + 1)["name"] != e["name"], F.lit(True)))
 
-def _settled_text(as_of: Column) -> Column:
-    def settle(t):
-        return replace_each(t, INNERMOST, lambda call: _settled(call, F.col("title"), as_of))
+    numbered = F.transform(params, lambda p, i: F.struct(p["name"].alias("name"), i.alias("at"), p["value"].alias("value")))
+    last = let(F.array_sort(numbered), keep_last)
+    in_order = F.array_sort(F.transform(last, lambda e: F.struct(e["at"].alias("at"), e["name"].alias("name"), e["value"].alias("value"))))
+    return F.transform(in_order, lambda e: F.struct(e["name"].alias("name"), e["value"].alias("value")))
 
-    text = F.aggregate(F.sequence(F.lit(1), F.lit(_PASSES)), F.col("text"), lambda t, _: settle(t))
-    return F.when(F.col("text").contains("{{"), text).otherwise(F.col("text"))
 
+def argument_value(match: Column, params: Column) -> Column:
+    """Value of ``{{{name|default}}}``; nothing where no template is called (``params`` null)."""
+    parts = split_parts(F.regexp_replace(match, r"\A\{\{\{|\}\}\}\z", ""))
+    named = let(parts, lambda p: F.coalesce(_value_of(params, F.get(p, F.lit(0))), F.get(p, F.lit(1)), F.lit("")))
+    return F.when(params.isNull(), "").otherwise(named)
 
-def eval_parser_functions(pages: DataFrame, as_of: Column) -> DataFrame:
-    """Settle innermost arguments, magic words and parser functions in every page."""
-    return pages.withColumn("text", _settled_text(as_of))
 
+def with_arguments(body: Column, params: Column) -> Column:
+    """A body with its innermost arguments in place; nothing else is settled."""
+    steps = F.sequence(F.lit(1), F.lit(_PASSES))
+    return F.aggregate(steps, body, lambda t, _: replace_each(t, _ARGUMENT, lambda m: argument_value(m, params)))
 
-# --- expansion -----------------------------------------------------------------
 
+def _function_value(name: Column, parts: Column, frame: Column) -> Column:
+    """Result of a parser function; the one module function gives what its frame holds."""
+    args = F.concat(F.array(trim_space(F.regexp_extract(name, r"(?s)^[^:]*:(.*)$", 1))), _rest(parts))
+    function = F.substring_index(name, ":", 1)
+    convert = (function == "#invoke") & (F.get(args, F.lit(0)) == "convert") & (trim_space(F.get(args, F.lit(1))) == "convert")
+    return F.when(convert, F.coalesce(frame, F.lit(""))).otherwise(let(args, lambda a: evaluate(function, a)))
 
-def _template_lookup(templates: DataFrame, redirects: DataFrame) -> DataFrame:
-    """(name, real_title, body) for every callable title; redirects go one hop and win."""
-    direct = templates.join(redirects, "title", "left_anti").select(
-        F.col("title").alias("name"), F.col("title").alias("real_title"), "body"
-    )
-    hop = redirects.select(F.col("title").alias("name"), F.col("target").alias("title"))
-    return direct.unionByName(hop.join(templates, "title").select("name", F.col("title").alias("real_title"), "body"))
-
-
-def _instantiate(body: Column, params: Column, level: Column, real_title: Column) -> Column:
-    """Body of a template with its arguments in place, one level deeper."""
-
-    def filled(t):
-        def value(match):
-            parts = split_parts(F.regexp_replace(match, r"\A\{\{\{|\}\}\}\z", ""))
-            return let(
-                parts, lambda p: F.coalesce(_value_of(params, F.get(p, F.lit(0))), F.get(p, F.lit(1)), F.lit(""))
-            )
-
-        return replace_each(t, _ARGUMENT, value)
-
-    def with_bound_names(t):
-        # a default that still holds calls waits for them, with the value beside it
-        def known(match):
-            value = _value_of(params, F.regexp_extract(match, r"(?s)^\{\{\{(.*)\|$", 1))
-            return F.when(value.isNull(), "{{{" + UNBOUND + "|").otherwise(
-                F.concat(F.lit("{{{" + BOUND), F.translate(value, "|", PLAIN_PIPE), F.lit("|"))
-            )
-
-        return replace_each(t, _OPEN_ARGUMENT, known)
-
-    def converted(t):
-        # the one module function: value and unit side by side
-        pair = F.concat(_value_of(params, F.lit("1")), F.lit(" "), _value_of(params, F.lit("2")))
-        call = r"\{\{#invoke:\s*convert\s*\|\s*convert\s*(?:\|[^{}]*)?\}\}"
-        return F.when(
-            real_title == TEMPLATE_NAMESPACE + ":Convert", replace_each(t, call, lambda _: F.coalesce(pair, F.lit("")))
-        ).otherwise(t)
-
-    def one_deeper(t):
-        mark = F.concat(F.lit("{{"), F.repeat(F.lit(DEPTH), level + 1))
-        opening = rf"(?<!\{{)\{{\{{(?!\{{(?:[^{{]|\z))(?!{DEPTH})"
-        return F.regexp_replace(F.regexp_replace(t, F.lit(opening), mark), F.lit(opening), mark)
-
-    def plain_pipes(t):
-        marked = mark_outermost(t, "{{", "}}", literal=True)
-        span = f"{OPEN}[^{OPEN}{CLOSE}]*+{CLOSE}"
-        return strip_marks(replace_each(marked, span, lambda m: m, lambda gap: F.translate(gap, "|", PLAIN_PIPE)))
 
-    levels = F.sequence(F.lit(1), F.lit(_ARGUMENT_LEVELS))
-    text = F.when(body.contains("{{{"), F.aggregate(levels, body, lambda t, _: filled(t))).otherwise(body)
-    for step in (with_bound_names, converted, one_deeper, plain_pipes):
-        text = let(text, step)
-    return text
+def call_value(call: Column, title: Column, as_of: Column, frame: Column) -> Column:
+    """Value of a magic word or parser function; null for a template call."""
 
+    def value(parts):
+        return let(
+            _call_title(parts),
+            lambda name: F.coalesce(
+                magic_word(F.lower(name), title, as_of, PLAIN_PIPE), F.when(_is_function(name), _function_value(name, parts, frame))
+            ),
+        )
 
-def _attach_bodies(calls: DataFrame, lookup: DataFrame, small: bool) -> DataFrame:
-    if small:
-        return calls.join(F.broadcast(lookup), "name", "left")
-    return attach_by_key(calls, lookup, "name", "left")
+    return let(split_parts(_call_body(call)), value)
 
 
-def _expanded_call() -> Column:
-    """Result of a looked-up call: its body filled in, the call itself, or nothing."""
-    filled = _instantiate(F.col("body"), F.col("params"), F.col("level"), F.col("real_title"))
-    return F.coalesce(F.when(F.col("body").isNotNull(), filled).when(~F.col("final"), F.col("call")), F.lit(""))
+def settled_text(text: Column, title: Column, as_of: Column, frame: Column | None = None, params: Column | None = None) -> Column:
+    """A text with its innermost arguments, magic words and parser functions settled.
 
+    ``params`` are those of the template whose body the text is, ``frame`` what a module function finds there.
+    """
+    frame = F.lit(None).cast("string") if frame is None else frame
+    params = F.lit(None).cast(PARAMS) if params is None else params
 
-def _parsed_calls(pages: DataFrame, max_depth: int, namespaces) -> DataFrame:
-    """(page_id, pos, call, name, level, final, params) of the innermost calls.
+    def one(call):
+        value = F.when(call.startswith("{{{"), argument_value(call, params)).otherwise(call_value(call, title, as_of, frame))
+        return F.coalesce(value, call)
 
-    ``name`` is null for anything but a template call; ``final`` calls give nothing
-    when no template is found.
-    """
-    calls = pages.select(
-        "page_id", F.posexplode(F.regexp_extract_all("text", F.lit(INNERMOST), F.lit(0))).alias("pos", "call")
-    )
-    level = F.length(F.regexp_extract("call", rf"\A\{{\{{({DEPTH}*)", 1))
-    parsed = calls.withColumn("level", level).withColumn("parts", split_parts(_call_body(F.col("call"))))
-    parsed = parsed.withColumn("called", _call_title(F.col("parts")))
-    is_template = ~F.col("call").startswith("{{{") & ~_is_function(F.col("called"))
-    in_depth = F.col("level") < max_depth
-    return parsed.select(
-        "page_id",
-        "pos",
-        "call",
-        "level",
-        F.when(is_template & in_depth, template_title(F.col("called"), namespaces)).alias("name"),
-        (is_template | ~in_depth).alias("final"),
-        bind_parameters(_rest(F.col("parts"))).alias("params"),
-    )
+    passes = F.aggregate(F.sequence(F.lit(1), F.lit(_PASSES)), text, lambda t, _: replace_each(t, SETTLED_CALL, one))
+    return F.when(text.contains("{{"), passes).otherwise(text)
 
 
-def _put_back(pages: DataFrame, results: DataFrame) -> DataFrame:
-    """Put the results (page_id, pos, result) of all innermost calls into their pages."""
-    # a page's calls are no more than its text holds
-    by_page = results.groupBy("page_id").agg(F.sort_array(F.collect_list(F.struct("pos", "result"))).alias("results"))
-    rebuilt = F.array_join(
-        F.zip_with(
-            F.split("text", INNERMOST, -1),
-            F.col("results"),
-            lambda gap, r: F.concat(gap, F.coalesce(r["result"], F.lit(""))),
-        ),
-        "",
-    )
-    return pages.join(by_page, "page_id").withColumn("text", rebuilt).drop("results")
-
-
-def expand_templates(
-    pages: DataFrame,
-    templates: DataFrame,
-    redirects: DataFrame,
-    as_of: Column,
-    max_depth: int = 30,
-    namespaces=KNOWN_NAMESPACES,
-    broadcast_chars: int = BROADCAST_CHARS,
-) -> DataFrame:
-    """Expand all calls in ``pages(page_id, title, text, ...)``.
-
-    ``as_of`` is the timestamp that the time words show. Unknown templates and
-    calls nested deeper than ``max_depth`` templates give nothing. The templates
-    are broadcast if they hold at most ``broadcast_chars`` characters; otherwise
-    the calls are shuffled to them, hot templates apart.
-    """
-    lookup = checkpoint(_template_lookup(templates, redirects))
-    size = lookup.agg(F.sum(F.length("body") + F.length("name")).alias("chars")).first()["chars"] or 0
-    columns = pages.columns
-    settled_text, expanded_call = _settled_text(as_of), _expanded_call()
-    has_calls = F.coalesce(F.col("text").rlike(INNERMOST), F.lit(False))
-
-    clean = pages.withColumn("text", F.translate(without_marks(F.col("text")), PLAIN_PIPE + "\x0f", ""))
-    settled = checkpoint(clean.withColumn("text", settled_text))
-    done, work = settled.filter(~has_calls), settled.filter(has_calls)
-    # Each round settles a page's innermost calls, and max_depth bounds what they bring in, so this ends.
-    while not work.isEmpty():
-        calls = _attach_bodies(_parsed_calls(work, max_depth, namespaces), lookup, size <= broadcast_chars)
-        expanded = _put_back(work, calls.select("page_id", "pos", expanded_call.alias("result")))
-        settled = checkpoint(expanded.withColumn("text", settled_text).select(*columns))
-        done, work = done.unionByName(settled.filter(~has_calls)), settled.filter(has_calls)
-    shown = F.translate("text", PLAIN_PIPE + DEPTH + BOUND + UNBOUND, "|")
-    return done.withColumn("text", shown)
+def eval_parser_functions(pages: DataFrame, as_of: Column) -> DataFrame:
+    """Settle innermost arguments, magic words and parser functions in every page."""
+    return pages.withColumn("text", settled_text(F.col("text"), F.col("title"), as_of))

@@ -12,7 +12,8 @@ from corpusloom.operators.links import extract_links, resolve_links, without_anc
 from corpusloom.operators.markup import clean_wikitext
 from corpusloom.operators.pages import article_filter, with_dense_ids
 from corpusloom.operators.sections import compact_sections
-from corpusloom.operators.templates import expand_templates, load_templates
+from corpusloom.operators.expansion import expand_templates
+from corpusloom.operators.templates import load_templates
 from corpusloom.runtime import checkpoint
 from corpusloom.sources.wiki_xml import template_namespace
 

@@ -2,6 +2,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import templates as T
+from corpusloom.operators.expansion import expand_templates
 
 DEFINITIONS = [
     ("Template:T", "1={{{1}}} 2={{{2|d2}}} n={{{name|}}}"),
@@ -17,6 +18,14 @@ DEFINITIONS = [
     ("Template:Sw", "{{#switch:{{{1}}}|a=1|b|c=2|#default=3}}"),
     ("Template:Nom", "{{#if:{{{nominee|}}}|{{{{{nominee}}}|z}}|cand}}"),
     ("Template:Emp", "<noinclude>x</noinclude>"),
+    ("Template:Dist", "{{unit|x}} and {{twice|{{unit}}}}"),
+    ("Template:Unit", "<{{#invoke:convert|convert}}>"),
+    ("Template:Twice", "{{{1}}}{{{1}}}"),
+    ("Template:Eq", "a=b"),
+    ("Template:Show", "[{{{1|no first}}}|{{{a|no a}}}]"),
+    ("Template:Low", "{{lc:{{{1}}}}}"),
+    ("Template:Pick", "{{{pre{{#if:{{{long|}}}|Long|Short}}|none}}}"),
+    ("Template:Conv", "#REDIRECT [[Template:Convert]]"),
     ("Plain", "no template"),
 ]
 CASES = [
@@ -47,9 +56,31 @@ CASES = [
     ("{{t|{x}}} {{{{{1}}}|x}}", "1={x 2=d2 n=} "),
     ("a | b {{bar}} c", "a | b | x | c"),
     ("plain", "plain"),
+    ("{{show|{{eq}}}} {{subst:show|{{eq}}}}", "[no first|b] [a=b|no a]"),
+    ("{{subst:low|X{{uc:y}}{{inner|{{uc:z}}}}}} {{twice|{{subst:low|A{{!}}B}}}}", "xy<z> a|ba|b"),
+    ("{{subst:t|{{{p|q}}}|k}} {{SafeSubst:T|{{t|{{subst:inner|{{uc:i}}}}}}}}", "1= 2=k n= 1=1=<I> 2=d2 n= 2=d2 n="),
+    ("{{subst:#if:{{uc:}}|{{inner|a}}|{{inner|b}}}}", "<b>"),
+    ("{{pick|preLong=L|preShort=S}}{{pick|preLong=L|preShort=S|long=1}}{{pick}}", "SLnone"),
+    ("{{conv|7|mi}} {{unit|1|km}}", "7 mi <>"),
 ]
 
 
+def test_convert_reads_its_frame(spark):
+    rows = [
+        ("Template:Convert", "{{dist|9|lb}}"),
+        ("Template:Dist", "{{unit|x}} and {{twice|{{unit}}}} {{convert|1|kg}}"),
+        ("Template:Unit", "<{{#invoke: convert | convert }}>"),
+        ("Template:Twice", "{{{1}}}{{{1}}}"),
+    ]
+    definitions = spark.createDataFrame([(i, t, b) for i, (t, b) in enumerate(rows)], "page_id long, title string, text string")
+    pages = spark.createDataFrame([(1, "P", "{{convert|5|km}}|{{unit}}"), (2, "Q", "{{dist|3|m}}")], "page_id long, title string, text string")
+    got = expand_templates(pages, *T.load_templates(definitions), F.lit("2020-03-04").cast("timestamp"), max_depth=6)
+    shown = {r["page_id"]: r["text"] for r in got.collect()}
+    # the outermost frame counts; convert calls itself through dist until the depth bound
+    assert shown[1] == "<5 km> and <5 km><5 km> " * 2 + " and  |<>"
+    assert shown[2] == "<> and <><> " + "<1 kg> and <1 kg><1 kg> " * 2
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     pages = spark.createDataFrame(
@@ -64,7 +95,7 @@ def expanded(spark, tables):
         [(i, "Page", c) for i, (c, _) in enumerate(CASES)], "page_id long, title string, text string"
     )
     as_of = F.lit("2020-03-04 05:06:07").cast("timestamp")
-    return {r["page_id"]: r["text"] for r in T.expand_templates(pages, *tables, as_of).collect()}
+    return {r["page_id"]: r["text"] for r in expand_templates(pages, *tables, as_of).collect()}
 
 
 @pytest.mark.parametrize("number", range(len(CASES)))
@@ -75,7 +106,7 @@ def test_expansion(expanded, number):
 def test_depth_limit_and_shuffled_lookup(spark, tables):
     pages = spark.createDataFrame([(1, "P", "{{rec}} {{t|a}}"), (2, "Q", "{{t|b}}")], "page_id long, title string, text string")
     as_of = F.lit("2020-03-04 05:06:07").cast("timestamp")
-    got = T.expand_templates(pages, *tables, as_of, max_depth=3, broadcast_chars=0)
+    got = expand_templates(pages, *tables, as_of, max_depth=3, broadcast_chars=0)
     assert {r["page_id"]: r["text"] for r in got.collect()} == {1: "rrr 1=a 2=d2 n=", 2: "1=b 2=d2 n="}
 
 
@@ -89,6 +120,16 @@ def test_later_definition_wins(spark):
     assert [tuple(r) for r in redirects.collect()] == [("Template:R", "Template:X")]
 
 
+def test_repeated_ids_and_further_columns(spark, tables):
+    rows = [(1, "A", "{{inner}} {{t|{{inner}}}}", "x"), (1, "B", "{{inner}}", "y"), (None, "C", None, "z"), (None, "D", "", "w")]
+    pages = spark.createDataFrame(rows, "page_id long, title string, text string, row string")
+    got = expand_templates(pages, *tables, F.lit("2020-03-04 05:06:07").cast("timestamp"))
+    assert got.columns == pages.columns
+    shown = {r["title"]: (r["page_id"], r["text"], r["row"]) for r in got.collect()}
+    assert shown == {"A": (1, "<A> 1=<A> 2=d2 n=", "x"), "B": (1, "<B>", "y"), "C": (None, None, "z"), "D": (None, "", "w")}
+    assert expand_templates(pages.limit(0), *tables, F.lit("2020-03-04").cast("timestamp")).collect() == []
+
+
 def test_invocations(spark):
     pages = spark.createDataFrame([(1, "P", "x {{t|a|b|c|2=B}} {{outer|{{in ner|k=v}}}}")], "page_id long, title string, text string")
     got = [(r["pos"], r["name"], r["params"]) for r in T.invocations(pages).orderBy("pos").collect()]
