@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import SPACES, free_name
 from corpusloom.llm.shingles import mix
-from corpusloom.runtime import HOT_KEY_ROWS, checkpoint, salt_lookup, salt_rows, scratch_path, shuffle_partitions, sized_broadcast
+from corpusloom.runtime import HOT_KEY_ROWS, checkpoint, discard, salt_lookup, salt_rows, scratch_path, shuffle_partitions, sized_broadcast
 
 MIN_CHARS = 10
 SEGMENT_BITS = 20  # bits of a segment, as a power of two: 128 KB
@@ -150,6 +150,7 @@ def _suspects(docs: DataFrame, min_chars: int) -> DataFrame:
         filters = _twice_filter(mine.select("hash"), segments)
         mine.filter(_seen_twice(F.col("hash"), filters)).select("doc_id", "key").write.mode("append").parquet(out)
         filters.destroy()
+    discard(spark, stored)
     return spark.read.parquet(out)
 
 
