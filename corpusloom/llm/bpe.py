@@ -13,7 +13,6 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from functools import lru_cache
 
 import ahocorasick
 import pyarrow as pa
@@ -21,7 +20,7 @@ import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import with_fields
+from corpusloom.llm.common import resident, with_fields
 from corpusloom.llm.token_counts import (
     BLANKS,
     DIGITS,
@@ -40,7 +39,7 @@ WORD_END = "</w>"
 
 LATIN_WORDS = rf"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[{DIGITS}]|[^{BLANKS}{LETTERS}{DIGITS}]+"
 
-PAIRS = 1_000_000  # pair tests remembered by a worker; then it starts anew
+PAIRS = 200_000  # pair tests remembered by a worker; then it starts anew
 _END = 0xE000  # a letter that ends a word is one symbol, moved to the private use area
 
 
@@ -136,9 +135,8 @@ class PrefixEncoder:
         return " ".join(map(self.strings.__getitem__, ids.split()))
 
 
-@lru_cache(maxsize=2)
 def encoder(path: str) -> PrefixEncoder:
-    return PrefixEncoder(path)
+    return resident(("bpe", path), lambda: PrefixEncoder(path))
 
 
 def bpe_round_trip(text: Column, path: str) -> Column:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,6 +50,26 @@ def with_fields(df: DataFrame, result: Column, *fields: str) -> DataFrame:
     return boxed.withColumns({f: F.col(f"{box}.{f}") for f in fields}).drop(box)
 
 
+_RESIDENT: dict = {}  # the one large object that a Python worker keeps between tasks
+
+
+def resident(key, build):
+    """An object that tasks of one worker share; another key takes its place."""
+    if key not in _RESIDENT:
+        make_room()
+        _RESIDENT[key] = build()
+    return _RESIDENT[key]
+
+
+def make_room() -> None:
+    """Give a worker's memory back to the system: its resident object, and what freed arrays still hold."""
+    _RESIDENT.clear()
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # another C library
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
 SALTS = 64
 

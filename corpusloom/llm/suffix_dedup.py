@@ -20,20 +20,20 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpusloom.llm.bwt import later_windows
-from corpusloom.llm.common import free_name, join_lookup
+from corpusloom.llm.common import free_name, join_lookup, make_room
 from corpusloom.llm.shingles import _BYTE, mix
+from corpusloom.operators.ranking import with_position
 from corpusloom.runtime import checkpoint, scratch_path
 
 LENGTH = 100
 ANCHOR = 32
 MOST_WINDOWS = 256  # windows of one run; longer runs are cut
-BATCH_BYTES = 2 << 20  # of distinct runs in one transform
+BATCH_BYTES = 1 << 20  # of distinct runs in one transform
 HOT_RUNS = 20_000  # runs of one anchor that are compared window by window, by a shuffle
 _U = np.uint64
 _LAST = (1 << 63) - 1
-# A place packs a 16-bit hash of the text (for ids that repeat), a start, whether windows of
-# the run may repeat within it, and a window count.
-_TEXT_BIT, _START_BIT, _SELF_BIT = 41, 10, 9
+# A place packs a start, whether windows of the run may repeat within it, and a window count.
+_START_BIT, _SELF_BIT = 10, 9
 _COUNT = (1 << _SELF_BIT) - 1
 
 
@@ -76,23 +76,20 @@ def runs(data: bytes, length: int = LENGTH) -> tuple[np.ndarray, np.ndarray, np.
     return least[start], start, count, double
 
 
-def _text_key(data: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(data, digest_size=2).digest(), "big")
-
-
 def text_runs(text: Column, length: int) -> Column:
     """Array of structs ``anchor``, ``place``, ``double`` of a text's runs."""
     kind = [pa.field("anchor", pa.int64()), pa.field("place", pa.int64()), pa.field("double", pa.bool_())]
 
     @F.arrow_udf("array<struct<anchor:long,place:long,double:boolean>>")
     def found(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        make_room()
         for batch in batches:
             offsets, anchors, places, doubles = [0], [], [], []
             for value in batch:
                 data = (value.as_py() or "").encode()
                 anchor, start, count, double = runs(data, length)
                 anchors.append(anchor.astype(np.int64))
-                places.append(_text_key(data) << _TEXT_BIT | start << _START_BIT | double.astype(np.int64) << _SELF_BIT | count)
+                places.append(start << _START_BIT | double.astype(np.int64) << _SELF_BIT | count)
                 doubles.append(double)
                 offsets.append(offsets[-1] + len(anchor))
             columns = [np.concatenate(x) if x else np.empty(0) for x in (anchors, places, doubles)]
@@ -102,8 +99,8 @@ def text_runs(text: Column, length: int) -> Column:
     return found(text)
 
 
-def _place(value: int) -> tuple[int, int, int]:
-    return value >> _TEXT_BIT, value >> _START_BIT & ((1 << (_TEXT_BIT - _START_BIT)) - 1), value & _COUNT
+def _place(value: int) -> tuple[int, int]:
+    return value >> _START_BIT, value & _COUNT
 
 
 def run_pieces(text: Column, wanted: Column, length: int) -> Column:
@@ -118,15 +115,12 @@ def run_pieces(text: Column, wanted: Column, length: int) -> Column:
             out = []
             for value, items in zip(texts, lists):
                 data, rows = (value.as_py() or "").encode(), []
-                key = _text_key(data)
                 for item in items.as_py() or []:
-                    of, start, count = _place(item["place"])
-                    if of != key:
-                        continue  # another text with this id
+                    start, count = _place(item["place"])
                     if item["hot"]:
                         for at in range(start, start + count):
                             digest = hashlib.blake2b(data[at : at + length], digest_size=16).digest()
-                            rows.append((item["anchor"], key << _TEXT_BIT | at << _START_BIT | 1, True, digest))
+                            rows.append((item["anchor"], at << _START_BIT | 1, True, digest))
                     else:
                         rows.append((item["anchor"], item["place"], False, data[start : start + count + length - 1]))
                 out.append([dict(zip(("anchor", "place", "hot", "piece"), r)) for r in rows])
@@ -196,6 +190,7 @@ def repeated_in_batches(length: int):
                 yield _spans(np.array(copies_owner), np.array(copies_place), np.zeros(len(copies_owner), np.int64))
         end_group()
         yield from flush(pieces, owner, place)
+        make_room()
 
     return batches
 
@@ -243,8 +238,7 @@ def remove_spans(text: Column, places: Column, length: int, as_text: bool = Fals
                     out.append((len(data), 0, 0, data.decode() if as_text else data))
                     continue
                 packed = np.sort(np.array(items, np.int64))
-                packed = packed[packed >> _TEXT_BIT == _text_key(data)]
-                start = packed >> _START_BIT & ((1 << (_TEXT_BIT - _START_BIT)) - 1)
+                start = packed >> _START_BIT
                 gone = np.zeros(len(data) + 1, np.int32)
                 np.add.at(gone, start, 1)
                 np.add.at(gone, start + (packed & _COUNT) + length - 1, -1)
@@ -258,6 +252,20 @@ def remove_spans(text: Column, places: Column, length: int, as_text: bool = Fals
     return removed(text, places)
 
 
+def _ids_with_several_texts(docs: DataFrame, number: Column, text: str) -> bool:
+    pairs = docs.select(number.alias("doc"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("h"))
+    return not pairs.groupBy("doc").agg(F.min("h").alias("low"), F.max("h").alias("high")).filter("low <> high").isEmpty()
+
+
+def _numbered(docs: DataFrame, number: Column, text: str, key: str) -> DataFrame:
+    """Add a number of its own to each distinct pair of id and text, in the order of ids, by a distributed sort."""
+    wide, digest = free_name(docs, "doc_number"), free_name(docs, "text_digest")
+    named = docs.withColumns({wide: number, digest: F.md5(F.coalesce(F.col(text), F.lit("")))})
+    pairs = named.select(F.col(wide).alias("n"), F.col(digest).alias("d")).distinct()
+    ranks = with_position(pairs, F.col("n"), F.col("d"), name=key)
+    return named.join(ranks, (named[wide] == ranks["n"]) & (named[digest] == ranks["d"])).drop("n", "d", wide, digest)
+
+
 def without_repeats(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", length: int = LENGTH, as_text: bool = False
 ) -> DataFrame:
@@ -267,22 +275,23 @@ def without_repeats(
     id, or earlier in the same text) is removed; strings are judged on the input and never
     cross texts. Null texts are empty. A row without id comes last
     (as does an id of 2^63 - 1). Rows of one id and text
-    are one document and get the same result; different texts of one id are ordered by a
-    16-bit hash. Windows of hot anchors are compared by 128-bit digests, all others by their
+    are one document and get the same result; different texts of one id are documents of their
+    own, in the order of their digests. Windows of hot anchors are compared by 128-bit digests, all others by their
     bytes.
     """
     key, places, box = (free_name(docs, n) for n in ("doc_key", "repeated_places", "removed_box"))
     number = F.coalesce(F.col(doc_id).cast("long"), F.lit(_LAST))
-    spans = repeated_spans(docs.select(number.alias("doc"), F.col(text).alias("text")), length)
-    found = spans.groupBy("doc").agg(F.collect_list("place").alias(places)).withColumnRenamed("doc", key)
-    if sorted(docs.columns) == sorted((doc_id, text)):  # then the texts are shuffled once for both joins
+    plain = not _ids_with_several_texts(docs, number, text)
+    numbered = docs.withColumn(key, number) if plain else _numbered(docs, number, text, key)
+    texts = docs.select(number.alias("doc"), F.col(text).alias("text")) if plain else numbered.select(F.col(key).alias("doc"), F.col(text).alias("text"))
+    found = repeated_spans(texts, length).groupBy("doc").agg(F.collect_list("place").alias(places)).withColumnRenamed("doc", key)
+    if plain and sorted(docs.columns) == sorted((doc_id, text)):  # then the texts are shuffled once for both joins
         back = F.when(F.col("doc") != _LAST, F.col("doc")).cast(docs.schema[doc_id].dataType)
-        left = docs.select(number.alias("doc"), F.col(text).alias("text"))
-        joined = left.join(found.withColumnRenamed(key, "doc"), "doc", "left").select(
+        joined = texts.join(found.withColumnRenamed(key, "doc"), "doc", "left").select(
             back.alias(doc_id), F.col("text").alias(text), places, F.lit(None).alias(key)
         )
     else:
-        joined = docs.withColumn(key, number).join(found, key, "left")
+        joined = numbered.join(found, key, "left")
     boxed = joined.withColumn(box, remove_spans(F.col(text), F.col(places), length, as_text))
     fields = {f: F.col(f"{box}.{f}") for f in ("n_bytes", "n_removed", "n_spans", "kept")}
     return boxed.withColumns(fields).drop(key, places, box)

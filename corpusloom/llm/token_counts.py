@@ -19,7 +19,7 @@ import regex
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import whole_text
+from corpusloom.llm.common import resident, whole_text
 
 # How byte-level BPE cuts a text.
 PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
@@ -32,7 +32,7 @@ SETTLED = regex.compile(r"[^\x00-\u0557\u2000-\u206f\u20a0-\u20bf\u3000-\u30ff\u
 LATIN = re.compile(r"[^\x00-\u02ff\u2010-\u2027\u20ac]")
 
 SHORT = 64  # symbols up to which a scan beats a heap, and letters up to which a piece is remembered
-MEMO = 400_000  # pieces remembered in each of two generations
+MEMO = 100_000  # pieces remembered in each of two generations
 
 
 def latin_class(kind: str) -> str:
@@ -172,18 +172,13 @@ class TokenCounter:
         return specials + sum(map(self._segment, self.special.split(text)))
 
 
-_COUNTERS: dict[str, TokenCounter] = {}  # of this worker
-
-
 def token_count(spark: SparkSession, text: Column, path: str) -> Column:
     """Tokens of a text, counted on the executors; the proved strings are broadcast (at most one vocabulary)."""
     whole = spark.sparkContext.broadcast(prove_whole_tokens(path))
 
     @F.arrow_udf("long")
     def counted(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        if path not in _COUNTERS:
-            _COUNTERS[path] = TokenCounter(path, whole.value)
-        counter = _COUNTERS[path]
+        counter = resident(("tokens", path), lambda: TokenCounter(path, whole.value))
         for batch in batches:
             yield pa.array([counter.count(t.as_py() or "") for t in batch], pa.int64())
 

@@ -392,7 +392,7 @@ def test_hot_anchors_give_the_same_spans(spark, texts):
     def windows(df):
         from corpusloom.llm.suffix_dedup import _place
 
-        return {(r.doc, s + k) for r in df.collect() for _, s, n in [_place(r.place)] for k in range(n)}
+        return {(r.doc, s + k) for r in df.collect() for s, n in [_place(r.place)] for k in range(n)}
 
     assert windows(repeated_spans(docs, hot_runs=1)) == windows(repeated_spans(docs))
 
@@ -405,6 +405,18 @@ def test_repeats_on_odd_tables(spark):
     assert without_repeats(docs.limit(0)).collect() == []
 
 
+def test_texts_of_one_id_are_kept_apart(spark):
+    rng = random.Random(12)
+    words = lambda n: "".join(rng.choices("abcdefgh ", k=n))
+    shared = words(300)
+    rows = [(1, shared), (2, shared), (2, words(306)), (2, words(400)), (None, words(250)), (None, shared + "x"), (3, words(200))]
+    docs = spark.createDataFrame([(i, t, n) for n, (i, t) in enumerate(rows)], "doc_id long, text string, doc_number long").repartition(4)
+    got = {r.doc_number: (r.doc_id, r.n_removed, bytes(r.kept).decode()) for r in without_repeats(docs).collect()}
+    for n, (i, t) in enumerate(rows):
+        copy = n and shared in t
+        assert got[n] == (i, 300 if copy else 0, t.replace(shared, "") if copy else t)
+
+
 def test_later_windows():
     import numpy as np
 
@@ -425,4 +437,4 @@ def test_later_windows():
 
 
 def test_one_query_for_each_operator():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
