@@ -320,12 +320,36 @@ def document_files(spark, sf):
     path = scratch_path(spark, "docs")
     docs = table(spark, sf, "documents")
     value = W.document_text(F.col("doc_id"), page_url("http://x.org/wiki", F.col("doc_id")), F.col("source"), F.col("text"))
-    W.write_documents(docs.select(value.alias("value")), path, compress=True)
+    W.write_documents(docs.select("doc_id", value.alias("value")), path, compress=True, order=["doc_id"])
     back = spark.read.option("lineSep", "\n</doc>\n\n").text(path)
     number = F.regexp_extract("value", r'^<doc id="(\d+)"', 1).cast("long")
     return back.select(number.alias("doc_id"), F.concat("value", F.lit("\n</doc>\n")).alias("written"))
 
 
+_FILE_LIMIT = 200 * 1024
+_PACKED_SQL = """WITH RECURSIVE sized AS (
+  SELECT row_number() OVER (ORDER BY doc_id) AS i, strlen(text) + 1 AS n FROM documents WHERE text IS NOT NULL),
+packed AS (
+  SELECT i, 0::BIGINT AS f, n AS held FROM sized WHERE i = 1
+  UNION ALL
+  SELECT s.i, CASE WHEN held + n > {limit} THEN f + 1 ELSE f END, CASE WHEN held + n > {limit} THEN n ELSE held + n END
+  FROM packed p JOIN sized s ON s.i = p.i + 1),
+files AS (SELECT f, count(*) AS documents, sum(n) AS bytes FROM packed JOIN sized USING (i) GROUP BY f)
+SELECT 'A' || chr((65 + f // 100)::INT) AS folder, count(*) AS files, sum(documents)::BIGINT AS documents, sum(bytes)::BIGINT AS bytes,
+  max(bytes)::BIGINT AS largest FROM files GROUP BY f // 100"""
+
+
+@query("document_packing", _PACKED_SQL.format(limit=_FILE_LIMIT))
+def document_packing(spark, sf):
+    """Files, documents and bytes of every folder of packed documents."""
+    docs = table(spark, sf, "documents").select("doc_id", F.col("text").alias("value"))
+    packed = W.pack_documents(docs, _FILE_LIMIT, ["doc_id"]).groupBy("folder", "file")
+    files = packed.agg(F.count(F.lit(1)).alias("documents"), F.sum(F.octet_length("value").cast("long") + 1).alias("bytes"))
+    return files.groupBy("folder").agg(
+        F.count(F.lit(1)).alias("files"), F.sum("documents").alias("documents"), F.sum("bytes").alias("bytes"), F.max("bytes").alias("largest")
+    )
+
+
 # --- end to end ----------------------------------------------------------------------
 
 

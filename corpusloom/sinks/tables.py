@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
+
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import checkpoint
+
 MIN_FILE_BYTES = 200 * 1024
+FILES_PER_FOLDER = 100
 
 
 def _write_spaced(df: DataFrame, path: str, *columns: str) -> None:
@@ -64,14 +72,81 @@ def file_bytes(size: str) -> int:
     return int(amount) * 1024**power
 
 
-def write_documents(documents: DataFrame, path: str, size: str = "1M", compress: bool = False) -> None:
-    """Write ``documents(value)`` as text files of at most ``size``.
+def folder_name(number: int) -> str:
+    """AA, AB, ... ZZ, then three letters and more."""
+    letters = ""
+    while number >= 0 or len(letters) < 2:
+        number, place = divmod(max(number, 0), 26)
+        letters = chr(ord("A") + place) + letters
+        number -= len(letters) >= 2
+    return letters
+
 
-    A document larger than that makes its file larger.
+def pack_documents(documents: DataFrame, limit: int, order: Sequence[str] = ()) -> DataFrame:
+    """(folder, file, place, value): documents dealt in order to files of at most ``limit`` bytes.
+
+    A document that does not fit behind the others opens the next file; one larger than ``limit``
+    has a file of its own. 100 files fill a folder. The documents are cut into ranges of at least
+    100 files by ``order`` (as they lie if empty; null keys first) and stored; each range packs by the running sum of its own sizes, and
+    only the number of files of each range reaches the driver. Only the last file of a range is not filled.
+    """
+    spark = documents.sparkSession
+    keyed = documents.select("value", *(F.col(c).alias(f"key_{i}") for i, c in enumerate(order)))
+    if not order:
+        keyed = keyed.withColumn("key_0", F.monotonically_increasing_id())
+    keys = [c for c in keyed.columns if c != "value"]
+    keyed = keyed.filter("value IS NOT NULL")
+    total = keyed.agg(F.sum(F.octet_length("value") + 1).alias("n")).first()["n"] or 0
+    ranges = max(1, total // (limit * FILES_PER_FOLDER))
+    ordered = keyed.repartitionByRange(ranges, *keys).sortWithinPartitions(*keys, F.xxhash64("value"))
+    stored = checkpoint(ordered.select("value", (F.octet_length("value") + 1).alias("size")))
+
+    def ends(sizes: Iterable[int]) -> Iterator[int]:
+        """The file of each document of a range, counted from 0."""
+        file, held = 0, 0
+        for size in sizes:
+            if held and held + size > limit:
+                file, held = file + 1, 0
+            held += size
+            yield file
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last = -1
+        for last in ends(size for batch in batches for size in batch.column(0).to_pylist()):
+            pass
+        yield pa.RecordBatch.from_pydict({"part": [TaskContext.get().partitionId()], "files": [last + 1]})
+
+    before, offsets = 0, {}
+    for row in stored.select(F.col("size").cast("long")).mapInArrow(counted, "part long, files long").orderBy("part").collect():
+        offsets[row["part"]] = before
+        before += row["files"]
+
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sizes: deque[int] = deque()
+        numbers = ends(iter(sizes.popleft, None))
+        place, first = 0, offsets[TaskContext.get().partitionId()]
+        for batch in batches:
+            sizes.extend(batch.column(1).to_pylist())
+            files = [first + next(numbers) for _ in range(len(batch))]
+            columns = [
+                pa.array([folder_name(f // FILES_PER_FOLDER) for f in files], pa.string()),
+                pa.array([f"wiki_{f % FILES_PER_FOLDER:02d}" for f in files], pa.string()),
+                pa.array(range(place, place + len(files)), pa.int64()),
+                batch.column(0),
+            ]
+            place += len(files)
+            yield pa.RecordBatch.from_arrays(columns, ["folder", "file", "place", "value"])
+
+    return stored.select("value", F.col("size").cast("long")).mapInArrow(packed, "folder string, file string, place long, value string")
+
+
+def write_documents(
+    documents: DataFrame, path: str, size: str = "1M", compress: bool = False, order: Sequence[str] = ()
+) -> None:
+    """Write ``documents(value, ...)`` as text files ``folder=AA/file=wiki_00`` of at most ``size`` before compression.
+
+    Packed as in ``pack_documents``; an empty table leaves no file.
     """
-    limit = file_bytes(size)
-    length = F.octet_length("value")
-    largest = documents.filter(length <= limit).agg(F.max(length).alias("n")).first()["n"] or limit
-    writer = documents.select("value").write.mode("overwrite").option("lineSep", "\n")
-    writer = writer.option("maxRecordsPerFile", max(1, limit // (largest + 1)))
+    rows = pack_documents(documents, file_bytes(size), order).sortWithinPartitions("folder", "file", "place")
+    writer = rows.select("folder", "file", "value").write.mode("overwrite").partitionBy("folder", "file").option("lineSep", "\n")
     (writer.option("compression", "bzip2") if compress else writer).text(path)

@@ -74,16 +74,41 @@ def test_table_readers(spark, tmp_path):
     assert tuple(R.read_page_rank(spark, file("r", "0 9 0.5\n")).first()) == (0, 9, 0.5)
 
 
+def _files(folder):
+    return {str(f.parent.relative_to(folder)): f.stat().st_size for f in sorted(folder.glob("folder=*/file=*/*.txt"))}
+
+
 def test_document_files(spark, tmp_path):
-    docs = spark.range(100).select(F.concat(F.repeat(F.lit("x"), 9999), F.lit("\n")).alias("value"))
-    W.write_documents(docs.coalesce(1), str(tmp_path / "out"), "200K")
-    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("*.txt")]
-    assert len(sizes) >= 5 and max(sizes) <= 200 * 1024
+    docs = spark.range(100).select("id", F.concat(F.lpad(F.col("id").cast("string"), 9999, "0"), F.lit("\n")).alias("value"))
+    W.write_documents(docs.repartition(7), str(tmp_path / "out"), "200K", order=["id"])
+    files = _files(tmp_path / "out")
+    assert list(files) == [f"folder=AA/file=wiki_{n:02d}" for n in range(5)]
+    assert list(files.values()) == [20 * 10001] * 5  # twenty of 10,001 bytes fit into 204,800
+    first = spark.read.text(str(tmp_path / "out/folder=AA/file=wiki_00")).filter("value <> ''")
+    assert sorted(int(r["value"][-4:]) for r in first.collect()) == list(range(20))
+    W.write_documents(docs.limit(0), str(tmp_path / "none"))
+    assert _files(tmp_path / "none") == {}
     with pytest.raises(ValueError):
         W.file_bytes("10K")
     assert W.file_bytes("1M") == 1024**2 and W.file_bytes("300000") == 300000
 
 
+def test_a_large_document_has_its_own_file(spark, tmp_path):
+    large = [(n, "x" * (900_000 if n == 150 else 400)) for n in range(301)]
+    docs = spark.createDataFrame([*large, (None, None)], "n long, value string")
+    W.write_documents(docs, str(tmp_path / "out"), "500K", order=["n"])
+    assert list(_files(tmp_path / "out").values()) == [150 * 401, 900_001, 150 * 401]
+    W.write_documents(docs, str(tmp_path / "packed"), "1M", order=["n"])
+    assert list(_files(tmp_path / "packed").values()) == [300 * 401 + 900_001]
+
+
+def test_folders_hold_a_hundred_files(spark):
+    docs = spark.range(730).select("id", F.repeat(F.lit("y"), 99).alias("value"))
+    packed = W.pack_documents(docs, 300, ["id"]).groupBy("folder").agg(F.countDistinct("file").alias("n"), F.min("place").alias("first"))
+    assert sorted(map(tuple, packed.select("folder", "n").collect())) == [("AA", 100), ("AB", 100), ("AC", 44)]
+    assert [W.folder_name(n) for n in (0, 25, 26, 675, 676, 701, 702)] == ["AA", "AZ", "BA", "ZZ", "AAA", "AAZ", "ABA"]
+
+
 def test_links(spark):
     pages = spark.createDataFrame(
         [(0, '<a href="B">b</a> <A class=x href=\'C%20d\'>c</A><a href="B">again</a> <a name="x">no</a>'), (1, "<a href=A#top>x</a>")],
