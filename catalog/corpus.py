@@ -10,7 +10,10 @@ from corpusloom.functions.titles import page_url
 from corpusloom.operators import graph as G
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
+from corpusloom.operators.expansion import expand_templates
 from corpusloom.operators.pagerank import rank_pages
+from corpusloom.operators.pages import article_filter
+from corpusloom.operators.templates import load_templates
 from corpusloom.plans.extract import clean_articles, extract_corpus
 from corpusloom.plans.index import rank_and_search
 from corpusloom.runtime import scratch_path
@@ -227,7 +230,30 @@ def siteinfo(spark, sf):
 
 @query("template_namespace", "SELECT 'Template' || count(*) AS template_namespace FROM documents")
 def template_namespace(spark, sf):
-    return X.template_namespace(X.read_siteinfo(spark, _dump(spark, sf)))
+    return X.template_namespace(X.read_siteinfo(spark, _dump(spark, sf))).select("template_namespace")
+
+
+@query(
+    "dump_files",
+    """SELECT doc_id AS page_id, source || ' & ' || doc_id AS title, CASE WHEN lang IN ('de', 'fr') THEN 'http://a.org/wiki' ELSE 'http://b.org/w' END
+      || '?curid=' || doc_id AS url, text || ' [a ' || lang || '] (b ' || lang || ')' AS text FROM documents WHERE lang <> 'es'""",
+)
+def dump_files(spark, sf):
+    """Two dumps read at once, each with its own base and its own name of the template namespace."""
+    path = scratch_path(spark, "dumps")
+    pages = _xml_pages(spark, sf, "lang").withColumn("value", F.replace("value", F.lit("</text>"), F.concat(F.lit(" {{sig a|"), "lang", F.lit("}} {{sig b|"), "lang", F.lit("}}</text>"))))
+    dumps = [("a", "http://a.org/wiki/Main", "Vorlage", "[a {{{1}}}]", F.col("lang").isin("de", "fr")), ("b", "http://b.org/w/Main", "Template", "(b {{{1}}})", ~F.col("lang").isin("de", "fr"))]
+    for name, base, namespace, body, mine in dumps:
+        header = f'<siteinfo><base>{base}</base><namespaces><namespace key="10">{namespace}</namespace></namespaces></siteinfo>\n'
+        page = f"<page><title>{namespace}:Sig {name}</title><ns>10</ns><id>-1</id><revision><text>{body}</text></revision></page>"
+        rows = pages.filter(mine).select("value").unionByName(spark.range(1).select(F.lit(page).alias("value")))
+        rows.select(F.concat(F.lit(header), "value")).write.text(f"{path}/{name}")
+    read = X.with_siteinfo(X.read_wiki_dump(spark, f"{path}/*", with_file=True), X.read_siteinfo(spark, f"{path}/*"))
+    namespace = F.col("template_namespace")
+    articles = article_filter(read, template_namespace=namespace).withColumn("url", page_url(F.col("url_base"), F.col("page_id")))
+    templates, redirects = load_templates(read, namespace)
+    expanded = expand_templates(articles.select("page_id", "title", "url", "text"), templates, redirects, F.lit("2024-05-06").cast("timestamp"))
+    return expanded.select("page_id", "title", "url", "text")
 
 
 @query(
@@ -269,6 +295,17 @@ def adjacency_parse(spark, sf):
     return R.read_page_links(spark, path).select("src", F.array_join(F.col("dsts").cast("array<string>"), " ").alias("dsts"))
 
 
+@query(
+    "adjacency_parts",
+    """WITH edges AS (SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem),
+    placed AS (SELECT *, (row_number() OVER (PARTITION BY src ORDER BY dst) - 1) // 3 AS part FROM edges)
+    SELECT src, part, string_agg(dst::VARCHAR, ' ' ORDER BY dst) AS dsts FROM placed GROUP BY src, part""",
+)
+def adjacency_parts(spark, sf):
+    """Neighbourhoods of more than three targets, cut into numbered parts."""
+    return G.adjacency(_number_links(spark, sf), row_limit=3).select("src", "part", F.concat_ws(" ", F.col("dsts").cast("array<string>")).alias("dsts"))
+
+
 @query("adjacency_edges", "SELECT DISTINCT l_partkey AS src, l_suppkey AS dst FROM lineitem")
 def adjacency_edges(spark, sf):
     path = scratch_path(spark, "links")

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import attach_by_key
+from corpusloom.operators.ranking import with_position
+from corpusloom.runtime import attach_by_key, checkpoint
 
 # Longest adjacency row; a larger neighbourhood continues on further rows.
 ADJACENCY_ROW = 100_000
@@ -40,25 +41,30 @@ def uniform_vector(nodes: DataFrame) -> DataFrame:
 
 
 def adjacency(edge_rows: DataFrame, nodes: DataFrame | None = None, row_limit: int = ADJACENCY_ROW) -> DataFrame:
-    """(src, dsts): the sorted distinct link targets of each page.
+    """(src, part, dsts): the sorted distinct link targets of each page.
 
-    A source with more than ``row_limit`` targets is spread over several rows,
-    so no task ever holds one unbounded list; ``adjacency_edges`` reads them alike.
-    Nodes without any link get one row with an empty list when ``nodes`` is given.
+    A source with more than ``row_limit`` targets has several rows, each with so many targets at
+    most; their ``part`` numbers count from 0 and their lists follow each other in order. Any other source
+    has part 0 alone. The targets of large sources are placed by a distributed sort, so no task
+    holds an unbounded list. Nodes without any link get one row with an empty list when ``nodes`` is given.
     """
     degrees = out_degree(edge_rows)
-    large = degrees.filter(F.col("out_degree") > row_limit)
-    # the rows of large sources are the only ones to learn their degree
-    chunked = attach_by_key(
-        edge_rows, large.withColumn("_chunks", F.ceil(F.col("out_degree") / row_limit)).drop("out_degree"), "src", "left"
-    ).withColumn("_chunk", F.pmod(F.xxhash64("dst"), F.coalesce("_chunks", F.lit(1))))
-    lists = chunked.groupBy("src", "_chunk").agg(F.sort_array(F.collect_set("dst")).alias("dsts"))
-    lists = lists.select("src", "dsts")
+    large = degrees.filter(F.col("out_degree") > row_limit).select("src", F.lit(True).alias("_large"))
+    # the rows of large sources are the only ones to learn that they are
+    marked = checkpoint(attach_by_key(edge_rows, large, "src", "left"))
+    lists = F.sort_array(F.collect_set("dst")).alias("dsts")
+    found = marked.filter("_large IS NULL").groupBy("src").agg(lists).select("src", F.lit(0).cast("long").alias("part"), "dsts")
+    hubs = marked.filter("_large").select("src", "dst").distinct()
+    if not hubs.isEmpty():
+        placed = with_position(hubs, F.col("src"), F.col("dst"), name="_place")
+        firsts = placed.groupBy("src").agg(F.min("_place").alias("_first"))
+        parted = attach_by_key(placed, firsts, "src").withColumn("part", F.floor((F.col("_place") - F.col("_first")) / row_limit))
+        found = found.unionByName(parted.groupBy("src", "part").agg(lists))
     if nodes is None:
-        return lists
-    empty = F.array().cast(lists.schema["dsts"].dataType)
+        return found
+    empty = F.array().cast(found.schema["dsts"].dataType)
     lonely = nodes.select(F.col("id").alias("src")).join(degrees, "src", "left_anti")
-    return lists.unionByName(lonely.select("src", empty.alias("dsts")))
+    return found.unionByName(lonely.select("src", F.lit(0).cast("long").alias("part"), empty.alias("dsts")))
 
 
 def adjacency_edges(rows: DataFrame) -> DataFrame:

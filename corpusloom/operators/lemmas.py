@@ -80,8 +80,8 @@ def lemmatize(
     """Replace ``content`` by its lemmas, separated by single spaces.
 
     At most BROADCAST_ROWS forms that change are sent to every worker and looked up in
-    place, without a shuffle. Beyond that each document collects its own short list of
-    them, which is then applied to its tokens.
+    place, without a shuffle. Beyond that each row collects its own short list of
+    them, which is then applied to its tokens. Rows of one id, or without one, stay rows of their own.
     """
     changing = checkpoint(noun_forms(lexicon, exceptions).filter("form != lemma"))
     rows, size = changing.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("form") + F.octet_length("lemma")), F.lit(0))).first()
@@ -99,10 +99,11 @@ def lemmatize(
 
         return contents.withColumn("content", looked_up(content_tokens(F.col("content"), stopwords)))
     tokens = contents.withColumn("_tokens", content_tokens(F.col("content"), stopwords))
-    distinct = tokens.select("doc_id", F.explode(F.array_distinct("_tokens")).alias("form"))
+    tokens = checkpoint(tokens.withColumn("_row", F.monotonically_increasing_id()))
+    distinct = tokens.select("_row", F.explode(F.array_distinct("_tokens")).alias("form"))
     changed = (
         distinct.join(changing, "form")
-        .groupBy("doc_id")
+        .groupBy("_row")
         .agg(F.map_from_entries(F.collect_list(F.struct("form", "lemma"))).alias("_changed"))
     )
     applied = F.when(
@@ -110,7 +111,7 @@ def lemmatize(
         F.transform("_tokens", lambda t: F.coalesce(F.col("_changed")[t], t)),
     ).otherwise(F.col("_tokens"))
     return (
-        tokens.join(changed, "doc_id", "left")
+        tokens.join(changed, "_row", "left")
         .withColumn("content", F.array_join(applied, " "))
-        .drop("_tokens", "_changed")
+        .drop("_tokens", "_changed", "_row")
     )

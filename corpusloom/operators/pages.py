@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import ACCEPTED_NAMESPACES, TEMPLATE_NAMESPACE
@@ -10,9 +10,12 @@ from corpusloom.operators.ranking import with_position
 
 
 def article_filter(
-    pages: DataFrame, accepted=ACCEPTED_NAMESPACES, template_namespace: str = TEMPLATE_NAMESPACE
+    pages: DataFrame, accepted=ACCEPTED_NAMESPACES, template_namespace: str | Column = TEMPLATE_NAMESPACE
 ) -> DataFrame:
-    """Pages that are no redirect, no template, and in no namespace but the accepted ones."""
+    """Pages that are no redirect, no template, and in no namespace but the accepted ones.
+
+    The template namespace is a name, or a column of ``pages`` where dumps differ in it.
+    """
     title = F.col("title")
     return pages.filter(
         F.col("redirect").isNull()

@@ -34,9 +34,19 @@ PARAMS = "array<struct<name: string, value: string>>"
 # --- definitions ---------------------------------------------------------------
 
 
-def load_templates(pages: DataFrame, template_namespace: str = TEMPLATE_NAMESPACE) -> tuple[DataFrame, DataFrame]:
-    """Definitions among all pages: those whose title is in the template namespace."""
-    return define_templates(pages.filter(F.col("title").startswith(template_namespace + ":")))
+def load_templates(pages: DataFrame, template_namespace: str | Column = TEMPLATE_NAMESPACE) -> tuple[DataFrame, DataFrame]:
+    """Definitions among all pages: those whose title is in the template namespace.
+
+    The namespace is a name, or a column of ``pages`` where dumps differ in it. Titles and
+    redirects bear the usual name of the namespace, as calls do.
+    """
+    own = template_namespace if isinstance(template_namespace, Column) else F.lit(template_namespace)
+    prefix, usual = F.concat(own, F.lit(":")), F.lit(TEMPLATE_NAMESPACE + ":")
+    found = pages.filter(F.col("title").startswith(prefix)).withColumn("_prefix", prefix)
+    renamed = found.withColumn("title", F.concat(usual, F.substring("title", F.length("_prefix") + 1, F.length("title"))))
+    redirect = F.col("text").startswith("#REDIRECT") & (F.col("_prefix") != usual)
+    text = F.when(redirect, F.replace("text", F.concat(F.lit("[["), "_prefix"), F.concat(F.lit("[["), usual))).otherwise(F.col("text"))
+    return define_templates(renamed.withColumn("text", text).drop("_prefix"))
 
 
 def define_templates(pages: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -15,7 +15,7 @@ from corpusloom.operators.sections import compact_sections
 from corpusloom.operators.expansion import expand_templates
 from corpusloom.operators.templates import load_templates
 from corpusloom.runtime import checkpoint
-from corpusloom.sources.wiki_xml import template_namespace
+from corpusloom.sources.wiki_xml import with_siteinfo
 
 
 def clean_articles(
@@ -27,10 +27,11 @@ def clean_articles(
     """(page_id, title, text): articles with dense ids and cleaned text that keeps its links.
 
     Templates defined among ``pages`` are expanded when ``as_of`` is given, else dropped.
-    ``siteinfo`` of the dump names the template namespace; without it, it is ``Template``.
+    ``siteinfo`` names the template namespace of the dump, or of each of its files; without it, it is ``Template``.
     """
-    named = template_namespace(siteinfo).first() if siteinfo is not None else None
-    prefix = named["template_namespace"] if named else TEMPLATE_NAMESPACE
+    prefix = TEMPLATE_NAMESPACE
+    if siteinfo is not None:
+        pages, prefix = with_siteinfo(pages, siteinfo), F.col("template_namespace")
     articles = with_dense_ids(article_filter(pages, accepted, prefix).select("title", "text"))
     if as_of is not None:
         templates, redirects = load_templates(pages, prefix)

@@ -5,9 +5,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.fixed_values import TEMPLATE_NAMESPACE
 from corpusloom.functions.entities import unescape
 from corpusloom.operators.links import first_title
 from corpusloom.operators.pages import with_dense_ids
+from corpusloom.runtime import checkpoint, sized_broadcast
 
 PAGE_SCHEMA = (
     "title string, ns int, id long, redirect struct<_title: string>, revision array<struct<id: long, text: string>>"
@@ -18,11 +20,11 @@ SITE_SCHEMA = "base string, namespaces struct<namespace: array<struct<_key: int,
 
 def _chunks(spark: SparkSession, path: str) -> DataFrame:
     """The file cut behind every page, so that one large dump, bz2 included, is read by many tasks."""
-    return spark.read.option("lineSep", "</page>").text(path)
+    return spark.read.option("lineSep", "</page>").text(path).select("value", F.col("_metadata.file_path").alias("file"))
 
 
-def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
-    """pages(page_id, title, ns, redirect, text) of one or more dump files.
+def read_wiki_dump(spark: SparkSession, path: str, with_file: bool = False) -> DataFrame:
+    """pages(page_id, title, ns, redirect, text) of one or more dump files, and their ``file`` if asked for.
 
     ``redirect`` is null for pages that are none. The text is that of the first
     revision. A page that is no well-formed XML is read by its tags instead.
@@ -35,6 +37,7 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
             F.from_xml(F.concat(source, F.lit("</page>")), PAGE_SCHEMA, _XML_OPTIONS).alias("p"),
             source.contains("<redirect").alias("is_redirect"),
             source.alias("source"),
+            "file",
         )
     )
     broken = F.col("p.title").isNull() & F.col("p.id").isNull() & F.col("p.revision").isNull()
@@ -50,34 +53,48 @@ def read_wiki_dump(spark: SparkSession, path: str) -> DataFrame:
         F.coalesce("p.ns", F.when(broken, tag("ns").try_cast("int"))).alias("ns"),
         F.when(F.col("is_redirect"), F.coalesce("p.redirect._title", named, F.lit(""))).alias("redirect"),
         F.coalesce(F.get("p.revision", F.lit(0))["text"], F.when(broken, tag("text")), F.lit("")).alias("text"),
+        *(["file"] if with_file else []),
     )
 
 
 def read_siteinfo(spark: SparkSession, path: str) -> DataFrame:
-    """One row siteinfo(url_base, namespaces ARRAY<STRUCT<key, name>>) of a dump.
+    """siteinfo(file, url_base, namespaces ARRAY<STRUCT<key, name>>): one row for each file that has a header.
 
-    All files of a dump must agree; the query fails where they do not.
+    Of several headers in one file the least counts.
     """
-    found = (
-        _chunks(spark, path)
-        .filter(F.col("value").contains("<siteinfo"))
-        .select(F.from_xml(F.regexp_extract("value", r"(?s)(<siteinfo.*?</siteinfo>)", 1), SITE_SCHEMA, _XML_OPTIONS).alias("s"))
-    )
-    found = found.agg(F.collect_set("s").alias("all")).filter(F.size("all") > 0)  # a few per dump file
-    found = found.select(
-        F.when(F.size("all") == 1, F.col("all")[0]).otherwise(F.raise_error(F.lit("dump files differ in siteinfo"))).alias("s")
-    )
+    header = F.regexp_extract("value", r"(?s)(<siteinfo.*?</siteinfo>)", 1)
+    found = _chunks(spark, path).filter(F.col("value").contains("<siteinfo")).groupBy("file").agg(F.min(header).alias("header"))
+    found = found.select("file", F.from_xml("header", SITE_SCHEMA, _XML_OPTIONS).alias("s"))
     named = F.transform(
         "s.namespaces.namespace",
         lambda n: F.struct(n["_key"].alias("key"), F.coalesce(n["_VALUE"], F.lit("")).alias("name")),
     )
-    return found.select(F.regexp_replace("s.base", "/[^/]*$", "").alias("url_base"), named.alias("namespaces"))
+    return found.select("file", F.regexp_replace("s.base", "/[^/]*$", "").alias("url_base"), named.alias("namespaces"))
 
 
 def template_namespace(siteinfo: DataFrame) -> DataFrame:
-    """One row: the name of the namespace with key 10."""
-    names = siteinfo.select(F.explode("namespaces").alias("n"))
-    return names.filter("n.key = 10").select(F.col("n.name").alias("template_namespace"))
+    """(file, template_namespace): the name of each file's namespace with key 10."""
+    names = siteinfo.select("file", F.explode("namespaces").alias("n"))
+    return names.filter("n.key = 10").select("file", F.col("n.name").alias("template_namespace"))
+
+
+def with_siteinfo(pages: DataFrame, siteinfo: DataFrame) -> DataFrame:
+    """Add ``url_base`` and ``template_namespace`` of each page's own dump file.
+
+    Where all headers say the same, that holds for every page, whichever file has the header. Otherwise
+    ``pages`` need their ``file``; pages of a file without a header have no url base and the
+    usual template namespace.
+    """
+    sites = siteinfo.join(template_namespace(siteinfo), "file", "left").select("file", "url_base", "template_namespace")
+    usual = F.coalesce("template_namespace", F.lit(TEMPLATE_NAMESPACE)).alias("template_namespace")
+    different = sites.select("url_base", usual).distinct().limit(2).collect()
+    if len(different) < 2:
+        base, name = different[0] if different else (None, TEMPLATE_NAMESPACE)
+        return pages.withColumns({"url_base": F.lit(base).cast("string"), "template_namespace": F.lit(name)})
+    if "file" not in pages.columns:
+        raise ValueError("dump files differ in their siteinfo: read the pages with their file")
+    # one short row for each file
+    return pages.join(sized_broadcast(checkpoint(sites)), "file", "left").select(*pages.columns, "url_base", usual)
 
 
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
 from corpusloom.operators.pages import article_filter
+from corpusloom.operators.templates import load_templates
 from corpusloom.plans.extract import extract_corpus
 from corpusloom.plans.index import rank_and_search
 from corpusloom.sinks import tables as W
@@ -46,8 +47,26 @@ def test_dump(spark, tmp_path, compressed):
     assert tuple(rows[5]) == (5, "T5 & x", 0, None, " line 5\n<ref> ")
     assert rows[3]["redirect"] == "Q" and rows[77]["text"] == "" and rows[77]["ns"] == 1
     info = X.read_siteinfo(spark, str(path))
-    assert tuple(info.first()) == ("http://en.example.org/wiki", [(0, ""), (10, "Vorlage")])
-    assert X.template_namespace(info).first()[0] == "Vorlage"
+    assert tuple(info.drop("file").first()) == ("http://en.example.org/wiki", [(0, ""), (10, "Vorlage")])
+    assert X.template_namespace(info).first()["template_namespace"] == "Vorlage"
+
+
+def test_files_of_different_siteinfo(spark, tmp_path):
+    for name, namespace in (("a", "Vorlage"), ("b", "Modèle")):
+        header = f'<siteinfo><base>http://{name}.org/wiki/Main</base><namespaces><namespace key="10">{namespace}</namespace></namespaces></siteinfo>'
+        body = PAGE % (f"{namespace}:Sig", 10, 1, "", f"#REDIRECT [[{namespace}:Own {name}]]") + PAGE % (f"{namespace}:Own {name}", 10, 2, "", name)
+        (tmp_path / f"{name}.xml").write_text(f"<mediawiki>\n{header}\n{body}</mediawiki>")
+    (tmp_path / "c.xml").write_text(PAGE % ("Template:C", 10, 3, "", "c"))
+    read = X.read_wiki_dump(spark, str(tmp_path / "*.xml"), with_file=True)
+    pages = X.with_siteinfo(read, X.read_siteinfo(spark, str(tmp_path / "*.xml")))
+    found = {r["title"]: (r["url_base"], r["template_namespace"]) for r in pages.collect()}
+    assert found["Vorlage:Sig"] == ("http://a.org/wiki", "Vorlage") and found["Modèle:Sig"] == ("http://b.org/wiki", "Modèle")
+    assert found["Template:C"] == (None, "Template")
+    templates, redirects = load_templates(pages, F.col("template_namespace"))
+    assert sorted(map(tuple, templates.collect())) == [("Template:C", "c"), ("Template:Own a", "a"), ("Template:Own b", "b")]
+    assert {r["target"] for r in redirects.collect()} <= {"Template:Own a", "Template:Own b"}
+    with pytest.raises(ValueError):
+        X.with_siteinfo(read.drop("file"), X.read_siteinfo(spark, str(tmp_path / "*.xml")))
 
 
 def test_page_files(spark, tmp_path):
@@ -163,3 +182,14 @@ def test_whole_way(spark, tmp_path):
     assert sorted(map(tuple, corpus["edges"].collect())) == [(src, dst) for src in range(5) for dst in (3, 4)]
     found = rank_and_search(spark, str(tmp_path / "index"), "star", corpus, count=2)
     assert {r["title"] for r in found.collect()} == {"Star", "Sun"}
+
+
+def test_lemmas_of_repeated_ids_beyond_the_broadcast(spark, monkeypatch):
+    rows = [(1, "cats run"), (1, "dogs run"), (None, "cats"), (None, "boxes"), (2, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, content string")
+    lexicon = spark.createDataFrame([("cat",), ("dog",), ("box",)], "lemma string")
+    near = sorted(map(tuple, L.lemmatize(docs, lexicon).collect()), key=str)
+    monkeypatch.setattr(L, "BROADCAST_ROWS", 0)
+    far = L.lemmatize(docs, lexicon)
+    assert far.columns == docs.columns
+    assert sorted(map(tuple, far.collect()), key=str) == near == sorted([(1, "cat run"), (1, "dog run"), (None, "cat"), (None, "box"), (2, "")], key=str)
