@@ -55,6 +55,14 @@ def write_index(path: str, **tables: DataFrame) -> None:
         table.write.mode("overwrite").parquet(f"{path}/{name}")
 
 
+def save_templates(lookup: DataFrame, table: str, path: str, buckets: int = 64) -> None:
+    """Store ``lookup(name, real_title, body)`` as ``table`` in ``path``, bucketed and sorted by name.
+
+    Later runs read it by ``read_templates`` instead of the dump; a join by name leaves the store where it lies.
+    """
+    lookup.write.mode("overwrite").bucketBy(buckets, "name").sortBy("name").option("path", path).saveAsTable(table)
+
+
 def document_text(page_id: Column, url: Column, title: Column, body: Column) -> Column:
     """One page with its header and footer lines."""
     return F.concat(

@@ -50,3 +50,15 @@ def read_page_rank(spark: SparkSession, path: str) -> DataFrame:
 
 def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
     return {name: spark.read.parquet(f"{path}/{name}") for name in INDEX_TABLES}
+
+
+def read_templates(spark: SparkSession, table: str, path: str | None = None, buckets: int = 64) -> DataFrame:
+    """lookup(name, real_title, body) of a template store; its buckets are by name.
+
+    ``path`` and ``buckets`` name the store to a session whose catalog does not know the table yet.
+    """
+    if path is not None and not spark.catalog.tableExists(table):
+        columns = "name STRING, real_title STRING, body STRING"
+        layout = f"CLUSTERED BY (name) SORTED BY (name) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        spark.sql(f"CREATE TABLE {table} ({columns}) USING parquet {layout}")
+    return spark.table(table).select("name", "real_title", "body")

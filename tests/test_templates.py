@@ -2,7 +2,9 @@ import pytest
 from pyspark.sql import functions as F
 
 from corpusloom.operators import templates as T
-from corpusloom.operators.expansion import expand_templates
+from corpusloom.operators.expansion import expand_calls, expand_templates, template_lookup
+from corpusloom.sinks.tables import save_templates
+from corpusloom.sources.tables import read_templates
 
 DEFINITIONS = [
     ("Template:T", "1={{{1}}} 2={{{2|d2}}} n={{{name|}}}"),
@@ -134,3 +136,21 @@ def test_invocations(spark):
     pages = spark.createDataFrame([(1, "P", "x {{t|a|b|c|2=B}} {{outer|{{in ner|k=v}}}}")], "page_id long, title string, text string")
     got = [(r["pos"], r["name"], r["params"]) for r in T.invocations(pages).orderBy("pos").collect()]
     assert got == [(0, "t", {"1": "a", "2": "B", "3": "c"}), (1, "in ner", {"k": "v"})]
+
+
+def test_a_saved_store_is_joined_where_it_lies(spark, tables, tmp_path):
+    save_templates(template_lookup(*tables), "saved_templates", str(tmp_path / "store"), 8)
+    spark.sql("DROP TABLE saved_templates")  # as in a later session: the files stay
+    store = read_templates(spark, "saved_templates", str(tmp_path / "store"), 8)
+    assert {r["name"] for r in store.collect()} >= {"Template:T", "Template:Al"}
+    pages = spark.createDataFrame([(1, "P", "{{t|a}} {{al|z}} {{nope}}")], "page_id long, title string, text string")
+    got = expand_calls(pages, store, F.lit("2020-03-04").cast("timestamp"), broadcast_chars=0)
+    assert [r["text"] for r in got.collect()] == ["1=a 2=d2 n= 1=z 2=d2 n= "]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        calls = spark.createDataFrame([("Template:T", 1)], "name string, n long")
+        plan = calls.join(store, "name", "left")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.sql("DROP TABLE saved_templates")
+    assert plan.count("Exchange hashpartitioning") == 1  # of the calls alone
