@@ -237,6 +237,14 @@ def unescape_pages(spark, sf):
 NUMERIC_RULES = [(r" (the|le|der|el) ", r" $1 &#233;&eacute;&#8364;&euro;&amp;lt;&unknown; ")]
 cleaning_query("unescape_numeric", NUMERIC_RULES, unescape, sql_expression=_entity_sql)
 
+CODE_RULES = [(r" (the|le|der|el) ", r" &lt;syntaxhighlight lang=x&gt;&amp;lt;$1&amp;gt;&lt;/syntaxhighlight&gt; &lt; ")]
+cleaning_query(
+    "syntax_highlight",
+    CODE_RULES,
+    M.unescape_outside_code,
+    [(r"&lt;syntaxhighlight lang=x&gt;(&amp;lt;[a-z]+&amp;gt;)&lt;/syntaxhighlight&gt; &lt; ", r"$1 < ")],
+)
+
 # --- whole pipeline -----------------------------------------------------------
 
 PAGE_RULES = [
@@ -259,6 +267,18 @@ def clean_wikitext(spark, sf):
     return M.clean_wikitext(marked_documents(spark, sf, PAGE_RULES))
 
 
+TWICE_RULES = [(r" (the|le|der|el) ", r" &amp;lt;$1&amp;gt; ")]
+
+
+@query(
+    "clean_twice_escaped",
+    f"SELECT doc_id AS page_id, {sql_rules(sql_rules('text', TWICE_RULES), [('&amp;lt;', '<'), ('&amp;gt;', '>'), *CLEANED[-5:]])} AS text FROM documents",
+)
+def clean_twice_escaped(spark, sf):
+    """What was escaped twice is text after cleaning, and no tag."""
+    return M.clean_wikitext(marked_documents(spark, sf, TWICE_RULES))
+
+
 # --- sections -----------------------------------------------------------------
 
 SECTION_RULES = [
