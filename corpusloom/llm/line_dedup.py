@@ -176,7 +176,7 @@ def _lost_keys(docs: DataFrame, min_chars: int, hot_rows: int) -> DataFrame:
 def _cut(docs: DataFrame, min_chars: int, hot_rows: int, box: str) -> DataFrame:
     """Add a struct: lines, lines dropped, and the text of the others."""
     spare = free_name(docs, "lost_keys")
-    other = f"{spare}_id"
+    other = free_name(docs, "lost_doc")
     lost = _lost_keys(docs.select("doc_id", "text"), min_chars, hot_rows).select(F.col("doc_id").alias(other), F.col("lost").alias(spare))
 
     @F.arrow_udf("struct<n_lines: long, n_dropped: long, kept: string>")

@@ -51,9 +51,10 @@ def line_rows(rng):
 @pytest.mark.parametrize("hot_rows", [1_000_000, 3])
 def test_lines(spark, hot_rows):
     rows = line_rows(random.Random(1))
-    docs = spark.createDataFrame([(i, t, "k", 3) for i, t in rows], "doc_id long, text string, kept string, lost_keys int").repartition(6)
+    columns = "doc_id long, text string, kept string, lost_keys int, lost_doc int, cut_lines int"
+    docs = spark.createDataFrame([(i, t, "k", 3, 4, 5) for i, t in rows], columns).repartition(6)
     got = without_repeated_lines(docs, hot_rows=hot_rows)
-    assert got.columns == ["doc_id", "text", "kept", "lost_keys", "n_lines", "n_dropped"]
+    assert got.columns == ["doc_id", "text", "kept", "lost_keys", "lost_doc", "cut_lines", "n_lines", "n_dropped"]
     assert sorted(((r.doc_id, r.n_lines, r.n_dropped, r.kept) for r in got.collect()), key=str) == plain_lines(rows)
     left = drop_repeated_lines(docs)
     assert left.columns == docs.columns and sorted(((r.doc_id, r.text, r.kept) for r in left.collect()), key=str) == sorted(
