@@ -5,7 +5,9 @@ of all other words by their first two bytes. A context of one or two symbols is
 followed CONTEXT_COUNT times and its next-symbol distribution diverges from that of the context
 without its first symbol. Distributions are smoothed with the next shorter one, down to the
 add-one chances of words. A token is scored in the state of the longest kept context before it:
-its symbol's chance there, times its share of the symbol in the whole corpus.
+its symbol's chance there, times its share of the symbol in the whole corpus. The logarithm of
+that chance is a sum over rows of the tree, so every row is stored with what it adds, and a
+text asks for rows by 64-bit keys and gets one number back from each task.
 
 All thresholds are counts, so words, contexts and pairs grow with the corpus. They are stored
 tables: the most frequent rows are broadcast, texts meet the others in a shuffle.
@@ -14,7 +16,7 @@ tables: the most frequent rows are broadcast, texts meet the others in a shuffle
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -24,7 +26,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import lower_words, mix, word_hashes
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import attach_by_key, checkpoint, scratch_path
+from corpusloom.runtime import attach_by_key, checkpoint, discard, scratch_path
 
 DEPTH = 2  # symbols of a context
 SYMBOL_COUNT = 100  # times that a word of its own symbol is seen
@@ -37,8 +39,8 @@ HEAD_ROWS = 2_000_000  # of the tree that are broadcast, at most
 FILTER_BITS = 26  # log2 of the bits that tell which rows of the tree are not in the broadcast part
 LOOKUP_ROWS = 1_000_000  # of a table joined by broadcast, at most
 CLASSES = 512
-_BITS = 21  # of a symbol in the broadcast part
-_WIDE = 31  # of a symbol in the stored tables
+BUCKET_BITS = 21  # log2 of the buckets of the broadcast rows
+_WIDE = 31  # bits of a symbol
 _LOW, _LONG = (1 << _WIDE) - 1, 1 << 2 * _WIDE  # the last symbol of a context; mark of two symbols
 _END = CLASSES
 FLUSH = 1_000_000  # tokens counted at once by a worker
@@ -82,91 +84,65 @@ def _find(table: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 @dataclass
-class SuffixTree:
-    """Kept contexts of each length with their sums, the counts of symbols behind them, and root chances.
+class Head:
+    """The most frequent rows of the tree: their sorted keys and deltas, and where each bucket of keys starts.
 
-    ``left`` is the part of each sum whose symbols have no count here, for the shorter context.
+    A key's bucket is its leading bits, so a lookup reads one start and a row or two.
     """
 
-    contexts: list[np.ndarray]
-    sums: list[np.ndarray]
-    pairs: list[np.ndarray]
-    counts: list[np.ndarray]
-    root: np.ndarray
-    left: list[np.ndarray] = field(default_factory=list)
-    whole: bool = True  # no row of the tree is elsewhere
-    all_contexts: bool = True
-    elsewhere: np.ndarray | None = None  # bits of the rows elsewhere: a row whose bit is not set is nowhere
-
-    def ratio(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray, rest: Rest | None = None) -> np.ndarray:
-        """Chances of symbols in their states, as multiples of their root chances.
-
-        ``history`` packs the symbols before each, the last lowest; ``known`` says how many.
-        ``rest`` has what a text needs of the rows of the tree that are not here.
-        """
-        ratio = np.ones(len(symbols))
-        for d in range(1, len(self.contexts) + 1):
-            place, kept, at, seen = self._find(history, known, symbols, d)
-            sums, left, share = np.zeros(len(symbols)), np.zeros(len(symbols)), np.zeros(len(symbols))
-            sums[kept] = self.sums[d - 1][place[kept]]
-            if self.left:
-                left[kept] = self.left[d - 1][place[kept]]
-            share[seen] = self.counts[d - 1][at[seen]] / self.root[symbols[seen]]
-            if rest is not None:
-                rest.fill(d, kept, sums, left, share)
-            ratio = np.where(kept, (share + (STRENGTH + left) * ratio) / (sums + STRENGTH), ratio)
-        return ratio
-
-    def _find(self, history: np.ndarray, known: np.ndarray, symbols: np.ndarray, d: int) -> tuple[np.ndarray, ...]:
-        """Places of contexts and of symbols behind them, and whether they are here."""
-        context = history & ((1 << _BITS * d) - 1)
-        place, kept = _find(self.contexts[d - 1], context)
-        kept &= known >= d
-        at, seen = np.zeros(len(symbols), np.int64), kept & (symbols < 1 << _BITS)
-        asked = np.flatnonzero(seen)
-        at[asked], seen[asked] = _find(self.pairs[d - 1], context[asked] << _BITS | symbols[asked])
-        return place, kept, at, seen
-
-    def _packed(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Packed symbols before each of a text, and how many of the nearest ones can be here."""
-        history, known = np.zeros(len(symbols), np.int64), np.zeros(len(symbols), np.int64)
-        fits = symbols < 1 << _BITS
-        for d in range(1, DEPTH + 1):
-            history[d:] |= (symbols[:-d] & ((1 << _BITS) - 1)) << (_BITS * (d - 1))
-            known[d:] += (known[d:] == d - 1) & fits[:-d]
-        return history, known
-
-    def missed(self, symbols: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Distinct contexts and symbols, -1 for the context's own row, that a text needs from elsewhere."""
-        history, known = self._packed(symbols)
-        contexts, after = [], []
-        for d in range(1, min(DEPTH, len(symbols) - 1) + 1):
-            _, kept, _, seen = self._find(history, known, symbols, d)
-            unmet, wide = ~kept[d:], _context(symbols, d)
-            pair = ~seen[d:] & (kept[d:] | (not self.all_contexts))
-            table, place = np.unique(wide[pair], return_inverse=True)
-            keys = np.unique(place << _WIDE | symbols[d:][pair])
-            contexts.append(table[keys >> _WIDE])
-            after.append(keys & _LOW)
-            if not self.all_contexts:
-                contexts.append(np.unique(wide[unmet]))
-                after.append(np.full(len(contexts[-1]), -1))
-        columns = [np.concatenate([*c, np.empty(0, np.int64)]) for c in (contexts, after)]
+    keys: np.ndarray
+    deltas: np.ndarray
+    starts: np.ndarray
+    shift: int
+    elsewhere: np.ndarray | None  # bits of the rows that are not here: a row whose bit is not set is nowhere
+
+    def gains(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
+        """The sum of the deltas of rows that are here, and the keys of those that may be elsewhere."""
+        bucket = (keys >> _U(self.shift)).astype(np.int64)
+        at, end = self.starts[bucket], self.starts[bucket + 1]
+        gain, missing = 0.0, np.ones(len(keys), bool)
+        left = np.flatnonzero(at < end)
+        while len(left):
+            met = self.keys[at[left]] == keys[left]
+            gain += float(self.deltas[at[left[met]]].sum())
+            missing[left[met]] = False
+            left = left[~met]
+            at[left] += 1
+            left = left[at[left] < end[left]]
         if self.elsewhere is None:
-            return tuple(columns)
-        at = _bit(*columns)
-        there = self.elsewhere[at >> 6] >> (at & 63) & 1 > 0
-        return columns[0][there], columns[1][there]
+            return gain, keys[:0]
+        asked = keys[missing]
+        bit = _bit(asked)
+        return gain, asked[self.elsewhere[bit >> 6] >> (bit & 63) & 1 > 0]
+
+
+def _row_keys(context: np.ndarray, symbol: np.ndarray | int) -> np.ndarray:
+    """64-bit keys of rows of the tree."""
+    return mix(mix(context.astype(_U)) + np.asarray(symbol, np.int64).astype(_U))
+
+
+def row_keys_of_text(symbols: np.ndarray) -> np.ndarray:
+    """Keys of all rows of the tree whose deltas make the gain of a text, each as often as it counts."""
+    keys = [np.empty(0, _U)]
+    for d in range(1, min(DEPTH, len(symbols) - 1) + 1):
+        context = _context(symbols, d)
+        keys += [_row_keys(context, -1), _row_keys(context, symbols[d:])]
+    return np.concatenate(keys)
+
+
+def row_key(context: Column, symbol: Column) -> Column:
+    """The key of a stored row."""
+
+    @F.arrow_udf("long")
+    def key(contexts: pa.Array, symbols: pa.Array) -> pa.Array:
+        return pa.array(_row_keys(contexts.to_numpy(), symbols.to_numpy()).view(np.int64))
 
-    def gain(self, symbols: np.ndarray, rest: tuple[np.ndarray, ...] | None = None) -> np.ndarray:
-        """The ratio of each symbol of a text; ``rest`` has context, symbol, x and y of rows from elsewhere."""
-        history, known = self._packed(symbols)
-        return self.ratio(history, known, symbols, None if rest is None else Rest(symbols, *rest))
+    return key(context, symbol)
 
 
-def _bit(context: np.ndarray, symbol: np.ndarray) -> np.ndarray:
+def _bit(keys: np.ndarray) -> np.ndarray:
     """Place of a row of the tree in ``elsewhere``."""
-    return (mix(mix(context.astype(_U)) + symbol.astype(_U)) >> _U(64 - FILTER_BITS)).astype(np.int64)
+    return (mix(keys) >> _U(64 - FILTER_BITS)).astype(np.int64)
 
 
 def _bits(rest: DataFrame) -> np.ndarray:
@@ -174,46 +150,16 @@ def _bits(rest: DataFrame) -> np.ndarray:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _bit(batch.column("context").to_numpy(), batch.column("symbol").to_numpy())
+            at = _bit(batch.column("key").to_numpy().view(_U))
             yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], names=["word", "bits"])
 
-    words = rest.select("context", "symbol").mapInArrow(places, "word long, bits long").groupBy("word")
+    words = rest.select("key").mapInArrow(places, "word long, bits long").groupBy("word")
     word, bits = _columns(words.agg(F.bit_or("bits").alias("bits")), "word", "bits")
     out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
     out[word] = bits
     return out
 
 
-@dataclass
-class Rest:
-    """Rows of the tree that a text needs and that are not broadcast."""
-
-    symbols: np.ndarray
-    context: np.ndarray
-    symbol: np.ndarray
-    x: np.ndarray
-    y: np.ndarray
-
-    def fill(self, d: int, kept: np.ndarray, sums: np.ndarray, left: np.ndarray, share: np.ndarray) -> None:
-        """Put in what is here for contexts of ``d`` symbols."""
-        if len(self.symbols) <= d:
-            return
-        wide = _context(self.symbols, d)
-        state, after = self.symbol < 0, self.symbol >= 0
-        order = np.argsort(self.context[state])
-        place, met = _find(self.context[state][order], wide)
-        to = np.flatnonzero(met) + d
-        kept[to] = True
-        sums[to], left[to] = self.x[state][order][place[met]], self.y[state][order][place[met]]
-        table = np.unique(self.context[after])
-        keys = np.searchsorted(table, self.context[after]) << _WIDE | self.symbol[after]
-        order = np.argsort(keys)
-        place, met = _find(table, wide)
-        at, seen = _find(keys[order], place << _WIDE | self.symbols[d:])
-        seen &= met
-        share[np.flatnonzero(seen) + d] = self.x[after][order][at[seen]]
-
-
 def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Callable, counts_of: Callable) -> Column:
     """Counts of what the values of the rows to learn from hold.
 
@@ -246,11 +192,11 @@ def _columns(df: DataFrame, *names: str) -> list[np.ndarray]:
     return [table.column(n).to_numpy().astype(np.int64) for n in names]
 
 
-def _stored(df: DataFrame) -> DataFrame:
-    """The rows, written once to the shared folder as compressed columns."""
+def _stored(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows, written once to the shared folder as compressed columns, and their path."""
     path = scratch_path(df.sparkSession, "tree")
-    df.write.parquet(path)
-    return df.sparkSession.read.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path), path
 
 
 def _attach(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") -> DataFrame:
@@ -260,8 +206,8 @@ def _attach(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") ->
     return attach_by_key(rows, lookup, key, how)
 
 
-def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words, np.ndarray]:
-    """The stored vocabulary (key, n) and symbols (symbol, n, root, key), the frequent words, and root chances of their symbols.
+def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words]:
+    """The stored vocabulary (key, n) and symbols (symbol, n, root, key), and the frequent words.
 
     Symbols of words follow the end in order of count, so the frequent words have the first ones.
     """
@@ -281,18 +227,17 @@ def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words, np.ndarr
     keys, counts = _columns(vocabulary.filter(often), "key", "n")
     order = np.argsort(keys)
     words = Words(keys[order], counts[order], np.full(len(keys), -1), total, distinct, ends)
-    keys, symbols, counts = _columns(own.filter(often), "key", "symbol", "n")
+    keys, symbols = _columns(own.filter(often), "key", "symbol")
     words.symbols[words.find(keys)[0]] = symbols
-    root = np.zeros(_END + 1 + len(symbols))
-    root[symbols] = (counts + 1) / base
+    root = np.zeros(_END + 1)
     of_class = vocabulary.filter(F.col("n") < SYMBOL_COUNT).groupBy(F.col("key").bitwiseAND(F.lit(CLASSES - 1)).alias("kind"))  # at most CLASSES rows
     kind, n, types = _columns(of_class.agg(F.sum("n").alias("n"), F.count("*").alias("types")), "kind", "n", "types")
     root[kind] = n + types
     root[:CLASSES] += 1  # words never met
     root[_END] = ends + 1
-    root[: _END + 1] /= base
+    root /= base
     classes = spark.createDataFrame([(i, 0, float(root[i]), None) for i in range(_END + 1)], own.schema)
-    return vocabulary, own.unionByName(classes), words, root
+    return vocabulary, own.unionByName(classes), words
 
 
 def _context(symbols: np.ndarray, d: int) -> np.ndarray:
@@ -303,12 +248,15 @@ def _context(symbols: np.ndarray, d: int) -> np.ndarray:
 
 
 def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
-    """Stored rows (context, symbol, n, x, y) of kept contexts and what follows them.
-
-    The row of a context has symbol -1, its count as n and x, and as y the mass of symbols
-    seen there fewer than PAIR_COUNT times, which goes to the shorter context. A symbol's row
-    has its count as n, and the count over its root chance as x. Sums are taken over all
-    symbols. All counts are made and joined in Spark, of whatever number they are.
+    """Stored rows (context, symbol, n, key, delta) of kept contexts and what follows them.
+
+    The chance of a symbol behind a kept context is (n / root + (STRENGTH + y) r) / (STRENGTH + total)
+    times its root chance: r is the same ratio behind the context without its first symbol, y the
+    mass of symbols seen fewer than PAIR_COUNT times here, which goes to that shorter context.
+    The row of a context has symbol -1 and as delta the logarithm of (STRENGTH + y) / (STRENGTH + total);
+    a symbol's row has what its count adds to that. So the logarithm of a token's ratio is the
+    sum of the deltas of the rows met on the way to its longest kept context, and a text gains
+    the sum over all rows that it meets. All counts are made and joined in Spark, of whatever number.
     """
     spark, model = rows.sparkSession, None
     chances, wanted = symbols.select("symbol", "root"), None
@@ -327,27 +275,20 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
             return table[keys >> _WIDE], keys & _LOW, n
 
         counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PAIR, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
-        pairs = _stored(counts.groupBy("context", "symbol").agg(F.sum("n").alias("n")))
+        pairs, path = _stored(counts.groupBy("context", "symbol").agg(F.sum("n").alias("n")))
         sums = checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= CONTEXT_COUNT))
-        often = _attach(_attach(pairs, sums, "context"), chances, "symbol")
-        ratio, seen = F.lit(1.0), F.col("n") >= PAIR_COUNT
-        if d > 1:
-            # in the state of the context without its first symbol
-            last = F.col("context").bitwiseAND(F.lit(_LOW)).alias("last")
-            states = model.filter("symbol < 0").select(F.col("context").alias("last"), F.col("x").alias("sx"), F.col("y").alias("sy"))
-            after = model.filter("symbol >= 0").select(F.col("context").alias("last"), "symbol", F.col("x").alias("px"))
-            often = _attach(often.select("*", last), states, "last", "left").join(after, ["last", "symbol"], "left")
-            there = (F.coalesce("px", F.lit(0.0)) + F.col("sy") + STRENGTH) / (F.col("sx") + STRENGTH)
-            ratio = F.when(F.col("sx").isNotNull(), there).otherwise(F.lit(1.0))
-        shorter = F.col("root") * ratio
-        mixed = (F.col("n") + STRENGTH * shorter) / (F.col("total") + STRENGTH)
-        judged = often.withColumn("term", mixed * F.log(mixed / shorter)).groupBy("context", "total")
+        often = _with_shorter(_attach(pairs, sums, "context"), chances, model)
+        mixed = (F.col("n") + STRENGTH * F.col("shorter")) / (F.col("total") + STRENGTH)
+        judged = often.withColumn("term", mixed * F.log(mixed / F.col("shorter"))).groupBy("context", "total")
+        seen = F.col("n") >= PAIR_COUNT
         judged = judged.agg(F.sum("term").alias("divergence"), F.coalesce(F.sum(F.when(seen, F.col("n"))), F.lit(0)).alias("given"))
         kept = checkpoint(judged.filter(F.col("total") * F.col("divergence") >= GAIN))
-        held = _attach(_attach(pairs.filter(seen), kept.select("context"), "context"), chances, "symbol")
-        value = F.col("total").cast("double")
-        grown = kept.select("context", F.lit(-1).cast("long").alias("symbol"), F.col("total").alias("n"), value.alias("x"), (value - F.col("given")).alias("y"))
-        grown = _stored(grown.unionByName(held.select("context", "symbol", "n", (F.col("n") / F.col("root")).alias("x"), F.lit(0.0).alias("y"))))
+        left = (F.col("total") - F.col("given") + STRENGTH).alias("left")
+        held = _with_shorter(_attach(pairs.filter(seen), kept.select("context", left), "context"), chances, model)
+        states = kept.select("context", F.lit(-1).cast("long").alias("symbol"), F.col("total").alias("n"), F.log(left / (F.col("total") + STRENGTH)).alias("delta"))
+        added = F.log1p(F.col("n") / (F.col("left") * F.col("shorter"))).alias("delta")
+        grown = states.unionByName(held.select("context", "symbol", "n", added))
+        grown, _ = _stored(grown.select("*", row_key(F.col("context"), F.col("symbol")).alias("key")))
         model = grown if model is None else model.unionByName(grown)
         if d < DEPTH:
             # a longer context is frequent only if what follows this one is
@@ -355,42 +296,42 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
                 F.shiftleft("context", _WIDE).bitwiseOR(F.col("symbol")).bitwiseOR(F.lit(_LONG)).alias("context")
             )
             wanted = spark.sparkContext.broadcast(np.sort(_columns(long, "context")[0])) if long.count() <= HEAD_ROWS else None
+        discard(spark, path)
     return model
 
 
-def head_of(model: DataFrame, root: np.ndarray) -> tuple[SuffixTree, DataFrame]:
+def _with_shorter(pairs: DataFrame, chances: DataFrame, model: DataFrame | None) -> DataFrame:
+    """Add ``shorter``: the chance of the symbol in the state of the context without its first symbol."""
+    rooted = _attach(pairs, chances, "symbol")
+    if model is None:
+        return rooted.withColumn("shorter", F.col("root"))
+    last = F.col("context").bitwiseAND(F.lit(_LOW)).alias("last")
+    states = model.filter("symbol < 0").select(F.col("context").alias("last"), F.col("delta").alias("state_delta"))
+    after = model.filter("symbol >= 0").select(F.col("context").alias("last"), "symbol", F.col("delta").alias("after_delta"))
+    met = _attach(rooted.select("*", last), states, "last", "left").join(after, ["last", "symbol"], "left")
+    return met.withColumn("shorter", F.col("root") * F.exp(F.coalesce("state_delta", F.lit(0.0)) + F.coalesce("after_delta", F.lit(0.0))))
+
+
+def head_of(model: DataFrame) -> tuple[Head, DataFrame]:
     """The most frequent rows of the tree, at most HEAD_ROWS, for a broadcast; and the other rows."""
-    small = (F.col("symbol") < min(len(root), 1 << _BITS)) & (F.col("context").bitwiseAND(F.lit(_LOW)) < 1 << _BITS)
-    small &= F.shiftright(F.col("context").bitwiseAND(F.lit(_LONG - 1)), _WIDE) < 1 << _BITS
     power = F.floor(F.log2("n") * 8)
-    sizes = sorted(model.filter(small).groupBy(power.alias("power")).count().collect(), reverse=True)  # a few hundred rows
+    sizes = sorted(model.groupBy(power.alias("power")).count().collect(), reverse=True)  # a few hundred rows
     least, held = 1 << 20, 0
     for power_of, count in sizes:
         held += count
         if held > HEAD_ROWS:
             break
         least = power_of
-    first = small & (power >= least)
-    table = model.filter(first).select("context", "symbol", "n", "y").toArrow()
-    context, symbol, n, y = (table.column(i).to_numpy() for i in range(4))
-    tree = SuffixTree([], [], [], [], root, [])
-    for d in range(1, DEPTH + 1):
-        of_length = (context & _LONG > 0) == (d > 1)
-        packed = (context >> _WIDE & _LOW) << _BITS | context & _LOW if d > 1 else context
-        states, after = np.flatnonzero(of_length & (symbol < 0)), np.flatnonzero(of_length & (symbol >= 0))
-        states = states[np.argsort(packed[states])]
-        tree.contexts.append(packed[states])
-        tree.sums.append(n[states])
-        tree.left.append(y[states])
-        keys = packed[after] << _BITS | symbol[after]
-        order = np.argsort(keys)
-        tree.pairs.append(keys[order])
-        tree.counts.append(n[after][order])
-    rest = model.filter(~first)
-    tree.whole = rest.isEmpty()
-    tree.all_contexts = tree.whole or rest.filter("symbol < 0").isEmpty()
-    tree.elsewhere = None if tree.whole else _bits(rest)
-    return tree, rest
+    table = model.filter(power >= least).select("key", "delta").toArrow()
+    keys = table.column("key").to_numpy().view(_U)
+    order = np.argsort(keys)
+    keys = keys[order]
+    depth = min(max(len(keys).bit_length(), 1), BUCKET_BITS)
+    bounds = np.arange(1 << depth, dtype=_U) << _U(64 - depth)
+    starts = np.append(np.searchsorted(keys, bounds), len(keys)).astype(np.int32)
+    rest = model.filter(power < least)
+    elsewhere = None if held <= HEAD_ROWS else _bits(rest)
+    return Head(keys, table.column("delta").to_numpy()[order], starts, 64 - depth, elsewhere), rest
 
 
 def encoded(text: Column, shared: Broadcast, open_rare: bool) -> Column:
@@ -444,51 +385,41 @@ def settled(symbols: Column, rare: Column, own: Column) -> Column:
     return settle(symbols, rare, own)
 
 
-def missed(symbols: Column, tree: Broadcast) -> Column:
-    """The rows of the tree that a text needs and that are not broadcast."""
-
-    @F.arrow_udf("array<struct<context:long,symbol:long>>")
-    def miss(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            found = [tree.value.missed(np.frombuffer(b, np.int32).astype(np.int64)) for b in batch.to_pylist()]
-            columns = [np.concatenate([*c, np.empty(0, np.int64)]) for c in zip(*found)] or [np.empty(0, np.int64)] * 2
-            offsets = np.concatenate(([0], np.cumsum([len(f[0]) for f in found]))).astype(np.int32)
-            items = pa.StructArray.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["context", "symbol"])
-            yield pa.ListArray.from_arrays(pa.array(offsets), items)
-
-    return miss(symbols)
-
-
-def gained(symbols: Column, tree: Broadcast, rest: Column | None = None) -> Column:
-    """What the states of the tree add to the log10 chance of a text, from its symbols."""
-
-    @F.arrow_udf("double")
-    def gain(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        for batch in batches:
-            coded = [np.frombuffer(b, np.int32).astype(np.int64) for b in batch.to_pylist()]
-            yield pa.array([float(np.log10(tree.value.gain(c)).sum()) for c in coded], pa.float64())
-
-    @F.arrow_udf("double")
-    def gain_with(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        for batch, lists in batches:
-            out = []
-            for b, rows in zip(batch, lists):
-                code = np.frombuffer(b.as_py(), np.int32).astype(np.int64)
-                columns = [c.to_numpy(zero_copy_only=False) for c in rows.values.flatten()] if rows.is_valid else None
-                out.append(float(np.log10(tree.value.gain(code, columns)).sum()))
-            yield pa.array(out, pa.float64())
-
-    return gain(symbols) if rest is None else gain_with(symbols, rest)
+def asked(row: Column, symbols: Column, head: Broadcast) -> Column:
+    """What a text gains from rows that are broadcast, then the keys of rows that it may need from elsewhere.
 
+    The gain stands first, under a key of the row's own, so that no task gets the gains of all.
+    """
 
-def _gains(rows: DataFrame, tree: Broadcast, rest: DataFrame) -> DataFrame:
-    """Add ``gain``; rows of the tree that are not broadcast meet the texts in a shuffle."""
-    if tree.value.whole:
-        return rows.withColumn("gain", gained(F.col("symbols"), tree))
-    asked = rows.select("row", F.explode(missed(F.col("symbols"), tree)).alias("a")).select("row", "a.*")
-    found = asked.join(rest.select("context", "symbol", "x", "y"), ["context", "symbol"])
-    found = found.groupBy("row").agg(F.collect_list(F.struct("context", "symbol", "x", "y")).alias("rest"))
-    return rows.join(found, "row", "left").withColumn("gain", gained(F.col("symbols"), tree, F.col("rest"))).drop("rest")
+    @F.arrow_udf("array<struct<key:long,gain:double>>")
+    def ask(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
+        for numbers, coded in batches:
+            own = mix(numbers.to_numpy().astype(_U))
+            keys, gains, sizes = [np.empty(0, _U)], [], [0]
+            for i, code in enumerate(coded):
+                gain, elsewhere = head.value.gains(row_keys_of_text(np.frombuffer(code.as_buffer(), np.int32).astype(np.int64)))
+                keys += [own[i : i + 1], elsewhere]
+                gains.append(gain)
+                sizes.append(1 + len(elsewhere))
+            offsets = np.cumsum(sizes)
+            found = np.zeros(offsets[-1])
+            found[offsets[:-1]] = gains
+            first = np.zeros(offsets[-1], bool)
+            first[offsets[:-1]] = True
+            fields = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(found, mask=~first)]
+            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, ["key", "gain"]))
+
+    return ask(row, symbols)
+
+
+def _gains(rows: DataFrame, head: Broadcast, rest: DataFrame) -> DataFrame:
+    """Add ``gain``, in nats. Rows of the tree that are not broadcast meet the keys of the texts in a shuffle."""
+    found = asked(F.col("row"), F.col("symbols"), head)
+    if head.value.elsewhere is None:
+        return rows.withColumn("gain", found[0]["gain"]).drop("symbols")
+    keys = rows.select("row", F.explode(found).alias("a")).select("row", "a.*")
+    sums = keys.join(rest.select("key", "delta"), "key", "left").groupBy("row")
+    return rows.drop("symbols").join(sums.agg(F.sum(F.coalesce("gain", "delta")).alias("gain")), "row")
 
 
 def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -506,18 +437,19 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     context = docs.sparkSession.sparkContext
     learns = F.coalesce(learn, F.lit(False))
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learns.alias("learn"))
-    vocabulary, symbols, words, root = learn_words(plain)
+    vocabulary, symbols, words = learn_words(plain)
     rarest = words.total * KNOWN_SHARE  # count of a broadcast word
     coded = encoded(F.col("text"), context.broadcast(words), rarest > SYMBOL_COUNT)
     rows = plain.select("doc_id", "learn", F.monotonically_increasing_id().alias("row"), coded.alias("s"))
-    rows = checkpoint(rows.select("doc_id", "learn", "row", "s.*"))  # four bytes a token
+    rows, path = _stored(rows.select("doc_id", "learn", "row", "s.*"))  # at most four bytes a token
     if rarest > SYMBOL_COUNT:
         own = symbols.filter(F.col("n") < rarest).filter("key is not null").select(F.col("key").alias("rare_key"), "symbol")
         own = rows.select("row", F.explode(F.array_distinct("rare")).alias("rare_key")).join(own, "rare_key")
         own = own.groupBy("row").agg(F.collect_list(F.struct("rare_key", "symbol")).alias("own"))
         coded = settled(F.col("symbols"), F.col("rare"), F.col("own"))
-        rows = checkpoint(rows.join(own, "row", "left").withColumn("symbols", coded).drop("own"))
-    tree, other = head_of(grow_tree(rows, symbols), root)
+        rows, _ = _stored(rows.join(own, "row", "left").withColumn("symbols", coded).drop("own"))
+        discard(docs.sparkSession, path)
+    head, other = head_of(grow_tree(rows, symbols))
     base = float(np.log10(words.total + words.distinct + 1))
     rest = vocabulary.filter(F.col("n") < rarest).select(F.col("key").alias("rare_key"), "n")
     met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
@@ -526,7 +458,7 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     )
     zero, base_score = F.lit(0), F.col("base") + F.coalesce("more_base", F.lit(0.0))
     plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", "symbols")
-    plain = _gains(plain, context.broadcast(tree), other).drop("symbols")
+    plain = _gains(plain, context.broadcast(head), other)
     return plain.join(added, "row", "left").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
@@ -534,5 +466,5 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
         (F.col("known") + F.coalesce("more_known", zero)).alias("n_known"),
         F.lit(words.total).cast("long").alias("train_tokens"),
         base_score.alias("base_score"),
-        (base_score + F.col("gain")).alias("score"),
+        (base_score + F.col("gain") / float(np.log(10))).alias("score"),
     )

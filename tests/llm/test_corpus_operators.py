@@ -289,17 +289,25 @@ def test_scores(spark, texts):
 def test_tree_chances_sum_to_one():
     import numpy as np
 
-    from corpusloom.llm.suffix_tree import _BITS, SuffixTree
+    from corpusloom.llm.suffix_tree import STRENGTH, Head, _context, _row_keys, row_keys_of_text
 
     root = np.array([0.5, 0.3, 0.2])
-    pairs = np.array([0 << _BITS | 0, 0 << _BITS | 2, 1 << _BITS | 1])
-    deep = np.array([(0 << _BITS | 1) << _BITS | 2])
-    tree = SuffixTree(
-        [np.array([0, 1]), np.array([0 << _BITS | 1])], [np.array([30, 7]), np.array([5])], [pairs, deep], [np.array([10, 20, 7]), np.array([5])], root
-    )
-    for history, known in ((0, 0), (0, 1), (1, 1), (0 << _BITS | 1, 2), (2, 1)):
-        ratio = tree.ratio(np.full(3, history), np.full(3, known), np.arange(3))
-        assert (ratio * root).sum() == pytest.approx(1)
+    ratio, rows = {(): np.ones(3)}, {}
+    for context, after in {(0,): [10, 0, 20], (1,): [0, 7, 0], (0, 1): [0, 0, 5]}.items():
+        n, shorter = np.array(after), ratio[context[1:]]
+        number = _context(np.array([*context, 0]), len(context))
+        ratio[context] = (n / root + STRENGTH * shorter) / (n.sum() + STRENGTH)
+        rows[int(_row_keys(number, -1)[0])] = np.log(STRENGTH / (n.sum() + STRENGTH))
+        for s in np.flatnonzero(n):
+            rows[int(_row_keys(number, s)[0])] = np.log1p(n[s] / (root[s] * STRENGTH * shorter[s]))
+    keys = np.array(sorted(rows), np.uint64)
+    starts = np.append(np.searchsorted(keys, np.arange(4, dtype=np.uint64) << np.uint64(62)), len(keys))
+    head = Head(keys, np.array([rows[int(k)] for k in keys]), starts, 62, None)
+    gain = lambda text: head.gains(row_keys_of_text(np.array(text)))[0]
+    for history, state in (((), ()), ((0,), (0,)), ((1,), (1,)), ((0, 1), (0, 1)), ((2, 1), (1,)), ((1, 2), ())):
+        got = np.exp([gain([*history, s]) - (gain([*history]) if history else 0) for s in range(3)])
+        assert got == pytest.approx(ratio[state])
+        assert (got * root).sum() == pytest.approx(1)
 
 
 def word_of(key, classes=512):
