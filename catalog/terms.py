@@ -253,3 +253,30 @@ def lsa_full_rank(spark, sf):
     doc_factors, term_factors = lsa(tdm, vocab, docs, k=200)
     scored = S.lsa_relevance(doc_factors, term_factors, S.query_terms(spark, "that with", vocab))
     return scored.select("doc_id", (F.round(F.round("relevance", 6) + 0.0, 6)).alias("relevance"))
+
+
+# The cells of a nation are the outer product of five numbers and its customers' balances, and no
+# other nation has these terms or documents: its one singular value is the product of both lengths. The
+# nations' largest ten are the truncated spectrum, and a document has its length in its nation's factor.
+_SPECTRUM = 10
+_BLOCKS_SQL = """balances AS (SELECT c_custkey AS doc_id, c_nationkey AS block, abs(c_acctbal)::DOUBLE AS b FROM customer),
+blocks AS (SELECT block, sqrt(sum(b * b)) * sqrt(55.0) AS sigma FROM balances GROUP BY block)"""
+
+
+@query(
+    "lsa_truncated",
+    f"WITH {_BLOCKS_SQL} SELECT doc_id, round(CASE WHEN rank <= {_SPECTRUM} THEN b * sqrt(55.0) ELSE 0 END, 3) AS norm "
+    "FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block)",
+)
+def lsa_truncated(spark, sf):
+    customers = table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("doc_id"), "c_nationkey", F.abs(F.col("c_acctbal").cast("double")).alias("b")
+    )
+    numbers = F.explode(F.sequence(F.lit(1), F.lit(5))).alias("u")  # their squares add up to 55
+    cells = customers.select("doc_id", "c_nationkey", "b", numbers)
+    cells = cells.select("doc_id", (F.col("c_nationkey") * 5 + F.col("u") - 1).cast("long").alias("term_id"), (F.col("b") * F.col("u")).alias("weight"))
+    terms = table(spark, sf, "nation").select("n_nationkey", numbers)
+    vocab = terms.select((F.col("n_nationkey") * 5 + F.col("u") - 1).cast("long").alias("term_id"))
+    doc_factors, _ = lsa(cells, vocab, customers, k=_SPECTRUM)
+    length = F.aggregate("us", F.lit(0.0), lambda acc, x: acc + x * x)
+    return doc_factors.select("doc_id", F.round(F.sqrt(length), 3).alias("norm"))
