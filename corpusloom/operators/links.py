@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from corpusloom.functions.entities import unescape
 from corpusloom.functions.text import url_unquote
 from corpusloom.functions.titles import KNOWN_NAMESPACES, normalize_title
-from corpusloom.runtime import attach_by_key
+from corpusloom.operators.key_filter import keep_known
+from corpusloom.runtime import attach_by_key, checkpoint
 
 _ANCHOR = r"""(?i)<a\b[^>]*?\bhref\s*=\s*("[^"]*"|'[^']*'|[^\s>"']+)"""
 
@@ -63,12 +64,20 @@ def resolve_links(
 
     Titles must match exactly; ``normalize`` compares normal forms without the
     part behind ``#`` and follows one redirect of ``redirects(title, target)``.
+    Links to neither a page nor a redirect leave by a filter of the titles, before any shuffle.
+    The page ids are stored once, as they are counted, filtered by and joined.
     """
+    page_ids = checkpoint(page_ids.select("page_id", "title"))
     known = page_ids.groupBy(_linkable(F.col("title"), normalize, namespaces).alias("title")).agg(
         F.max("page_id").alias("dst")
     )
-    wanted = links.select("src", _linkable(F.col("title"), normalize, namespaces).alias("title")).distinct()
-    if normalize and redirects is not None:
+    titles = page_ids.select(_linkable(F.col("title"), normalize, namespaces).alias("title"))
+    follows = normalize and redirects is not None
+    if follows:
+        titles = titles.unionByName(redirects.select(_linkable(F.col("title"), True, namespaces).alias("title")))
+    wanted = links.select("src", _linkable(F.col("title"), normalize, namespaces).alias("title"))
+    wanted = keep_known(wanted, titles, "title").distinct()
+    if follows:
         hops = redirects.groupBy(_linkable(F.col("title"), True, namespaces).alias("title")).agg(
             F.max(_linkable(F.col("target"), True, namespaces)).alias("target")
         )

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
+from corpusloom.operators import key_filter as B
 from corpusloom.operators.pages import article_filter
 from corpusloom.operators.templates import load_templates
 from corpusloom.plans.extract import extract_corpus
@@ -145,6 +146,24 @@ def test_links(spark):
     assert sorted(map(tuple, K.unresolved_links(links, ids).collect())) == [(0, "C d"), (1, "A#top")]
 
 
+def test_filter_misses_no_known_title(spark):
+    known = spark.range(3000).select(F.concat(F.lit("page "), F.col("id")).alias("title"))
+    links = spark.range(60_000).select("id", F.concat(F.lit("page "), F.col("id")).alias("title"))
+    links = links.unionByName(spark.createDataFrame([(-1, None), (-2, "page 7"), (-3, "")], "id long, title string"))
+    kept = [r["id"] for r in B.keep_known(links, known.unionByName(known.limit(50)), "title").collect()]
+    assert set(range(3000)) <= set(kept) and -2 in kept and -1 not in kept
+    assert len(kept) == len(set(kept)) < 2 * 3001
+
+
+def test_filter_of_no_titles_and_of_too_many(spark):
+    links = spark.createDataFrame([(0, "a"), (1, None)], "src long, title string")
+    assert B.keep_known(links, links.select("title").limit(0), "title").count() == 0
+    known = spark.range(B.BLOCK_WORDS * B.FULL_WORD + 1).select(F.col("id").cast("string").alias("title"))
+    assert B.keep_known(links, known, "title", max_bytes=8 * B.BLOCK_WORDS).count() == 2  # no filter, nothing lost
+    assert B.filter_words(10**9) is None and B.filter_words(10**8) == 1 << 23
+    assert B.filter_words(0) == B.filter_words(2048) == B.BLOCK_WORDS and B.filter_words(2049) == 2 * B.BLOCK_WORDS
+
+
 def test_article_filter(spark):
     pages = spark.createDataFrame(
         [("A", None), ("Talk:A", None), ("w:A", None), ("Templates", None), ("R", "A")], "title string, redirect string"
