@@ -10,7 +10,9 @@ from corpusloom.operators import graph as G
 from corpusloom.operators import search as S
 from corpusloom.operators import terms as T
 from corpusloom.operators.lsa import lsa
+from corpusloom.operators.norm_index import best_documents, read_norm_index, write_norm_index
 from corpusloom.operators.pagerank import pagerank_vector, rank_pages
+from corpusloom.runtime import scratch_path
 
 QUERIES, ORACLES = {}, {}
 VOCAB = 500
@@ -288,13 +290,36 @@ def lsa_truncated(spark, sf):
 
 
 # The third term of every nation is asked once, the fifth of nation 0 twice.
+_ASKED = " ".join([f"nation{i}x3" for i in range(25)] + ["nation0x5", "nation0x5"])
+_SCORED_SQL = f"""SELECT doc_id, round(CASE WHEN rank <= {_SPECTRUM} THEN b * CASE WHEN block = 0 THEN 13.0::DOUBLE ELSE 3 END ELSE 0 END, 3) AS relevance
+FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block)"""
+
+
 @query(
     "search_truncated",
-    f"WITH {_BLOCKS_SQL} SELECT doc_id, round(CASE WHEN rank <= {_SPECTRUM} THEN b * CASE WHEN block = 0 THEN 13.0::DOUBLE ELSE 3 END ELSE 0 END, 3) AS relevance "
-    "FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block)",
+    f"WITH {_BLOCKS_SQL} {_SCORED_SQL}",
 )
 def search_truncated(spark, sf):
     vocab, doc_factors, term_factors = _block_factors(spark, sf)
-    asked = " ".join([f"nation{i}x3" for i in range(25)] + ["nation0x5", "nation0x5"])
-    scored = S.lsa_relevance(doc_factors, term_factors, S.query_terms(spark, asked, vocab))
+    scored = S.lsa_relevance(doc_factors, term_factors, S.query_terms(spark, _ASKED, vocab))
     return scored.select("doc_id", (F.round("relevance", 3) + 0.0).alias("relevance"))
+
+
+@query("norm_index", f"""WITH {_BLOCKS_SQL}, lengths AS (SELECT doc_id, CASE WHEN rank <= {_SPECTRUM} THEN b * sqrt(55.0) ELSE 0 END AS norm
+FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block))
+SELECT count(*) AS n, round(max(norm), 3) AS longest FROM lengths WHERE norm > 1e-3 GROUP BY floor(log2(norm) * 4)""")
+def norm_index(spark, sf):
+    _, doc_factors, _ = _block_factors(spark, sf)
+    path = scratch_path(spark, "norm-index")
+    write_norm_index(doc_factors, path)
+    stored = read_norm_index(spark, path).filter("norm > 1e-3")
+    return stored.groupBy("band").agg(F.count(F.lit(1)).alias("n"), F.round(F.max("norm"), 3).alias("longest")).drop("band")
+
+
+@query("search_by_norm", f"WITH {_BLOCKS_SQL}, scored AS ({_SCORED_SQL}) SELECT doc_id, relevance FROM scored ORDER BY relevance DESC, doc_id LIMIT 25")
+def search_by_norm(spark, sf):
+    vocab, doc_factors, term_factors = _block_factors(spark, sf)
+    path = scratch_path(spark, "norm-index")
+    write_norm_index(doc_factors, path)
+    found = best_documents(spark, path, term_factors, S.query_terms(spark, _ASKED, vocab))
+    return found.withColumn("relevance", F.round("relevance", 3))

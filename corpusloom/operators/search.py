@@ -45,7 +45,7 @@ def tfidf_relevance(doc_ids: DataFrame, tdm: DataFrame, terms: DataFrame) -> Dat
     )
 
 
-def _sum_of_vectors(term_factors: DataFrame, terms: DataFrame) -> DataFrame:
+def sum_of_vectors(term_factors: DataFrame, terms: DataFrame) -> DataFrame:
     """One row (q): the term vectors of the query words added up; null if none is known."""
     asked = F.broadcast(_weights_of_terms(terms))
     parts = term_factors.join(asked, "term_id").select("times", F.posexplode("v").alias("i", "x"))
@@ -56,7 +56,11 @@ def _sum_of_vectors(term_factors: DataFrame, terms: DataFrame) -> DataFrame:
 
 def lsa_relevance(doc_factors: DataFrame, term_factors: DataFrame, terms: DataFrame) -> DataFrame:
     """(doc_id, relevance): each document's factors times the query's term vectors."""
-    q = _sum_of_vectors(term_factors, terms).scalar()
+    return factor_products(doc_factors, sum_of_vectors(term_factors, terms).scalar())
+
+
+def factor_products(doc_factors: DataFrame, q: Column) -> DataFrame:
+    """(doc_id, relevance): each document's factors times one vector; no rows if that is null."""
     dot = F.aggregate(F.zip_with("us", "_q", lambda a, b: a * b), F.lit(0.0), lambda acc, x: acc + x)
     both = doc_factors.select("doc_id", "us", q.alias("_q")).filter("_q IS NOT NULL")
     return both.select("doc_id", dot.alias("relevance"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.operators.lsa import lsa
+from corpusloom.operators.norm_index import best_documents, write_norm_index
 from corpusloom.operators.pagerank import pagerank
-from corpusloom.operators.search import search
+from corpusloom.operators.search import in_rank_order, query_terms
 from corpusloom.operators.terms import build_tdm
 from corpusloom.sinks.tables import write_index
-from corpusloom.sources.tables import read_index
+from corpusloom.sources.tables import DOC_FACTORS, read_index
 
 
 def build_index(
@@ -20,16 +21,17 @@ def build_index(
     write_index(path, tdm=tdm, vocab=vocab, page_ids=page_ids)
     tdm, vocab = (spark.read.parquet(f"{path}/{name}") for name in ("tdm", "vocab"))
     doc_factors, term_factors = lsa(tdm, vocab, contents, k)
-    write_index(path, doc_factors=doc_factors, term_factors=term_factors)
+    write_index(path, term_factors=term_factors)
+    write_norm_index(doc_factors, f"{path}/{DOC_FACTORS}")
     return read_index(spark, path)
 
 
 def answer(spark: SparkSession, path: str, query: str, page_rank: DataFrame, count: int = 25) -> DataFrame:
-    """Search a written index: the most relevant pages in page-rank order."""
+    """Search a written index: the most relevant pages in page-rank order; documents of short factors are not read."""
     index = read_index(spark, path)
-    return search(
-        spark, query, index["vocab"], index["doc_factors"], index["term_factors"], page_rank, index["page_ids"], count
-    )
+    terms = query_terms(spark, query, index["vocab"])
+    relevant = best_documents(spark, f"{path}/{DOC_FACTORS}", index["term_factors"], terms, count)
+    return in_rank_order(relevant, page_rank, index["page_ids"])
 
 
 def rank_and_search(

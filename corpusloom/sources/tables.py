@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-INDEX_TABLES = ("tdm", "vocab", "doc_factors", "term_factors", "page_ids")
+from corpusloom.operators.norm_index import read_norm_index
+
+INDEX_TABLES = ("tdm", "vocab", "term_factors", "page_ids")
+DOC_FACTORS = "doc_factors"  # stored by length, in bands
 
 
 def _spaced(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -49,7 +52,8 @@ def read_page_rank(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_index(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{path}/{name}") for name in INDEX_TABLES}
+    tables = {name: spark.read.parquet(f"{path}/{name}") for name in INDEX_TABLES}
+    return tables | {DOC_FACTORS: read_norm_index(spark, f"{path}/{DOC_FACTORS}").select("doc_id", "us")}
 
 
 def read_templates(spark: SparkSession, table: str, path: str | None = None, buckets: int = 64) -> DataFrame:

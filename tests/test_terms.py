@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
+from corpusloom.operators import norm_index as N
 from corpusloom.operators import search as S
 from corpusloom.operators import terms as T
 from corpusloom.operators.lsa import lsa
@@ -109,3 +110,61 @@ def test_lsa_queries_take_the_whole_vocabulary(spark):
     assert vocab.count() == term_factors.count() == min(n_terms, 30_000)
     assert doc_factors.count() == n_docs
     assert 20 < len(term_factors.first().v) <= 300
+
+
+def _vectors(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, us array<double>")
+
+
+@pytest.fixture(scope="module")
+def factors(spark):
+    import numpy as np
+
+    random = np.random.default_rng(5)
+    lengths = 2.0 ** random.uniform(-8, 4, 600)
+    vectors = random.normal(size=(600, 6))
+    vectors *= (lengths / np.linalg.norm(vectors, axis=1))[:, None]
+    rows = [(i, [float(x) for x in v]) for i, v in enumerate(vectors)]
+    rows += [(600 + i, rows[i][1]) for i in range(40)]  # ties, by id
+    return _vectors(spark, rows + [(900, [0.0] * 6), (901, None)])
+
+
+@pytest.fixture(scope="module")
+def asked(spark):
+    terms = spark.createDataFrame([(0, "a", 0), (1, "b", 2), (2, "b", 2), (3, "zzz", None)], "pos int, word string, term_id long")
+    vectors = [(0, [1.0, -2.0, 0.5, 0.0, 1.0, 3.0]), (1, [9.0] * 6), (2, [0.0, 1.0, 1.0, -1.0, 0.25, 0.0])]
+    return spark.createDataFrame(vectors, "term_id long, v array<double>"), terms
+
+
+@pytest.mark.parametrize("count, first", [(1, 1), (25, 25), (60, 100), (640, 10), (1000, 1)])
+def test_search_by_norm_is_a_full_scan(spark, tmp_path, factors, asked, count, first):
+    N.write_norm_index(factors, str(tmp_path))
+    got = N.best_documents(spark, str(tmp_path), *asked, count, first).collect()
+    want = S.most_relevant(S.lsa_relevance(factors.filter("us IS NOT NULL"), *asked), count).collect()
+    assert got == want and len(got) == min(count, 641)
+
+
+def test_search_by_norm_leaves_short_documents_unread(spark, tmp_path, factors, asked, monkeypatch):
+    N.write_norm_index(factors, str(tmp_path))
+    read = []
+    products = N.factor_products
+    monkeypatch.setattr(N, "factor_products", lambda part, q: read.append(part.count()) or products(part, q))
+    N.best_documents(spark, str(tmp_path), *asked, 5, 5)
+    assert sum(read) < 200
+
+
+def test_search_by_norm_without_documents_or_words(spark, tmp_path, factors, asked):
+    N.write_norm_index(factors.limit(0), str(tmp_path))
+    assert N.best_documents(spark, str(tmp_path), *asked).count() == 0
+    N.write_norm_index(factors, str(tmp_path))
+    unknown = asked[1].filter("term_id IS NULL")
+    assert N.best_documents(spark, str(tmp_path), asked[0], unknown).count() == 0
+    assert N.best_documents(spark, str(tmp_path), *asked, 0).count() == 0
+
+
+def test_steps_grow_and_cover_every_band():
+    bands = [(band, 10, 2.0 ** (band / 4)) for band in range(-20, 20)] + [(N.EMPTY_BAND, 3, 0.0)]
+    cut = N.steps(bands, 10, 2)
+    assert cut[0][:2] == (19, 19) and cut[1][:2] == (18, 17) and cut[-1][1] == N.EMPTY_BAND
+    assert all(a[1] > b[0] for a, b in zip(cut, cut[1:]))
+    assert N.steps([], 10) == []
