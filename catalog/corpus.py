@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from catalog.common import spread_table, sql_list, sql_text, table
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
 from corpusloom.functions.titles import page_url
+from corpusloom.operators import abbreviations as A
 from corpusloom.operators import graph as G
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
@@ -112,6 +113,57 @@ def tokens(spark, sf):
     return spread_table(spark, sf, "documents").select("doc_id", F.array_join(L.tokenize(F.col("text")), " ").alias("tokens"))
 
 
+# Words of one or two letters from b to h get a full stop behind them, so that the texts have abbreviations.
+_STOPPED_SQL = r"stopped AS (SELECT doc_id, regexp_replace(text, '(^| )([b-hB-H][a-z]?) ', '\1\2. ', 'g') AS content FROM documents)"
+_ABBREVIATIONS_SQL = rf"""{_STOPPED_SQL},
+bare AS (SELECT regexp_replace(regexp_replace(lower(unnest(regexp_split_to_array(content, '\s+'))), '^[\[({{<''`"]+', ''), '[\])}}>''",;:!?]+$', '') AS w FROM stopped),
+counted AS (SELECT regexp_replace(w, '\.$', '') AS form, count(*) FILTER (regexp_matches(w, '[^.]\.$')) AS with_stop,
+    count(*) FILTER (NOT regexp_matches(w, '[^.]\.$')) AS without FROM bare
+    WHERE regexp_matches(regexp_replace(w, '\.$', ''), '^\pL+(\.\pL+)*$') GROUP BY 1),
+measured AS (SELECT *, least((SELECT sum(with_stop)::DOUBLE / sum(with_stop + without) FROM counted), 1 - 1e-12) AS p,
+    length(replace(form, '.', '')) AS letters FROM counted WHERE with_stop >= 5),
+abbreviated AS (SELECT form, with_stop, without, 2 * (with_stop * (ln(0.99::DOUBLE) - ln(p)) + without * (ln(1 - 0.99::DOUBLE) - ln(1 - p)))
+    * exp(-letters) * (length(form) - letters + 1) * pow(letters, -without) AS score FROM measured)"""
+
+
+def _stopped(spark, sf):
+    content = F.regexp_replace("text", "(^| )([b-hB-H][a-z]?) ", "$1$2. ")
+    return spread_table(spark, sf, "documents").select("doc_id", content.alias("content"))
+
+
+@query("abbreviations", f"WITH {_ABBREVIATIONS_SQL} SELECT form, with_stop, without, round(score, 6) AS score FROM abbreviated WHERE score >= 0.3")
+def abbreviations(spark, sf):
+    return A.learn_abbreviations(_stopped(spark, sf)).withColumn("score", F.round("score", 6))
+
+
+def _kept_stops_sql():
+    at = L._TREEBANK.index(L._FINAL_STOP)
+    before, after = L._TREEBANK[:at], L._TREEBANK[at + 1 :]
+
+    def spaced(sql, rules):
+        for pattern, replacement in rules:
+            sql = f"regexp_replace({sql}, {sql_text(pattern)}, {sql_text(replacement.replace('$', chr(92)))}, 'g')"
+        return sql
+
+    words = f"string_split(rtrim({spaced(r"regexp_replace(content, '\s+', ' ', 'g') || ' '", before)}), ' ')"
+    form = r"""regexp_replace(regexp_replace(lower(w), '^[\[({<''`"]+', ''), '\.$', '')"""
+    stop = r"""regexp_matches(regexp_replace(lower(w), '^[\[({<''`"]+', ''), '[^.]\.$')"""
+    pattern, replacement = L._FINAL_STOP
+    cut = f"regexp_replace(w, {sql_text(pattern)}, {sql_text(replacement.replace('$', chr(92)))}, 'g')"
+    kept = f"list_transform(words, lambda w, i: CASE WHEN i < len(words) AND {stop} AND list_contains(forms, {form}) THEN w ELSE {cut} END)"
+    last = spaced(f"array_to_string({kept}, ' ') || ' '", after)
+    return rf"""WITH {_ABBREVIATIONS_SQL},
+    words AS (SELECT doc_id, {words} AS words, (SELECT coalesce(list(form), []) FROM abbreviated WHERE score >= 0.3) AS forms FROM stopped)
+    SELECT doc_id, array_to_string(list_filter(regexp_split_to_array({last}, '\s+'), lambda t: t <> ''), ' ') AS tokens FROM words"""
+
+
+@query("tokens_abbreviations", _kept_stops_sql())
+def tokens_abbreviations(spark, sf):
+    docs = _stopped(spark, sf)
+    own = A.attach_abbreviations(docs, A.learn_abbreviations(docs))
+    return own.select("doc_id", F.array_join(L.tokenize(F.col("content"), F.col("abbreviations")), " ").alias("tokens"))
+
+
 _CONTENT_SQL = (
     f"list_filter(list_transform({_TOKENS_SQL}, lambda t: lower(t)), lambda t: t NOT IN ({sql_list(CONTENT_STOPWORDS)}))"
 )

@@ -9,17 +9,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
+from corpusloom.operators.abbreviations import abbreviation_form
 from corpusloom.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checkpoint
 
 # Spacing rules of the Penn Treebank convention, in their order. A full stop before
-# white space ends a sentence here, so abbreviations lose theirs.
+# white space ends a sentence, unless the word before it is a given abbreviation.
+_FINAL_STOP = (r"([^.\s])\.([\])}>\"']*)(\s|$)", r"$1 . $2$3")
 _TREEBANK = (
     (r'(^|[ (\[{<\s])"', r"$1 `` "),
     (r"\.\.\.", r" ... "),
     (r"([,:])([^0-9])", r" $1 $2"),
     (r"([,:])$", r" $1 "),
     (r"[;@#$%&]", r" $0 "),
-    (r"([^.\s])\.([\])}>\"']*)(\s|$)", r"$1 . $2$3"),
+    _FINAL_STOP,
     (r"[?!]", r" $0 "),
     (r"[\]\[(){}<>]", r" $0 "),
     (r"--", r" -- "),
@@ -32,17 +34,36 @@ _TREEBANK = (
 )
 
 
-def tokenize(text: Column) -> Column:
-    """Word and punctuation tokens of a text."""
+def _split_stops(spaced: Column, abbreviations: Column) -> Column:
+    """Final stops cut off, but for those of abbreviations in front of another word."""
+    def cut(row, word, i):
+        kept = F.coalesce(F.array_contains(row["known"], abbreviation_form(word)), F.lit(False))
+        return F.when(kept & (i < F.size(row["words"]) - 1), word).otherwise(F.regexp_replace(word, *_FINAL_STOP))
+
+    # one struct, so that the words and the list are made once a text and not once a word
+    once = F.array(F.struct(F.split(F.rtrim(spaced), " ").alias("words"), abbreviations.alias("known")))
+    joined = F.transform(once, lambda row: F.array_join(F.transform(row["words"], lambda w, i: cut(row, w, i)), " "))
+    return F.concat(joined[0], F.lit(" "))
+
+
+def tokenize(text: Column, abbreviations: Column | None = None) -> Column:
+    """Word and punctuation tokens of a text.
+
+    The forms of the array ``abbreviations`` (see ``attach_abbreviations``) keep their full stop, except
+    at the end of the text.
+    """
     spaced = F.concat(F.regexp_replace(text, r"\s+", " "), F.lit(" "))
     for pattern, replacement in _TREEBANK:
-        spaced = F.regexp_replace(spaced, pattern, replacement)
+        if abbreviations is not None and (pattern, replacement) == _FINAL_STOP:
+            spaced = _split_stops(spaced, abbreviations)
+        else:
+            spaced = F.regexp_replace(spaced, pattern, replacement)
     return F.filter(F.split(spaced, r"\s+"), lambda t: t != "")
 
 
-def content_tokens(text: Column, stopwords=CONTENT_STOPWORDS) -> Column:
+def content_tokens(text: Column, stopwords=CONTENT_STOPWORDS, abbreviations: Column | None = None) -> Column:
     """Lower-cased tokens that are no stop words; repeats stay."""
-    lowered = F.transform(tokenize(text), F.lower)
+    lowered = F.transform(tokenize(text, abbreviations), F.lower)
     stop = list(stopwords)
     return F.filter(lowered, lambda t: ~t.isin(stop)) if stop else lowered
 

@@ -1,8 +1,10 @@
 import bz2
+import math
 
 import pytest
 from pyspark.sql import functions as F
 
+from corpusloom.operators import abbreviations as A
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
 from corpusloom.operators import key_filter as B
@@ -186,6 +188,41 @@ def test_tokens_and_lemmas(spark):
     assert got == {1: "system woman city box glass leaf goose city unknowns", 2: "nothing here", 3: ""}
 
 
+ABBREVIATED = (
+    ["He met Dr. Smith at e.g. a fair. Mr. J. Jones said no... Then (vs. nine) left the fair."] * 8
+    + ["The fair was there. A fair it was, said the doctor. It was no dr at all, e.g."]
+    + ["", None, "...", "."]
+)
+
+
+def _abbreviation_tokens(spark):
+    docs = spark.createDataFrame(list(enumerate(ABBREVIATED)), "doc_id long, content string")
+    own = A.attach_abbreviations(docs, A.learn_abbreviations(docs))
+    return own.select("doc_id", "abbreviations", L.tokenize(F.col("content"), F.col("abbreviations")).alias("t")).orderBy("doc_id").collect()
+
+
+def test_abbreviations_keep_their_stop(spark, monkeypatch):
+    rows = _abbreviation_tokens(spark)
+    assert rows[0]["t"] == (
+        "He met Dr. Smith at e.g. a fair . Mr. J. Jones said no ... Then ( vs. nine ) left the fair .".split()
+    )
+    assert rows[8]["t"][-7:] == ["no", "dr", "at", "all", ",", "e.g", "."]  # at the end of a text the stop is the sentence's
+    assert rows[8]["abbreviations"] == ["e.g"] and "fair" not in rows[0]["abbreviations"]
+    assert [r["t"] for r in rows[9:]] == [[], None, ["..."], ["."]]
+    monkeypatch.setattr(A, "LISTED", 0)  # joined instead of listed
+    joined = _abbreviation_tokens(spark)
+    assert [(r["t"], sorted(r["abbreviations"])) for r in joined] == [(r["t"], sorted(r["abbreviations"])) for r in rows]
+
+
+def test_abbreviations_score_by_counts(spark):
+    docs = spark.createDataFrame([(0, "Dr. " * 6 + "no. " * 6 + "no " * 6 + "word " * 60)], "doc_id long, content string")
+    got = {r["form"]: (r["with_stop"], r["without"], r["score"]) for r in A.learn_abbreviations(docs).collect()}
+    p = 12 / 78
+    assert set(got) == {"dr"} and got["dr"][:2] == (6, 0)
+    assert got["dr"][2] == pytest.approx(2 * 6 * (math.log(0.99) - math.log(p)) * math.exp(-2))
+    assert A.learn_abbreviations(docs.limit(0)).count() == 0
+
+
 def test_whole_way(spark, tmp_path):
     words = {"Sun": "sun sun sun star star star", "Star": "star star star star", "Moon": "moon moon moon sun", "Earth": "rock", "Mars": "rust"}
     pages = spark.createDataFrame(
