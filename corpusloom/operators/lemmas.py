@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
-from corpusloom.operators.abbreviations import abbreviation_form
+from corpusloom.operators.abbreviations import abbreviation_form, attach_abbreviations
 from corpusloom.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checkpoint
 
 # Spacing rules of the Penn Treebank convention, in their order. A full stop before
@@ -97,13 +97,19 @@ def lemmatize(
     lexicon: DataFrame,
     stopwords=CONTENT_STOPWORDS,
     exceptions: DataFrame | None = None,
+    abbreviations: DataFrame | None = None,
 ) -> DataFrame:
     """Replace ``content`` by its lemmas, separated by single spaces.
 
     At most BROADCAST_ROWS forms that change are sent to every worker and looked up in
     place, without a shuffle. Beyond that each row collects its own short list of
     them, which is then applied to its tokens. Rows of one id, or without one, stay rows of their own.
+    Forms of ``abbreviations(form)`` (see ``learn_abbreviations``) keep their full stop;
+    tokens are then stored before they are looked up.
     """
+    if abbreviations is not None:
+        contents = attach_abbreviations(contents, abbreviations, "content", "_abbreviations")
+    own = None if abbreviations is None else F.col("_abbreviations")
     changing = checkpoint(noun_forms(lexicon, exceptions).filter("form != lemma"))
     rows, size = changing.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("form") + F.octet_length("lemma")), F.lit(0))).first()
     if rows <= BROADCAST_ROWS and size <= BROADCAST_BYTES:
@@ -118,8 +124,11 @@ def lemmatize(
                 texts = [None if t is None else " ".join([known.get(w, w) for w in t]) for t in batch.to_pylist()]
                 yield pa.array(texts, pa.string())
 
-        return contents.withColumn("content", looked_up(content_tokens(F.col("content"), stopwords)))
-    tokens = contents.withColumn("_tokens", content_tokens(F.col("content"), stopwords))
+        if own is None:
+            return contents.withColumn("content", looked_up(content_tokens(F.col("content"), stopwords)))
+        tokens = checkpoint(contents.withColumn("content", content_tokens(F.col("content"), stopwords, own)))
+        return tokens.withColumn("content", looked_up(F.col("content"))).drop("_abbreviations")
+    tokens = contents.withColumn("_tokens", content_tokens(F.col("content"), stopwords, own))
     tokens = checkpoint(tokens.withColumn("_row", F.monotonically_increasing_id()))
     distinct = tokens.select("_row", F.explode(F.array_distinct("_tokens")).alias("form"))
     changed = (
@@ -134,5 +143,5 @@ def lemmatize(
     return (
         tokens.join(changed, "_row", "left")
         .withColumn("content", F.array_join(applied, " "))
-        .drop("_tokens", "_changed", "_row")
+        .drop("_tokens", "_changed", "_row", "_abbreviations")
     )

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import ACCEPTED_NAMESPACES, CONTENT_STOPWORDS, TEMPLATE_NAMESPACE
 from corpusloom.operators import graph as G
+from corpusloom.operators.abbreviations import learn_abbreviations
 from corpusloom.operators.lemmas import lemmatize
 from corpusloom.operators.links import extract_links, resolve_links, without_anchors
 from corpusloom.operators.markup import clean_wikitext
@@ -49,8 +50,12 @@ def extract_corpus(
     stopwords=CONTENT_STOPWORDS,
     accepted=ACCEPTED_NAMESPACES,
     siteinfo: DataFrame | None = None,
+    abbreviations: bool = False,
 ) -> dict[str, DataFrame]:
-    """page_ids, contents, edges, adjacency, transitions and vector of raw pages."""
+    """page_ids, contents, edges, adjacency, transitions and vector of raw pages.
+
+    With ``abbreviations`` those of the texts are learnt, and keep their full stop in the contents.
+    """
     cleaned = checkpoint(clean_articles(pages, as_of, accepted, siteinfo))
     page_ids = cleaned.select("page_id", "title")
     text = cleaned.select(F.col("page_id").alias("doc_id"), without_anchors(F.col("text")).alias("content"))
@@ -61,7 +66,7 @@ def extract_corpus(
     nodes = page_ids.select(F.col("page_id").alias("id"))
     return {
         "page_ids": page_ids,
-        "contents": lemmatize(text, lexicon, stopwords),
+        "contents": lemmatize(text, lexicon, stopwords, abbreviations=learn_abbreviations(text) if abbreviations else None),
         "edges": edges,
         "adjacency": G.adjacency(edges, nodes),
         "transitions": G.transition_matrix(edges),

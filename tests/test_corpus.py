@@ -214,6 +214,27 @@ def test_abbreviations_keep_their_stop(spark, monkeypatch):
     assert [(r["t"], sorted(r["abbreviations"])) for r in joined] == [(r["t"], sorted(r["abbreviations"])) for r in rows]
 
 
+@pytest.mark.parametrize("bound", [1_000_000, 0])
+def test_lemmas_of_texts_with_abbreviations(spark, monkeypatch, bound):
+    monkeypatch.setattr(L, "BROADCAST_ROWS", bound)
+    docs = spark.createDataFrame([(1, "Dr. Cats sat. Cats"), (1, "Dr. Cats sat."), (2, None), (3, "")], "doc_id long, content string")
+    lexicon = spark.createDataFrame([("cat",)], "lemma string")
+    known = spark.createDataFrame([("dr",)], "form string")
+    got = L.lemmatize(docs, lexicon, [], abbreviations=known)
+    assert got.columns == docs.columns
+    rows = sorted((r["doc_id"], r["content"] or "") for r in got.collect())
+    assert rows == [(1, "dr. cat sat ."), (1, "dr. cat sat . cat"), (2, ""), (3, "")]
+
+
+def test_extracted_contents_keep_abbreviations(spark):
+    pages = [(i, f"Page {i}", None, "The fair of Dr. Smith was large. It had a fair. The smith left.") for i in range(8)]
+    raw = spark.createDataFrame(pages, "page_id long, title string, redirect string, text string")
+    lexicon = spark.createDataFrame([("fair",)], "lemma string")
+    for learn, token in ((True, "dr."), (False, "dr")):
+        contents = extract_corpus(raw, lexicon, stopwords=[], abbreviations=learn)["contents"].collect()
+        assert len(contents) == 8 and all(token in r["content"].split(" ") for r in contents)
+
+
 def test_abbreviations_score_by_counts(spark):
     docs = spark.createDataFrame([(0, "Dr. " * 6 + "no. " * 6 + "no " * 6 + "word " * 60)], "doc_id long, content string")
     got = {r["form"]: (r["with_stop"], r["without"], r["score"]) for r in A.learn_abbreviations(docs).collect()}
