@@ -470,5 +470,5 @@ def corpus_search(spark, sf):
         F.concat("text", F.lit(" [["), "source", F.lit(" "), F.col("hub").cast("string"), F.lit("|hub]]")).alias("text"),
     )
     corpus = extract_corpus(pages, _lexicon(spark, sf))
-    found = rank_and_search(spark, scratch_path(spark, "index"), "tion ment", corpus, vocab_size=300, k=10)
+    found = rank_and_search(spark, scratch_path(spark, "index"), "tion ment", corpus)
     return found.withColumn("relevance", F.round("relevance", 5))
