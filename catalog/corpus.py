@@ -43,6 +43,18 @@ def page_title(spark, sf):
     return table(spark, sf, "pages").select("page_id", K.first_title(F.col("html")).alias("title"))
 
 
+@query(
+    "page_first_id",
+    "SELECT page_id, CASE WHEN page_id % 7 = 0 OR page_id % 5 = 0 THEN 0 ELSE page_id END AS first_id FROM pages",
+)
+def page_first_id(spark, sf):
+    """Of the ids of a page and its revision the first counts; pages without one, or with no number there, have 0."""
+    own = F.when(F.col("page_id") % 7 == 0, F.lit("")).when(F.col("page_id") % 5 == 0, F.lit("<id>none</id>\n<id>8</id>\n"))
+    own = own.otherwise(F.format_string("<id>%d</id>\n<revision>\n<id>9</id>\n</revision>\n", "page_id"))
+    source = F.concat(F.lit("<page>\n"), own, "html", F.lit("\n</page>"))
+    return table(spark, sf, "pages").select("page_id", K.first_id(source).alias("first_id"))
+
+
 @query("page_text", "SELECT page_id, regexp_replace(html, '<[^>]*>', ' ', 'g') AS text FROM pages")
 def page_text(spark, sf):
     return table(spark, sf, "pages").select("page_id", K.html_text(F.col("html")).alias("text"))
