@@ -9,9 +9,10 @@ does not rule it out is verified on the full shingle sets.
 At a likeness of 0.8 a pair misses all 32 bands of 4 registers with a chance of 5e-8,
 and the estimate rules it out (by five standard deviations) with one of 3e-7. Copies with
 equal words are grouped before, by digest. Inside a band bucket no set of all pairs is
-made: members meet one centre, then, as far as they are not yet connected, other
-centres, and at last the few outside a bucket's largest component are compared with the
-bucket in blocks, which give links only.
+made: members meet the smallest, then the greatest id, then, in buckets of a bounded size, those
+they are not connected with. In larger buckets that still hold several components, a pair
+must share one of its rarest shingles to be linked (a prefix of each set, in one order by
+frequency); the few that do are estimated and verified like all others.
 """
 
 from __future__ import annotations
@@ -27,13 +28,13 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import BROADCAST_ROWS
 from corpusloom.llm.components import components
 from corpusloom.llm.shingles import lower_words, mix, shingle_set, word_hashes
-from corpusloom.runtime import checkpoint
+from corpusloom.runtime import attach_by_key, checkpoint
 
 REGISTERS, BANDS = 128, 32
 MANTISSA = 10  # bits of a register behind its leading zeros
 PERCENT = 80
-ROUNDS = 2  # of centres, before the remaining members are compared in blocks
-BLOCK = 400  # documents of each side of a block
+SMALL = 16  # members of a bucket that may all meet
+BLOCK = 400  # documents that share a rare shingle and meet in one join, or in one block
 _U = np.uint64
 _BUCKET_BITS = REGISTERS.bit_length() - 1
 _REST_BITS = 64 - _BUCKET_BITS
@@ -126,25 +127,31 @@ def band_keys(stored: Column) -> Column:
     return keys_of(stored)
 
 
+def likely(left: np.ndarray, right: np.ndarray, n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sizes and the estimate from rows of registers leave pairs a chance to be linked."""
+    level = percent / 100
+    deviation = np.sqrt(level * (1 - level) / np.minimum(REGISTERS, np.minimum(n, m)))
+    near = estimate(left, right, n, m) >= level - SIGMAS * deviation
+    return near & (100 * np.minimum(n, m) >= percent * np.maximum(n, m))
+
+
 def possible(percent: int) -> Column:
     """Whether the estimate leaves a pair (left, right, n, m) a chance to be linked."""
 
     @F.arrow_udf("boolean")
     def passes(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
-        level = percent / 100
         for left, right, n, m in batches:
             n, m = n.to_numpy(zero_copy_only=False).astype(float), m.to_numpy(zero_copy_only=False).astype(float)
-            if not len(n):
-                yield pa.array([], pa.bool_())
-                continue
-            deviation = np.sqrt(level * (1 - level) / np.minimum(REGISTERS, np.minimum(n, m)))
-            likely = estimate(_stacked(left), _stacked(right), n, m) >= level - SIGMAS * deviation
-            # sizes alone bound the likeness
-            yield pa.array(likely & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
+            yield pa.array(likely(_stacked(left), _stacked(right), n, m, percent) if len(n) else [], pa.bool_())
 
     return passes("left_registers", "right_registers", "left_n", "right_n")
 
 
+def linked_sets(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
+    shared = len(np.intersect1d(a, b, assume_unique=True))
+    return 100 * shared >= percent * (len(a) + len(b) - shared)
+
+
 def verified(percent: int) -> Column:
     """Whether two full sets reach the likeness."""
 
@@ -153,9 +160,7 @@ def verified(percent: int) -> Column:
         for left, right in batches:
             found = []
             for a, b in zip(left, right):
-                a, b = np.frombuffer(a.as_py(), _U), np.frombuffer(b.as_py(), _U)
-                shared = len(np.intersect1d(a, b, assume_unique=True))
-                found.append(100 * shared >= percent * (len(a) + len(b) - shared))
+                found.append(linked_sets(np.frombuffer(a.as_py(), _U), np.frombuffer(b.as_py(), _U), percent))
             yield pa.array(found, pa.bool_())
 
     return linked("left_set", "right_set")
@@ -171,6 +176,45 @@ def full_sets(text: Column, words: int) -> Column:
     return whole(text)
 
 
+def members_of(stored: Column) -> Column:
+    """The shingles of a stored set."""
+
+    @F.arrow_udf("array<long>")
+    def unpack(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for batch in batches:
+            sets = [np.frombuffer(v.as_buffer(), np.int64) for v in batch]
+            offsets = np.concatenate(([0], np.cumsum([len(x) for x in sets]))).astype(np.int32)
+            yield pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*sets, np.empty(0, np.int64)])))
+
+    return unpack(stored)
+
+
+def rare_shingles(sets: DataFrame, percent: int) -> DataFrame:
+    """Rows (shingle, rep, one, label, n, place, opens) that two linked sets of different labels must share.
+
+    Shingles are ordered by the number of the sets (rep, one, label, set) that hold them, then by
+    value; ``place`` counts from 1. Of two sets that reach the likeness the smaller one (of
+    equal ones that of smaller id) has a common shingle among its first n - 2 percent n / (100 + percent) + 1,
+    which ``opens`` marks, and the other among its first n - percent n / 100 + 1. Rows that
+    no such pair can meet in are left out.
+    """
+    size = F.floor(F.octet_length("set") / 8)
+    held = sets.select("rep", "one", "label", size.alias("n"), F.explode(members_of(F.col("set"))).alias("shingle"))
+    counted = held.groupBy("shingle").agg(F.count("*").alias("df"), (F.min("label") < F.max("label")).alias("mixed"))
+    common = attach_by_key(held, counted.filter("df > 1"), "shingle")
+    # the shingles of this set alone come first
+    own = Window.partitionBy("rep", "one")
+    place = F.col("n") - F.count("*").over(own) + F.row_number().over(own.orderBy("df", "shingle"))
+    placed = common.withColumn("place", place)
+    last = F.col("n") - F.ceil(F.col("n") * percent / 100) + 1
+    first = F.col("n") - F.ceil(F.col("n") * 2 * percent / (100 + percent)) + 1
+    kept = placed.filter((F.col("place") <= last) & F.col("mixed"))
+    kept = checkpoint(kept.select("shingle", "rep", "one", "label", "n", "place", (F.col("place") <= first).alias("opens")))
+    met = kept.groupBy("shingle").agg(F.count("*").alias("sets"), F.max("opens").alias("any"), (F.min("label") < F.max("label")).alias("both"))
+    met = met.filter("sets > 1 and any and both").select("shingle", F.ceil(F.col("sets") / BLOCK).alias("blocks"))
+    return checkpoint(attach_by_key(kept, met, "shingle"))
+
+
 class _Linker:
     """Turns candidate pairs of representatives into verified links; keeps what has been read so far."""
 
@@ -191,24 +235,28 @@ class _Linker:
         texts = self.texts.join(wanted, "rep", "left_semi")
         return checkpoint(texts.select("rep", full_sets(F.col("text"), self.words).alias("set")))
 
-    def links_to_components(self, asked: DataFrame, members: DataFrame) -> DataFrame:
-        """Links of the documents asked(label, rep) with members(label, rep) of the label, and among each other.
+    def remaining_links(self, members: DataFrame) -> DataFrame:
+        """Links between documents of different components among members(rep, label).
 
-        Both are dealt into blocks; each pair of blocks is compared by one task, and one link
-        with the members of a block stands for all, as these are connected already.
+        Documents that share a rare shingle meet in a join; those of a shingle that many share
+        are dealt into blocks, and each pair of blocks is compared by one task.
         """
-        targets = members.withColumn("asked", F.lit(False)).unionByName(asked.withColumn("asked", F.lit(True)))
-        counts = targets.groupBy("label").agg(F.count("*").alias("n"), F.count_if("asked").alias("q")).filter("q > 0")
-        counts = counts.select("label", F.ceil(F.col("n") / BLOCK).alias("t_blocks"), F.ceil(F.col("q") / BLOCK).alias("q_blocks"))
-        sized = checkpoint(targets.join(counts, "label"))
-        sets = self.sets(sized.select("rep"))
-        own = lambda blocks: F.pmod(F.xxhash64("rep"), F.col(blocks))
-        every = lambda blocks: F.explode(F.sequence(F.lit(0).cast("long"), F.col(blocks) - 1))
-        sides = sized.select("label", "rep", "asked", F.lit(False).alias("asks"), own("t_blocks").alias("t"), every("q_blocks").alias("q"))
-        asks = sized.filter("asked").select("label", "rep", "asked", F.lit(True).alias("asks"), every("t_blocks").alias("t"), own("q_blocks").alias("q"))
-        blocks = sides.unionByName(asks).join(sets, "rep")
-        found = blocks.groupBy("label", "t", "q").applyInArrow(_compare_blocks(self.percent), "u long, v long")
-        return checkpoint(found.distinct())
+        # an id may have several texts
+        sets = self.sets(members.select("rep")).withColumn("one", F.xxhash64("set")).dropDuplicates(["rep", "one"])
+        sets = checkpoint(sets.join(members, "rep"))
+        rows = rare_shingles(sets, self.percent)
+        few, many = rows.filter("blocks = 1"), rows.filter("blocks > 1")
+        pairs = checkpoint(prefix_pairs(few, self.percent))
+        links = self.links(pairs)
+        if many.isEmpty():
+            return links
+        shared = many.groupBy("rep", "one").agg(F.sort_array(F.collect_list(F.struct("place", "shingle")))["shingle"].alias("shared"))
+        known = shared.join(sets.select("rep", "one", "set"), ["rep", "one"]).join(self.groups.select("rep", "registers"), "rep")
+        own, other = F.pmod(F.xxhash64("rep"), F.col("blocks")), F.col("other")
+        cells = many.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        cells = cells.select("*", F.least("own", other).alias("i"), F.greatest("own", other).alias("j")).drop("blocks", "other")
+        found = cells.join(known, ["rep", "one"]).groupBy("shingle", "i", "j").applyInArrow(_compare_blocks(self.percent), "u long, v long")
+        return checkpoint(links.unionByName(found).distinct())
 
     def links(self, pairs: DataFrame) -> DataFrame:
         """Those of the pairs (u, v) that are linked."""
@@ -218,27 +266,51 @@ class _Linker:
         return checkpoint(self._both(likely, sets, "set").filter(verified(self.percent)).select("u", "v").distinct())
 
 
+def prefix_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs (u, v), u > v, of different labels that share a rare shingle and may reach the likeness.
+
+    Behind the shared shingle both sets must have enough left to share.
+    """
+    named = lambda side: [F.col(c).alias(f"{side}_{c}") for c in ("rep", "label", "n", "place")]
+    small, large = rows.filter("opens").select("shingle", *named("a")), rows.select("shingle", *named("b"))
+    after = (F.col("a_n") < F.col("b_n")) | ((F.col("a_n") == F.col("b_n")) & (F.col("a_rep") < F.col("b_rep")))
+    sizes = (F.col("a_label") != F.col("b_label")) & (100 * F.col("a_n") >= percent * F.col("b_n"))
+    left = 1 + F.least(F.col("a_n") - F.col("a_place"), F.col("b_n") - F.col("b_place"))
+    met = small.join(large, "shingle").filter(after & sizes & ((100 + percent) * left >= percent * (F.col("a_n") + F.col("b_n"))))
+    return met.select(F.greatest("a_rep", "b_rep").alias("u"), F.least("a_rep", "b_rep").alias("v")).distinct()
+
+
 def _compare_blocks(percent: int):
-    """Compare the rows of a block that ask with its other rows, by full sets."""
+    """Links between two blocks of documents that share a rare shingle, one for each pair of labels.
+
+    A pair is compared at the first of its common rare shingles, which comes first in both sets and so leaves
+    the most to share; by sizes and places, then by the estimate, then by the full sets.
+    """
 
     def compare(block: pa.Table) -> pa.Table:
-        rep, asks = block.column("rep").to_numpy(), block.column("asks").to_numpy(zero_copy_only=False)
-        asked = block.column("asked").to_numpy(zero_copy_only=False)
+        rep, label, n, place, own = (block.column(c).to_numpy() for c in ("rep", "label", "n", "place", "own"))
+        opens = block.column("opens").to_numpy(zero_copy_only=False)
+        shingle, i, j = (block.column(c)[0].as_py() for c in ("shingle", "i", "j"))
+        stacked = _stacked(block.column("registers").combine_chunks())
         sets = [np.frombuffer(b, _U) for b in block.column("set").to_pylist()]
-        sizes = np.array([len(x) for x in sets], np.int64)
-        other = np.flatnonzero(~asks)
-        u, v = [], []
-        if len(other):
-            joined = np.concatenate([sets[i] for i in other])
-            starts = np.cumsum(sizes[other]) - sizes[other]
-            for i in np.flatnonzero(asks):
-                place = np.minimum(np.searchsorted(sets[i], joined), sizes[i] - 1)
-                shared = np.add.reduceat((sets[i][place] == joined).astype(np.int64), starts)
-                near = other[(100 * shared >= percent * (sizes[i] + sizes[other] - shared)) & (rep[other] != rep[i])]
-                member = near[~asked[near]]
-                for k in [*member[:1], *near[asked[near]]]:
-                    u.append(max(rep[i], rep[k]))
-                    v.append(min(rep[i], rep[k]))
+        shared = [np.array(x) for x in block.column("shared").to_pylist()]
+        left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+        known, u, v = set(), [], []
+        for a in left:
+            b = right[(label[right] != label[a]) & ((rep[right] > rep[a]) if i == j else True)]
+            smaller = (n[a] < n[b]) | ((n[a] == n[b]) & (rep[a] < rep[b]))
+            rest = 1 + np.minimum(n[a] - place[a], n[b] - place[b])
+            b = b[np.where(smaller, opens[a], opens[b]) & ((100 + percent) * rest >= percent * (n[a] + n[b]))]
+            if len(b):
+                b = b[likely(np.broadcast_to(stacked[a], (len(b), REGISTERS)), stacked[b], np.full(len(b), n[a], float), n[b].astype(float), percent)]
+            for k in b:
+                both = (label[a], label[k])
+                if both in known or shared[a][np.isin(shared[a], shared[k]).argmax()] != shingle:
+                    continue
+                if linked_sets(sets[a], sets[k], percent):
+                    known.add(both)
+                    u.append(max(rep[a], rep[k]))
+                    v.append(min(rep[a], rep[k]))
         return pa.table({"u": pa.array(u, pa.int64()), "v": pa.array(v, pa.int64())})
 
     return compare
@@ -282,24 +354,26 @@ def near_duplicates(
     if repeated.take(1):
         same = able.join(repeated, "doc_id").join(groups.select("copy", "rep"), "copy").filter("doc_id != rep")
         labels = components(same.select(F.col("doc_id").alias("u"), F.col("rep").alias("v")))
-    for turn in range(ROUNDS):
+    for centre in (F.min, F.max):
         open_rows = rows if labels is None else _mixed(rows, labels)
-        order = F.xxhash64("rep", F.lit(turn)) if turn else F.col("rep")
-        ordered = open_rows.withColumn("order", order)
-        centres = F.first("rep").over(Window.partitionBy("band").orderBy("order", "rep"))
-        pairs = ordered.select(centres.alias("c"), "rep").filter("c != rep")
+        pairs = open_rows.select(centre("rep").over(Window.partitionBy("band")).alias("c"), "rep").filter("c != rep")
         pairs = pairs.select(F.greatest("c", "rep").alias("u"), F.least("c", "rep").alias("v")).distinct()
         links = linker.links(pairs)
         labels = components(links if labels is None else links.unionByName(labels))
 
+    # Buckets of up to three members are settled: all of theirs have met.
     rest = checkpoint(_mixed(rows, labels))
     if not rest.isEmpty():
-        # In each bucket the documents outside its largest component ask for links with it and each other.
-        sizes = rest.groupBy("band", "label").agg(F.count("*").alias("members"))
-        main = sizes.groupBy("band").agg(F.max(F.struct("members", "label"))["label"].alias("main"))
-        asked = rest.join(main, "band").filter("label != main").select(F.col("main").alias("label"), "rep").distinct()
-        members = rest.select("label", "rep").distinct()
-        labels = components(linker.links_to_components(asked, members).unionByName(labels))
+        sizes = rest.groupBy("band").agg(F.count("*").alias("members")).filter("members > 3")
+        rest = checkpoint(rest.join(sizes, "band"))
+        small = rest.filter(F.col("members") <= SMALL)
+        other = small.select("band", F.col("rep").alias("v"), F.col("label").alias("other"))
+        pairs = small.join(other, "band").filter("rep > v and label != other").select(F.col("rep").alias("u"), "v").distinct()
+        labels = components(linker.links(pairs).unionByName(labels))
+        rest = checkpoint(_mixed(rest.filter(F.col("members") > SMALL).select("band", "rep"), labels))
+    if not rest.isEmpty():
+        links = linker.remaining_links(checkpoint(rest.select("rep", "label").distinct()))
+        labels = components(links.unionByName(labels))
 
     known = labels.select(F.col("u").alias("rep"), F.col("v").alias("component_id"))
     by_copy = groups.join(known, "rep", "left").select("copy", F.coalesce("component_id", "rep").alias("component_id"))
