@@ -5,11 +5,14 @@ from __future__ import annotations
 import contextlib
 import ctypes
 import gc
+import re
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from corpusloom.runtime import checkpoint, scratch_path
+
 # What separates words, space and \t to \r, and the words between.
 SPACES = " \t\n\x0b\f\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -70,6 +73,15 @@ def make_room() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """The rows, written once to the shared folder as compressed columns; as a checkpoint if those cannot hold a type."""
+    if re.search(r"\b(void|interval)\b", rows.schema.simpleString()):
+        return checkpoint(rows)
+    path = scratch_path(rows.sparkSession, name)
+    rows.write.option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.parquet(path)
+
+
 BROADCAST_ROWS, BROADCAST_BYTES = 100_000, 8 << 20
 SALTS = 64
 

@@ -4,6 +4,10 @@ Every source is one stream of words: its documents in the order of a seeded hash
 cut into blocks of equally many words. Slot n of the mix belongs to the source in
 whose share of the target the n-th van der Corput point falls; the r-th slot of a
 source takes the r-th block of its stream, which starts anew when it is used up.
+The slots of a document's first words are the places of its copies in the mix.
+
+Only numbers of a document, never its text, go through the windows and joins of the
+schedule; the stored rows meet the result once, by a number of their own.
 """
 
 from __future__ import annotations
@@ -11,8 +15,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import count_words, join_lookup, whole_text
-from corpusloom.runtime import checkpoint
+from corpusloom.llm.common import count_words, join_lookup, stored, whole_text
+from corpusloom.runtime import checkpoint, shuffle_partitions
 
 WEIGHTS = (3, 1, 2)
 SHARE, MOST_REPEATS = 1.5, 2.0
@@ -49,26 +53,21 @@ def source_targets(
     return rows.drop("level")
 
 
-def with_stream_position(sized: DataFrame, source: str = "source") -> DataFrame:
-    """Add ``mix_offset``: the words of the source in front of the document in its shuffled stream.
+def with_stream_position(sized: DataFrame) -> DataFrame:
+    """Add ``offset``: the words of the source in front of the document in its shuffled stream.
 
     Running sums are taken within slices of the hash first and over the slices' sums
     then, so that no source is summed in one task. Equal hashes (repeated ids) are
     ordered by size and text hash.
     """
-    cut = sized.withColumn("mix_slice", F.substring("mix_order", 1, 3))
-    within = Window.partitionBy(source, "mix_slice").orderBy("mix_order", "size", "mix_text")
-    slices = cut.groupBy(source, "mix_slice").agg(F.sum("size").alias("slice_size"))
-    over = Window.partitionBy(source).orderBy("mix_slice")
-    slices = slices.withColumn("slice_start", F.sum("slice_size").over(over) - F.col("slice_size"))
-    slices = slices.select(F.col(source).alias("slice_source"), F.col("mix_slice").alias("slice_key"), "slice_start")
-    placed = cut.withColumn("in_slice", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
-    met = F.col(source).eqNullSafe(F.col("slice_source")) & (F.col("mix_slice") == F.col("slice_key"))
-    return (
-        placed.join(slices, met)
-        .withColumn("mix_offset", F.col("slice_start") + F.col("in_slice"))
-        .drop("slice_source", "slice_key", "slice_start", "in_slice", "mix_slice")
-    )
+    cut = sized.withColumn("slice", F.substring("order", 1, 3))
+    within = Window.partitionBy("place", "slice").orderBy("order", "size", "text_hash", "key")
+    slices = cut.groupBy("place", "slice").agg(F.sum("size").alias("slice_size"))
+    over = Window.partitionBy("place").orderBy("slice")
+    slices = slices.select("place", "slice", (F.sum("slice_size").over(over) - F.col("slice_size")).alias("start"))
+    placed = cut.withColumn("inside", F.sum("size").over(within.rowsBetween(Window.unboundedPreceding, 0)) - F.col("size"))
+    placed = placed.join(slices, ["place", "slice"])
+    return placed.withColumn("offset", F.col("start") + F.col("inside")).drop("slice", "start", "inside", "order", "text_hash")
 
 
 def _point(n: Column) -> Column:
@@ -76,14 +75,20 @@ def _point(n: Column) -> Column:
     return F.conv(F.reverse(F.lpad(F.bin(n), _BITS, "0")), 2, 10).cast("double") / float(1 << _BITS)
 
 
+def slot_counts(targets: DataFrame, block: int = BLOCK_WORDS) -> tuple[int, int]:
+    """The number of slots that the points fill, and of sources."""
+    words, places = targets.agg(F.coalesce(F.sum("words"), F.lit(0)), F.count("*")).first()
+    return -(-int(words) // block), int(places)
+
+
 def schedule(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
-    """The slots of the mix: ``place`` of the source, ``rank`` of the slot in it.
+    """The slots of the mix in order of ``id``: ``place`` of the source, ``rank`` of the slot in it.
 
     Slots beyond what a source still needs stay empty; the few that a source
     lacks when the points end, at most the discrepancy of the sequence, close the mix.
     """
     spark = targets.sparkSession
-    slots = -(-int(targets.agg(F.coalesce(F.sum("words"), F.lit(0))).first()[0]) // block)
+    slots, places = slot_counts(targets, block)
     shares = targets.withColumn("high", F.sum("words").over(Window.orderBy("place")) / F.sum("words").over(Window.partitionBy()))
     shares = shares.withColumn("low", F.lag("high", 1, 0.0).over(Window.orderBy("place"))).filter(F.col("high") > F.col("low"))
     last = F.lit(_CELLS - 1)
@@ -109,9 +114,68 @@ def schedule(targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
         targets.join(made, "place", "left")
         .withColumn("made", F.coalesce("made", F.lit(0)))
         .filter(F.col("made") < F.col("slots"))
-        .select("place", F.explode(F.sequence(F.col("made"), F.col("slots") - 1)).alias("rank"), F.lit(None).cast("long").alias("id"))
+        .select("place", F.explode(F.sequence(F.col("made"), F.col("slots") - 1)).alias("rank"))
+    )
+    return ranked.unionByName(short.withColumn("id", slots + F.col("rank") * places + F.col("place")))
+
+
+def _stored(docs: DataFrame, text: str, source: str, doc_id: str, seed: str) -> DataFrame:
+    """The rows as structs, so that no name of the caller's meets one of these, with what the mix needs of them."""
+    body = whole_text(text)
+    id_text = F.coalesce(F.col(doc_id).cast("string"), F.lit(""))
+    numbers = {
+        "source": F.col(source),
+        "size": count_words(body),
+        "order": F.md5(F.concat(F.lit(seed + ":"), id_text)),
+        "text_hash": F.xxhash64(body),
+        "key": F.monotonically_increasing_id(),
+    }
+    return stored(docs.select(F.struct("*").alias("row"), *[c.alias(name) for name, c in numbers.items()]), "mix")
+
+
+def plan_targets(sized: DataFrame, weights=WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS, block: int = BLOCK_WORDS) -> DataFrame:
+    """``source_targets`` with the words to take, the blocks of the stream, and the slots they need; stored."""
+    targets = source_targets(sized, "source", weights, share, most)
+    words = F.floor("target")
+    loops = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(F.lit(0))
+    blocks = F.ceil(F.col("source_size") / block)
+    rest = words - loops * F.col("source_size")
+    slots = loops * blocks + F.ceil(rest / block)
+    return checkpoint(targets.withColumns({"words": words, "blocks": blocks, "rest": rest, "slots": slots}))
+
+
+def take_slots(sized: DataFrame, targets: DataFrame, block: int = BLOCK_WORDS) -> DataFrame:
+    """Rows ``key, size, source_size, target, offset, taken, slots`` of the rows ``key, source, size, order, text_hash``.
+
+    ``slots`` are those that take the document's first words, in order: one for each copy in the mix.
+    """
+    plan = targets.select("place", "blocks", "rest", F.col("slots").alias("needed"))
+    used = join_lookup(schedule(targets, block), checkpoint(plan), "place", "inner").filter(F.col("rank") < F.col("needed"))
+    part = F.pmod(F.col("rest"), F.lit(block))  # words of the last slot, unless it is a whole block
+    cut = F.when((F.col("rank") == F.col("needed") - 1) & (part > 0), part).otherwise(F.lit(block))
+    used = used.select("place", F.pmod("rank", "blocks").alias("block"), cut.alias("cut"), F.col("id").alias("slot"))
+
+    lookup = targets.select("source", "place", "source_size", "target")
+    placed = checkpoint(with_stream_position(join_lookup(sized, checkpoint(lookup), "source", "inner")))
+    first, last = F.floor(F.col("offset") / block), F.floor((F.col("offset") + F.col("size") - 1) / block)
+    pieces = placed.filter(F.col("size") > 0).select(
+        "key", "place", "offset", "size", first.alias("first"), F.explode(F.sequence(first, last)).alias("block")
+    )
+    begin = F.greatest(F.col("offset") - F.col("block") * block, F.lit(0))
+    end = F.least(F.col("offset") + F.col("size") - F.col("block") * block, F.lit(block))
+    pieces = pieces.select("key", "place", "block", (F.col("block") == F.col("first")).alias("opens"), begin.alias("begin"), end.alias("end"))
+    n = F.greatest(F.least(F.col("end"), F.col("cut")) - F.col("begin"), F.lit(0))
+    filled = pieces.join(used, ["place", "block"]).withColumn("n", n).filter("n > 0")
+    taken = filled.groupBy("key").agg(
+        F.sum("n").alias("taken"), F.array_sort(F.collect_list(F.when(F.col("opens"), F.col("slot")))).alias("slots")
     )
-    return ranked.unionByName(short)
+    placed = placed.select("key", "size", "source_size", "target", "offset").join(taken, "key", "left")
+    return placed.withColumn("taken", F.coalesce(F.col("taken"), F.lit(0)).cast("long"))
+
+
+def _columns(docs: DataFrame, *without: str) -> list[Column]:
+    """The caller's columns, out of the stored rows."""
+    return [F.col(f"row.`{c}`").alias(c) for c in docs.columns if c not in without]
 
 
 def mix_sources(
@@ -125,77 +189,48 @@ def mix_sources(
     block: int = BLOCK_WORDS,
     seed: str = SEED,
 ) -> DataFrame:
-    """Add ``size``, ``source_size``, ``target`` and ``taken`` (words the mix takes, repeats counted).
+    """Add ``size, source_size, target``, ``taken`` (words the mix takes, repeats counted) and ``first_slot`` (null if none).
 
     A document without words is never taken. A null source is a source. Rows that
-    repeat an id are documents of their own. The same rows give the same mix.
+    repeat an id are documents of their own. Columns of these five names are replaced, all
+    others stay. The same rows give the same mix; an empty table gives no rows.
     """
-    body = whole_text(text)
-    named = {c: f"own_{c}" for c in docs.columns if c.startswith("mix_")}  # these names are used below
-    sized = docs.withColumnsRenamed(named).withColumns(
-        {
-            "size": count_words(body),
-            "mix_order": F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))),
-            "mix_text": F.xxhash64(body),
-        }
-    )
-    mixed = mix_sized(checkpoint(sized), source, weights, share, most, block).drop("mix_order", "mix_text")
-    return mixed.withColumnsRenamed({own: c for c, own in named.items()})
+    rows = _stored(docs, text, source, doc_id, seed)
+    sized = rows.drop("row")
+    taken = take_slots(sized, plan_targets(sized, weights, share, most, block), block)
+    added = ("size", "source_size", "target", "taken", "first_slot")
+    taken = taken.select("key", *added[:-1], F.get("slots", F.lit(0)).alias("first_slot"))
+    return rows.select("key", "row").join(taken, "key").select(*_columns(docs, *added), *added)
 
 
-def mix_sized(
-    sized: DataFrame, source: str = "source", weights=WEIGHTS, share: float = SHARE, most: float = MOST_REPEATS, block: int = BLOCK_WORDS
+def mixed_documents(
+    docs: DataFrame,
+    text: str = "text",
+    source: str = "source",
+    doc_id: str = "doc_id",
+    weights=WEIGHTS,
+    share: float = SHARE,
+    most: float = MOST_REPEATS,
+    block: int = BLOCK_WORDS,
+    seed: str = SEED,
 ) -> DataFrame:
-    """The same for rows that have ``size``, ``mix_order`` and ``mix_text`` already, stored, as they are read twice."""
-    targets = source_targets(sized, source, weights, share, most)
-    words = F.floor("target")
-    loops = F.when(F.col("source_size") > 0, F.floor(words / F.col("source_size"))).otherwise(F.lit(0))
-    blocks = F.ceil(F.col("source_size") / block)
-    rest = words - loops * F.col("source_size")
-    targets = checkpoint(
-        targets.withColumns(
-            {"words": words, "blocks": blocks, "rest": rest, "slots": loops * blocks + F.ceil(rest / block)}
-        )
-    )
-    plan = targets.select("place", "blocks", "rest", F.col("slots").alias("needed"))
-    used = join_lookup(schedule(targets, block), checkpoint(plan), "place", "inner").filter(F.col("rank") < F.col("needed"))
-    part = F.pmod(F.col("rest"), F.lit(block))  # words of the last slot, unless it is a whole block
-    cut = F.when((F.col("rank") == F.col("needed") - 1) & (part > 0), part).otherwise(F.lit(block))
-    used = used.select("place", F.pmod("rank", "blocks").alias("block"), cut.alias("cut"))
-
-    lookup = targets.select(source, F.col("place").alias("mix_place"), "source_size", "target")
-    clash = [c for c in ("source_size", "target", "taken") if c in sized.columns]
-    placed = with_stream_position(join_lookup(sized.drop(*clash), checkpoint(lookup), source, "inner"), source)
-    first, last = F.floor(F.col("mix_offset") / block), F.floor((F.col("mix_offset") + F.col("size") - 1) / block)
-    pieces = placed.filter(F.col("size") > 0).select(
-        F.col("mix_place").alias("place"), "mix_offset", "size", F.explode(F.sequence(first, last)).alias("block")
-    )
-    begin = F.greatest(F.col("mix_offset") - F.col("block") * block, F.lit(0))
-    end = F.least(F.col("mix_offset") + F.col("size") - F.col("block") * block, F.lit(block))
-    pieces = pieces.withColumns({"begin": begin, "end": end}).select("place", "mix_offset", "block", "begin", "end")
-    taken = (
-        pieces.join(used, ["place", "block"])
-        .withColumn("n", F.greatest(F.least(F.col("end"), F.col("cut")) - F.col("begin"), F.lit(0)))
-        .groupBy(F.col("place").alias("at_place"), F.col("mix_offset").alias("at_offset"))
-        .agg(F.sum("n").alias("taken"))
-    )
-    met = (placed["mix_place"] == taken["at_place"]) & (placed["mix_offset"] == taken["at_offset"]) & (placed["size"] > 0)
-    return (
-        placed.join(taken, met, "left")
-        .withColumn("taken", F.coalesce(F.col("taken"), F.lit(0)).cast("long"))
-        .drop("mix_place", "mix_offset", "at_place", "at_offset")
-    )
-
-
-def mixed_documents(docs: DataFrame, text: str = "text", source: str = "source", doc_id: str = "doc_id", **options) -> DataFrame:
-    """The mix itself: each document as often as taken, with the columns of ``docs``.
+    """The mix itself, in the order of its slots: each document as often as taken, with the columns of ``docs``.
 
     The one document of a source at which its target ends is cut behind its last taken
-    word; documents that the mix does not take are absent.
+    word; documents that the mix does not take are absent. Partitions follow each other
+    in the order of the schedule, and so do the files of a table that they are written to.
     """
-    mixed = mix_sources(docs, text, source, doc_id, **options).filter(F.col("taken") > 0)
-    copies = mixed.withColumn("copy", F.explode(F.sequence(F.lit(1), F.ceil(F.col("taken") / F.col("size")))))
-    rest = F.least(F.col("taken") - (F.col("copy") - 1) * F.col("size"), F.col("size"))
-    words = F.filter(F.split(F.col(text), r"[\x20\x09-\x0D]+", -1), lambda w: w != F.lit(""))
+    rows = _stored(docs, text, source, doc_id, seed)
+    sized = rows.drop("row")
+    targets = plan_targets(sized, weights, share, most, block)
+    copies = take_slots(sized, targets, block).filter(F.col("taken") > 0)
+    copies = copies.select("key", "size", "taken", "offset", F.posexplode("slots").alias("copy", "slot"))
+    parts, slots = shuffle_partitions(docs.sparkSession), max(slot_counts(targets, block)[0], 1)
+    part = F.least(F.floor(F.col("slot") * parts / slots), F.lit(parts - 1)).cast("int")
+    mixed = rows.select("key", "row").join(copies, "key").repartitionById(parts, part).sortWithinPartitions("slot", "offset", "key")
+    rest = F.least(F.col("taken") - F.col("copy") * F.col("size"), F.col("size"))
+    body = F.col(f"row.`{text}`")
+    words = F.filter(F.split(body, r"[\x20\x09-\x0D]+", -1), lambda w: w != F.lit(""))
     cut = F.array_join(F.slice(words, F.lit(1), rest.cast("int")), " ")
-    return copies.withColumn(text, F.when(rest < F.col("size"), cut).otherwise(F.col(text))).select(*docs.columns)
+    whole = F.when(rest < F.col("size"), cut).otherwise(body).alias(text)
+    return mixed.select(*[whole if c == text else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -54,7 +54,7 @@ def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mix_sources(documents(spark, sf_dir, "doc_id", "text", "source"))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", "first_slot")
 
 
 def op6_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -147,14 +147,33 @@ levels AS (
     / sum(weight) OVER (o ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) AS level
   FROM weighted WINDOW o AS (ORDER BY bound / weight, place)),
 targets AS (
-  SELECT source, source_size, least(bound, coalesce(weight * max(CASE WHEN level * weight <= bound THEN level END) OVER (), bound)) AS target FROM levels),
+  SELECT source, source_size, place, least(bound, coalesce(weight * max(CASE WHEN level * weight <= bound THEN level END) OVER (), bound)) AS target FROM levels),
+planned AS (
+  SELECT *, floor(target)::BIGINT AS words, (source_size + 127) // 128 AS blocks,
+    CASE WHEN source_size > 0 THEN floor(target)::BIGINT // source_size ELSE 0 END AS loops FROM targets),
+needs AS (SELECT *, loops * blocks + (words - loops * source_size + 127) // 128 AS needed FROM planned),
+counts AS (SELECT (sum(words)::BIGINT + 127) // 128 AS slots, count(*) AS places FROM needs),
+shares AS (SELECT place, sum(words) OVER (ORDER BY place) / sum(words) OVER () AS high, words, sum(words) OVER () AS total FROM needs),
+bounds AS (SELECT place, coalesce(lag(high) OVER (ORDER BY place), 0.0) AS low, high FROM shares),
+points AS (
+  SELECT id, list_sum([((id >> i) & 1) << (39 - i) FOR i IN range(40)]) / 1099511627776.0::DOUBLE AS point
+  FROM (SELECT unnest(range(slots)) AS id FROM counts)),
+owned AS (
+  SELECT place, id, row_number() OVER (PARTITION BY place ORDER BY id) - 1 AS rank
+  FROM points JOIN bounds ON point >= low AND point < high),
+made AS (SELECT place, coalesce(max(rank) + 1, 0) AS made FROM needs LEFT JOIN owned USING (place) GROUP BY place),
+closers AS (SELECT place, unnest(range(made, needed)) AS rank FROM needs JOIN made USING (place)),
+scheduled AS (
+  SELECT place, rank, id FROM owned UNION ALL SELECT place, rank, slots + rank * places + place FROM closers, counts),
 placed AS (
-  SELECT s.*, t.source_size, t.target, floor(t.target)::BIGINT AS words,
+  SELECT s.*, t.source_size, t.target, t.words, t.place, t.loops,
     sum(size) OVER (PARTITION BY s.source ORDER BY md5('mix:' || doc_id), size)::BIGINT - size AS start
-  FROM sized s JOIN targets t ON s.source IS NOT DISTINCT FROM t.source)
-SELECT doc_id, size, source_size, target,
-  (CASE WHEN size = 0 THEN 0 ELSE words // source_size * size + greatest(least(words % source_size - start, size), 0) END)::BIGINT AS taken
-FROM placed
+  FROM sized s JOIN needs t ON s.source IS NOT DISTINCT FROM t.source),
+mixed AS (
+  SELECT *, (CASE WHEN size = 0 THEN 0 ELSE loops * size + greatest(least(words - loops * source_size - start, size), 0) END)::BIGINT AS taken
+  FROM placed)
+SELECT doc_id, size, source_size, target, taken, CASE WHEN taken > 0 THEN id END AS first_slot
+FROM mixed LEFT JOIN scheduled ON scheduled.place = mixed.place AND scheduled.rank = start // 128
 """
 
 _REPEATS_SQL = """
