@@ -30,6 +30,7 @@ ROUNDS = 3
 SURE = 0.97  # chance at which a view labels a document for the other
 CONTENT_BITS, META_BITS = 18, 11
 MIN_DOCUMENTS = 5  # of the sample that a feature must be in
+PREFIX_BITS = 14  # of a hash by which rows are counted before the smallest are taken
 _STATS = 1 << 10  # features of letter statistics, in front of the words
 _PLAIN = bytes(b if chr(b).isalpha() or b > 127 else 32 for b in range(256))
 _SIGNS = np.zeros(256, np.int64)  # 1 capital, 2 digit, 3 exclamation mark, 4 full stop or comma, 5 other sign
@@ -267,13 +268,29 @@ def samples(
     again = sized_broadcast(rows.filter("sample_id is not null").groupBy("sample_id").count().filter("count > 1").select("sample_id"))
     one = rows.join(again, "sample_id").groupBy("sample_id").agg(F.min(F.struct("content", "page")).alias("f"))
     rows = rows.join(again, "sample_id", "left_anti").unionByName(one.select("sample_id", "f.*"))
-    with_label = rows.join(known, "sample_id").orderBy(F.xxhash64("sample_id"), "sample_id").limit(labelled)
+    with_label = smallest(rows.join(known, "sample_id"), F.xxhash64("sample_id"), labelled)
     without = rows.join(known, "sample_id", "left_anti")
     if unlabelled is not None:
-        without = without.orderBy(F.xxhash64("sample_id", F.lit(1)), "sample_id").limit(unlabelled)
+        without = smallest(without, F.xxhash64("sample_id", F.lit(1)), unlabelled)
     return with_label, without
 
 
+def smallest(rows: DataFrame, order: Column, count: int) -> DataFrame:
+    """The ``count`` rows of smallest hash, equal ones by id.
+
+    Rows are counted by the leading bits of the hash first, so that hardly more than ``count`` of them are sorted.
+    """
+    bits = F.shiftright(order, 64 - PREFIX_BITS)
+    sizes = rows.groupBy(bits.alias("bits")).count().collect()  # at most 2**PREFIX_BITS rows
+    held, last = 0, None
+    for last, size in sorted(map(tuple, sizes)):
+        held += size
+        if held >= count:
+            break
+    near = rows if last is None else rows.filter(bits <= last)
+    return near.orderBy(order, "sample_id").limit(count)
+
+
 def _taught(without: DataFrame) -> Teach:
     """``sure_counts`` over all rows, summed in Spark; as many numbers as there are features come to the driver."""
     size = _STARTS[1] + 2 * (SIZES[1] + 1)
