@@ -27,39 +27,33 @@ ANCHORS = (
 ).split()
 
 CHAIN = 3  # content words of a signature
-_ANCHOR = "|".join(sorted(set(ANCHORS)))
 
 
 def spot_signatures(text: Column, chain: int = CHAIN) -> Column:
     """The sorted distinct 32-bit hashes of a text's signatures.
 
-    Words are runs of letters and digits, lower-cased. The start of the text is a spot too,
+    Words are runs of letters and digits, lower-cased. Every spot has the chain of the next
+    ``chain`` content words, however many common words lie between; at the end of a text it
+    is shorter, and without any there is no signature. The start of the text is a spot too,
     so a text with any word but common ones has a signature; a null text, or one without
     such a word, has none.
     """
     plain = F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}]+", " "))
-    # Each piece starts with a common word (the first with a stand-in); the rest of it is content.
-    pieces = F.split(F.concat(F.lit("^ "), plain), f" (?=(?:{_ANCHOR})(?: |$))", -1)
 
-    def signatures(spots):
-        content = F.transform(spots, lambda s: F.substring(s, F.locate(" ", F.concat(s, F.lit(" "))) + 1, F.length(s)))
+    def signatures(words):
+        spots = F.filter(F.transform(words, lambda w, i: F.when((i == 0) | w.isin(*ANCHORS), i)), lambda i: i.isNotNull())
+        content = F.filter(words, lambda w, i: (i > 0) & (w != F.lit("")) & ~w.isin(*ANCHORS))
+        # in front of the k-th spot, at word i, are i - k content words
         return let(
             content,
             lambda c: F.transform(
-                spots,
-                lambda s, i: F.when(
-                    F.get(c, i) != F.lit(""),
-                    F.concat(
-                        F.substring_index(s, " ", 1),
-                        F.lit(" "),
-                        F.substring_index(F.array_join(F.array_remove(F.slice(c, i + 1, F.lit(2 * chain)), ""), " "), " ", chain),
-                    ),
-                ),
+                F.filter(spots, lambda i, k: i - k < F.size(c)),
+                lambda i, k: F.hash(F.concat_ws(" ", F.get(words, i), F.slice(c, i - k + 1, chain))),
             ),
         )
 
-    found = F.filter(let(pieces, signatures), lambda s: s.isNotNull())
-    return F.sort_array(F.array_distinct(F.transform(found, lambda s: F.hash(s))))
+    # The first word is a stand-in for the start of the text.
+    return F.sort_array(F.array_distinct(let(F.split(F.concat(F.lit("^ "), plain), " +", -1), signatures)))
 
 
 def fingerprint(signatures: Column) -> Column:
