@@ -2,6 +2,7 @@
 
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -14,7 +15,7 @@ from corpusloom.llm.components import components
 from corpusloom.llm.mixing import mix_sources, mixed_documents
 from corpusloom.llm.near_dedup import drop_near_duplicates, near_duplicates
 from corpusloom.llm.queries import QUERIES
-from corpusloom.llm.spotsigs import similar_pairs, spot_signatures, with_edited_text
+from corpusloom.llm.spotsigs import ANCHORS, similar_pairs, spot_signatures, with_edited_text
 from corpusloom.llm.suffix_dedup import remove_repeats, repeated_spans, without_repeats
 from corpusloom.llm.suffix_tree import score_texts
 from tests.llm import brute
@@ -121,12 +122,13 @@ def test_near_duplicates(spark, size):
     assert {r.doc_id for r in left.collect()} == {i for i in rows if want[i] == i}
 
 
-def test_near_duplicates_of_a_loose_group_in_small_blocks(spark, monkeypatch):
+@pytest.mark.parametrize("block", [7, 400])
+def test_near_duplicates_of_a_loose_group(spark, monkeypatch, block):
     """Edited copies of one text, some near enough to a few others only."""
     import corpusloom.llm.near_dedup as near_dedup
 
-    monkeypatch.setattr(near_dedup, "BLOCK", 7)
-    monkeypatch.setattr(near_dedup, "ROUNDS", 1)
+    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "SMALL", 4)
     rng = random.Random(12)
     base = " ".join(f"w{rng.randint(0, 400)}" for _ in range(80))
     rows = dict(enumerate(copies(rng, base, 40, 0.04) + copies(rng, base, 40, 0.07) + copies(rng, base, 20, 0.12)))
@@ -137,6 +139,20 @@ def test_near_duplicates_of_a_loose_group_in_small_blocks(spark, monkeypatch):
     assert got == want
 
 
+def test_copies_too_far_from_each_other_are_not_compared(spark):
+    """Where no pair is near enough, hardly any shares one of the rarest shingles."""
+    from corpusloom.llm.near_dedup import full_sets, prefix_pairs, rare_shingles
+
+    counts = []
+    for size in (100, 200, 400):
+        rng = random.Random(size)
+        base = " ".join(f"w{rng.randint(0, 4000)}" for _ in range(300))
+        rows = [(i, i, t) for i, t in enumerate(copies(rng, base, size, 0.1))]
+        sets = spark.createDataFrame(rows, "rep long, label long, text string").select("rep", F.col("rep").alias("one"), "label", full_sets(F.col("text"), 2).alias("set"))
+        counts.append(prefix_pairs(rare_shingles(sets, 80), 80).count())
+    assert counts[2] < 400 and counts[2] <= 4 * max(counts[0], 25)
+
+
 def test_near_duplicates_on_odd_tables(spark):
     long = " ".join(f"w{i}" for i in range(50))
     rows = [(None, long), (None, "other"), (3, long), (3, long), (5, long + " end"), (5, "quite different words in this text"), (9, "quite different words in this text")]
@@ -188,6 +204,38 @@ def test_edited_texts(spark, texts):
     assert with_edited_text(docs.limit(1)).count() == 1
 
 
+def test_every_spot_has_its_chain(spark):
+    texts = ["of the in the of a cat sat down now", "", "the the", "plain words here", "the end of", "A die, le x.y 7 – the Z of é"]
+    rng = random.Random(9)
+    texts += [" ".join(rng.choice(["the", "of", "der", "x", "y", "z", "w7"]) for _ in range(rng.randint(1, 60))) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in docs.select("doc_id", spot_signatures(F.col("text")).alias("sigs")).collect()}
+    chains = set()
+    for i, text in enumerate(texts):
+        words = ["^", *re.findall(r"[^\W_]+", text.lower())]
+        mine = set()
+        for at, word in enumerate(words):
+            after = [w for w in words[at + 1 :] if w not in ANCHORS][:3]
+            if (at == 0 or word in ANCHORS) and after:
+                mine.add(" ".join([word, *after]))
+        assert len(got[i].sigs) == len(mine)
+        chains |= {(i, c) for c in mine}
+    hashed = spark.createDataFrame(list(chains), "doc_id long, chain string").groupBy("doc_id").agg(F.sort_array(F.collect_set(F.hash("chain"))).alias("sigs"))
+    assert {r.doc_id: r.sigs for r in hashed.collect()} == {i: r.sigs for i, r in got.items() if r.sigs}
+
+
+def test_likenesses_of_edited_texts(spark, texts):
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r for r in with_edited_text(docs).collect()}
+    sets = {i: {r.fingerprint[k : k + 8] for k in range(0, len(r.fingerprint), 8)} for i, r in got.items()}
+    ids = sorted(got, reverse=True)
+    like = lambda a, b: 1.0 if a == b else len(a & b) / len(a | b)
+    for i, after in zip(ids, ids[1:] + ids[:1]):
+        r = got[i]
+        edited = {r.edited_fingerprint[k : k + 8] for k in range(0, len(r.edited_fingerprint), 8)}
+        assert r.near_next == pytest.approx(like(sets[i], sets[after])) and r.near_edited == pytest.approx(like(sets[i], edited))
+
+
 def test_repeated_rows_are_neighbours(spark):
     docs = spark.createDataFrame([(1, "one and the same text here")] * 3, "doc_id long, text string")
     assert [r.near_next for r in with_edited_text(docs).collect()] == [1.0] * 3
@@ -244,7 +292,31 @@ def test_mix(spark):
     for r in copies.collect():
         by_source[r.source] += len(r.text.split())
     assert by_source == Counter({s: n for s, n in taken.items() if n})
-    assert mix_sources(docs.limit(0)).collect() == []
+    assert mix_sources(docs.limit(0)).collect() == [] and mixed_documents(docs.limit(0)).collect() == []
+
+
+def test_the_mix_follows_the_schedule(spark, monkeypatch):
+    """Documents come in the order of their slots, whatever the caller's columns are called; other points give another order."""
+    from corpusloom.llm import mixing
+
+    rng = random.Random(18)
+    names = ("slice_start", "in_slice", "at_place", "key", "size", "taken", "copy", "slot", "row", "order")
+    rows = [(i, " ".join(["w"] * rng.choice([1, 5, 50, 700])), rng.choice("abc"), *range(len(names))) for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, " + ", ".join(f"{n} int" for n in names))
+    got = mixing.mixed_documents(docs).collect()
+    assert all(tuple(r)[3:] == tuple(range(len(names))) for r in got)
+    kept = {n: i for i, n in enumerate(names) if n not in ("size", "taken")}
+    slots = {r.doc_id: r.first_slot for r in mix_sources(docs).collect() if all(r[n] == i for n, i in kept.items())}
+    seen, firsts = set(), []
+    for r in got:
+        if r.doc_id not in seen:
+            firsts.append(slots[r.doc_id])
+            seen.add(r.doc_id)
+    assert firsts == sorted(firsts) and len(seen) == sum(s is not None for s in slots.values())
+    early = Counter(r.source for r in got[: len(got) // 4])
+    assert len(early) == 3  # sources are interleaved
+    monkeypatch.setattr(mixing, "_point", lambda n: (n % 64) / 64.0)
+    assert {r.doc_id: r.first_slot for r in mix_sources(docs).collect()} != slots
 
 
 def test_slots_are_spread_evenly(spark):
