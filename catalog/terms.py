@@ -12,6 +12,7 @@ from corpusloom.operators import terms as T
 from corpusloom.operators.lsa import lsa
 from corpusloom.operators.norm_index import best_documents, read_norm_index, write_norm_index
 from corpusloom.operators.pagerank import pagerank_vector, rank_pages
+from corpusloom.operators.range_finder import randomised_lsa
 from corpusloom.runtime import scratch_path
 
 QUERIES, ORACLES = {}, {}
@@ -265,7 +266,7 @@ _BLOCKS_SQL = """balances AS (SELECT c_custkey AS doc_id, c_nationkey AS block,
 blocks AS (SELECT block, sqrt(sum(b * b)) * sqrt(55.0) AS sigma FROM balances GROUP BY block)"""
 
 
-def _block_factors(spark, sf):
+def _block_factors(spark, sf, decompose=lsa):
     customers = table(spark, sf, "customer").select(
         F.col("c_custkey").alias("doc_id"), "c_nationkey", F.abs(F.col("c_acctbal").cast("double")).alias("b")
     )
@@ -275,20 +276,30 @@ def _block_factors(spark, sf):
     terms = table(spark, sf, "nation").select("n_nationkey", numbers)
     term = F.concat(F.lit("nation"), F.col("n_nationkey").cast("string"), F.lit("x"), F.col("u").cast("string")).alias("term")
     vocab = terms.select(term, (F.col("n_nationkey") * 5 + F.col("u") - 1).cast("long").alias("term_id"))
-    return vocab, *lsa(cells, vocab, customers, k=_SPECTRUM)
+    return vocab, *decompose(cells, vocab, customers, k=_SPECTRUM)
 
 
-@query(
-    "lsa_truncated",
+_NORMS_SQL = (
     f"WITH {_BLOCKS_SQL} SELECT doc_id, round(CASE WHEN rank <= {_SPECTRUM} THEN b * sqrt(55.0) ELSE 0 END, 3) AS norm "
-    "FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block)",
+    "FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS rank FROM blocks) USING (block)"
 )
-def lsa_truncated(spark, sf):
-    _, doc_factors, _ = _block_factors(spark, sf)
+
+
+def _norms(doc_factors):
     length = F.aggregate("us", F.lit(0.0), lambda acc, x: acc + x * x)
     return doc_factors.select("doc_id", F.round(F.sqrt(length), 3).alias("norm"))
 
 
+@query("lsa_truncated", _NORMS_SQL)
+def lsa_truncated(spark, sf):
+    return _norms(_block_factors(spark, sf)[1])
+
+
+@query("lsa_range_finder", _NORMS_SQL)
+def lsa_range_finder(spark, sf):
+    return _norms(_block_factors(spark, sf, randomised_lsa)[1])
+
+
 # The third term of every nation is asked once, the fifth of nation 0 twice.
 _ASKED = " ".join([f"nation{i}x3" for i in range(25)] + ["nation0x5", "nation0x5"])
 _SCORED_SQL = f"""SELECT doc_id, round(CASE WHEN rank <= {_SPECTRUM} THEN b * CASE WHEN block = 0 THEN 13.0::DOUBLE ELSE 3 END ELSE 0 END, 3) AS relevance
@@ -300,7 +311,18 @@ FROM balances JOIN (SELECT block, row_number() OVER (ORDER BY sigma DESC) AS ran
     f"WITH {_BLOCKS_SQL} {_SCORED_SQL}",
 )
 def search_truncated(spark, sf):
-    vocab, doc_factors, term_factors = _block_factors(spark, sf)
+    return _scored(spark, *_block_factors(spark, sf))
+
+
+@query(
+    "search_range_finder",
+    f"WITH {_BLOCKS_SQL} {_SCORED_SQL}",
+)
+def search_range_finder(spark, sf):
+    return _scored(spark, *_block_factors(spark, sf, randomised_lsa))
+
+
+def _scored(spark, vocab, doc_factors, term_factors):
     scored = S.lsa_relevance(doc_factors, term_factors, S.query_terms(spark, _ASKED, vocab))
     return scored.select("doc_id", (F.round("relevance", 3) + 0.0).alias("relevance"))
 

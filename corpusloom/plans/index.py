@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 
 from corpusloom.operators.lsa import lsa
@@ -14,13 +16,23 @@ from corpusloom.sources.tables import DOC_FACTORS, read_index
 
 
 def build_index(
-    spark: SparkSession, path: str, contents: DataFrame, page_ids: DataFrame, vocab_size: int = 30_000, k: int = 300, **tdm_options
+    spark: SparkSession,
+    path: str,
+    contents: DataFrame,
+    page_ids: DataFrame,
+    vocab_size: int = 30_000,
+    k: int = 300,
+    decompose: Callable = lsa,
+    **tdm_options,
 ) -> dict[str, DataFrame]:
-    """Write the term-document matrix and its factors under ``path`` and read them back."""
+    """Write the term-document matrix and its factors under ``path`` and read them back.
+
+    ``decompose`` is ``lsa``, or ``randomised_lsa`` for a corpus whose exact factors take too many passes.
+    """
     tdm, vocab = build_tdm(contents, vocab_size, **tdm_options)
     write_index(path, tdm=tdm, vocab=vocab, page_ids=page_ids)
     tdm, vocab = (spark.read.parquet(f"{path}/{name}") for name in ("tdm", "vocab"))
-    doc_factors, term_factors = lsa(tdm, vocab, contents, k)
+    doc_factors, term_factors = decompose(tdm, vocab, contents, k)
     write_index(path, term_factors=term_factors)
     write_norm_index(doc_factors, f"{path}/{DOC_FACTORS}")
     return read_index(spark, path)

@@ -1,6 +1,7 @@
 import math
 from collections import Counter
 
+import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
@@ -9,6 +10,7 @@ from corpusloom.operators import norm_index as N
 from corpusloom.operators import search as S
 from corpusloom.operators import terms as T
 from corpusloom.operators.lsa import lsa
+from corpusloom.operators.range_finder import randomised_lsa
 
 DOCS = [
     (0, "Apple apple apple banana banana BANANA banana the the the"),
@@ -118,7 +120,6 @@ def _vectors(spark, rows):
 
 @pytest.fixture(scope="module")
 def factors(spark):
-    import numpy as np
 
     random = np.random.default_rng(5)
     lengths = 2.0 ** random.uniform(-8, 4, 600)
@@ -168,3 +169,30 @@ def test_steps_grow_and_cover_every_band():
     assert cut[0][:2] == (19, 19) and cut[1][:2] == (18, 17) and cut[-1][1] == N.EMPTY_BAND
     assert all(a[1] > b[0] for a, b in zip(cut, cut[1:]))
     assert N.steps([], 10) == []
+
+
+def test_range_finder_in_small_blocks(spark):
+    """A matrix of many blocks with a falling spectrum, an empty document and an unused term."""
+    rng = np.random.default_rng(3)
+    left, right = np.linalg.qr(rng.normal(size=(60, 12)))[0], np.linalg.qr(rng.normal(size=(45, 12)))[0]
+    whole = left * 0.5 ** np.arange(12) @ right.T
+    whole[7], whole[:, 9] = 0, 0
+    cells = [(int(i) * 3, int(j), float(whole[i, j])) for i, j in zip(*np.nonzero(whole))]
+    tdm = spark.createDataFrame(cells, "doc_id long, term_id long, weight double")
+    ids = spark.createDataFrame([(i * 3,) for i in range(60)], "doc_id long")
+    vocab = spark.createDataFrame([(f"t{j}", j) for j in range(45)], "term string, term_id long")
+    docs, terms = randomised_lsa(tdm, vocab, ids, 5, extra=4, powers=2, docs=9, terms=10, fan=2)
+    us = np.array([r.us for r in sorted(docs.collect())])
+    v = np.array([r.v for r in sorted(terms.collect())])
+    u, sizes, vt = np.linalg.svd(whole)
+    best = u[:, :5] * sizes[:5] @ vt[:5]
+    assert us.shape == (60, 5) and v.shape == (45, 5) and not us[7].any() and not v[9].any()
+    assert np.abs(us @ v.T - best).max() < 1e-6 and np.abs(v.T @ v - np.eye(5)).max() < 1e-9
+    assert np.linalg.norm(us, axis=0) == pytest.approx(sizes[:5], rel=1e-6)
+
+
+def test_range_finder_on_odd_tables(spark, docs):
+    tdm, vocab = T.build_tdm(docs)
+    none = randomised_lsa(tdm.limit(0), vocab, docs, 2)
+    assert none[0].count() == docs.count() and none[1].count() == vocab.count()
+    assert randomised_lsa(tdm.limit(0), vocab, docs.limit(0), 2)[0].count() == 0
