@@ -225,7 +225,7 @@ def _xml_pages(spark, sf, *others):
     """The documents as one XML element each."""
     escaped = F.replace(F.replace(F.replace("text", F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;"))
     redirect = F.when(F.col("lang") == "es", '\n  <redirect title="Other &amp; more" />').otherwise("")
-    return table(spark, sf, "documents").select(
+    return spread_table(spark, sf, "documents").select(
         *others,
         F.concat(
             F.lit("  <page>\n    <title>"), "source", F.lit(" &amp; "), F.col("doc_id").cast("string"), F.lit("</title>\n    <ns>0</ns>\n    <id>"),
@@ -326,7 +326,7 @@ def dump_files(spark, sf):
 )
 def page_files(spark, sf):
     path = scratch_path(spark, "files")
-    _xml_pages(spark, sf).write.option("maxRecordsPerFile", 1).text(path)
+    W.write_page_files(_xml_pages(spark, sf), path)
     return X.read_page_files(spark, path)
 
 

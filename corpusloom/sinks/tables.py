@@ -63,6 +63,18 @@ def save_templates(lookup: DataFrame, table: str, path: str, buckets: int = 64)
     lookup.write.mode("overwrite").bucketBy(buckets, "name").sortBy("name").option("path", path).saveAsTable(table)
 
 
+def write_page_files(pages: DataFrame, path: str) -> None:
+    """Write ``pages(value)`` as one file each, in folders ``folder=n`` of at most 1024 files.
+
+    A folder belongs to one task, so the end of the job moves folders, not files, and readers list them side by
+    side. On a local disk no checksum files are written: each would cost as much as the page itself.
+    """
+    folder = F.shiftright(F.monotonically_increasing_id(), 10)
+    writer = pages.select("value", folder.alias("folder")).write.partitionBy("folder").option("maxRecordsPerFile", 1)
+    raw = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
+    writer.options(**raw).text(path)
+
+
 def document_text(page_id: Column, url: Column, title: Column, body: Column) -> Column:
     """One page with its header and footer lines."""
     return F.concat(

@@ -100,10 +100,11 @@ def with_siteinfo(pages: DataFrame, siteinfo: DataFrame) -> DataFrame:
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """pages(page_id, title, text) of a glob with one page per file.
 
-    Ids are dense from 0 in title order; files without a title are left out.
+    Ids are dense from 0 in title order; files without a title are left out. Each file is read once:
+    the pages are stored before the sort, which looks at its rows twice.
     """
     files = spark.read.text(path, wholetext=True)
     title = unescape(first_title(F.col("value")))
     body = unescape(F.regexp_extract("value", r"(?s)<text\b[^>]*(?<!/)>(.*?)</text>", 1))
     pages = files.select(F.when(title != "", title).alias("title"), body.alias("text"))
-    return with_dense_ids(pages).select("page_id", "title", "text")
+    return with_dense_ids(checkpoint(pages)).select("page_id", "title", "text")

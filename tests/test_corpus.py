@@ -4,6 +4,7 @@ import math
 import pytest
 from pyspark.sql import functions as F
 
+from catalog.common import spread_table, table
 from corpusloom.operators import abbreviations as A
 from corpusloom.operators import lemmas as L
 from corpusloom.operators import links as K
@@ -80,6 +81,30 @@ def test_page_files(spark, tmp_path):
     assert got == [(0, "Ant & bee", "<b>"), (1, "Zoo", "z")]
 
 
+def test_page_files_are_written_in_folders_of_bounded_size(spark, tmp_path):
+    pages = [(PAGE % (f"T{i:04d}", 0, i, "", f"text {i}"),) for i in range(1100)]
+    W.write_page_files(spark.createDataFrame(pages, "value string").coalesce(1), str(tmp_path / "files"))
+    folders = [[f.name for f in d.iterdir()] for d in (tmp_path / "files").glob("folder=*")]
+    assert sorted(map(len, folders)) == [76, 1024] and all(name.endswith(".txt") for names in folders for name in names)
+    got = X.read_page_files(spark, str(tmp_path / "files")).orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(i, f"T{i:04d}", f"text {i}") for i in range(1100)]
+
+
+def test_spread_table_follows_rows_not_files(spark, tmp_path):
+    """One row group in a file of many partitions leaves all rows in one of them."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
+    rows.coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        assert table(spark, str(tmp_path), "documents").rdd.getNumPartitions() >= 8
+        spread = spread_table(spark, str(tmp_path), "documents")
+        sizes = spread.groupBy(F.spark_partition_id()).count().collect()
+        assert len(sizes) == 8 and max(r["count"] for r in sizes) < 4_000
+        assert spread.distinct().count() == 20_000
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
 def test_table_readers(spark, tmp_path):
     def file(name, text):
         (tmp_path / name).write_bytes(text.replace("\n", "\r\n").encode())
