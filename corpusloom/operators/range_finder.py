@@ -18,13 +18,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import checkpoint, discard, scratch_path, shuffle_partitions
+from corpusloom.runtime import arrow_rows, checkpoint, discard, scratch_path, shuffle_partitions
 
 EXTRA = 20  # columns beyond the rank
 POWERS = 2  # rounds with the transpose
 DOCS, TERMS = 1024, 4096  # rows and columns of a block
 FAN = 8  # parts of a sum or a triangle that one task merges
 CELLS = 8192  # cells multiplied at once
+BATCH_BYTES = 32 << 20  # of dense blocks that a worker is given at once
 TINY = 1e-9  # of the largest singular value: smaller ones are zero
 _BLOCK = "number long, data binary"
 _PART = "number long, part long, data binary"
@@ -56,19 +57,21 @@ def randomised_lsa(
     if not width:
         zero = F.array().cast("array<double>")
         return rows.select("doc_id", zero.alias("us")), vocab.select(F.col("term_id").cast("long"), zero.alias("v"))
+    docs, terms = min(docs, n_docs), min(terms, n_terms)
+    at_once = max(1, BATCH_BYTES // (8 * width * max(docs, terms)))
     pieces, path = _pieces(tdm.join(rows, "doc_id"), docs, terms)
     dense, old = _stored(_sampled(pieces, width, docs, terms), "range")
-    turn = _turn(_triangle(dense, width, fan))
+    turn = _turn(_triangle(dense, width, fan, at_once))
     for _ in range(powers):
-        back, _ = _stored(_folded(_times_transpose(pieces, dense, turn, terms), fan), "range")
-        turn = _turn(_triangle(back, turn.shape[1], fan))
+        back, _ = _stored(_folded(_times_transpose(pieces, dense, turn, terms), fan, at_once), "range")
+        turn = _turn(_triangle(back, turn.shape[1], fan, at_once))
         discard(spark, old)
-        dense, old = _stored(_folded(_times(pieces, back, turn, docs), fan), "range")
-        turn = _turn(_triangle(dense, turn.shape[1], fan))
-    back, _ = _stored(_folded(_times_transpose(pieces, dense, turn, terms), fan), "range")
+        dense, old = _stored(_folded(_times(pieces, back, turn, docs), fan, at_once), "range")
+        turn = _turn(_triangle(dense, turn.shape[1], fan, at_once))
+    back, _ = _stored(_folded(_times_transpose(pieces, dense, turn, terms), fan, at_once), "range")
     discard(spark, path)
     # The matrix is nearly (dense turn) times the transpose of back, and back is orthonormal columns times its triangle.
-    _, sizes, right = np.linalg.svd(_triangle(back, turn.shape[1], fan))
+    _, sizes, right = np.linalg.svd(_triangle(back, turn.shape[1], fan, at_once))
     kept = min(k, int((sizes > TINY * sizes[:1].sum()).sum()))
     right, sizes = right[:kept].T, sizes[:kept]
     us = _rows_of(dense, turn @ right * sizes, docs, "row", "us")
@@ -160,14 +163,18 @@ def _times(pieces: DataFrame, back: DataFrame, turn: np.ndarray, docs: int) -> D
     return met.select(F.col("doc_block").alias("number"), F.col("term_block").alias("part"), "cells", "data").mapInArrow(multiply, _PART)
 
 
-def _folded(parts: DataFrame, fan: int, merge=sum) -> DataFrame:
-    """Blocks (number, data): the parts of each merged in a tree; a task holds ``fan`` of them."""
+def _folded(parts: DataFrame, fan: int, at_once: int, merge=sum) -> DataFrame:
+    """Blocks (number, data): the parts of each merged in a tree; a task holds ``fan`` of them.
+
+    The work that makes the parts is done here, on batches of ``at_once`` rows: a join may hold the same dense block many times.
+    """
 
     def fold(block: pa.Table) -> pa.Table:
         merged = merge([np.frombuffer(d.as_buffer(), np.float64) for d in block.column("data")])
         return pa.table({"number": block.column("number")[:1], "part": block.column("part")[:1], "data": pa.array([merged.tobytes()], pa.binary())})
 
-    parts, _ = _stored(parts, "parts")
+    with arrow_rows(parts.sparkSession, at_once):
+        parts, _ = _stored(parts, "parts")
     left = (parts.agg(F.max("part")).first()[0] or 0) + 1
     while True:
         parts = parts.withColumn("part", F.floor(F.col("part") / fan)).groupBy("number", "part").applyInArrow(fold, _PART)
@@ -176,7 +183,7 @@ def _folded(parts: DataFrame, fan: int, merge=sum) -> DataFrame:
             return parts.select("number", "data")
 
 
-def _triangle(blocks: DataFrame, width: int, fan: int) -> np.ndarray:
+def _triangle(blocks: DataFrame, width: int, fan: int, at_once: int) -> np.ndarray:
     """The triangle of the tall factor that blocks of rows make: of each task's rows first, then merged in a tree."""
 
     def reduced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -190,7 +197,7 @@ def _triangle(blocks: DataFrame, width: int, fan: int) -> np.ndarray:
     def stack(triangles: list[np.ndarray]) -> np.ndarray:
         return np.linalg.qr(np.vstack([t.reshape(-1, width) for t in triangles]), mode="r")
 
-    found = _folded(blocks.select("data").mapInArrow(reduced, _PART), fan, stack).collect()  # one triangle
+    found = _folded(blocks.select("data").mapInArrow(reduced, _PART), fan, at_once, stack).collect()  # one triangle
     return np.frombuffer(found[0]["data"], np.float64).reshape(-1, width) if found else np.zeros((1, width))
 
 

@@ -2,11 +2,13 @@ import math
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from corpusloom.operators import norm_index as N
+from corpusloom.operators import range_finder
 from corpusloom.operators import search as S
 from corpusloom.operators import terms as T
 from corpusloom.operators.lsa import lsa
@@ -196,3 +198,16 @@ def test_range_finder_on_odd_tables(spark, docs):
     none = randomised_lsa(tdm.limit(0), vocab, docs, 2)
     assert none[0].count() == docs.count() and none[1].count() == vocab.count()
     assert randomised_lsa(tdm.limit(0), vocab, docs.limit(0), 2)[0].count() == 0
+
+
+def test_dense_blocks_reach_workers_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            size = np.array([float(batch.num_rows)])
+            yield pa.RecordBatch.from_pydict({"number": [0], "part": [0], "data": pa.array([size.tobytes()], pa.binary())})
+
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    parts = spark.range(100).coalesce(1).mapInArrow(sizes, range_finder._PART)
+    largest = range_finder._folded(parts, 8, 7, lambda found: np.max(found, axis=0)).first()["data"]
+    assert np.frombuffer(largest)[0] == 7 and spark.conf.get(key) == before
