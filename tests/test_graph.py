@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import graph as G
 from corpusloom.operators.pagerank import pagerank, pagerank_vector, rank_pages
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import attach_by_key
+from corpusloom.runtime import attach_by_key, checkpoint
 
 EDGES = [(0, 1), (0, 2), (1, 2), (2, 0), (3, 2), (3, 2)]
 
@@ -119,3 +119,16 @@ def test_node_count_and_no_links(spark):
     matrix = spark.createDataFrame([], "dst long, src long, p double")
     got = _values(pagerank_vector(matrix, G.uniform_vector(spark.range(4))))
     assert got == pytest.approx({i: 0.0375 for i in range(4)})
+
+
+def test_a_stored_table_is_not_stored_again(spark):
+    rows = checkpoint(spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 1)], "src long, dst long"))
+    assert checkpoint(rows) is rows
+    assert checkpoint(rows.filter("src = 1")) is not rows
+
+
+def test_hot_keys_by_the_counts_of_the_lookup(spark):
+    rows = spark.createDataFrame([(1, 2), (1, 3), (1, 4), (2, 1), (None, 5)], "src long, dst long")
+    lookup = spark.createDataFrame([(1, 3), (2, 1)], "src long, n long")
+    got = attach_by_key(rows, lookup, "src", "left", min_rows=1, counts="n").select("src", "dst", "n").collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, 2, 3), (1, 3, 3), (1, 4, 3), (2, 1, 1), (None, 5, None)]))
