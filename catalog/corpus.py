@@ -203,7 +203,7 @@ _FORMS_SQL = (
 
 def _lexicon(spark, sf):
     found = F.explode(F.regexp_extract_all(F.lower("text"), F.lit("[a-z]{3,}"), F.lit(0)))
-    return table(spark, sf, "documents").select(found.alias("lemma")).distinct()
+    return spread_table(spark, sf, "documents").select(found.alias("lemma")).distinct()
 
 
 @query(

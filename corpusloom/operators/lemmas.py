@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from corpusloom.fixed_values import CONTENT_STOPWORDS, NOUN_ENDINGS
 from corpusloom.operators.abbreviations import abbreviation_form, attach_abbreviations
-from corpusloom.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checkpoint
+from corpusloom.operators.key_filter import keep_known
+from corpusloom.runtime import BROADCAST_BYTES, BROADCAST_ROWS, checkpoint, scratch_path
 
 # Spacing rules of the Penn Treebank convention, in their order. A full stop before
 # white space ends a sentence, unless the word before it is a given abbreviation.
@@ -128,9 +129,14 @@ def lemmatize(
             return contents.withColumn("content", looked_up(content_tokens(F.col("content"), stopwords)))
         tokens = checkpoint(contents.withColumn("content", content_tokens(F.col("content"), stopwords, own)))
         return tokens.withColumn("content", looked_up(F.col("content"))).drop("_abbreviations")
-    tokens = contents.withColumn("_tokens", content_tokens(F.col("content"), stopwords, own))
-    tokens = checkpoint(tokens.withColumn("_row", F.monotonically_increasing_id()))
-    distinct = tokens.select("_row", F.explode(F.array_distinct("_tokens")).alias("form"))
+    # tokens hold no white space and are never empty: as one text, in compressed columns, they are a fraction of the list
+    joined = F.array_join(content_tokens(F.col("content"), stopwords, own), " ")
+    path = scratch_path(contents.sparkSession, "tokens")
+    contents.withColumn("content", joined).withColumn("_row", F.monotonically_increasing_id()).write.parquet(path)
+    tokens = contents.sparkSession.read.parquet(path)
+    words = F.filter(F.split("content", " "), lambda t: t != "")
+    distinct = tokens.select("_row", F.explode(F.array_distinct(words)).alias("form"))
+    distinct = keep_known(distinct, changing, "form")  # most words do not change: they are not shuffled
     changed = (
         distinct.join(changing, "form")
         .groupBy("_row")
@@ -138,10 +144,6 @@ def lemmatize(
     )
     applied = F.when(
         F.col("_changed").isNotNull(),
-        F.transform("_tokens", lambda t: F.coalesce(F.col("_changed")[t], t)),
-    ).otherwise(F.col("_tokens"))
-    return (
-        tokens.join(changed, "_row", "left")
-        .withColumn("content", F.array_join(applied, " "))
-        .drop("_tokens", "_changed", "_row", "_abbreviations")
-    )
+        F.array_join(F.transform(words, lambda t: F.coalesce(F.col("_changed")[t], t)), " "),
+    ).otherwise(F.col("content"))
+    return tokens.join(changed, "_row", "left").withColumn("content", applied).drop("_changed", "_row", "_abbreviations")

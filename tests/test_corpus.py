@@ -295,3 +295,13 @@ def test_lemmas_of_repeated_ids_beyond_the_broadcast(spark, monkeypatch):
     far = L.lemmatize(docs, lexicon)
     assert far.columns == docs.columns
     assert sorted(map(tuple, far.collect()), key=str) == near == sorted([(1, "cat run"), (1, "dog run"), (None, "cat"), (None, "box"), (2, "")], key=str)
+
+
+def test_lemmatize_shuffles_only_words_that_may_change(spark, monkeypatch):
+    monkeypatch.setattr(L, "BROADCAST_ROWS", 0)
+    shuffled = []
+    monkeypatch.setattr(L, "keep_known", lambda rows, known, key: shuffled.append(B.keep_known(rows, known, key)) or shuffled[-1])
+    contents = spark.createDataFrame([(1, "cats sleep"), (1, "cats sleep"), (2, ""), (3, None)], "doc_id long, content string")
+    got = L.lemmatize(contents, spark.createDataFrame([("cat",)], "lemma string"), stopwords=()).collect()
+    assert sorted(map(str, map(tuple, got))) == sorted(map(str, [(1, "cat sleep"), (1, "cat sleep"), (2, ""), (3, None)]))
+    assert "cats" in {r["form"] for r in shuffled[0].collect()} and shuffled[0].count() < 4
