@@ -15,8 +15,10 @@ tables: the most frequent rows are broadcast, texts meet the others in a shuffle
 
 from __future__ import annotations
 
+from collections import Counter, defaultdict
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +38,7 @@ GAIN = 20.0  # count times divergence, in nats, that keeps a context
 STRENGTH = 20.0  # tokens' worth of the shorter context in each distribution
 KNOWN_SHARE = 1 / 2_000_000  # of all tokens that a word's count needs to be broadcast
 HEAD_ROWS = 2_000_000  # of the tree that are broadcast, at most
-FILTER_BITS = 26  # log2 of the bits that tell which rows of the tree are not in the broadcast part
+FILTER_BITS = 26  # log2 of the bits that tell which contexts, and which other rows of the tree, are not in the broadcast part
 LOOKUP_ROWS = 1_000_000  # of a table joined by broadcast, at most
 CLASSES = 512
 BUCKET_BITS = 21  # log2 of the buckets of the broadcast rows
@@ -46,7 +48,8 @@ _END = CLASSES
 FLUSH = 1_000_000  # tokens counted at once by a worker
 _U = np.uint64
 _WORD = ("key", "n")
-_PAIR = ("context", "symbol", "n")
+_STRING = {1: ("tail", "n"), 2: ("tail", "first", "n")}  # the tail holds the last two symbols of a string
+CHUNK = 1 << 17  # tokens of texts that a worker looks up at once
 
 
 def word_keys(words: list[bytes]) -> np.ndarray:
@@ -94,26 +97,61 @@ class Head:
     deltas: np.ndarray
     starts: np.ndarray
     shift: int
-    elsewhere: np.ndarray | None  # bits of the rows that are not here: a row whose bit is not set is nowhere
+    elsewhere: np.ndarray | None  # bits of the contexts and of the other rows that are not here: one whose bits are not set is nowhere
 
-    def gains(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
-        """The sum of the deltas of rows that are here, and the keys of those that may be elsewhere."""
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The delta of each row, 0 for those that are not here, and whether it is here."""
         bucket = (keys >> _U(self.shift)).astype(np.int64)
         at, end = self.starts[bucket], self.starts[bucket + 1]
-        gain, missing = 0.0, np.ones(len(keys), bool)
+        delta, here = np.zeros(len(keys)), np.zeros(len(keys), bool)
         left = np.flatnonzero(at < end)
         while len(left):
-            met = self.keys[at[left]] == keys[left]
-            gain += float(self.deltas[at[left[met]]].sum())
-            missing[left[met]] = False
+            place = at[left]
+            met = self.keys[place] == keys[left]
+            found = left[met]
+            delta[found], here[found] = self.deltas[place[met]], True
             left = left[~met]
             at[left] += 1
             left = left[at[left] < end[left]]
+        return delta, here
+
+    def gains(self, keys: np.ndarray) -> tuple[float, np.ndarray]:
+        """The sum of the deltas of rows that are here, and the keys of the others."""
+        delta, here = self.find(keys)
+        return float(delta.sum()), keys[~here]
+
+    def may_be_elsewhere(self, keys: np.ndarray, kind: int) -> np.ndarray:
+        """Of keys that are not here, of contexts (kind 0) or other rows (kind 1)."""
         if self.elsewhere is None:
-            return gain, keys[:0]
-        asked = keys[missing]
-        bit = _bit(asked)
-        return gain, asked[self.elsewhere[bit >> 6] >> (bit & 63) & 1 > 0]
+            return np.zeros(len(keys), bool)
+        word, bits = _bits_of(keys)
+        return self.elsewhere[kind, word] & bits == bits
+
+    def gains_of_texts(self, symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """What each text gains here; and the text and key of each row that may be elsewhere.
+
+        What follows a context is looked up only if the context is kept, here or perhaps elsewhere.
+        """
+        sizes = np.array([len(c) for c in symbols], np.int64)
+        whole = np.concatenate(symbols).astype(np.int64)
+        owner = np.repeat(np.arange(len(symbols)), sizes)
+        nth = np.arange(len(whole)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+        gain, owners, keys = np.zeros(len(symbols)), [], []
+        for d in range(1, DEPTH + 1):
+            context = _context(whole, d) if len(whole) > d else whole[:0]
+            inside = nth[d:] >= d
+            context, symbol, text = context[inside], whole[d:][inside], owner[d:][inside]
+            for kind in (0, 1):
+                asked = _row_keys(context, symbol if kind else -1)
+                delta, here = self.find(asked)
+                gain += np.bincount(text, delta, len(gain))
+                away = ~here
+                away[away] = self.may_be_elsewhere(asked[away], kind)
+                owners.append(text[away])
+                keys.append(asked[away])
+                kept = here | away
+                context, symbol, text = context[kept], symbol[kept], text[kept]
+        return gain, np.concatenate(owners), np.concatenate(keys)
 
 
 def _row_keys(context: np.ndarray, symbol: np.ndarray | int) -> np.ndarray:
@@ -140,24 +178,30 @@ def row_key(context: Column, symbol: Column) -> Column:
     return key(context, symbol)
 
 
-def _bit(keys: np.ndarray) -> np.ndarray:
-    """Place of a row of the tree in ``elsewhere``."""
-    return (mix(keys) >> _U(64 - FILTER_BITS)).astype(np.int64)
+def _bits_of(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The word of ``elsewhere`` that tells of a row of the tree, and the three bits that it sets there."""
+    h = mix(keys)
+    bits = np.zeros(len(keys), _U)
+    for k in range(3):
+        bits |= _U(1) << (h >> _U(6 * k) & _U(63))
+    return (h >> _U(70 - FILTER_BITS)).astype(np.int64), bits.view(np.int64)
 
 
 def _bits(rest: DataFrame) -> np.ndarray:
-    """The places of all rows, set; made in Spark, and of a fixed size however many they are."""
+    """The bits of all contexts, and of all other rows; made in Spark, and of a fixed size however many they are."""
+    size = 1 << (FILTER_BITS - 6)
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = _bit(batch.column("key").to_numpy().view(_U))
-            yield pa.RecordBatch.from_arrays([pa.array(at >> 6), pa.array(np.int64(1) << (at & 63))], names=["word", "bits"])
+            word, bits = _bits_of(batch.column("key").to_numpy().view(_U))
+            word += (batch.column("symbol").to_numpy() >= 0) * size
+            yield pa.RecordBatch.from_arrays([pa.array(word), pa.array(bits)], names=["word", "bits"])
 
-    words = rest.select("key").mapInArrow(places, "word long, bits long").groupBy("word")
+    words = rest.select("key", "symbol").mapInArrow(places, "word long, bits long").groupBy("word")
     word, bits = _columns(words.agg(F.bit_or("bits").alias("bits")), "word", "bits")
-    out = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    out = np.zeros(2 * size, np.int64)
     out[word] = bits
-    return out
+    return out.reshape(2, size)
 
 
 def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Callable, counts_of: Callable) -> Column:
@@ -212,8 +256,13 @@ def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words]:
     Symbols of words follow the end in order of count, so the frequent words have the first ones.
     """
     spark = plain.sparkSession
-    keys_of, counts_of = lambda text: word_keys(lower_words(text or "")), lambda parts: np.unique(np.concatenate(parts), return_counts=True)
-    counts = plain.select(F.explode(counted(F.col("learn"), F.col("text"), _WORD, keys_of, counts_of)).alias("c")).select("c.*")
+
+    def counts_of(parts: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
+        seen = Counter(chain.from_iterable(parts))
+        return word_keys(list(seen)), np.fromiter(seen.values(), np.int64, len(seen))
+
+    words_of = lambda text: lower_words(text or "")
+    counts = plain.select(F.explode(counted(F.col("learn"), F.col("text"), _WORD, words_of, counts_of)).alias("c")).select("c.*")
     vocabulary = checkpoint(counts.groupBy("key").agg(F.sum("n").alias("n")))
     ends = plain.filter("learn").count()
     distinct, running = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
@@ -267,15 +316,15 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
             context = np.concatenate([_context(c, d) for c in coded] or [np.empty(0, np.int64)])
             symbol = np.concatenate([c[d:] for c in coded] or [np.empty(0, np.int64)])
             if d == 1:
-                keys, n = np.unique(context << _WIDE | symbol, return_counts=True)
-                return keys >> _WIDE, keys & _LOW, n
+                return np.unique(context << _WIDE | symbol, return_counts=True)
             table = np.unique(context) if wanted is None else wanted.value
             place, keep = _find(table, context)
             keys, n = np.unique((place << _WIDE | symbol)[keep], return_counts=True)
-            return table[keys >> _WIDE], keys & _LOW, n
+            context = table[keys >> _WIDE]
+            return (context & _LOW) << _WIDE | keys & _LOW, context >> _WIDE & _LOW, n
 
-        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PAIR, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
-        pairs, path = _stored(counts.groupBy("context", "symbol").agg(F.sum("n").alias("n")))
+        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _STRING[d], lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
+        pairs, path = _stored(_pairs(counts, d, model))
         sums = checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= CONTEXT_COUNT))
         often = _with_shorter(_attach(pairs, sums, "context"), chances, model)
         mixed = (F.col("n") + STRENGTH * F.col("shorter")) / (F.col("total") + STRENGTH)
@@ -300,6 +349,21 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
     return model
 
 
+def _pairs(counts: DataFrame, d: int, model: DataFrame | None) -> DataFrame:
+    """Rows (context, symbol, n) from counts of strings; with ``after_delta``, of the row without the first symbol.
+
+    Longer strings are shuffled by their tails alone, so that their counts and the rows that they need meet at once.
+    """
+    last, symbol = F.shiftright("tail", _WIDE), F.col("tail").bitwiseAND(F.lit(_LOW)).alias("symbol")
+    if model is None:
+        return counts.groupBy("tail").agg(F.sum("n").alias("n")).select(last.alias("context"), symbol, "n")
+    after = model.filter("symbol >= 0").filter(F.col("context") < _LONG)
+    after = after.select(F.shiftleft("context", _WIDE).bitwiseOR(F.col("symbol")).alias("tail"), F.col("delta").alias("after_delta"))
+    summed = counts.repartition("tail").groupBy("tail", "first").agg(F.sum("n").alias("n"))
+    context = F.shiftleft("first", _WIDE).bitwiseOR(last).bitwiseOR(F.lit(_LONG)).alias("context")
+    return summed.join(after, "tail", "left").select(context, symbol, "n", "after_delta")
+
+
 def _with_shorter(pairs: DataFrame, chances: DataFrame, model: DataFrame | None) -> DataFrame:
     """Add ``shorter``: the chance of the symbol in the state of the context without its first symbol."""
     rooted = _attach(pairs, chances, "symbol")
@@ -307,8 +371,7 @@ def _with_shorter(pairs: DataFrame, chances: DataFrame, model: DataFrame | None)
         return rooted.withColumn("shorter", F.col("root"))
     last = F.col("context").bitwiseAND(F.lit(_LOW)).alias("last")
     states = model.filter("symbol < 0").select(F.col("context").alias("last"), F.col("delta").alias("state_delta"))
-    after = model.filter("symbol >= 0").select(F.col("context").alias("last"), "symbol", F.col("delta").alias("after_delta"))
-    met = _attach(rooted.select("*", last), states, "last", "left").join(after, ["last", "symbol"], "left")
+    met = _attach(rooted.select("*", last), states, "last", "left")
     return met.withColumn("shorter", F.col("root") * F.exp(F.coalesce("state_delta", F.lit(0.0)) + F.coalesce("after_delta", F.lit(0.0))))
 
 
@@ -334,6 +397,29 @@ def head_of(model: DataFrame) -> tuple[Head, DataFrame]:
     return Head(keys, table.column("delta").to_numpy()[order], starts, 64 - depth, elsewhere), rest
 
 
+def _encoded(texts: list[list[bytes]], words: Words, open_rare: bool) -> tuple[list, ...]:
+    """The columns of ``encoded`` for the words of some texts; each distinct word is looked up once."""
+    number = defaultdict(count().__next__)
+    coded = [np.array(list(map(number.__getitem__, t)), np.int64) for t in texts]
+    keys = word_keys(list(number))
+    order = np.argsort(keys)
+    place, met = np.empty(len(keys), np.int64), np.empty(len(keys), bool)
+    place[order], met[order] = words.find(keys[order])
+    base = np.log10(words.total + words.distinct + 1)
+    logs, own = np.zeros(len(keys)), np.full(len(keys), -1)
+    logs[met], own[met] = np.log10(words.counts[place[met]] + 1) - base, words.symbols[place[met]]
+    kind = keys & (CLASSES - 1)
+    kind = np.where(met, kind, -1 - kind) if open_rare else kind
+    symbols = np.append(np.where(own >= 0, own, kind), _END).astype(np.int32)
+    end = np.log10(words.ends + 1) - base
+    out = []
+    for code in coded:
+        here = met[code]
+        text = np.append(symbols[code], symbols[-1:])
+        out.append((len(code) + 1, int(here.sum()) + (words.ends > 0), float(logs[code].sum() + end), text.tobytes(), keys[code[~here]]))
+    return tuple(map(list, zip(*out)))
+
+
 def encoded(text: Column, shared: Broadcast, open_rare: bool) -> Column:
     """Struct of ``n_tokens``, ``known`` and ``base`` over frequent words and the end, ``rare`` keys, ``symbols``.
 
@@ -344,23 +430,17 @@ def encoded(text: Column, shared: Broadcast, open_rare: bool) -> Column:
     @F.arrow_udf("n_tokens long, known long, base double, symbols binary, rare array<long>")
     def encode(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         words: Words = shared.value
-        base = np.log10(words.total + words.distinct + 1)
         for texts in batches:
-            out, rare = [], []
-            for value in texts:
-                keys = word_keys(lower_words(value.as_py() or ""))
-                place, met = words.find(keys)
-                counts = np.append(words.counts[place[met]] if met.any() else np.empty(0), words.ends)
-                sums = np.log10(counts + 1).sum() - base * len(counts)
-                own = np.where(met, words.symbols[place], -1) if len(words.keys) else np.full(len(keys), -1)
-                kind = keys & (CLASSES - 1)
-                kind = np.where(met, kind, -1 - kind) if open_rare else kind
-                symbols = np.append(np.where(own >= 0, own, kind), _END).astype(np.int32)
-                out.append((len(keys) + 1, int(met.sum()) + (words.ends > 0), float(sums), symbols.tobytes()))
-                rare.append(keys[~met])
-            columns = list(zip(*out)) or [()] * 4
-            offsets = np.concatenate(([0], np.cumsum([len(r) for r in rare]))).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*rare, np.empty(0, np.int64)])))
+            flushed, parts, held = [], [], 0
+            for i, value in enumerate(texts):
+                parts.append(lower_words(value.as_py() or ""))
+                held += len(parts[-1])
+                if held >= CHUNK or i == len(texts) - 1:
+                    flushed.append(_encoded(parts, words, open_rare))
+                    parts, held = [], 0
+            columns = [list(chain.from_iterable(c)) for c in zip(*flushed)] or [[]] * 5
+            offsets = np.concatenate(([0], np.cumsum([len(r) for r in columns[4]]))).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate([*columns[4], np.empty(0, np.int64)])))
             arrays = [pa.array(c, f.type) for c, f in zip(columns, fields)] + [lists]
             yield pa.StructArray.from_arrays(arrays, fields=[*fields, pa.field("rare", lists.type)])
 
@@ -395,15 +475,21 @@ def asked(row: Column, symbols: Column, head: Broadcast) -> Column:
     def ask(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for numbers, coded in batches:
             own = mix(numbers.to_numpy().astype(_U))
-            keys, gains, sizes = [np.empty(0, _U)], [], [0]
+            keys, gains, sizes, parts, held = [np.empty(0, _U)], [], [0], [], 0
             for i, code in enumerate(coded):
-                gain, elsewhere = head.value.gains(row_keys_of_text(np.frombuffer(code.as_buffer(), np.int32).astype(np.int64)))
-                keys += [own[i : i + 1], elsewhere]
-                gains.append(gain)
-                sizes.append(1 + len(elsewhere))
-            offsets = np.cumsum(sizes)
+                parts.append(np.frombuffer(code.as_buffer(), np.int32))
+                held += len(parts[-1])
+                if held >= CHUNK or i == len(coded) - 1:
+                    gain, owner, elsewhere = head.value.gains_of_texts(parts)
+                    begin = i + 1 - len(parts)
+                    owner = np.concatenate((np.arange(len(parts)), owner))
+                    keys.append(np.concatenate((own[begin : i + 1], elsewhere))[np.argsort(owner, kind="stable")])
+                    gains.append(gain)
+                    sizes.append(np.bincount(owner))
+                    parts, held = [], 0
+            offsets = np.cumsum(np.hstack(sizes))
             found = np.zeros(offsets[-1])
-            found[offsets[:-1]] = gains
+            found[offsets[:-1]] = np.concatenate([*gains, np.empty(0)])
             first = np.zeros(offsets[-1], bool)
             first[offsets[:-1]] = True
             fields = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(found, mask=~first)]
