@@ -7,7 +7,20 @@ from __future__ import annotations
 
 import numpy as np
 
-_PACK, _BITS = 7, 9  # symbols in a first sort key, bits of each
+_BITS = 63  # of a sort key
+
+
+def stable_order(key: np.ndarray, most: int) -> np.ndarray:
+    """Places of keys of 0 to ``most`` in ascending order, equal keys by place.
+
+    Keys are sorted as numbers that end in their places, which is several times as fast, if both fit.
+    """
+    shift = len(key).bit_length()
+    if most.bit_length() + shift > _BITS:
+        return np.argsort(key, kind="stable")
+    packed = key << shift | np.arange(len(key))
+    packed.sort()
+    return packed & (1 << shift) - 1
 
 
 def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
@@ -18,27 +31,33 @@ def suffix_order(symbols: np.ndarray, left: np.ndarray) -> np.ndarray:
     """
     n = len(symbols)
     key = np.zeros(n, np.int64)
-    padded = np.append(symbols, np.zeros(_PACK, symbols.dtype)).astype(np.int64)
-    for k in range(_PACK):
-        key = key << _BITS | np.where(left > k, padded[k : n + k], 0)
-    order = np.argsort(key, kind="stable")
+    used = np.zeros(int(symbols.max()) + 1, bool)
+    used[symbols] = used[0] = True
+    dense = (np.cumsum(used) - 1)[symbols]  # the symbols in use, numbered
+    bits = max(int(used.sum() - 1).bit_length(), 1)
+    pack = max((_BITS - n.bit_length()) // bits, 1)  # symbols in a first sort key
+    padded = np.append(dense, np.zeros(pack, np.int64))
+    for k in range(pack):
+        key = key << bits | np.where(left > k, padded[k : n + k], 0)
+    order = stable_order(key, (1 << bits * pack) - 1)
     sorted_key = key[order]
     new = np.concatenate(([True], sorted_key[1:] != sorted_key[:-1]))
     rank = np.empty(n, np.int64)
     starts = np.flatnonzero(new)
     rank[order] = np.repeat(starts, np.diff(np.append(starts, n)))
-    width, longest = _PACK, int(left.max())
+    width, longest = pack, int(left.max())
     while width < longest:
         starts = np.flatnonzero(new)
         sizes = np.diff(np.append(starts, n))
-        slots = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places in the order that are not settled
+        slots = np.flatnonzero(np.repeat(sizes > 1, sizes))  # places in the order that are not settled; of a group by position
         if not len(slots):
             break
         at = order[slots]
         follow = np.where(left[at] > width, rank[np.minimum(at + width, n - 1)] + 1, 0)
-        group = rank[at]
-        again = np.lexsort((at, follow, group))
-        at, follow, group = at[again], follow[again], group[again]
+        open_sizes = sizes[sizes > 1]
+        group = np.repeat(np.arange(len(open_sizes)), open_sizes)
+        again = stable_order(group * (n + 1) + follow, len(open_sizes) * (n + 1))
+        at, follow = at[again], follow[again]  # groups keep their places
         order[slots] = at
         split = np.concatenate(([True], (group[1:] != group[:-1]) | (follow[1:] != follow[:-1])))
         new[slots] = split
@@ -114,7 +133,13 @@ def later_windows(pieces: list[bytes], owner: np.ndarray, place: np.ndarray, siz
     piece = np.repeat(np.arange(len(pieces)), lengths)[at]
     owners = owner[piece]
     places = place[piece] + at - (tails - lengths + 1)[piece]
+    # groups are in order; those of one window have nothing earlier
+    several = np.zeros(len(group) + 1, bool)
+    several[1:-1] = group[1:] == group[:-1]
+    several = several[1:] | several[:-1]
+    group, owners, places = group[several], owners[several], places[several]
     first = np.lexsort((places, owners, group))
     group, owners, places = group[first], owners[first], places[first]
-    later = np.concatenate(([False], group[1:] == group[:-1]))
+    later = np.zeros(len(group), bool)
+    later[1:] = group[1:] == group[:-1]
     return owners[later], places[later]

@@ -498,6 +498,26 @@ def test_later_windows():
         assert sorted(zip(owners.tolist(), places.tolist())) == sorted(want)
 
 
+def test_suffix_order_by_packed_keys():
+    import numpy as np
+
+    from corpusloom.llm.bwt import stable_order, suffix_order
+
+    rng = random.Random(13)
+    for most in (1, 5, 1 << 40, (1 << 62) - 1):  # the last does not fit beside its places
+        key = np.array([rng.choice([0, most, rng.randint(0, most)]) for _ in range(500)], np.int64)
+        assert (stable_order(key, most) == np.argsort(key, kind="stable")).all()
+    for letters in (range(1, 3), range(1, 257), [1, 256], range(90, 120)):
+        pieces = [[rng.choice(list(letters)) for _ in range(rng.randint(0, 40))] for _ in range(30)]
+        pieces += pieces[:5]
+        symbols = np.array([x for p in pieces for x in [*p, 0]], np.uint16)
+        left = np.array([k for p in pieces for k in range(len(p) + 1, 0, -1)])
+        tails = [tuple(symbols[i : i + n]) for i, n in enumerate(left)]
+        assert suffix_order(symbols, left).tolist() == sorted(range(len(tails)), key=lambda i: (tails[i], i))
+    owners, places = later_windows([b"abc", b"xyz"], np.array([1, 2]), np.array([0, 0]), 3)
+    assert len(owners) == len(places) == 0
+
+
 # --- queries -----------------------------------------------------------------------
 
 
