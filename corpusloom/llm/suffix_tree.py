@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import lower_words, mix, word_hashes
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import attach_by_key, checkpoint, discard, scratch_path
+from corpusloom.runtime import attach_by_key, checkpoint, discard, scratch_path, shuffle_partitions
 
 DEPTH = 2  # symbols of a context
 SYMBOL_COUNT = 100  # times that a word of its own symbol is seen
@@ -48,7 +48,9 @@ _END = CLASSES
 FLUSH = 1_000_000  # tokens counted at once by a worker
 _U = np.uint64
 _WORD = ("key", "n")
-_STRING = {1: ("tail", "n"), 2: ("tail", "first", "n")}  # the tail holds the last two symbols of a string
+_STRING = ("tail", "first", "n")  # the tail holds the last two symbols of a string
+_PACKED = ("part", "size", "packed")
+PART_TOKENS = 1 << 20  # tokens of the corpus for each part that strings of two symbols, or asks of texts, are dealt to
 CHUNK = 1 << 17  # tokens of texts that a worker looks up at once
 
 
@@ -204,6 +206,26 @@ def _bits(rest: DataFrame) -> np.ndarray:
     return out.reshape(2, size)
 
 
+def _dealt(part: np.ndarray, parts: int, *columns: np.ndarray) -> tuple[list, list, list]:
+    """For each part: its number, the rows dealt to it, and their compressed columns, of 64 bits each."""
+    order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
+    sizes = np.bincount(part, minlength=parts)
+    ends = np.cumsum(sizes)
+    columns = [c[order] for c in columns]
+    numbers, packed = np.flatnonzero(sizes), []
+    for k in numbers.tolist():
+        rows = slice(ends[k] - sizes[k], ends[k])
+        packed.append(pa.compress(b"".join(c[rows].tobytes() for c in columns), codec="zstd", asbytes=True))
+    return numbers.tolist(), sizes[numbers].tolist(), packed
+
+
+def _unpacked(table: pa.Table, columns: int) -> Iterator[list[np.ndarray]]:
+    """The columns of each row of ``_dealt``, as integers."""
+    for size, packed in zip(table.column("size").to_pylist(), table.column("packed")):
+        raw = pa.decompress(packed.as_buffer(), decompressed_size=8 * columns * size, codec="zstd")
+        yield list(np.frombuffer(raw, np.int64).reshape(columns, size))
+
+
 def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Callable, counts_of: Callable) -> Column:
     """Counts of what the values of the rows to learn from hold.
 
@@ -211,9 +233,11 @@ def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Call
     worker counts many rows at once; the counts stand on the last row of each flush.
     """
 
-    @F.arrow_udf(f"array<struct<{','.join(f'{n}:long' for n in names)}>>")
+    kinds = ["binary" if n == "packed" else "long" for n in names]
+
+    @F.arrow_udf(f"array<struct<{','.join(map(':'.join, zip(names, kinds)))}>>")
     def count(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
-        fields = [pa.field(n, pa.int64()) for n in names]
+        fields = [pa.field(n, pa.binary() if k == "binary" else pa.int64()) for n, k in zip(names, kinds)]
         for learns, column in batches:
             flushed, sizes, parts, held = [], np.zeros(len(column), np.int64), [], 0
             for i, (wanted, value) in enumerate(zip(learns, column)):
@@ -224,8 +248,8 @@ def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Call
                     flushed.append(counts_of(parts))
                     sizes[i] = len(flushed[-1][0])
                     parts, held = [], 0
-            columns = [np.concatenate(c) for c in zip(*flushed)] if flushed else [np.empty(0)] * len(names)
-            items = pa.StructArray.from_arrays([pa.array(c, f.type) for c, f in zip(columns, fields)], fields=fields)
+            columns = [pa.concat_arrays([pa.array([], f.type), *(pa.array(c[k], f.type) for c in flushed)]) for k, f in enumerate(fields)]
+            items = pa.StructArray.from_arrays(columns, fields=fields)
             yield pa.ListArray.from_arrays(pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32()), items)
 
     return count(learn, values)
@@ -296,7 +320,7 @@ def _context(symbols: np.ndarray, d: int) -> np.ndarray:
     return _LONG | symbols[:-2] << _WIDE | symbols[1:-1]
 
 
-def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
+def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
     """Stored rows (context, symbol, n, key, delta) of kept contexts and what follows them.
 
     The chance of a symbol behind a kept context is (n / root + (STRENGTH + y) r) / (STRENGTH + total)
@@ -305,7 +329,8 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
     The row of a context has symbol -1 and as delta the logarithm of (STRENGTH + y) / (STRENGTH + total);
     a symbol's row has what its count adds to that. So the logarithm of a token's ratio is the
     sum of the deltas of the rows met on the way to its longest kept context, and a text gains
-    the sum over all rows that it meets. All counts are made and joined in Spark, of whatever number.
+    the sum over all rows that it meets. All counts are made and joined in Spark, of whatever number;
+    those of two symbols are summed in ``parts``, by a hash of both.
     """
     spark, model = rows.sparkSession, None
     chances, wanted = symbols.select("symbol", "root"), None
@@ -316,15 +341,16 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
             context = np.concatenate([_context(c, d) for c in coded] or [np.empty(0, np.int64)])
             symbol = np.concatenate([c[d:] for c in coded] or [np.empty(0, np.int64)])
             if d == 1:
-                return np.unique(context << _WIDE | symbol, return_counts=True)
+                tails, n = np.unique(context << _WIDE | symbol, return_counts=True)
+                return _dealt(mix(tails.astype(_U)).view(np.int64) % parts, parts, tails >> _WIDE, tails & _LOW, n)
             table = np.unique(context) if wanted is None else wanted.value
             place, keep = _find(table, context)
             keys, n = np.unique((place << _WIDE | symbol)[keep], return_counts=True)
             context = table[keys >> _WIDE]
             return (context & _LOW) << _WIDE | keys & _LOW, context >> _WIDE & _LOW, n
 
-        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _STRING[d], lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
-        pairs, path = _stored(_pairs(counts, d, model))
+        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PACKED if d == 1 else _STRING, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
+        pairs, path = _stored(_pairs(counts, model))
         sums = checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= CONTEXT_COUNT))
         often = _with_shorter(_attach(pairs, sums, "context"), chances, model)
         mixed = (F.col("n") + STRENGTH * F.col("shorter")) / (F.col("total") + STRENGTH)
@@ -349,14 +375,23 @@ def grow_tree(rows: DataFrame, symbols: DataFrame) -> DataFrame:
     return model
 
 
-def _pairs(counts: DataFrame, d: int, model: DataFrame | None) -> DataFrame:
+def _pairs(counts: DataFrame, model: DataFrame | None) -> DataFrame:
     """Rows (context, symbol, n) from counts of strings; with ``after_delta``, of the row without the first symbol.
 
     Longer strings are shuffled by their tails alone, so that their counts and the rows that they need meet at once.
     """
-    last, symbol = F.shiftright("tail", _WIDE), F.col("tail").bitwiseAND(F.lit(_LOW)).alias("symbol")
+
+    def summed_part(table: pa.Table) -> pa.Table:
+        context, symbol, n = (np.concatenate(c) for c in zip(*_unpacked(table, 3)))
+        tails = context << _WIDE | symbol
+        order = np.argsort(tails)
+        tails = tails[order]
+        first = np.flatnonzero(np.concatenate(([True], tails[1:] != tails[:-1])))
+        return pa.table({"context": tails[first] >> _WIDE, "symbol": tails[first] & _LOW, "n": np.add.reduceat(n[order], first)})
+
     if model is None:
-        return counts.groupBy("tail").agg(F.sum("n").alias("n")).select(last.alias("context"), symbol, "n")
+        return counts.groupBy("part").applyInArrow(summed_part, "context long, symbol long, n long")
+    last, symbol = F.shiftright("tail", _WIDE), F.col("tail").bitwiseAND(F.lit(_LOW)).alias("symbol")
     after = model.filter("symbol >= 0").filter(F.col("context") < _LONG)
     after = after.select(F.shiftleft("context", _WIDE).bitwiseOR(F.col("symbol")).alias("tail"), F.col("delta").alias("after_delta"))
     summed = counts.repartition("tail").groupBy("tail", "first").agg(F.sum("n").alias("n"))
@@ -465,47 +500,71 @@ def settled(symbols: Column, rare: Column, own: Column) -> Column:
     return settle(symbols, rare, own)
 
 
-def asked(row: Column, symbols: Column, head: Broadcast) -> Column:
-    """What a text gains from rows that are broadcast, then the keys of rows that it may need from elsewhere.
+def asked(row: Column, symbols: Column, head: Broadcast, parts: int) -> Column:
+    """What texts gain from rows that are broadcast, then the keys of rows that they may need from elsewhere, by part.
 
-    The gain stands first, under a key of the row's own, so that no task gets the gains of all.
+    Many texts are dealt at once: packed columns of their numbers and gains, or numbers and keys, stand on the last row of each flush.
     """
+    names = (*_PACKED, "gained")
+    fields = [pa.field(n, k) for n, k in zip(names, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()))]
 
-    @F.arrow_udf("array<struct<key:long,gain:double>>")
+    @F.arrow_udf("array<struct<part:long,size:long,packed:binary,gained:boolean>>")
     def ask(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         for numbers, coded in batches:
-            own = mix(numbers.to_numpy().astype(_U))
-            keys, gains, sizes, parts, held = [np.empty(0, _U)], [], [0], [], 0
+            numbers = numbers.to_numpy()
+            begin, flushed, sizes = 0, [], np.zeros(len(coded), np.int64)
+            texts, keys, gains, parts_held, held, away = [], [], [], [], 0, 0
             for i, code in enumerate(coded):
-                parts.append(np.frombuffer(code.as_buffer(), np.int32))
-                held += len(parts[-1])
-                if held >= CHUNK or i == len(coded) - 1:
-                    gain, owner, elsewhere = head.value.gains_of_texts(parts)
-                    begin = i + 1 - len(parts)
-                    owner = np.concatenate((np.arange(len(parts)), owner))
-                    keys.append(np.concatenate((own[begin : i + 1], elsewhere))[np.argsort(owner, kind="stable")])
+                parts_held.append(np.frombuffer(code.as_buffer(), np.int32))
+                held += len(parts_held[-1])
+                last = i == len(coded) - 1
+                if held >= CHUNK or last:
+                    gain, owner, elsewhere = head.value.gains_of_texts(parts_held)
+                    first = i + 1 - len(parts_held)
+                    order = np.argsort(owner, kind="stable")
+                    texts.append(numbers[first : i + 1][owner[order]])
+                    keys.append(elsewhere[order].view(np.int64))
                     gains.append(gain)
-                    sizes.append(np.bincount(owner))
-                    parts, held = [], 0
-            offsets = np.cumsum(np.hstack(sizes))
-            found = np.zeros(offsets[-1])
-            found[offsets[:-1]] = np.concatenate([*gains, np.empty(0)])
-            first = np.zeros(offsets[-1], bool)
-            first[offsets[:-1]] = True
-            fields = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(found, mask=~first)]
-            yield pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.StructArray.from_arrays(fields, ["key", "gain"]))
+                    away += len(owner)
+                    parts_held, held = [], 0
+                if away >= FLUSH or last:
+                    own = numbers[begin : i + 1]
+                    part = np.full(len(own), own[0] % parts)  # gains go to any part
+                    for gained, flush in ((True, (part, own, np.concatenate(gains))), (False, (np.concatenate(keys) % parts, np.concatenate(texts), np.concatenate(keys)))):
+                        dealt = _dealt(flush[0], parts, *flush[1:])
+                        flushed.append((*dealt, [gained] * len(dealt[0])))
+                        sizes[i] += len(dealt[0])
+                    begin, texts, keys, gains, away = i + 1, [], [], [], 0
+            columns = [pa.array(list(chain.from_iterable(f[k] for f in flushed)), field.type) for k, field in enumerate(fields)]
+            offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
+            yield pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=fields))
 
     return ask(row, symbols)
 
 
-def _gains(rows: DataFrame, head: Broadcast, rest: DataFrame) -> DataFrame:
-    """Add ``gain``, in nats. Rows of the tree that are not broadcast meet the keys of the texts in a shuffle."""
-    found = asked(F.col("row"), F.col("symbols"), head)
-    if head.value.elsewhere is None:
-        return rows.withColumn("gain", found[0]["gain"]).drop("symbols")
-    keys = rows.select("row", F.explode(found).alias("a")).select("row", "a.*")
-    sums = keys.join(rest.select("key", "delta"), "key", "left").groupBy("row")
-    return rows.drop("symbols").join(sums.agg(F.sum(F.coalesce("gain", "delta")).alias("gain")), "row")
+def _gains(rows: DataFrame, head: Broadcast, rest: DataFrame, parts: int) -> DataFrame:
+    """Add ``gain``, in nats. Rows of the tree that are not broadcast meet the keys of the texts in a shuffle by part."""
+
+    def met(asks: pa.Table, others: pa.Table) -> pa.Table:
+        keys, deltas = others.column("key").to_numpy(), others.column("delta").to_numpy()
+        order = np.argsort(keys)
+        keys, deltas = keys[order], deltas[order]
+        texts, gains = [np.empty(0, np.int64)], [np.empty(0)]
+        for gained, (text, value) in zip(asks.column("gained").to_pylist(), _unpacked(asks, 2)):
+            if gained:
+                texts.append(text)
+                gains.append(value.view(np.float64))
+            else:
+                place, here = _find(keys, value)
+                texts.append(text[here])
+                gains.append(deltas[place[here]])
+        row, place = np.unique(np.concatenate(texts), return_inverse=True)
+        return pa.table({"row": row, "gain": np.bincount(place, np.concatenate(gains), len(row))})
+
+    asks = rows.select(F.explode(asked(F.col("row"), F.col("symbols"), head, parts)).alias("a")).select("a.*")
+    others = rest.select(F.pmod("key", F.lit(parts)).alias("part"), "key", "delta")
+    sums = asks.groupBy("part").cogroup(others.groupBy("part")).applyInArrow(met, "row long, gain double")
+    return rows.drop("symbols").join(sums.groupBy("row").agg(F.sum("gain").alias("gain")), "row")
 
 
 def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -535,7 +594,8 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
         coded = settled(F.col("symbols"), F.col("rare"), F.col("own"))
         rows, _ = _stored(rows.join(own, "row", "left").withColumn("symbols", coded).drop("own"))
         discard(docs.sparkSession, path)
-    head, other = head_of(grow_tree(rows, symbols))
+    parts = max(shuffle_partitions(docs.sparkSession), -(-words.total // PART_TOKENS))
+    head, other = head_of(grow_tree(rows, symbols, parts))
     base = float(np.log10(words.total + words.distinct + 1))
     rest = vocabulary.filter(F.col("n") < rarest).select(F.col("key").alias("rare_key"), "n")
     met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
@@ -544,7 +604,7 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     )
     zero, base_score = F.lit(0), F.col("base") + F.coalesce("more_base", F.lit(0.0))
     plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", "symbols")
-    plain = _gains(plain, context.broadcast(head), other)
+    plain = _gains(plain, context.broadcast(head), other, parts)
     return plain.join(added, "row", "left").select(
         "doc_id",
         (~F.col("learn")).alias("held_out"),
