@@ -367,6 +367,46 @@ def test_tree_chances_sum_to_one():
         assert (got * root).sum() == pytest.approx(1)
 
 
+def test_texts_ask_only_behind_kept_contexts():
+    import numpy as np
+
+    from corpusloom.llm.suffix_tree import FILTER_BITS, Head, _bits_of, _context, _row_keys, row_keys_of_text
+
+    key = lambda context, symbol: _row_keys(_context(np.array([*context, 0]), len(context)), symbol)
+    here = {(0,): 0.5, (0, 1): 0.25, (2,): 1.0}
+    rows = {int(key(c, -1)[0]): v for c, v in here.items()} | {int(key((0,), 1)[0]): 2.0}
+    keys = np.array(sorted(rows), np.uint64)
+    starts = np.append(np.searchsorted(keys, np.arange(4, dtype=np.uint64) << np.uint64(62)), len(keys))
+    elsewhere = np.zeros((2, 1 << (FILTER_BITS - 6)), np.int64)
+    away = {1: [key((0, 1), 3), key((1, 3), 4)], 0: [key((3, 4), -1)]}  # context (1, 3) is kept nowhere
+    for kind, found in away.items():
+        for k in found:
+            word, bits = _bits_of(k)
+            elsewhere[kind, word] |= bits
+    head = Head(keys, np.array([rows[int(k)] for k in keys]), starts, 62, elsewhere)
+    texts = [np.array(t, np.int32) for t in ([0, 1, 3, 4, 0], [5], [2, 2], [], [0, 1, 3])]
+    gain, owner, asked = head.gains_of_texts(texts)
+    wanted = [head.gains(row_keys_of_text(t.astype(np.int64)))[0] if len(t) else 0 for t in texts]
+    assert gain == pytest.approx(wanted) and wanted[0] == pytest.approx(2.75)
+    want = [(0, int(away[1][0][0])), (0, int(away[0][0][0])), (4, int(away[1][0][0]))]
+    assert sorted(zip(owner.tolist(), asked.tolist())) == sorted(want)
+
+
+def test_packed_columns_keep_their_rows():
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm.suffix_tree import _dealt, _unpacked
+
+    values = np.random.default_rng(3).integers(-(1 << 62), 1 << 62, 1000)
+    for parts in (1, 7, 70_000):
+        numbers, sizes, packed = _dealt(values % parts, parts, values, values[::-1])
+        table = pa.table({"size": sizes, "packed": pa.array(packed, pa.binary())})
+        got = [(k, x, y) for k, (a, b) in zip(numbers, _unpacked(table, 2)) for x, y in zip(a.tolist(), b.tolist())]
+        assert sorted(got) == sorted(zip((values % parts).tolist(), values.tolist(), values[::-1].tolist()))
+    assert _dealt(values[:0], 5, values[:0]) == ([], [], [])
+
+
 def word_of(key, classes=512):
     data = key + b" "
     return (data[0] * 37 + data[1]) % classes
