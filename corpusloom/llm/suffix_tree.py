@@ -22,13 +22,14 @@ from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.llm.shingles import lower_words, mix, word_hashes
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import attach_by_key, checkpoint, discard, scratch_path, shuffle_partitions
+from corpusloom.runtime import attach_by_key, checkpoint, discard, scratch_path, shuffle_partitions, shuffles_dropped
 
 DEPTH = 2  # symbols of a context
 SYMBOL_COUNT = 100  # times that a word of its own symbol is seen
@@ -48,7 +49,6 @@ _END = CLASSES
 FLUSH = 1_000_000  # tokens counted at once by a worker
 _U = np.uint64
 _WORD = ("key", "n")
-_STRING = ("tail", "first", "n")  # the tail holds the last two symbols of a string
 _PACKED = ("part", "size", "packed")
 PART_TOKENS = 1 << 20  # tokens of the corpus for each part that strings of two symbols, or asks of texts, are dealt to
 CHUNK = 1 << 17  # tokens of texts that a worker looks up at once
@@ -130,7 +130,12 @@ class Head:
         return self.elsewhere[kind, word] & bits == bits
 
     def gains_of_texts(self, symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """What each text gains here; and the text and key of each row that may be elsewhere.
+        """What each text gains here; and the text and key of each row that may be elsewhere."""
+        gain, owners, contexts, symbols = self.asks_of_texts(symbols)
+        return gain, owners, _row_keys(contexts, symbols)
+
+    def asks_of_texts(self, symbols: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """What each text gains here; and the text, context and symbol (-1: the context's own) of each row that may be elsewhere.
 
         What follows a context is looked up only if the context is kept, here or perhaps elsewhere.
         """
@@ -138,7 +143,7 @@ class Head:
         whole = np.concatenate(symbols).astype(np.int64)
         owner = np.repeat(np.arange(len(symbols)), sizes)
         nth = np.arange(len(whole)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        gain, owners, keys = np.zeros(len(symbols)), [], []
+        gain, owners, contexts, follow = np.zeros(len(symbols)), [], [], []
         for d in range(1, DEPTH + 1):
             context = _context(whole, d) if len(whole) > d else whole[:0]
             inside = nth[d:] >= d
@@ -150,10 +155,11 @@ class Head:
                 away = ~here
                 away[away] = self.may_be_elsewhere(asked[away], kind)
                 owners.append(text[away])
-                keys.append(asked[away])
+                contexts.append(context[away])
+                follow.append(symbol[away] if kind else np.full(int(away.sum()), -1))
                 kept = here | away
                 context, symbol, text = context[kept], symbol[kept], text[kept]
-        return gain, np.concatenate(owners), np.concatenate(keys)
+        return gain, np.concatenate(owners), np.concatenate(contexts), np.concatenate(follow)
 
 
 def _row_keys(context: np.ndarray, symbol: np.ndarray | int) -> np.ndarray:
@@ -207,15 +213,19 @@ def _bits(rest: DataFrame) -> np.ndarray:
 
 
 def _dealt(part: np.ndarray, parts: int, *columns: np.ndarray) -> tuple[list, list, list]:
-    """For each part: its number, the rows dealt to it, and their compressed columns, of 64 bits each."""
+    """For each part: its number, the rows dealt to it, and their compressed columns, of 64 bits each.
+
+    The first column is held as steps from row to row, and the bytes of a column by their place in the number.
+    """
     order = np.argsort(part.astype(np.uint16) if parts <= 1 << 16 else part, kind="stable")
     sizes = np.bincount(part, minlength=parts)
     ends = np.cumsum(sizes)
     columns = [c[order] for c in columns]
     numbers, packed = np.flatnonzero(sizes), []
     for k in numbers.tolist():
-        rows = slice(ends[k] - sizes[k], ends[k])
-        packed.append(pa.compress(b"".join(c[rows].tobytes() for c in columns), codec="zstd", asbytes=True))
+        first, *others = (c[ends[k] - sizes[k] : ends[k]] for c in columns)
+        held = np.stack([np.diff(first, prepend=first.dtype.type(0)).view(np.uint8), *(c.view(np.uint8) for c in others)])
+        packed.append(pa.compress(held.reshape(len(columns), -1, 8).transpose(0, 2, 1).tobytes(), codec="zstd", asbytes=True))
     return numbers.tolist(), sizes[numbers].tolist(), packed
 
 
@@ -223,7 +233,14 @@ def _unpacked(table: pa.Table, columns: int) -> Iterator[list[np.ndarray]]:
     """The columns of each row of ``_dealt``, as integers."""
     for size, packed in zip(table.column("size").to_pylist(), table.column("packed")):
         raw = pa.decompress(packed.as_buffer(), decompressed_size=8 * columns * size, codec="zstd")
-        yield list(np.frombuffer(raw, np.int64).reshape(columns, size))
+        held = np.frombuffer(raw, np.uint8).reshape(columns, 8, size).transpose(0, 2, 1)
+        first, *others = np.ascontiguousarray(held).view(np.int64).reshape(columns, size)
+        yield [np.cumsum(first), *others]
+
+
+def _part_of(tails: np.ndarray, parts: int) -> np.ndarray:
+    """The part that strings are dealt to by their last two symbols."""
+    return mix(tails.astype(_U)).view(np.int64) % parts
 
 
 def counted(learn: Column, values: Column, names: tuple[str, ...], part_of: Callable, counts_of: Callable) -> Column:
@@ -274,8 +291,8 @@ def _attach(rows: DataFrame, lookup: DataFrame, key: str, how: str = "inner") ->
     return attach_by_key(rows, lookup, key, how)
 
 
-def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words]:
-    """The stored vocabulary (key, n) and symbols (symbol, n, root, key), and the frequent words.
+def learn_words(plain: DataFrame) -> tuple[DataFrame, str, DataFrame, Words]:
+    """The stored vocabulary (key, n) and its path, symbols (symbol, n, root, key), and the frequent words.
 
     Symbols of words follow the end in order of count, so the frequent words have the first ones.
     """
@@ -287,7 +304,7 @@ def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words]:
 
     words_of = lambda text: lower_words(text or "")
     counts = plain.select(F.explode(counted(F.col("learn"), F.col("text"), _WORD, words_of, counts_of)).alias("c")).select("c.*")
-    vocabulary = checkpoint(counts.groupBy("key").agg(F.sum("n").alias("n")))
+    vocabulary, path = _stored(counts.groupBy("key").agg(F.sum("n").alias("n")))
     ends = plain.filter("learn").count()
     distinct, running = vocabulary.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     total, distinct = int(running) + ends, int(distinct) + (ends > 0)
@@ -310,7 +327,7 @@ def learn_words(plain: DataFrame) -> tuple[DataFrame, DataFrame, Words]:
     root[_END] = ends + 1
     root /= base
     classes = spark.createDataFrame([(i, 0, float(root[i]), None) for i in range(_END + 1)], own.schema)
-    return vocabulary, own.unionByName(classes), words
+    return vocabulary, path, own.unionByName(classes), words
 
 
 def _context(symbols: np.ndarray, d: int) -> np.ndarray:
@@ -320,8 +337,8 @@ def _context(symbols: np.ndarray, d: int) -> np.ndarray:
     return _LONG | symbols[:-2] << _WIDE | symbols[1:-1]
 
 
-def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
-    """Stored rows (context, symbol, n, key, delta) of kept contexts and what follows them.
+def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> tuple[DataFrame, list[str]]:
+    """Stored rows (context, symbol, n, key, delta) of kept contexts and what follows them, and their paths.
 
     The chance of a symbol behind a kept context is (n / root + (STRENGTH + y) r) / (STRENGTH + total)
     times its root chance: r is the same ratio behind the context without its first symbol, y the
@@ -330,9 +347,9 @@ def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
     a symbol's row has what its count adds to that. So the logarithm of a token's ratio is the
     sum of the deltas of the rows met on the way to its longest kept context, and a text gains
     the sum over all rows that it meets. All counts are made and joined in Spark, of whatever number;
-    those of two symbols are summed in ``parts``, by a hash of both.
+    strings are summed in ``parts``, by a hash of their last two symbols.
     """
-    spark, model = rows.sparkSession, None
+    spark, model, paths = rows.sparkSession, None, []
     chances, wanted = symbols.select("symbol", "root"), None
     for d in range(1, DEPTH + 1):
 
@@ -342,15 +359,18 @@ def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
             symbol = np.concatenate([c[d:] for c in coded] or [np.empty(0, np.int64)])
             if d == 1:
                 tails, n = np.unique(context << _WIDE | symbol, return_counts=True)
-                return _dealt(mix(tails.astype(_U)).view(np.int64) % parts, parts, tails >> _WIDE, tails & _LOW, n)
+                return _dealt(_part_of(tails, parts), parts, tails >> _WIDE, tails & _LOW, n)
             table = np.unique(context) if wanted is None else wanted.value
             place, keep = _find(table, context)
             keys, n = np.unique((place << _WIDE | symbol)[keep], return_counts=True)
             context = table[keys >> _WIDE]
-            return (context & _LOW) << _WIDE | keys & _LOW, context >> _WIDE & _LOW, n
+            tails = (context & _LOW) << _WIDE | keys & _LOW
+            order = np.argsort(tails, kind="stable")
+            tails, first, n = tails[order], (context >> _WIDE & _LOW)[order], n[order]
+            return _dealt(_part_of(tails, parts), parts, tails >> _WIDE, tails & _LOW, n, first)
 
-        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PACKED if d == 1 else _STRING, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
-        pairs, path = _stored(_pairs(counts, model))
+        counts = rows.select(F.explode(counted(F.col("learn"), F.col("symbols"), _PACKED, lambda v: np.frombuffer(v, np.int32), strings)).alias("c")).select("c.*")
+        pairs, path = _stored(_pairs(counts, model, parts))
         sums = checkpoint(pairs.groupBy("context").agg(F.sum("n").alias("total")).filter(F.col("total") >= CONTEXT_COUNT))
         often = _with_shorter(_attach(pairs, sums, "context"), chances, model)
         mixed = (F.col("n") + STRENGTH * F.col("shorter")) / (F.col("total") + STRENGTH)
@@ -363,7 +383,8 @@ def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
         states = kept.select("context", F.lit(-1).cast("long").alias("symbol"), F.col("total").alias("n"), F.log(left / (F.col("total") + STRENGTH)).alias("delta"))
         added = F.log1p(F.col("n") / (F.col("left") * F.col("shorter"))).alias("delta")
         grown = states.unionByName(held.select("context", "symbol", "n", added))
-        grown, _ = _stored(grown.select("*", row_key(F.col("context"), F.col("symbol")).alias("key")))
+        grown, grown_path = _stored(grown.select("*", row_key(F.col("context"), F.col("symbol")).alias("key")))
+        paths.append(grown_path)
         model = grown if model is None else model.unionByName(grown)
         if d < DEPTH:
             # a longer context is frequent only if what follows this one is
@@ -372,31 +393,50 @@ def grow_tree(rows: DataFrame, symbols: DataFrame, parts: int) -> DataFrame:
             )
             wanted = spark.sparkContext.broadcast(np.sort(_columns(long, "context")[0])) if long.count() <= HEAD_ROWS else None
         discard(spark, path)
-    return model
+    return model, paths
 
 
-def _pairs(counts: DataFrame, model: DataFrame | None) -> DataFrame:
+def _pairs(counts: DataFrame, model: DataFrame | None, parts: int) -> DataFrame:
     """Rows (context, symbol, n) from counts of strings; with ``after_delta``, of the row without the first symbol.
 
-    Longer strings are shuffled by their tails alone, so that their counts and the rows that they need meet at once.
+    Longer strings are dealt by their tails alone, so that their counts and the rows that they need meet at once.
     """
 
-    def summed_part(table: pa.Table) -> pa.Table:
-        context, symbol, n = (np.concatenate(c) for c in zip(*_unpacked(table, 3)))
+    def summed(columns: Iterator[list[np.ndarray]]) -> list[np.ndarray]:
+        """Distinct tails, in order, with what else tells strings apart, and the sums of their counts."""
+        context, symbol, n, *first = (np.concatenate(c) for c in zip(*columns))
         tails = context << _WIDE | symbol
-        order = np.argsort(tails)
-        tails = tails[order]
-        first = np.flatnonzero(np.concatenate(([True], tails[1:] != tails[:-1])))
-        return pa.table({"context": tails[first] >> _WIDE, "symbol": tails[first] & _LOW, "n": np.add.reduceat(n[order], first)})
+        order = np.lexsort((*first, tails))
+        strings = [c[order] for c in (tails, *first)]
+        fresh = np.concatenate(([True], np.any([c[1:] != c[:-1] for c in strings], axis=0)))
+        begin = np.flatnonzero(fresh)
+        return [*(c[begin] for c in strings), np.add.reduceat(n[order], begin)]
+
+    def summed_part(table: pa.Table) -> pa.Table:
+        tails, n = summed(_unpacked(table, 3))
+        return pa.table({"context": tails >> _WIDE, "symbol": tails & _LOW, "n": n})
+
+    def met_part(table: pa.Table, after: pa.Table) -> pa.Table:
+        tails, first, n = summed(_unpacked(table, 4)) if table.num_rows else [np.empty(0, np.int64)] * 3
+        known, delta = after.column("tail").to_numpy(), after.column("after_delta").to_numpy()
+        order = np.argsort(known)
+        place, here = _find(known[order], tails)
+        deltas = np.zeros(len(tails))
+        deltas[here] = delta[order[place[here]]]
+        columns = {"context": _LONG | first << _WIDE | tails >> _WIDE, "symbol": tails & _LOW, "n": n}
+        return pa.table(columns | {"after_delta": pa.array(deltas, pa.float64(), mask=~here)})
 
     if model is None:
         return counts.groupBy("part").applyInArrow(summed_part, "context long, symbol long, n long")
-    last, symbol = F.shiftright("tail", _WIDE), F.col("tail").bitwiseAND(F.lit(_LOW)).alias("symbol")
+
+    @F.arrow_udf("long")
+    def part(tails: pa.Array) -> pa.Array:
+        return pa.array(_part_of(tails.to_numpy(), parts))
+
     after = model.filter("symbol >= 0").filter(F.col("context") < _LONG)
     after = after.select(F.shiftleft("context", _WIDE).bitwiseOR(F.col("symbol")).alias("tail"), F.col("delta").alias("after_delta"))
-    summed = counts.repartition("tail").groupBy("tail", "first").agg(F.sum("n").alias("n"))
-    context = F.shiftleft("first", _WIDE).bitwiseOR(last).bitwiseOR(F.lit(_LONG)).alias("context")
-    return summed.join(after, "tail", "left").select(context, symbol, "n", "after_delta")
+    after = after.withColumn("part", part(F.col("tail")))
+    return counts.groupBy("part").cogroup(after.groupBy("part")).applyInArrow(met_part, "context long, symbol long, n long, after_delta double")
 
 
 def _with_shorter(pairs: DataFrame, chances: DataFrame, model: DataFrame | None) -> DataFrame:
@@ -501,9 +541,9 @@ def settled(symbols: Column, rare: Column, own: Column) -> Column:
 
 
 def asked(row: Column, symbols: Column, head: Broadcast, parts: int) -> Column:
-    """What texts gain from rows that are broadcast, then the keys of rows that they may need from elsewhere, by part.
+    """What texts gain from rows that are broadcast, then the rows that they may need from elsewhere, by part.
 
-    Many texts are dealt at once: packed columns of their numbers and gains, or numbers and keys, stand on the last row of each flush.
+    Many texts are dealt at once: packed columns of their numbers and gains, or numbers and the symbols of rows, stand on the last row of each flush.
     """
     names = (*_PACKED, "gained")
     fields = [pa.field(n, k) for n, k in zip(names, (pa.int64(), pa.int64(), pa.binary(), pa.bool_()))]
@@ -513,28 +553,29 @@ def asked(row: Column, symbols: Column, head: Broadcast, parts: int) -> Column:
         for numbers, coded in batches:
             numbers = numbers.to_numpy()
             begin, flushed, sizes = 0, [], np.zeros(len(coded), np.int64)
-            texts, keys, gains, parts_held, held, away = [], [], [], [], 0, 0
+            asks, gains, parts_held, held, away = [], [], [], 0, 0
             for i, code in enumerate(coded):
                 parts_held.append(np.frombuffer(code.as_buffer(), np.int32))
                 held += len(parts_held[-1])
                 last = i == len(coded) - 1
                 if held >= CHUNK or last:
-                    gain, owner, elsewhere = head.value.gains_of_texts(parts_held)
+                    gain, owner, context, symbol = head.value.asks_of_texts(parts_held)
                     first = i + 1 - len(parts_held)
                     order = np.argsort(owner, kind="stable")
-                    texts.append(numbers[first : i + 1][owner[order]])
-                    keys.append(elsewhere[order].view(np.int64))
+                    asks.append((numbers[first : i + 1][owner[order]], context[order], symbol[order]))
                     gains.append(gain)
                     away += len(owner)
                     parts_held, held = [], 0
                 if away >= FLUSH or last:
                     own = numbers[begin : i + 1]
-                    part = np.full(len(own), own[0] % parts)  # gains go to any part
-                    for gained, flush in ((True, (part, own, np.concatenate(gains))), (False, (np.concatenate(keys) % parts, np.concatenate(texts), np.concatenate(keys)))):
-                        dealt = _dealt(flush[0], parts, *flush[1:])
-                        flushed.append((*dealt, [gained] * len(dealt[0])))
+                    text, context, symbol = (np.concatenate(c) for c in zip(*asks))
+                    to = _row_keys(context, symbol).view(np.int64) % parts
+                    away_from_here = _dealt(to, parts, text, context >> _WIDE, context & _LOW, symbol + 1)
+                    gained = _dealt(np.full(len(own), own[0] % parts), parts, own, np.concatenate(gains))  # to any part
+                    for is_gain, dealt in ((True, gained), (False, away_from_here)):
+                        flushed.append((*dealt, [is_gain] * len(dealt[0])))
                         sizes[i] += len(dealt[0])
-                    begin, texts, keys, gains, away = i + 1, [], [], [], 0
+                    begin, asks, gains, away = i + 1, [], [], 0
             columns = [pa.array(list(chain.from_iterable(f[k] for f in flushed)), field.type) for k, field in enumerate(fields)]
             offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), pa.int32())
             yield pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays(columns, fields=fields))
@@ -542,29 +583,49 @@ def asked(row: Column, symbols: Column, head: Broadcast, parts: int) -> Column:
     return ask(row, symbols)
 
 
+def _total(texts: list[np.ndarray], gains: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    row, place = np.unique(np.concatenate(texts), return_inverse=True)
+    return row, np.bincount(place, np.concatenate(gains), len(row))
+
+
 def _gains(rows: DataFrame, head: Broadcast, rest: DataFrame, parts: int) -> DataFrame:
-    """Add ``gain``, in nats. Rows of the tree that are not broadcast meet the keys of the texts in a shuffle by part."""
+    """The ``gain`` of each ``row``, in nats."""
+
+    def summed(sums: pa.Table) -> pa.Table:
+        texts, gains = zip(*_unpacked(sums, 2))
+        row, gain = _total(texts, [g.view(np.float64) for g in gains])
+        return pa.table({"row": row, "gain": gain})
+
+    sums = _sums(rows, head, rest, parts, shuffle_partitions(rows.sparkSession))
+    return sums.groupBy("part").applyInArrow(summed, "row long, gain double")
+
+
+def _sums(rows: DataFrame, head: Broadcast, rest: DataFrame, parts: int, groups: int) -> DataFrame:
+    """What each part adds to each text, as packed columns (row, gain) for each of some groups of texts.
+
+    Rows of the tree that are not broadcast meet what the texts ask in a shuffle by part.
+    """
 
     def met(asks: pa.Table, others: pa.Table) -> pa.Table:
         keys, deltas = others.column("key").to_numpy(), others.column("delta").to_numpy()
         order = np.argsort(keys)
         keys, deltas = keys[order], deltas[order]
         texts, gains = [np.empty(0, np.int64)], [np.empty(0)]
-        for gained, (text, value) in zip(asks.column("gained").to_pylist(), _unpacked(asks, 2)):
-            if gained:
-                texts.append(text)
-                gains.append(value.view(np.float64))
-            else:
-                place, here = _find(keys, value)
-                texts.append(text[here])
-                gains.append(deltas[place[here]])
-        row, place = np.unique(np.concatenate(texts), return_inverse=True)
-        return pa.table({"row": row, "gain": np.bincount(place, np.concatenate(gains), len(row))})
+        gained = asks.column("gained")
+        for text, value in _unpacked(asks.filter(gained), 2):
+            texts.append(text)
+            gains.append(value.view(np.float64))
+        for text, first, last, symbol in _unpacked(asks.filter(pc.invert(gained)), 4):
+            place, here = _find(keys, _row_keys(first << _WIDE | last, symbol - 1).view(np.int64))
+            texts.append(text[here])
+            gains.append(deltas[place[here]])
+        row, gain = _total(texts, gains)
+        group, size, packed = _dealt(row % groups, groups, row, gain)
+        return pa.table({"part": pa.array(group, pa.int64()), "size": pa.array(size, pa.int64()), "packed": pa.array(packed, pa.binary())})
 
     asks = rows.select(F.explode(asked(F.col("row"), F.col("symbols"), head, parts)).alias("a")).select("a.*")
     others = rest.select(F.pmod("key", F.lit(parts)).alias("part"), "key", "delta")
-    sums = asks.groupBy("part").cogroup(others.groupBy("part")).applyInArrow(met, "row long, gain double")
-    return rows.drop("symbols").join(sums.groupBy("row").agg(F.sum("gain").alias("gain")), "row")
+    return asks.groupBy("part").cogroup(others.groupBy("part")).applyInArrow(met, "part long, size long, packed binary")
 
 
 def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -579,38 +640,54 @@ def score_texts(docs: DataFrame, learn: Column, doc_id: str = "doc_id", text: st
     Counts of frequent words, at most 1/KNOWN_SHARE, are broadcast; occurrences of other
     words meet their counts in a shuffle. So do the rows of the tree beyond HEAD_ROWS.
     """
-    context = docs.sparkSession.sparkContext
+    spark = docs.sparkSession
     learns = F.coalesce(learn, F.lit(False))
     plain = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).alias("text"), learns.alias("learn"))
-    vocabulary, symbols, words = learn_words(plain)
+    with shuffles_dropped(spark):
+        rows, added, gains, words = _learnt(plain)
+    scored = rows.drop("symbols").join(gains, "row").join(added, "row", "left")
+    base_score = F.col("base") + F.coalesce("more_base", F.lit(0.0))
+    return scored.select(
+        "doc_id",
+        (~F.col("learn")).alias("held_out"),
+        "n_tokens",
+        (F.col("known") + F.coalesce("more_known", F.lit(0))).alias("n_known"),
+        F.lit(words.total).cast("long").alias("train_tokens"),
+        base_score.alias("base_score"),
+        (base_score + F.col("gain") / float(np.log(10))).alias("score"),
+    )
+
+
+def _learnt(plain: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame, Words]:
+    """Stored tables by ``row``: texts as symbols, what their rare words add, and what the tree adds; and the frequent words.
+
+    A table or shuffle is dropped as soon as the next one is stored: rare words are settled before the tree is grown.
+    """
+    spark = plain.sparkSession
+    vocabulary, words_path, symbols, words = learn_words(plain)
     rarest = words.total * KNOWN_SHARE  # count of a broadcast word
-    coded = encoded(F.col("text"), context.broadcast(words), rarest > SYMBOL_COUNT)
+    coded = encoded(F.col("text"), spark.sparkContext.broadcast(words), rarest > SYMBOL_COUNT)
     rows = plain.select("doc_id", "learn", F.monotonically_increasing_id().alias("row"), coded.alias("s"))
     rows, path = _stored(rows.select("doc_id", "learn", "row", "s.*"))  # at most four bytes a token
+    base = float(np.log10(words.total + words.distinct + 1))
+    rest = vocabulary.filter(F.col("n") < rarest).select(F.col("key").alias("rare_key"), "n")
+    met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
+    added, _ = _stored(
+        met.groupBy("row").agg(F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - base).alias("more_base"))
+    )
+    discard(spark, words_path)
     if rarest > SYMBOL_COUNT:
         own = symbols.filter(F.col("n") < rarest).filter("key is not null").select(F.col("key").alias("rare_key"), "symbol")
         own = rows.select("row", F.explode(F.array_distinct("rare")).alias("rare_key")).join(own, "rare_key")
         own = own.groupBy("row").agg(F.collect_list(F.struct("rare_key", "symbol")).alias("own"))
         coded = settled(F.col("symbols"), F.col("rare"), F.col("own"))
-        rows, _ = _stored(rows.join(own, "row", "left").withColumn("symbols", coded).drop("own"))
-        discard(docs.sparkSession, path)
-    parts = max(shuffle_partitions(docs.sparkSession), -(-words.total // PART_TOKENS))
-    head, other = head_of(grow_tree(rows, symbols, parts))
-    base = float(np.log10(words.total + words.distinct + 1))
-    rest = vocabulary.filter(F.col("n") < rarest).select(F.col("key").alias("rare_key"), "n")
-    met = rows.select("row", F.explode("rare").alias("rare_key")).join(rest, "rare_key", "left")
-    added = met.groupBy("row").agg(
-        F.count("n").alias("more_known"), F.sum(F.log10(F.coalesce("n", F.lit(0)) + 1) - base).alias("more_base")
-    )
-    zero, base_score = F.lit(0), F.col("base") + F.coalesce("more_base", F.lit(0.0))
-    plain = rows.select("doc_id", "learn", "row", "n_tokens", "known", "base", "symbols")
-    plain = _gains(plain, context.broadcast(head), other, parts)
-    return plain.join(added, "row", "left").select(
-        "doc_id",
-        (~F.col("learn")).alias("held_out"),
-        "n_tokens",
-        (F.col("known") + F.coalesce("more_known", zero)).alias("n_known"),
-        F.lit(words.total).cast("long").alias("train_tokens"),
-        base_score.alias("base_score"),
-        (base_score + F.col("gain") / float(np.log(10))).alias("score"),
-    )
+        rows = rows.join(own, "row", "left").withColumn("symbols", coded).drop("own")
+    rows, _ = _stored(rows.drop("rare"))
+    discard(spark, path)
+    parts = max(shuffle_partitions(spark), -(-words.total // PART_TOKENS))
+    model, paths = grow_tree(rows, symbols, parts)
+    head, other = head_of(model)
+    gains, _ = _stored(_gains(rows, spark.sparkContext.broadcast(head), other, parts))
+    for path in paths:
+        discard(spark, path)
+    return rows, added, gains, words

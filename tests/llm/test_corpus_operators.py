@@ -407,6 +407,58 @@ def test_packed_columns_keep_their_rows():
     assert _dealt(values[:0], 5, values[:0]) == ([], [], [])
 
 
+def test_packed_symbols_are_small():
+    import numpy as np
+    import pyarrow as pa
+
+    from corpusloom.llm.suffix_tree import _dealt
+
+    rng = np.random.default_rng(4)
+    first, last = (np.minimum(rng.zipf(1.3, 50_000), 80_000) for _ in range(2))
+    order = np.lexsort((last, first))
+    columns = first[order], last[order], np.ones(50_000, np.int64)
+    plain = len(pa.compress(b"".join(c.tobytes() for c in columns), codec="zstd", asbytes=True))
+    _, _, packed = _dealt(np.zeros(50_000, np.int64), 1, *columns)
+    assert len(packed[0]) < 0.8 * plain
+
+
+def test_parts_give_back_groups_of_texts(spark):
+    import numpy as np
+
+    from corpusloom.llm.suffix_tree import FILTER_BITS, Head, _context, _row_keys, _sums, _unpacked
+
+    rng = np.random.default_rng(5)
+    texts = [rng.integers(0, 20, 60).astype(np.int32) for _ in range(300)]
+    context = np.arange(20)
+    rest = {int(k): 1.0 + i for i, k in enumerate(_row_keys(context, -1).view(np.int64))}
+    nothing = np.empty(0, np.uint64)
+    everywhere = np.full((2, 1 << (FILTER_BITS - 6)), -1, np.int64)
+    head = spark.sparkContext.broadcast(Head(nothing, np.empty(0), np.zeros(3, np.int32), 63, everywhere))
+    rows = spark.createDataFrame([(i, t.tobytes()) for i, t in enumerate(texts)], "row long, symbols binary")
+    others = spark.createDataFrame(list(rest.items()), "key long, delta double")
+    sums = _sums(rows, head, others, 6, 4).toArrow()
+    assert sums.num_rows <= 6 * 4  # not one row for each text and part
+    got = Counter()
+    for row, gain in _unpacked(sums, 2):
+        for i, g in zip(row.tolist(), gain.view(np.float64).tolist()):
+            got[i] += g
+    assert [got[i] for i in range(300)] == [sum(rest[int(k)] for k in _row_keys(_context(t.astype(np.int64), 1), -1).view(np.int64)) for t in texts]
+
+
+def test_tables_of_the_tree_are_dropped(spark, texts):
+    import glob
+
+    from corpusloom.runtime import checkpoint_dir
+
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, folder = spark.conf.get(key), checkpoint_dir(spark).removeprefix("file:")
+    there = set(glob.glob(f"{folder}/tree-*"))
+    docs = spark.createDataFrame(sorted(texts.items())[:20], "doc_id long, text string")
+    scored = score_texts(docs, F.lit(True))
+    assert len(set(glob.glob(f"{folder}/tree-*")) - there) == 3  # texts, what rare words add, gains
+    assert scored.count() == 20 and spark.conf.get(key) == before
+
+
 def word_of(key, classes=512):
     data = key + b" "
     return (data[0] * 37 + data[1]) % classes
