@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from corpusloom.operators import graph as G
 from corpusloom.operators.pagerank import pagerank, pagerank_vector, rank_pages
 from corpusloom.operators.ranking import with_position
-from corpusloom.runtime import attach_by_key, checkpoint
+from corpusloom.runtime import attach_by_key, checkpoint, checkpoint_dir, parts_kept
 
 EDGES = [(0, 1), (0, 2), (1, 2), (2, 0), (3, 2), (3, 2)]
 
@@ -61,6 +61,38 @@ def test_hot_sources_give_the_same_ranks(spark):
     assert got == pytest.approx(want)
 
 
+def _stored_tables(spark):
+    """Folders of checkpoints that hold files."""
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return {f.getPath().getName() for f in files.listStatus(root) if f.getPath().getName().startswith("rdd-")}
+
+
+@pytest.mark.parametrize("row_limit", [100_000, 20])
+def test_stored_edges_give_the_same_ranks(spark, row_limit):
+    links = [(0, i) for i in range(1, 200)] + [(i, i % 7) for i in range(1, 200)] + [(0, 5), (3, None), (None, 3)]
+    links = spark.createDataFrame(links, "src long, dst long")
+    plain, stored = G.edges(links), G.edges(links, stored=True, row_limit=row_limit)
+    assert sorted(map(tuple, stored.collect())) == sorted(map(tuple, plain.collect()))
+    matrix, want = G.transition_matrix(stored), G.transition_matrix(plain)
+    assert sorted(map(tuple, matrix.collect())) == sorted(map(tuple, want.collect()))
+    vector = G.uniform_vector(spark.range(200))
+    ranks = _values(pagerank_vector(matrix, vector, epsilon=0.0, max_iter=4))
+    assert ranks == pytest.approx(_values(pagerank_vector(want, vector, epsilon=0.0, max_iter=4)))
+
+
+def test_rounds_leave_one_table_and_move_no_edges(spark):
+    matrix = G.transition_matrix(G.edges(spark.createDataFrame(EDGES, "src long, dst long"), stored=True))
+    vector = checkpoint(G.uniform_vector(spark.range(4)))
+    before = _stored_tables(spark)
+    ranks = pagerank_vector(matrix, vector, epsilon=0.0, max_iter=5)
+    assert len(_stored_tables(spark) - before) == 1
+    with parts_kept(spark):
+        plan = matrix._lists.join(ranks.withColumnRenamed("id", "src").hint("merge"), "src")
+        assert "Exchange" not in plan._jdf.queryExecution().executedPlan().toString()
+    assert len(_values(ranks)) == 4
+
+
 def test_attach_by_key_keeps_unmatched_and_null_keys(spark):
     rows = spark.createDataFrame([("a", 1)] * 20 + [("b", 2), ("zz", 3), (None, 4)], "k string, n int")
     lookup = spark.createDataFrame([("a", "A"), ("b", "B")], "k string, v string")
