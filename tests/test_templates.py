@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.operators import templates as T
 from corpusloom.operators.expansion import expand_calls, expand_templates, template_lookup
+from corpusloom.runtime import checkpoint_dir
 from corpusloom.sinks.tables import save_templates
 from corpusloom.sources.tables import read_templates
 
@@ -132,6 +133,19 @@ def test_repeated_ids_and_further_columns(spark, tables):
     assert expand_templates(pages.limit(0), *tables, F.lit("2020-03-04").cast("timestamp")).collect() == []
 
 
+def test_rounds_leave_only_what_pages_are_made_of(spark):
+    wrap = spark.createDataFrame([(1, "Template:Wrap", "<{{{1}}}>")], "page_id long, title string, text string")
+    pages = [(i, f"t{i}", "a " + "{{wrap|" * 8 + f"x{i}" + "}}" * 8 + " b") for i in range(20)]
+    pages = spark.createDataFrame(pages, "page_id long, title string, text string")
+    root = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(checkpoint_dir(spark))
+    files = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    before = len(files.listStatus(root))
+    got = expand_templates(pages, *T.load_templates(wrap), F.lit("2020-03-04").cast("timestamp"))
+    assert len(files.listStatus(root)) - before <= 10  # the templates, the pages, and what each of eight rounds gives
+    assert "Exchange" not in got._jdf.queryExecution().executedPlan().toString()
+    assert {r["page_id"]: r["text"] for r in got.collect()} == {i: "a " + "<" * 8 + f"x{i}" + ">" * 8 + " b" for i in range(20)}
+
+
 def test_invocations(spark):
     pages = spark.createDataFrame([(1, "P", "x {{t|a|b|c|2=B}} {{outer|{{in ner|k=v}}}}")], "page_id long, title string, text string")
     got = [(r["pos"], r["name"], r["params"]) for r in T.invocations(pages).orderBy("pos").collect()]
