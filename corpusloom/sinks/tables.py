@@ -2,18 +2,22 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 from collections import deque
 from collections.abc import Iterable, Iterator, Sequence
 
 import pyarrow as pa
 from pyspark import TaskContext
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.runtime import checkpoint
+from corpusloom.runtime import arrow_rows, checkpoint, local_path
 
 MIN_FILE_BYTES = 200 * 1024
 FILES_PER_FOLDER = 100
+FOLDER_BITS = 10  # of the number of a page file, for its place in its folder
 
 
 def _write_spaced(df: DataFrame, path: str, *columns: str) -> None:
@@ -67,12 +71,37 @@ def write_page_files(pages: DataFrame, path: str) -> None:
     """Write ``pages(value)`` as one file each, in folders ``folder=n`` of at most 1024 files.
 
     A folder belongs to one task, so the end of the job moves folders, not files, and readers list them side by
-    side. On a local disk no checksum files are written: each would cost as much as the page itself.
+    side. On a local disk the tasks open the files themselves: Hadoop would start a process for each.
     """
-    folder = F.shiftright(F.monotonically_increasing_id(), 10)
-    writer = pages.select("value", folder.alias("folder")).write.partitionBy("folder").option("maxRecordsPerFile", 1)
-    raw = {"fs.file.impl": "org.apache.hadoop.fs.RawLocalFileSystem", "fs.file.impl.disable.cache": "true"}
-    writer.options(**raw).text(path)
+    spark, folder = pages.sparkSession, F.shiftright(F.monotonically_increasing_id(), FOLDER_BITS)
+    placed, own = pages.select("value", folder.alias("folder")), local_path(spark, path)
+    if own is None:
+        placed.write.partitionBy("folder").option("maxRecordsPerFile", 1).text(path)
+        return
+    if os.path.exists(own):
+        raise AnalysisException(f"[PATH_ALREADY_EXISTS] Path {path} already exists.")
+    staged = f"{own}/_temporary"
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the folders of an attempt that fails are never moved
+        task, held, place = f"{staged}/{TaskContext.get().taskAttemptId()}", None, 0
+        for batch in batches:
+            for number, value in zip(batch.column(1).to_pylist(), batch.column(0).cast(pa.large_binary())):
+                if number != held:
+                    held, place = number, 0
+                    os.makedirs(f"{task}/folder={number}")
+                    yield pa.RecordBatch.from_pydict({"task": [task], "folder": [f"folder={number}"]})
+                with open(f"{task}/folder={number}/page-{place:04d}.txt", "xb") as file:
+                    file.write((value.as_py() or b"") + b"\n")
+                place += 1
+
+    with arrow_rows(spark, 1 << FOLDER_BITS):
+        written = placed.mapInArrow(write, "task string, folder string").collect()
+    os.makedirs(staged, exist_ok=True)
+    for row in written:
+        os.rename(f"{row['task']}/{row['folder']}", f"{own}/{row['folder']}")
+    shutil.rmtree(staged)
+    open(f"{own}/_SUCCESS", "wb").close()
 
 
 def document_text(page_id: Column, url: Column, title: Column, body: Column) -> Column:

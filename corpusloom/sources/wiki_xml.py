@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+import os
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -9,12 +14,23 @@ from corpusloom.fixed_values import TEMPLATE_NAMESPACE
 from corpusloom.functions.entities import unescape
 from corpusloom.operators.links import first_title
 from corpusloom.operators.pages import with_dense_ids
-from corpusloom.runtime import checkpoint, sized_broadcast
+from corpusloom.runtime import (
+    checkpoint,
+    drop_stored,
+    local_path,
+    shuffle_partitions,
+    shuffles_dropped,
+    sized_broadcast,
+)
 
 PAGE_SCHEMA = (
     "title string, ns int, id long, redirect struct<_title: string>, revision array<struct<id: long, text: string>>"
 )
 _XML_OPTIONS = {"ignoreSurroundingSpaces": "false"}
+_PAGE_FOLDER = re.compile(r"(?s).*/folder=\d+\Z").match
+_PAGE_FILE = re.compile(r"page-\d+\.txt\Z").match
+_SHARES = 4  # of a folder that tasks read apart
+_BATCH_BYTES = 4 << 20
 SITE_SCHEMA = "base string, namespaces struct<namespace: array<struct<_key: int, _VALUE: string>>>"
 
 
@@ -97,14 +113,68 @@ def with_siteinfo(pages: DataFrame, siteinfo: DataFrame) -> DataFrame:
     return pages.join(sized_broadcast(checkpoint(sites)), "file", "left").select(*pages.columns, "url_base", usual)
 
 
+def _page_folders(spark: SparkSession, path: str) -> list[str] | None:
+    """The local folders of ``path`` if it holds none but those of ``write_page_files``."""
+    own = local_path(spark, path)
+    if own is None or not os.path.isdir(own):
+        return None
+    with os.scandir(own) as entries:
+        found = [e.path for e in entries if not e.name.startswith(("_", "."))]
+    return found if found and all(map(_PAGE_FOLDER, found)) and not _has_others(spark, found) else None
+
+
+def _folder_rows(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(folder, share): each folder in ``_SHARES`` shares of its files, on all cores."""
+    tasks = min(len(folders) * _SHARES, max(shuffle_partitions(spark), 4 * spark.sparkContext.defaultParallelism))
+    rows = spark.createDataFrame([(f,) for f in folders], "folder string")
+    return rows.select("folder", F.explode(F.sequence(F.lit(0), F.lit(_SHARES - 1))).alias("share")).repartition(tasks)
+
+
+def _has_others(spark: SparkSession, folders: list[str]) -> bool:
+    """Whether a folder holds anything but page files."""
+
+    def others(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            names = (name for folder in batch.column(0).to_pylist() for name in os.listdir(folder))
+            yield pa.RecordBatch.from_pydict({"other": [any(not _PAGE_FILE(name) for name in names)]})
+
+    return not _folder_rows(spark, folders).filter("share = 0").mapInArrow(others, "other boolean").filter("other").isEmpty()
+
+
+def _page_texts(spark: SparkSession, folders: list[str]) -> DataFrame:
+    """(value): the text of each page file, read in batches of bounded bytes."""
+
+    def texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            for folder, share in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                for name in sorted(os.listdir(folder))[share::_SHARES]:
+                    with open(f"{folder}/{name}", "rb") as file:
+                        held.append(file.read())
+                    size += len(held[-1])
+                    if size > _BATCH_BYTES:
+                        yield pa.RecordBatch.from_pydict({"value": pa.array(held, pa.binary())})
+                        held, size = [], 0
+        yield pa.RecordBatch.from_pydict({"value": pa.array(held, pa.binary())})
+
+    read = _folder_rows(spark, folders).mapInArrow(texts, "value binary")
+    return read.select(F.col("value").cast("string").alias("value"))
+
+
 def read_page_files(spark: SparkSession, path: str) -> DataFrame:
     """pages(page_id, title, text) of a glob with one page per file.
 
     Ids are dense from 0 in title order; files without a title are left out. Each file is read once:
-    the pages are stored before the sort, which looks at its rows twice.
+    the pages are stored before the sort, which looks at its rows twice. Folders of ``write_page_files`` on a local
+    disk are listed and read by the tasks, so the driver holds folders, not files.
     """
-    files = spark.read.text(path, wholetext=True)
+    folders = _page_folders(spark, path)
+    files = spark.read.text(path, wholetext=True) if folders is None else _page_texts(spark, folders)
     title = unescape(first_title(F.col("value")))
     body = unescape(F.regexp_extract("value", r"(?s)<text\b[^>]*(?<!/)>(.*?)</text>", 1))
     pages = files.select(F.when(title != "", title).alias("title"), body.alias("text"))
-    return with_dense_ids(checkpoint(pages)).select("page_id", "title", "text")
+    stored = checkpoint(pages)
+    with shuffles_dropped(spark):
+        numbered = with_dense_ids(stored)  # stores the sorted rows
+    drop_stored(stored)
+    return numbered.select("page_id", "title", "text")

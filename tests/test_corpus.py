@@ -1,7 +1,10 @@
 import bz2
+import gzip
 import math
 
 import pytest
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrameReader, DataFrameWriter
 from pyspark.sql import functions as F
 
 from catalog.common import spread_table, table
@@ -90,6 +93,34 @@ def test_page_files_are_written_in_folders_of_bounded_size(spark, tmp_path):
     assert [tuple(r) for r in got] == [(i, f"T{i:04d}", f"text {i}") for i in range(1100)]
 
 
+def test_local_page_files_are_opened_by_the_tasks(spark, tmp_path, monkeypatch):
+    """Hadoop starts a process for each file it writes, and Spark's reader copies its settings for each it reads."""
+
+    def refused(*args, **options):
+        raise AssertionError("one call of Hadoop for each file")
+
+    pages = [(PAGE % (f"Tä{i:04d}", 0, i, "", f"text {i}"),) for i in range(300)] + [(None,)]
+    monkeypatch.setattr(DataFrameWriter, "text", refused)
+    monkeypatch.setattr(DataFrameReader, "text", refused)
+    path = str(tmp_path / "a b" / "files")
+    W.write_page_files(spark.createDataFrame(pages, "value string").repartition(3), path)
+    files = [f for f in (tmp_path / "a b" / "files").rglob("*") if f.is_file() and f.name != "_SUCCESS"]
+    assert sorted(f.read_bytes() for f in files) == sorted(((v or "") + "\n").encode() for (v,) in pages)
+    with pytest.raises(AnalysisException):
+        W.write_page_files(spark.createDataFrame(pages, "value string"), path)
+    got = X.read_page_files(spark, path).orderBy("page_id").collect()
+    assert [tuple(r) for r in got] == [(i, f"Tä{i:04d}", f"text {i}") for i in range(300)]
+
+
+def test_folders_with_other_files_are_read_by_spark(spark, tmp_path):
+    W.write_page_files(spark.createDataFrame([(PAGE % ("Zoo", 0, 4, "", "z"),)], "value string"), str(tmp_path / "files"))
+    (folder,) = (tmp_path / "files").glob("folder=*")
+    with gzip.open(folder / "more.xml.gz", "wt") as file:
+        file.write(PAGE % ("Ant", 0, 5, "", "a"))
+    got = sorted(map(tuple, X.read_page_files(spark, str(tmp_path / "files")).collect()))
+    assert got == [(0, "Ant", "a"), (1, "Zoo", "z")]
+
+
 def test_spread_table_follows_rows_not_files(spark, tmp_path):
     """One row group in a file of many partitions leaves all rows in one of them."""
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
